@@ -56,8 +56,9 @@ def is_lenient_number(value: Column) -> Column:
 def is_strict38_number(value: Column) -> Column:
     """Plain decimal: no plus sign, leading zeros or exponent; 38 digits at most."""
     bare = trim_ws(value)
+    short = F.length(bare) <= MAX_SIGNIFICANT_DIGITS
     digits = F.length(F.translate(bare, ".-", ""))
-    return bare.rlike(PLAIN_NUMBER_PATTERN) & (digits <= MAX_SIGNIFICANT_DIGITS)
+    return bare.rlike(PLAIN_NUMBER_PATTERN) & (short | (digits <= MAX_SIGNIFICANT_DIGITS))
 
 
 def is_scientific_number(value: Column) -> Column:

@@ -11,8 +11,8 @@ from tabwright.functions import dates as grammar
 from tabwright.functions.cells import is_date_shaped, text, trim_ws
 from tabwright.functions.csvtext import render_line
 from tabwright.operators.profiles import TOTAL, rates
-from tabwright.plans.results import CORRUPT, FIELDS, ROW_NO, JobResult, data_columns, require_columns
-from tabwright.plans.scale import number_rows
+from tabwright.plans.results import FIELDS, ROW_NO, JobResult, data_columns, require_columns
+from tabwright.plans.scale import computed_once, number_rows
 
 
 def convert_date(df: DataFrame, column: str, row_no: str = ROW_NO) -> JobResult:
@@ -25,9 +25,9 @@ def convert_date(df: DataFrame, column: str, row_no: str = ROW_NO) -> JobResult:
     names = [name for name in data_columns(df) if name != row_no]
     strings = [name for name in names if dict(df.dtypes)[name] == "string"]
     cell = trim_ws(text(f"`{column}`"))
-    tagged = df.withColumns(
-        {name: trim_ws(text(f"`{name}`")) for name in strings if name != column}
-        | {"_date": cell, "_iso": grammar.iso_text(grammar.parse_mixed(cell))}
+    tagged = computed_once(
+        df.withColumns({name: trim_ws(text(f"`{name}`")) for name in strings if name != column}),
+        {"_date": cell, "_iso": grammar.iso_text(grammar.parse_mixed(cell))},
     )
     good = (F.col("_date") == "") | F.col("_iso").isNotNull()
     clean = tagged.filter(good).withColumn(column, F.coalesce("_iso", F.lit("")))

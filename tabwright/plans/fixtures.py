@@ -14,7 +14,7 @@ from tabwright.functions.csvtext import render_line
 from tabwright.functions.dates import us12_text
 from tabwright.plans.models import MOROSOS
 from tabwright.plans.results import ROW_NO
-from tabwright.plans.scale import use_checkpoint_dir
+from tabwright.plans.scale import computed_once, use_checkpoint_dir
 from tabwright.sources.lines import line_table
 from tabwright.sources.records import parse_lines
 
@@ -82,7 +82,8 @@ def debtors(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CreateDate": us12_text(_moment()),
         "CreateUser": F.concat(F.lit("user"), _plus("o_custkey", 4, 0)),
     }
-    return orders.select(*[cell.alias(name) for name, cell in cells.items()], (F.col("k") + 1).alias(ROW_NO))
+    cells[ROW_NO] = F.col("k") + 1
+    return computed_once(orders, cells, drop=tuple(orders.columns))
 
 
 DEBTORS = """
@@ -114,10 +115,9 @@ def debtor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     full, short = render_line(list(MOROSOS.columns)), render_line(list(MOROSOS.columns[:-1]))
     line = F.when(_rest(131, 4), short).when(_rest(137, 6), F.concat(full, F.lit(",x"))).otherwise(full)
-    return records.select(
-        F.lit("debtors").alias("file"), F.lit(0).cast("bigint").alias("file_ord"),
-        (F.col("k") + 1).alias("line_no"), (F.col("k") + 1).alias("ord"), line.alias("line"),
-    )
+    place = F.col("k") + 1
+    cells = {"file": F.lit("debtors"), "file_ord": F.lit(0).cast("bigint"), "line_no": place, "ord": place, "line": line}
+    return computed_once(records, cells, drop=tuple(records.columns))
 
 
 def ragged_debtors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,14 +154,15 @@ def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.lit("not a date")
     for rest, spelling in reversed(list(enumerate(spellings))):
         raw = F.when(_rest(9, rest), spelling).otherwise(raw)
-    return orders.select(
-        F.col("k").cast("string").alias("id"),
-        raw.alias("raw"),
-        F.when(_rest(50, 0), "bad").otherwise(us12_text(F.col("ts"))).alias("us12"),
-        F.when(_rest(10, 0), "hello").otherwise(F.concat(day, slash, month, slash, year)).alias("cell"),
-        F.col("o_orderpriority").alias("priority"),
-        (F.col("k") + 1).alias(ROW_NO),
-    )
+    cells = {
+        "id": F.col("k").cast("string"),
+        "raw": raw,
+        "us12": F.when(_rest(50, 0), "bad").otherwise(us12_text(F.col("ts"))),
+        "cell": F.when(_rest(10, 0), "hello").otherwise(F.concat(day, slash, month, slash, year)),
+        "priority": F.col("o_orderpriority"),
+        ROW_NO: F.col("k") + 1,
+    }
+    return computed_once(orders, cells, drop=tuple(orders.columns))
 
 
 DATES = """

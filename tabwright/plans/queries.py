@@ -513,8 +513,7 @@ WITH {fx.DEBTORS}, bad AS ({_type_errors()}),
 counts AS (
   SELECT (SELECT count(*) FROM debtors) AS processed,
     (SELECT count(*) FROM debtors) - (SELECT count(DISTINCT line) FROM bad) AS valid, (SELECT count(*) FROM bad) AS errors)
-SELECT *, round(errors * 100.0 / processed, 2)::DOUBLE AS errors_percent,
-  round(processed * 100.0 / processed, 2)::DOUBLE AS processed_percent FROM counts
+SELECT *, round(errors * 100.0 / processed, 2)::DOUBLE AS errors_percent FROM counts
 """)
 def _(spark, sf):
     return quality.validate_model(fx.debtors(spark, sf), MOROSOS).summary

@@ -53,6 +53,18 @@ def attach_per_file(
     )
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column], drop: tuple[str, ...] = ()) -> DataFrame:
+    """Add or replace columns that later filters must not evaluate again.
+
+    A filter is pushed through a projection by copying the column's expression
+    into it.  Costly expressions (parsing, pattern matching) go through a
+    generator of one row instead, which filters do not cross.
+    """
+    kept = [F.col(f"`{name}`") for name in df.columns if name not in columns and name not in drop]
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select(*kept, F.inline(F.array(row)))
+
+
 def use_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a scratch folder in local mode only."""
     context = spark.sparkContext
