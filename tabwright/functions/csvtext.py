@@ -42,7 +42,8 @@ def render_header(names: list[str], quote: str = "necessary") -> str:
 
 def field_count(line: Column) -> Column:
     """Number of fields of a line; commas inside quotes do not count."""
-    outside = F.regexp_replace(line, '"(?:[^"]|"")*"', "")
+    plain = ~F.contains(line, F.lit('"'))
+    outside = F.when(plain, line).otherwise(F.regexp_replace(line, '"(?:[^"]|"")*"', ""))
     return (F.length(outside) - F.length(F.translate(outside, ",", "")) + 1).cast("int")
 
 

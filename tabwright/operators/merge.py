@@ -11,16 +11,12 @@ from tabwright.functions.cells import text, trim_ws
 from tabwright.plans.results import CORRUPT, FIELDS, ROW_NO, JobResult, data_columns, require_columns
 from tabwright.plans.scale import number_rows
 from tabwright.functions.csvtext import render_line
-from tabwright.sources.lines import first_line
-
-
-def _first_header_ord(lines: DataFrame) -> Column:
-    return lines.filter("line_no = 1").select(F.min("ord")).scalar()
+from tabwright.sources.lines import first_line, is_top_line
 
 
 def merge(lines: DataFrame) -> DataFrame:
     """All data lines under the first file's line 1; other first lines go unchecked."""
-    return lines.filter((F.col("line_no") > 1) | (F.col("ord") == _first_header_ord(lines)))
+    return lines.filter((F.col("line_no") > 1) | is_top_line(lines))
 
 
 def merge_dedup(lines: DataFrame, ordered: bool = False) -> DataFrame:

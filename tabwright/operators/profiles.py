@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators.slices import repeated_headers
-from tabwright.sources.lines import file_of_ordinal
+from tabwright.sources.lines import file_of_ordinal, is_top_line
 
 TOTAL = "TOTAL"
 
@@ -49,9 +49,8 @@ def count_unique(lines: DataFrame, header: str = "skip", approximate: bool = Fal
         return data.groupBy("line").agg(F.lit(1)).agg(F.count("*").alias("unique_lines"))
     if header != "first":
         raise ValueError("header must be 'skip' or 'first'")
-    first = lines.filter("line_no = 1").select(F.min("ord")).scalar()
     newly = (
-        lines.filter((F.col("line_no") > 1) | (F.col("ord") == first))
+        lines.filter((F.col("line_no") > 1) | is_top_line(lines))
         .groupBy("line").agg(F.min("ord").alias("ord"))
         .groupBy(file_of_ordinal(F.col("ord")).alias("file_ord")).agg(F.count("*").alias("unique_lines"))
     )

@@ -126,9 +126,12 @@ def _numeric_checks(
             source = field
         else:
             continue
-        value = trim_ws(_cell(df, source))
+        raw = _cell(df, source)
+        value = trim_ws(raw)
+        # The scientific rule alone does not trim for itself.
+        bad = ~valid(value if rule == "scientific" else raw)
         details = F.concat(F.lit(f"Field='{field}' Value='"), value, F.lit("' expected a number"))
-        checks.append((~valid(value), _problem("INVALID_NUMERIC", details, field, value)))
+        checks.append((bad, _problem("INVALID_NUMERIC", details, field, value)))
     return checks
 
 

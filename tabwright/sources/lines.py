@@ -1,7 +1,8 @@
 """Ordered, numbered lines of delimited files.
 
 A line table has ``file``, ``file_ord``, ``line_no`` (1 is the header), ``ord``
-and ``line``; read from files it also has ``file_lines``, the length of the file.  ``ord = file_ord * 2**40 + line_no`` keeps list order and line
+and ``line``; read from files it also has ``file_lines``, the length of the file,
+and ``top_file``, true for the first file with lines.  ``ord = file_ord * 2**40 + line_no`` keeps list order and line
 order in one BIGINT, so first-seen jobs stay hash aggregates and the file can be
 read back out of the number.
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from tabwright.plans import scale
 
 FILE_SHIFT = 40
-LINE_COLUMNS = ("file", "file_ord", "line_no", "ord", "line", "file_lines")
+LINE_COLUMNS = ("file", "file_ord", "line_no", "ord", "line", "file_lines", "top_file")
 # Rough width of one row of the block table: a path and five numbers.
 BLOCK_ROW_BYTES = 256
 
@@ -101,6 +102,8 @@ def number_scan(spark: SparkSession, scan: DataFrame, paths: list[str]) -> DataF
         .join(files, "_file")
         .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
         .withColumn("file_lines", F.sum("_rows").over(Window.partitionBy("file_ord")))
+        # One row per block: small enough for the one task this window takes.
+        .withColumn("top_file", F.col("file_ord") == F.min("file_ord").over(Window.partitionBy()))
     )
     if _most_blocks(spark, paths) * BLOCK_ROW_BYTES <= scale.BROADCAST_BYTES * 4:
         blocks = F.broadcast(blocks)
@@ -139,6 +142,13 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return number_scan(spark, scan, paths).select(*LINE_COLUMNS)
 
 
+def is_top_line(lines: DataFrame) -> Column:
+    """Whether a line is line 1 of the first file: the header a merge keeps."""
+    if "top_file" in lines.columns:
+        return (F.col("line_no") == 1) & F.col("top_file")
+    return F.col("ord") == lines.filter("line_no = 1").select(F.min("ord")).scalar()
+
+
 def first_line(lines: DataFrame) -> str:
     """Header text of the first file (one row to the driver); '' without lines."""
     row = lines.filter("line_no = 1").orderBy("ord").select("line").first()

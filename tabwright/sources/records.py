@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tabwright.functions.cells import text, trim_ws
 from tabwright.functions.csvtext import field_count
 from tabwright.plans.results import CORRUPT, FIELDS, ROW_NO
+from tabwright.plans.scale import computed_once
 from tabwright.sources import lines as line_source
 
 PROVENANCE = (ROW_NO, "_file", "_ord", FIELDS, CORRUPT)
@@ -49,20 +50,19 @@ def parse_lines(
     schema = _schema(names)
     if strict:
         schema = T.StructType(schema.fields[:-1])
-    parsed = F.from_csv("line", _ddl(schema), _options(strict))
-    rows = data.select(
+    parsed = computed_once(
+        data.select("file", "line_no", "ord", "line"),
+        {FIELDS: field_count(F.col("line")), "_cells": F.from_csv("line", _ddl(schema), _options(strict))},
+    )
+    cells = [text(F.col("_cells").getField(name)) for name in names]
+    corrupt = F.lit(None).cast("string") if strict else F.col("_cells").getField(CORRUPT)
+    return parsed.select(
+        *[(trim_ws(cell) if trim else cell).alias(name) for name, cell in zip(names, cells)],
         (F.col("line_no") - (1 if header else 0)).alias(ROW_NO),
         F.col("file").alias("_file"),
         F.col("ord").alias("_ord"),
-        field_count(F.col("line")).alias(FIELDS),
-        # A generator of one row: no later filter can parse the line again.
-        F.inline(F.array(parsed)),
-    )
-    cells = {name: text(f"`{name}`") for name in names}
-    corrupt = F.lit(None).cast("string") if strict else F.col(CORRUPT)
-    return rows.select(
-        *[(trim_ws(cell) if trim else cell).alias(name) for name, cell in cells.items()],
-        ROW_NO, "_file", "_ord", FIELDS, corrupt.alias(CORRUPT),
+        FIELDS,
+        corrupt.alias(CORRUPT),
     )
 
 
