@@ -15,7 +15,8 @@ ISO_T = r"^(\d{4})-(\d{1,2})-(\d{1,2})T(\d{1,2}):(\d{1,2})(:\d{1,2})?\z"
 ISO_ANY = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:[ T](\d{1,2}:\d{1,2}(?::\d{1,2})?))?\z"
 SLASHED = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{1,2})(:\d{1,2})?\z"
 MONTH_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?: (\d{1,2}:\d{1,2}:\d{1,2}))?\z"
-US_12_HOUR = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{1,2}):(\d{1,2}) ([AaPp])[Mm]\z"
+US_12_HOUR = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (?:0?[1-9]|1[0-2]):\d{1,2}:\d{1,2} [AaPp][Mm]\z"
+US_CLOCK = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (.*) .M\z"
 DAY_MONTH_YEAR = r"^(\d{2})/(\d{2})/(\d{4})\z"
 
 
@@ -35,20 +36,14 @@ def parse_mixed(value: Column) -> Column:
 
 def parse_us12(value: Column) -> Column:
     """``MM/dd/yyyy hh:mm:ss AM/PM``; hour 0 and hours above 12 are refused."""
-    clock = _arranged(value, US_12_HOUR, "$3-$1-$2 $4:$5:$6")
-    afternoon = F.upper(F.substring(value, -2, 1)) == "P"
-    half_day = F.expr("INTERVAL 12 HOURS")
-    hour = F.hour(clock)
-    return (
-        F.when(~hour.between(1, 12), F.lit(None).cast("timestamp_ntz"))
-        .when(afternoon & (hour < 12), clock + half_day)
-        .when(~afternoon & (hour == 12), clock - half_day)
-        .otherwise(clock)
-    )
+    # Hour 12 is hour 0 of its half day; only the hour follows a blank.
+    clock = F.regexp_replace(F.replace(F.upper(value), F.lit(" 12:"), F.lit(" 0:")), US_CLOCK, "$3-$1-$2 $4")
+    half_day = F.when(value.rlike("[Pp].\\z"), F.expr("INTERVAL 12 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
+    return F.when(value.rlike(US_12_HOUR), clock.try_cast("timestamp_ntz") + half_day)
 
 
 def _without_counter(value: Column) -> Column:
-    return F.regexp_replace(value, r"^\d+,", "")
+    return F.when(F.contains(value, F.lit(",")), F.regexp_replace(value, r"^\d+,", "")).otherwise(value)
 
 
 def _month_first(value: Column) -> Column:
@@ -92,10 +87,9 @@ def iso_text(moment: Column) -> Column:
     return F.translate(moment.cast("string"), " ", "T")
 
 
-def us12_text(moment: Column) -> Column:
-    """``MM/dd/yyyy hh:mm:ss AM/PM`` of a zone-less timestamp."""
-    plain = moment.cast("string")
-    hour = F.hour(moment)
+def us12_text(plain: Column) -> Column:
+    """``MM/dd/yyyy hh:mm:ss AM/PM`` out of ``yyyy-MM-dd HH:mm:ss`` text."""
+    hour = F.substring(plain, 12, 2).cast("int")
     clock = F.lpad((F.pmod(hour + 11, F.lit(12)) + 1).cast("string"), 2, "0")
     return F.concat(
         F.substring(plain, 6, 2), F.lit("/"), F.substring(plain, 9, 2), F.lit("/"), F.substring(plain, 1, 4),

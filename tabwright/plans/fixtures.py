@@ -57,13 +57,18 @@ def _moment() -> Column:
     return F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
+def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").withColumn("k", F.col("o_orderkey"))
+    return computed_once(orders, {"plain": _moment().cast("string")})
+
+
 def _plus(column: str, divisor: int, base: int) -> Column:
     return (F.col(column) % divisor + base).cast("string")
 
 
 def debtors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Debtor records with broken numbers, in the 14-column model."""
-    orders = table(spark, sf_dir, "orders").withColumn("k", F.col("o_orderkey"))
+    orders = _dated_orders(spark, sf_dir)
     cuil = (F.col("o_custkey") + 20000000000).cast("string")
     cells = {
         "Cuil": F.when(_rest(101, 7), "N/A").when(_rest(103, 9), "").otherwise(cuil),
@@ -77,9 +82,9 @@ def debtors(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Telefono": F.lit(""),
         "NombreRegion": F.concat(F.lit("REGION "), _plus("o_custkey", 8, 0)),
         "NombreCategoria": F.col("o_orderstatus"),
-        "Periodo": F.translate(F.substring(F.col("o_orderdate").cast("string"), 1, 7), "-", ""),
+        "Periodo": F.translate(F.substring("plain", 1, 7), "-", ""),
         "IdEntidad": F.when(_rest(127, 1), "9" * 39).otherwise(_plus("o_custkey", 100, 400)),
-        "CreateDate": us12_text(_moment()),
+        "CreateDate": us12_text(F.col("plain")),
         "CreateUser": F.concat(F.lit("user"), _plus("o_custkey", 4, 0)),
     }
     cells[ROW_NO] = F.col("k") + 1
@@ -139,8 +144,8 @@ debtor_lines AS (
 
 def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates in nine spellings (``raw``), as US text (``us12``) and as day/month/year (``cell``)."""
-    orders = table(spark, sf_dir, "orders").withColumn("k", F.col("o_orderkey")).withColumn("ts", _moment())
-    plain = F.col("ts").cast("string")
+    orders = _dated_orders(spark, sf_dir)
+    plain = F.col("plain")
     year, month, day = F.substring(plain, 1, 4), F.substring(plain, 6, 2), F.substring(plain, 9, 2)
     minutes, seconds = F.substring(plain, 12, 5), F.substring(plain, 12, 8)
     slash, blank, t = F.lit("/"), F.lit(" "), F.lit("T")
@@ -157,7 +162,7 @@ def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = {
         "id": F.col("k").cast("string"),
         "raw": raw,
-        "us12": F.when(_rest(50, 0), "bad").otherwise(us12_text(F.col("ts"))),
+        "us12": F.when(_rest(50, 0), "bad").otherwise(us12_text(plain)),
         "cell": F.when(_rest(10, 0), "hello").otherwise(F.concat(day, slash, month, slash, year)),
         "priority": F.col("o_orderpriority"),
         ROW_NO: F.col("k") + 1,
