@@ -44,7 +44,8 @@ def field_count(line: Column) -> Column:
     """Number of fields of a line; commas inside quotes do not count."""
     plain = ~F.contains(line, F.lit('"'))
     outside = F.when(plain, line).otherwise(F.regexp_replace(line, '"(?:[^"]|"")*"', ""))
-    return (F.length(outside) - F.length(F.translate(outside, ",", "")) + 1).cast("int")
+    bare = F.replace(outside, F.lit(","), F.lit(""))
+    return F.octet_length(outside) - F.octet_length(bare) + 1
 
 
 def split_cells(line: Column) -> Column:

@@ -93,9 +93,10 @@ def _reject_rows(
     df: DataFrame, problems: Column, names: list[str], row_no: str, model: TableModel | None
 ) -> DataFrame:
     """One row per problem: line, error_type, field, value, details, keys, record."""
+    line = F.col(row_no) + 1 if row_no in df.columns else F.lit(None).cast("bigint")
     return (
         df.select(
-            (F.col(row_no) + 1).alias("line"), *_keys(df, model),
+            line.alias("line"), *_keys(df, model),
             _record_text(df, names).alias("record"), F.explode(problems).alias("_p"),
         )
         .select(

@@ -30,7 +30,7 @@ def scratch(spark: SparkSession) -> str:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document is a file, each of its lines a line."""
-    body = F.regexp_replace("text", "\\n\\z", "")
+    body = F.when(F.endswith("text", F.lit("\n")), F.expr("left(text, length(text) - 1)")).otherwise(F.col("text"))
     lines = table(spark, sf_dir, "documents").select(
         "doc_id", F.posexplode(F.split(body, "\n", -1)).alias("place", "line")
     )
@@ -118,7 +118,8 @@ def debtor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = records.withColumn(
         "RazonSocial", F.when(_rest(139, 8), "A, B").otherwise(F.col("RazonSocial"))
     )
-    full, short = render_line(list(MOROSOS.columns)), render_line(list(MOROSOS.columns[:-1]))
+    records = computed_once(records, {"short": render_line(list(MOROSOS.columns[:-1]))})
+    short, full = F.col("short"), F.concat_ws(",", "short", "CreateUser")
     line = F.when(_rest(131, 4), short).when(_rest(137, 6), F.concat(full, F.lit(",x"))).otherwise(full)
     place = F.col("k") + 1
     cells = {"file": F.lit("debtors"), "file_ord": F.lit(0).cast("bigint"), "line_no": place, "ord": place, "line": line}

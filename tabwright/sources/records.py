@@ -17,7 +17,7 @@ from tabwright.sources import lines as line_source
 PROVENANCE = (ROW_NO, "_file", "_ord", FIELDS, CORRUPT)
 
 
-def _schema(names: list[str]) -> T.StructType:
+def record_schema(names: list[str]) -> T.StructType:
     fields = [T.StructField(name, T.StringType()) for name in (*names, CORRUPT)]
     return T.StructType(fields)
 
@@ -26,7 +26,7 @@ def _ddl(schema: T.StructType) -> str:
     return ", ".join("`" + field.name.replace("`", "``") + "` STRING" for field in schema.fields)
 
 
-def _options(strict: bool) -> dict[str, str]:
+def csv_options(strict: bool) -> dict[str, str]:
     return {
         "escape": '"',
         "mode": "FAILFAST" if strict else "PERMISSIVE",
@@ -47,21 +47,23 @@ def parse_lines(
     ``strict`` such a row fails the job.
     """
     data = lines.filter("line_no > 1") if header else lines
-    schema = _schema(names)
+    schema = record_schema(names)
     if strict:
         schema = T.StructType(schema.fields[:-1])
     parsed = computed_once(
         data.select("file", "line_no", "ord", "line"),
-        {FIELDS: field_count(F.col("line")), "_cells": F.from_csv("line", _ddl(schema), _options(strict))},
+        {"_cells": F.from_csv("line", _ddl(schema), csv_options(strict))},
     )
     cells = [text(F.col("_cells").getField(name)) for name in names]
     corrupt = F.lit(None).cast("string") if strict else F.col("_cells").getField(CORRUPT)
+    # A row that fits needs no counting.
+    width = F.when(corrupt.isNull(), F.lit(len(names))).otherwise(field_count(F.col("line")))
     return parsed.select(
         *[(trim_ws(cell) if trim else cell).alias(name) for name, cell in zip(names, cells)],
         (F.col("line_no") - (1 if header else 0)).alias(ROW_NO),
         F.col("file").alias("_file"),
         F.col("ord").alias("_ord"),
-        FIELDS,
+        width.alias(FIELDS),
         corrupt.alias(CORRUPT),
     )
 
@@ -106,7 +108,7 @@ def read_records(
 def _read_multi_line(spark, paths, names, header, strict, trim) -> DataFrame:
     line_source._pin_split_planning(spark)
     raw = (
-        spark.read.schema(_schema(names)).options(**_options(strict))
+        spark.read.schema(record_schema(names)).options(**csv_options(strict))
         .option("multiLine", True).option("header", header).csv(list(dict.fromkeys(paths)))
     )
     scan = line_source.with_position(
