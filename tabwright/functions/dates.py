@@ -100,7 +100,7 @@ def us12_text(plain: Column) -> Column:
 def day_month_to_iso(value: Column) -> Column:
     """``dd/MM/yyyy`` cells that are real dates become ISO dates, others NULL."""
     day = F.when(
-        value.rlike(DAY_MONTH_YEAR),
+        (F.length(value) == 10) & value.rlike(DAY_MONTH_YEAR),
         F.regexp_replace(value, DAY_MONTH_YEAR, "$3-$2-$1").try_cast("date"),
     )
     return day.cast("string")

@@ -51,11 +51,12 @@ def convert_all_dates(df: DataFrame, row_no: str = ROW_NO) -> DataFrame:
     ``_converted`` counts the converted cells of a row.
     """
     names = [name for name, kind in df.dtypes if kind == "string" and not name.startswith("_") and name != row_no]
-    iso = {name: grammar.day_month_to_iso(text(f"`{name}`")) for name in names}
-    count = sum((F.when(value.isNotNull(), 1).otherwise(0) for value in iso.values()), F.lit(0))
-    return df.withColumns(
-        {name: F.coalesce(value, F.col(f"`{name}`")) for name, value in iso.items()} | {"_converted": count}
-    )
+    iso = {f"_iso{place}": grammar.day_month_to_iso(text(f"`{name}`")) for place, name in enumerate(names)}
+    if not iso:
+        return df.withColumn("_converted", F.lit(0))
+    count = sum((F.when(F.col(name).isNotNull(), 1).otherwise(0) for name in iso), F.lit(0))
+    replaced = {name: F.coalesce(found, F.col(f"`{name}`")) for name, found in zip(names, iso)}
+    return computed_once(df, iso).withColumns(replaced | {"_converted": count}).drop(*iso)
 
 
 def _moment(df: DataFrame, column: str, fmt: str) -> Column:

@@ -78,12 +78,17 @@ def add_header(lines: DataFrame, model: str | TableModel) -> DataFrame:
         "line_no", F.col("line_no") + F.col("header_added").cast("bigint")
     )
     new = top.filter(lacks).withColumns({"line": wanted, "header_added": F.lit(True)})
-    return body.unionByName(new).withColumn("ord", ordinal(F.col("file_ord"), F.col("line_no")))
+    repaired = body.unionByName(new).withColumn("ord", ordinal(F.col("file_ord"), F.col("line_no")))
+    if "file_lines" in lines.columns:
+        longer = F.col("file_lines") + F.col("header_added").cast("bigint")
+        repaired = repaired.withColumn("file_lines", longer)
+    return repaired
 
 
 def batch_add_headers(lines: DataFrame, model: str | TableModel, path: str) -> DataFrame:
     """``add_header`` for every file of a manifest, one output folder per file.
 
+    Folders carry the place in the list too, so equal file names stay apart.
     Data lines are written under the model's header.  A file with a header of its
     own keeps it and so cannot join this output; such files are returned as
     (file, header) for the caller to look at, never rewritten.
@@ -96,5 +101,7 @@ def batch_add_headers(lines: DataFrame, model: str | TableModel, path: str) -> D
     flags = foreign.select("file", F.lit(True).alias("_foreign"))
     fitting = attach_per_file(repaired, flags).filter("_foreign IS NULL AND line_no > 1")
     name = F.regexp_extract("file", "([^/]*)$", 1)
-    write_lines(fitting.withColumn("file_name", name), path, wanted, partition_by="file_name")
+    folders = ["file_ord", "file_name"]
+    ordered = fitting.withColumn("file_name", name).sortWithinPartitions(*folders, "line_no")
+    write_lines(ordered, path, wanted, partition_by=folders)
     return foreign

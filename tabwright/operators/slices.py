@@ -74,15 +74,17 @@ def head(lines: DataFrame, n: int = 10) -> DataFrame:
     return lines.filter(F.col("line_no") <= n + 1)
 
 
-def tail(lines: DataFrame, n: int = 10) -> DataFrame:
+def tail(lines: DataFrame, n: int = 10, whole_files: bool = False) -> DataFrame:
     """Header and last ``n`` data lines of every file.
 
-    Lines read from files know their file's length, so this is a plain filter.
-    Elsewhere, up to the session's group-limit threshold, each task keeps only its
-    own last ``n`` lines per file before the shuffle, so a long file is never
-    moved whole; for more lines the length of each file is attached instead.
+    Up to the session's group-limit threshold each task keeps only its own last
+    ``n`` lines per file before the shuffle, so a long file is never moved whole;
+    for more lines the length of each file is attached instead.  Lines straight
+    from ``read_lines`` know their file's length: with ``whole_files`` this is then
+    a plain filter (not to be used once lines were dropped).
     """
-    if "file_lines" in lines.columns:
+    if whole_files:
+        require_columns(lines, "file_lines")
         return lines.filter((F.col("line_no") == 1) | (F.col("line_no") > F.col("file_lines") - n))
     spark = lines.sparkSession
     if n <= int(spark.conf.get(GROUP_LIMIT_CONF)):

@@ -33,13 +33,15 @@ def attach_per_file(
 ) -> DataFrame:
     """Left-join a one-row-per-file table to its lines.
 
-    ``info`` is broadcast when it was measured to fit.  Otherwise both sides are
+    ``info`` is computed once and checkpointed, and broadcast when it was measured
+    to fit.  Otherwise both sides are
     shuffled by (file, chunk of lines): the small side is repeated once for each
     chunk a file really has, so a file with a third of all lines spreads over
     many tasks and a short file is not copied.
     """
     limit = BROADCAST_BYTES if limit is None else limit
     chunk = CHUNK_LINES if chunk is None else chunk
+    info = cut_lineage(info)
     if measured_bytes(info) <= limit:
         return lines.join(F.broadcast(info), "file", "left")
     extent = lines.groupBy("file").agg(F.max("line_no").alias("_last"))

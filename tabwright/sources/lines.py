@@ -6,25 +6,24 @@ and ``top_file``, true for the first file with lines.  ``ord = file_ord * 2**40
 order in one BIGINT, so first-seen jobs stay hash aggregates and the file can be
 read back out of the number.
 
-Line numbers need no global sort.  A first narrow pass counts the rows of every
-file block; prefix sums over that small table give each block its offset, and
-the second pass adds the row's position inside its block.
+Line numbers need no global sort.  Opening the files counts the rows of every
+file block in one narrow pass; prefix sums over that small table give each block
+its offset, and reading adds the row's position inside its block.
 """
 
 from __future__ import annotations
 
-import math
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabwright.plans import scale
+from tabwright.plans.scale import cut_lineage, measured_bytes
 
 FILE_SHIFT = 40
 LINE_COLUMNS = ("file", "file_ord", "line_no", "ord", "line", "file_lines", "top_file")
-# Rough width of one row of the block table: a path and five numbers.
-BLOCK_ROW_BYTES = 256
 
 
 def ordinal(file_ord: Column, line_no: Column) -> Column:
@@ -51,10 +50,21 @@ def _same_form(uri: Column) -> Column:
 
 
 def resolve_files(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Files behind each entry, in list order; a folder or glob opens in path order."""
+    """Files behind each entry, in list order; a folder or glob opens in path order.
+
+    One listing covers every entry that names a file; only folders and globs are
+    listed by themselves.
+    """
+    listed = spark.read.text(list(dict.fromkeys(paths))).inputFiles()
+    by_path: dict[str, set[str]] = {}
+    for uri in listed:
+        plain = unquote(uri)
+        for name in (plain, re.sub("^[a-z0-9]+:(//[^/]*)?", "", plain)):
+            by_path.setdefault(name, set()).add(uri)
     found = []
     for path in paths:
-        found.extend(sorted(spark.read.text(path).inputFiles()))
+        same = by_path.get(path, ())
+        found.extend(same if len(same) == 1 else sorted(spark.read.text(path).inputFiles()))
     return found
 
 
@@ -72,40 +82,28 @@ def _pin_split_planning(spark: SparkSession) -> None:
         spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
 
 
-def _conf_bytes(spark: SparkSession, key: str) -> int:
-    number, unit = re.match(r"(\d+)\s*([kmgtp]?)", spark.conf.get(key).lower()).groups()
-    return int(number) * 1024 ** " kmgtp".index(unit or " ")
-
-
-def _most_blocks(spark: SparkSession, paths: list[str]) -> int:
-    """Upper bound of the number of file blocks, from the listing alone."""
-    sizes = spark.read.format("binaryFile").load(paths).agg(F.count("*"), F.sum("length")).first()
-    files, total = sizes[0], sizes[1] or 0
-    split = _conf_bytes(spark, "spark.sql.files.maxPartitionBytes")
-    if total / int(spark.conf.get("spark.sql.files.minPartitionNum")) < split:
-        split = min(split, _conf_bytes(spark, "spark.sql.files.openCostInBytes"))
-    return files + math.ceil(total / split)
-
-
 def number_scan(spark: SparkSession, scan: DataFrame, paths: list[str]) -> DataFrame:
     """Number the rows of a file scan with ``_file``, ``_block`` and ``_id`` columns.
 
     ``_id`` must be monotonically_increasing_id() right on the scan.  The block
-    table is broadcast when the listing shows it is small; beyond that the join
-    shuffles by (file, block), and no key holds more than one block.
+    table is counted here and now, once, and checkpointed, so every later action
+    on the lines is a single pass.  It is broadcast when it was measured to be
+    small; beyond that the join shuffles by (file, block), and no key holds more
+    than one block.
     """
     files = file_list(spark, paths).withColumnRenamed("file", "_file")
-    earlier = Window.partitionBy("file_ord").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
+    whole = Window.partitionBy("file_ord")
+    earlier = whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = cut_lineage(
         scan.groupBy("_file", "_block")
         .agg(F.min("_id").alias("_first"), F.count("*").alias("_rows"))
         .join(files, "_file")
         .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .withColumn("file_lines", F.sum("_rows").over(Window.partitionBy("file_ord")))
-        # One row per block: small enough for the one task this window takes.
-        .withColumn("top_file", F.col("file_ord") == F.min("file_ord").over(Window.partitionBy()))
+        .withColumn("file_lines", F.sum("_rows").over(whole))
     )
-    if _most_blocks(spark, paths) * BLOCK_ROW_BYTES <= scale.BROADCAST_BYTES * 4:
+    first = blocks.agg(F.min("file_ord")).first()[0]
+    blocks = blocks.withColumn("top_file", F.col("file_ord") == F.lit(first))
+    if measured_bytes(blocks) <= scale.BROADCAST_BYTES:
         blocks = F.broadcast(blocks)
     position = F.col("_id") - F.col("_first")
     changed = F.raise_error(F.lit("file splits changed between the two passes")).cast("bigint")

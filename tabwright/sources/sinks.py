@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.csvtext import render_header, render_line
-from tabwright.plans.results import data_columns
+from tabwright.plans.results import ROW_NO, data_columns
 
 # Noncharacters cannot occur in exchanged text, so lines are written as they are.
 _AS_IS = {
@@ -26,16 +26,12 @@ def normalize_header(df: DataFrame) -> DataFrame:
 
 
 def write_lines(
-    lines: DataFrame, path: str, header: str, partition_by: str | None = None, mode: str = "errorifexists"
+    lines: DataFrame, path: str, header: str, partition_by: str | list[str] = (), mode: str = "errorifexists"
 ) -> None:
     """Write the ``line`` column under a header line, one folder per ``partition_by`` value."""
-    keep = [F.col("line").alias(header)]
-    if partition_by:
-        keep.append(F.col(partition_by))
-    writer = lines.select(*keep).write.mode(mode).options(**_AS_IS)
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.csv(path)
+    folders = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    kept = lines.select(F.col("line").alias(header), *folders)
+    kept.write.mode(mode).options(**_AS_IS).partitionBy(*folders).csv(path)
 
 
 def write_records(
@@ -52,7 +48,7 @@ def write_records(
     """
     names = [name for name in data_columns(df) if name != partition_by]
     lines = df.withColumn("line", render_line(names, quote))
-    write_lines(lines, path, render_header(names, quote), partition_by, mode)
+    write_lines(lines, path, render_header(names, quote), partition_by or (), mode)
 
 
 def write_rejects(rejects: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -67,10 +63,14 @@ def write_rejects(rejects: DataFrame, path: str, mode: str = "errorifexists") ->
     write_records(log, path, mode=mode)
 
 
-def write_chunks(chunked: DataFrame, path: str, prefix: str, mode: str = "errorifexists") -> None:
+def write_chunks(
+    chunked: DataFrame, path: str, prefix: str, row_no: str = ROW_NO, mode: str = "errorifexists"
+) -> None:
     """One folder ``chunk=prefix_001`` per chunk of ``split_chunks``.
 
     No shuffle: a task holds a run of rows, so it touches one or two chunks.
     """
     label = F.concat(F.lit(f"{prefix}_"), F.format_string("%03d", F.col("_chunk_id")))
-    write_records(chunked.withColumn("chunk", label), path, partition_by="chunk", mode=mode)
+    # A task's rows are put in order first: the writer's own sort is by chunk alone.
+    ordered = chunked.withColumn("chunk", label).sortWithinPartitions("chunk", row_no)
+    write_records(ordered, path, partition_by="chunk", mode=mode)

@@ -62,8 +62,9 @@ def test_numbers_over_many_blocks_and_files(spark, tmp_path, small_blocks, monke
         assert row["top_file"] == (row["file_ord"] == 0)
     counts = profiles.count_by_file(lines, files=file_list(spark, paths)).collect()
     assert {row["file"].rsplit("/", 1)[-1]: row["lines"] for row in counts} == sizes | {"TOTAL": sum(sizes.values())}
-    last = slices.tail(lines, 2).select("line").collect()
-    assert sorted(row["line"] for row in last if row["line"].startswith("m.")) == ["m.csv:1", "m.csv:399", "m.csv:400"]
+    for whole in (True, False):
+        last = slices.tail(lines, 2, whole_files=whole).select("line").collect()
+        assert sorted(row["line"] for row in last if row["line"].startswith("m.")) == ["m.csv:1", "m.csv:399", "m.csv:400"]
 
 
 def test_a_file_listed_twice_is_read_twice(spark, tmp_path):
