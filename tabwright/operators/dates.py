@@ -11,7 +11,7 @@ from tabwright.functions import dates as grammar
 from tabwright.functions.cells import is_date_shaped, text, trim_ws
 from tabwright.functions.csvtext import render_line
 from tabwright.operators.profiles import TOTAL, rates
-from tabwright.plans.results import FIELDS, ROW_NO, JobResult, data_columns, require_columns
+from tabwright.plans.results import CORRUPT, FIELDS, ROW_NO, JobResult, data_columns, quoted, require_columns
 from tabwright.plans.scale import computed_once, number_rows
 
 
@@ -19,30 +19,34 @@ def convert_date(df: DataFrame, column: str, row_no: str = ROW_NO) -> JobResult:
     """Rewrite one column to ``yyyy-MM-ddTHH:mm:ss``; all cells come out trimmed.
 
     An empty cell is kept and counts as converted.  Rows whose date no format
-    reads are rejects with the original text.
+    reads are rejects with the original text, and so are ragged rows.
     """
     require_columns(df, column)
     names = [name for name in data_columns(df) if name != row_no]
-    strings = [name for name in names if dict(df.dtypes)[name] == "string"]
+    kinds = dict(df.dtypes)
+    trimmed = {name: trim_ws(text(f"`{name}`")) for name in names if kinds[name] == "string" and name != column}
     cell = trim_ws(text(f"`{column}`"))
     tagged = computed_once(
-        df.withColumns({name: trim_ws(text(f"`{name}`")) for name in strings if name != column}),
-        {"_date": cell, "_iso": grammar.iso_text(grammar.parse_mixed(cell))},
+        df.withColumns(trimmed),
+        {"_tw_date": cell, "_tw_iso": grammar.iso_text(grammar.parse_mixed(cell))},
     )
-    good = (F.col("_date") == "") | F.col("_iso").isNotNull()
-    clean = tagged.filter(good).withColumn(column, F.coalesce("_iso", F.lit("")))
-    bad = tagged.filter(~good).withColumn(column, F.col("_date"))
-    line = (F.col(row_no) + 1 if row_no in df.columns else F.lit(None).cast("bigint")).alias("line")
+    fits = F.col(FIELDS) == len(names) if FIELDS in df.columns else F.lit(True)
+    good = fits & ((F.col("_tw_date") == "") | F.col("_tw_iso").isNotNull())
+    clean = tagged.filter(good).withColumn(column, F.coalesce("_tw_iso", F.lit(""))).select(*quoted(df.columns))
+    rendered = render_line(names)
+    bad = tagged.filter(~good).withColumn(column, F.col("_tw_date"))
     rejects = bad.select(
-        line, F.lit("DATE_CONVERSION_ERROR").alias("error_type"),
-        F.col("_date").alias("original"), render_line(names).alias("record"),
+        (F.col(row_no) + 1 if row_no in df.columns else F.lit(None).cast("bigint")).alias("line"),
+        F.when(fits, "DATE_CONVERSION_ERROR").otherwise("COLUMN_COUNT").alias("error_type"),
+        F.col("_tw_date").alias("original"),
+        (F.coalesce(F.col(CORRUPT), rendered) if CORRUPT in df.columns else rendered).alias("record"),
     )
     summary = tagged.agg(
         F.count("*").alias("processed"),
         F.count_if(good).alias("converted"),
         F.count_if(~good).alias("errors"),
     )
-    return JobResult(clean.drop("_date", "_iso"), rejects, rates(summary, "processed", "converted", "errors"))
+    return JobResult(clean, rejects, rates(summary, "processed", "converted", "errors"))
 
 
 def convert_all_dates(df: DataFrame, row_no: str = ROW_NO) -> DataFrame:
@@ -50,8 +54,9 @@ def convert_all_dates(df: DataFrame, row_no: str = ROW_NO) -> DataFrame:
 
     ``_converted`` counts the converted cells of a row.
     """
-    names = [name for name, kind in df.dtypes if kind == "string" and not name.startswith("_") and name != row_no]
-    iso = {f"_iso{place}": grammar.day_month_to_iso(text(f"`{name}`")) for place, name in enumerate(names)}
+    kinds = dict(df.dtypes)
+    names = [name for name in data_columns(df) if kinds[name] == "string" and name != row_no]
+    iso = {f"_tw_iso{place}": grammar.day_month_to_iso(text(f"`{name}`")) for place, name in enumerate(names)}
     if not iso:
         return df.withColumn("_converted", F.lit(0))
     count = sum((F.when(F.col(name).isNotNull(), 1).otherwise(0) for name in iso), F.lit(0))
@@ -192,11 +197,11 @@ def sort_by_date(
     """
     if order not in ("asc", "desc"):
         raise ValueError("order must be 'asc' or 'desc'")
-    dated = df.withColumn("_ts", _moment(df, column, fmt))
-    by = F.col("_ts").desc_nulls_last() if order == "desc" else F.col("_ts").asc_nulls_last()
+    dated = df.withColumn("_tw_ts", _moment(df, column, fmt))
+    by = F.col("_tw_ts").desc_nulls_last() if order == "desc" else F.col("_tw_ts").asc_nulls_last()
     keys = [by, F.col(row_no).asc()]
     found = number_rows(dated, keys, "place") if numbered else dated.orderBy(*keys)
-    return found.drop("_ts")
+    return found.drop("_tw_ts")
 
 
 def check_relation_dates(df: DataFrame, columns: list[str], row_no: str = ROW_NO) -> JobResult:

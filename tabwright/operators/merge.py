@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.cells import text, trim_ws
-from tabwright.plans.results import CORRUPT, FIELDS, ROW_NO, JobResult, data_columns, require_columns
-from tabwright.plans.scale import number_rows
 from tabwright.functions.csvtext import render_line
+from tabwright.plans.results import CORRUPT, FIELDS, ROW_NO, JobResult, data_columns, quoted, require_columns
+from tabwright.plans.scale import number_rows
 from tabwright.sources.lines import first_line, is_top_line
 
 
@@ -69,7 +69,7 @@ def merge_records_dedup(tables: list[DataFrame]) -> DataFrame:
     if not tables:
         raise ValueError("no tables to merge")
     names = data_columns(tables[0])
-    same = [table.select(*data_columns(table)).toDF(*names) for table in tables]
+    same = [table.select(*quoted(data_columns(table))).toDF(*names) for table in tables]
     return reduce(DataFrame.union, same).distinct()
 
 
@@ -77,9 +77,9 @@ def dedup_records(records: DataFrame, order_by: str | None = None) -> DataFrame:
     """Distinct records over all data columns; with ``order_by`` the first place is kept."""
     names = [name for name in data_columns(records) if name != order_by]
     if order_by is None:
-        return records.select(*names).distinct()
+        return records.select(*quoted(names)).distinct()
     require_columns(records, order_by)
-    return records.groupBy(*names).agg(F.min(order_by).alias(order_by))
+    return records.groupBy(*quoted(names)).agg(F.min(order_by).alias(order_by))
 
 
 def _ragged(records: DataFrame, width: int) -> Column:
@@ -116,27 +116,27 @@ def dedup_by_key(
         raise ValueError("keep must be 'first' or 'last'")
     names = data_columns(records)
     width = len([name for name in names if name not in (order_by, row_no)])
-    empty = reduce(lambda a, b: a | b, [text(key) == "" for key in keys])
+    empty = reduce(lambda a, b: a | b, [text(F.col(f"`{key}`")) == "" for key in keys])
     reason = (
         F.lit(None).cast("string") if strict else
         F.when(_ragged(records, width), "LENGTH_MISMATCH")
         .when(_broken(records, width), "CSV_PARSE_ERROR")
         .when(empty, "EMPTY_KEY")
     )
-    tagged = records.withColumn("_reason", reason)
+    tagged = records.withColumn("_tw_reason", reason)
     order = F.desc(order_by) if keep == "last" else F.asc(order_by)
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    sound = tagged.filter("_reason IS NULL").drop("_reason")
-    clean = sound.withColumn("_place", place).filter("_place = 1").drop("_place")
-    rejects = tagged.filter("_reason IS NOT NULL").select(
+    place = F.row_number().over(Window.partitionBy(*quoted(keys)).orderBy(order))
+    sound = tagged.filter("_tw_reason IS NULL").drop("_tw_reason")
+    clean = sound.withColumn("_tw_place", place).filter("_tw_place = 1").drop("_tw_place")
+    rejects = tagged.filter("_tw_reason IS NOT NULL").select(
         (F.col(row_no) if row_no in records.columns else F.col(order_by)).alias("line"),
-        F.col("_reason").alias("error_type"),
+        F.col("_tw_reason").alias("error_type"),
         render_line([name for name in names if name not in (order_by, row_no)]).alias("record"),
     )
     # One row per distinct key carries all counters through a single aggregate.
     summary = (
-        tagged.groupBy(*keys).agg(
-            F.count("*").alias("_rows"), F.count("_reason").alias("_errors")
+        tagged.groupBy(*quoted(keys)).agg(
+            F.count("*").alias("_rows"), F.count("_tw_reason").alias("_errors")
         )
         .agg(
             F.coalesce(F.sum("_rows"), F.lit(0)).alias("processed"),

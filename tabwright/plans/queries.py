@@ -11,10 +11,10 @@ from tabwright.functions.csvtext import render_line
 from tabwright.operators import dates as date_jobs
 from tabwright.operators import headers, merge, profiles, quality, slices
 from tabwright.plans import fixtures as fx
-from tabwright.plans.models import MOROSOS
+from tabwright.plans.models import MOROSOS, TableModel
 from tabwright.plans.results import ROW_NO
 from tabwright.sources import lines as line_source
-from tabwright.sources import read_records, write_chunks, write_lines, write_records, write_rejects
+from tabwright.sources import normalize_header, read_records, write_chunks, write_lines, write_records, write_rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -742,6 +742,53 @@ def _(spark, sf):
 
 # ---------------------------------------------------------------- files written and read back
 
+@query("q_normalize_header", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def _(spark, sf):
+    named = fx.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias('"c_custkey"'), F.col("c_name").alias('"c_name"'), "c_mktsegment"
+    )
+    return normalize_header(named)
+
+
+@query("q_manifest", """
+SELECT '/exports/' || s_name || '.csv' AS path FROM supplier WHERE s_suppkey % 4 > 1
+""")
+def _(spark, sf):
+    """Suppliers as manifest entries: comments, blank lines, padded and plain paths."""
+    folder = fx.scratch(spark)
+    name = F.concat(F.lit("/exports/"), "s_name", F.lit(".csv"))
+    turn = F.col("s_suppkey") % 4
+    entry = F.when(turn == 0, F.concat(F.lit(" # "), name)).when(turn == 1, "   ").when(
+        turn == 2, F.concat(F.lit("  "), name, F.lit("\t"))).otherwise(name)
+    fx.table(spark, sf, "supplier").select(entry.alias("value")).write.text(folder)
+    return line_source.manifest_entries(spark, folder).select("path")
+
+
+_CUSTOMERS = TableModel("customers", ("key", "rank", "name", "segment"), ("key",), ("key", "rank"))
+
+
+@query("q_batch_add_headers", """
+SELECT n_name AS file_name, CAST(c_custkey AS VARCHAR) AS key, '1' AS rank, c_name AS name, c_mktsegment AS segment
+FROM customer JOIN nation ON n_nationkey = c_nationkey
+""")
+def _(spark, sf):
+    """Each nation is a file of its customers; every second one has a header of its own."""
+    nations = fx.table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("file_ord"), F.col("n_name").alias("file"), (F.col("n_nationkey") % 2 == 0).alias("headed"))
+    customers = fx.table(spark, sf, "customer").withColumnRenamed("c_nationkey", "file_ord")
+    tops = customers.groupBy("file_ord").agg(F.min("c_custkey").alias("top"))
+    first = ~F.col("headed") & (F.col("c_custkey") == F.col("top"))
+    data = customers.join(nations, "file_ord").join(tops, "file_ord").select(
+        "file", "file_ord", F.when(first, 1).otherwise(F.col("c_custkey") + 2).alias("line_no"),
+        F.concat_ws(",", F.col("c_custkey").cast("string"), F.lit("1"), "c_name", "c_mktsegment").alias("line"))
+    own = nations.filter("headed").select("file", "file_ord", F.lit(1).cast("bigint").alias("line_no"), F.lit(_CUSTOMERS.header).alias("line"))
+    lines = line_source.line_table(data.unionByName(own), "file", "file_ord", "line_no", "line")
+    folder = fx.scratch(spark)
+    headers.batch_add_headers(lines, _CUSTOMERS, folder)
+    written = spark.read.option("header", True).csv(folder)
+    return written.select("file_name", "key", "rank", "name", "segment")
+
+
 @query("q_file_records", f"WITH {fx.DEBTORS} SELECT {_CELLS} FROM debtors")
 def _(spark, sf):
     folder = fx.scratch(spark)

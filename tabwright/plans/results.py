@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 ROW_NO = "_row_no"
 FIELDS = "_n_fields"
 CORRUPT = "_corrupt"
+CHUNK = "_chunk_id"
+CONVERTED = "_converted"
+PROVENANCE = frozenset({ROW_NO, "_file", "_ord", FIELDS, CORRUPT, CHUNK, CONVERTED})
 
 
 @dataclass(frozen=True)
@@ -21,8 +25,13 @@ class JobResult:
 
 
 def data_columns(df: DataFrame) -> list[str]:
-    """Columns of the table itself; names that start with ``_`` are provenance."""
-    return [name for name in df.columns if not name.startswith("_")]
+    """Columns of the table itself, without what readers and jobs add."""
+    return [name for name in df.columns if name not in PROVENANCE]
+
+
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by exact name, dots and blanks included."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
 
 
 def require_columns(df: DataFrame, *names: str) -> None:

@@ -96,16 +96,16 @@ def number_rows(df: DataFrame, order_by: list[Column], name: str) -> DataFrame:
     """
     saved = cut_lineage(df.orderBy(*order_by)).select(
         "*",
-        F.spark_partition_id().alias("_part"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_BITS)).alias("_position"),
+        F.spark_partition_id().alias("_tw_part"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_BITS)).alias("_tw_position"),
     )
-    before = F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("_rows").over(Window.orderBy("_tw_part").rowsBetween(Window.unboundedPreceding, -1))
     sizes = (
-        saved.groupBy("_part").agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+        saved.groupBy("_tw_part").agg(F.count("*").alias("_rows"))
+        .select("_tw_part", F.coalesce(before, F.lit(0)).alias("_tw_before"))
     )
     return (
-        saved.join(F.broadcast(sizes), "_part")
-        .withColumn(name, F.col("_before") + F.col("_position") + 1)
-        .drop("_part", "_position", "_before")
+        saved.join(F.broadcast(sizes), "_tw_part")
+        .withColumn(name, F.col("_tw_before") + F.col("_tw_position") + 1)
+        .drop("_tw_part", "_tw_position", "_tw_before")
     )

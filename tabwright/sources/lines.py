@@ -19,6 +19,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tabwright.functions.cells import trim_ws
 from tabwright.plans import scale
 from tabwright.plans.scale import cut_lineage, measured_bytes
 
@@ -153,14 +154,12 @@ def first_line(lines: DataFrame) -> str:
     return row["line"] if row else ""
 
 
+def manifest_entries(spark: SparkSession, path: str) -> DataFrame:
+    """(ord, path) of the paths listed one per line; blank lines and ``#`` comments are skipped."""
+    entries = read_lines(spark, path).select("ord", trim_ws(F.col("line")).alias("path"))
+    return entries.filter((F.col("path") != "") & ~F.col("path").startswith("#"))
+
+
 def read_manifest(spark: SparkSession, path: str) -> list[str]:
-    """Paths listed one per line; blank lines and ``#`` comments are skipped."""
-    from tabwright.functions.cells import trim_ws
-
-    entries = (
-        read_lines(spark, path)
-        .select("ord", trim_ws(F.col("line")).alias("path"))
-        .filter((F.col("path") != "") & ~F.col("path").startswith("#"))
-        .orderBy("ord")
-    )
-    return [row["path"] for row in entries.collect()]
+    """The listed paths in order, as the readers take them."""
+    return [row["path"] for row in manifest_entries(spark, path).orderBy("ord").collect()]

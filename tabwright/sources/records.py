@@ -14,8 +14,6 @@ from tabwright.plans.results import CORRUPT, FIELDS, ROW_NO
 from tabwright.plans.scale import computed_once
 from tabwright.sources import lines as line_source
 
-PROVENANCE = (ROW_NO, "_file", "_ord", FIELDS, CORRUPT)
-
 
 def record_schema(names: list[str]) -> T.StructType:
     fields = [T.StructField(name, T.StringType()) for name in (*names, CORRUPT)]
@@ -83,17 +81,18 @@ def read_records(
 ) -> DataFrame:
     """Records of the files with ``_row_no`` from 1 in each file.
 
-    Names come from the first file's header unless given.  Files split freely
+    Names come from the first file's header unless given, and every file is read
+    under them (``check_header`` tells files apart).  Files split freely
     unless ``multi_line`` is asked for: a quoted line break can then be read, at
     the price of one task per file.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     scan = line_source.scan_lines(spark, paths).filter("line != ''")
     if names is None:
-        first = next((uri for uri in paths if spark.read.text(uri).inputFiles()), None)
-        top = first and line_source.scan_lines(spark, [first]).filter("_block = 0 AND line != ''").first()
-        if not top:
-            raise ValueError("the first file has no header line")
+        tops = (line_source.scan_lines(spark, [path]).filter("_block = 0 AND line != ''").first() for path in paths)
+        top = next((row for row in tops if row), None)
+        if top is None:
+            raise ValueError("no file has a header line")
         names = header_names(top["line"]) if header else []
         if not header:
             names = [f"c{place}" for place in range(1, len(header_names(top["line"])) + 1)]

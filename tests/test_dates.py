@@ -128,3 +128,16 @@ def test_relation_dates(records_of):
     result = dates.check_relation_dates(rows, ["f", "g"])
     assert sorted(tuples(result.rejects, "line", "field", "value")) == [(3, "f", "2024-1-1"), (3, "g", "x")]
     assert tuple(result.summary.first()) == (3, 2)
+
+
+def test_convert_date_rejects_ragged_rows(spark, tmp_path):
+    from tabwright.sources import read_records
+
+    (tmp_path / "e.csv").write_text("")
+    (tmp_path / "r.csv").write_text("id,when\n1,25/12/2024 10:00\n2\n3,,x\n4,\n")
+    rows = read_records(spark, [str(tmp_path / "e.csv"), str(tmp_path / "r.csv")])
+    result = dates.convert_date(rows, "when")
+    assert sorted(tuples(result.clean, "id", "when")) == [("1", "2024-12-25T10:00:00"), ("4", "")]
+    assert sorted(tuples(result.rejects, "line", "error_type", "record")) == [(3, "COLUMN_COUNT", "2"), (4, "COLUMN_COUNT", "3,,x")]
+    short = dates.find_oldest(rows, "when").first()
+    assert (short["processed"], short["short_rows"]) == (3, 1)

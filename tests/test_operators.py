@@ -287,3 +287,12 @@ def test_a_hot_key_keeps_results_whole(spark):
     assert result.clean.count() == 20001
     assert result.clean.filter("k = 'hot'").first()["v"] == "29997"
     assert result.summary.first()["duplicates"] == 9999
+
+
+def test_odd_column_names_survive(records_of, tmp_path):
+    rows = records_of(["_id", "a.b", "c d"], [("1", "x", "y"), ("1", "x", "y"), ("2", "x", "z")])
+    assert merge.dedup_records(rows.drop("_row_no")).columns == ["_id", "a.b", "c d"]
+    assert merge.merge_records_dedup([rows, rows]).count() == 2
+    kept = merge.dedup_by_key(rows, ["a.b"], "_row_no").clean
+    assert tuples(kept, "_id", "`c d`") == [("2", "z")]
+    assert [row["_id"] for row in slices.delete_from_row(rows, 3).collect()] == ["1"]
