@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tabwright.functions.cells import is_float, text
 
 QUOTE_STYLES = ("necessary", "non_numeric")
+# Possessive, so that a cell of any length is matched in a loop, not by recursion.
+QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
 
 
 def _quoted(cell: Column) -> Column:
@@ -43,14 +45,14 @@ def render_header(names: list[str], quote: str = "necessary") -> str:
 def field_count(line: Column) -> Column:
     """Number of fields of a line; commas inside quotes do not count."""
     plain = ~F.contains(line, F.lit('"'))
-    outside = F.when(plain, line).otherwise(F.regexp_replace(line, '"(?:[^"]|"")*"', ""))
+    outside = F.when(plain, line).otherwise(F.regexp_replace(line, QUOTED, ""))
     bare = F.replace(outside, F.lit(","), F.lit(""))
     return F.octet_length(outside) - F.octet_length(bare) + 1
 
 
 def split_cells(line: Column) -> Column:
     """Cells of one short line (a header) with quotes decoded."""
-    pieces = F.split(line, ',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    pieces = F.split(line, ',(?=(?:[^"]*+"[^"]*+")*+[^"]*+$)', -1)
     return F.transform(
         pieces,
         lambda piece: F.when(

@@ -51,8 +51,8 @@ def merge_dedup_mixed(lines: DataFrame, expected_header: str | None = None) -> D
     (line, is_header, ord); the header row has ``ord`` -1.
     """
     header = first_line(lines) if expected_header is None else expected_header
-    header = header.lstrip("﻿").strip()
-    bare = trim_ws(F.regexp_replace("line", "^﻿", ""))
+    header = header.lstrip("\ufeff").strip()
+    bare = trim_ws(F.regexp_replace("line", "^\ufeff", ""))
     data = (
         lines.filter(~((F.col("line_no") == 1) & (bare == header)))
         .groupBy("line").agg(F.min("ord").alias("ord"))

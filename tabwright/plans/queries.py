@@ -472,11 +472,6 @@ def _(spark, sf):
     return quality.field_error_counts(fx.debtors(spark, sf), MOROSOS, rule="strict38")
 
 
-def _present(name: str) -> str:
-    """The cell as read from a ragged line: the last cell of a short line is missing."""
-    return _strict(name)
-
-
 @query("q_audit_schema", f"""
 WITH {fx.DEBTOR_LINES}
 SELECT line, field, value, 'INVALID_NUMERIC' AS error_type FROM ({_bad_cells(_strict, 'debtor_lines')})

@@ -46,15 +46,11 @@ def line_table(df: DataFrame, file: str, file_ord: str, line_no: str, line: str)
     )
 
 
-def _same_form(uri: Column) -> Column:
-    return F.regexp_replace(uri, "^file:/+", "file:/")
-
-
 def resolve_files(spark: SparkSession, paths: list[str]) -> list[str]:
     """Files behind each entry, in list order; a folder or glob opens in path order.
 
     One listing covers every entry that names a file; only folders and globs are
-    listed by themselves.
+    listed by themselves.  A file may be listed twice, but not by two spellings.
     """
     listed = spark.read.text(list(dict.fromkeys(paths))).inputFiles()
     by_path: dict[str, set[str]] = {}
@@ -62,18 +58,22 @@ def resolve_files(spark: SparkSession, paths: list[str]) -> list[str]:
         plain = unquote(uri)
         for name in (plain, re.sub("^[a-z0-9]+:(//[^/]*)?", "", plain)):
             by_path.setdefault(name, set()).add(uri)
-    found = []
-    for path in paths:
+    opened, owner = {}, {}
+    for path in dict.fromkeys(paths):
         same = by_path.get(path, ())
-        found.extend(same if len(same) == 1 else sorted(spark.read.text(path).inputFiles()))
-    return found
+        opened[path] = list(same) if len(same) == 1 else sorted(spark.read.text(path).inputFiles())
+        for uri in opened[path]:
+            if owner.setdefault(uri, path) != path:
+                raise ValueError(f"{uri} is listed both by {owner[uri]!r} and by {path!r}")
+    return [uri for path in paths for uri in opened[path]]
 
 
 def file_list(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(file, file_ord), also for files without a single line."""
-    rows = [(uri, place) for place, uri in enumerate(resolve_files(spark, paths))]
-    files = spark.createDataFrame(rows, "file string, file_ord bigint")
-    return files.select(_same_form(F.col("file")).alias("file"), "file_ord")
+    # The scan names local files with a single slash.
+    found = [re.sub("^file:/+", "file:/", uri) for uri in resolve_files(spark, paths)]
+    rows = [(uri, place) for place, uri in enumerate(found)]
+    return spark.createDataFrame(rows, "file string, file_ord bigint")
 
 
 def _pin_split_planning(spark: SparkSession) -> None:
@@ -123,7 +123,7 @@ def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     _pin_split_planning(spark)
     raw = spark.read.option("lineSep", "\n").text(list(dict.fromkeys(paths)))
     return raw.select(
-        _same_form(F.col("_metadata.file_path")).alias("_file"),
+        F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.when(F.col("value").endswith("\r"), F.expr("left(value, char_length(value) - 1)"))
         .otherwise(F.col("value")).alias("line"),

@@ -113,7 +113,7 @@ def _read_multi_line(spark, paths, names, header, strict, trim) -> DataFrame:
     scan = line_source.with_position(
         raw.select(
             *[F.col(f"`{name}`") for name in (*names, CORRUPT)],
-            line_source._same_form(F.col("_metadata.file_path")).alias("_file"),
+            F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
         )
     )

@@ -10,8 +10,8 @@ from tabwright.plans.results import ROW_NO, data_columns
 
 # Noncharacters cannot occur in exchanged text, so lines are written as they are.
 _AS_IS = {
-    "sep": "￾",
-    "comment": "￿",
+    "sep": "\ufffe",
+    "comment": "\uffff",
     "quote": "",
     "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false",

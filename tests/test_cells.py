@@ -70,3 +70,10 @@ def test_render_line(spark):
     assert row.select(render_line(names)).first()[0] == '"a,b","q""q",12,,'
     assert row.select(render_line(names, "non_numeric")).first()[0] == '"a,b","q""q",12,"",""'
     assert row.select(render_line(["d"])).first()[0] == '""'
+
+
+def test_long_quoted_cells_do_not_overflow(spark):
+    long = '1,"' + 'x""y,' * 40000 + '",2'
+    many = ",".join(['"a,b"'] * 5000)
+    assert list(verdicts(spark, field_count, [long, many]).values()) == [3, 5000]
+    assert len(verdicts(spark, split_cells, [many])[many]) == 5000

@@ -82,7 +82,7 @@ def test_an_empty_first_file_does_not_take_the_header(spark, tmp_path):
 
 
 def test_manifest(spark, tmp_path):
-    path = put(tmp_path, "list.txt", "﻿# header\n /b.csv \n\n/a.csv\r\n#x\n/c.csv")
+    path = put(tmp_path, "list.txt", "\ufeff# header\n /b.csv \n\n/a.csv\r\n#x\n/c.csv")
     assert read_manifest(spark, path) == ["/b.csv", "/a.csv", "/c.csv"]
 
 
@@ -187,3 +187,9 @@ def test_merge_files(spark, tmp_path):
     ordered = merge.merge_dedup_sorted(lines, numbered=True).orderBy("place").collect()
     assert [(row["place"], row["line"]) for row in ordered] == [(1, "n,a"), (2, "n,a"), (3, "x,1"), (4, "y,2"), (5, "z,3")]
     assert tuple(profiles.count_lines(read_lines(spark, paths[0])).first()) == (3, 2)
+
+
+def test_overlapping_entries_are_refused(spark, tmp_path):
+    path = put(tmp_path, "a.csv", "h\n1\n")
+    with pytest.raises(ValueError, match="listed both"):
+        read_lines(spark, [path, str(tmp_path)])
