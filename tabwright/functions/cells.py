@@ -20,15 +20,24 @@ WHITE_SPACE = (
 ASCII_WHITE_SPACE = "\t\n\u000b\u000c\r "
 
 # --- fixed values: number grammars ---
-FLOAT_PATTERN = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\z"
-PLAIN_NUMBER_PATTERN = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?\z"
-SCIENTIFIC_PATTERN = r"^-?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
+FLOAT = r"[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))"
+PLAIN_NUMBER = r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?"
+SCIENTIFIC = r"-?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
+MAX_SIGNIFICANT_DIGITS = 38
+FLOAT_PATTERN = rf"^{FLOAT}\z"
+SCIENTIFIC_PATTERN = rf"^{SCIENTIFIC}\z"
 DIGITS_PATTERN = r"^[0-9]+\z"
 INTEGER_PATTERN = r"^[+-]?[0-9]+\z"
 DATE_SHAPE_PATTERN = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}:\d{2})?\z"
-MAX_SIGNIFICANT_DIGITS = 38
-# The common case of the strict rule, tried first.
-SHORT_NUMBER_PATTERN = r"^[1-9][0-9]{0,37}\z"
+
+# One pattern per rule, plain digits tried first: a single match per cell keeps
+# generated code small enough for the JIT.
+_WS = "[" + "".join(f"\\u{ord(mark):04x}" for mark in WHITE_SPACE) + "]"
+LENIENT_PATTERN = rf'^(?:[0-9]++|{_WS}*+"*+(?:{FLOAT})?"*{_WS}*)\z'
+STRICT38_PATTERN = (
+    rf"^(?:[1-9][0-9]{{0,{MAX_SIGNIFICANT_DIGITS - 1}}}"
+    rf"|{_WS}*+(?=-?(?:[0-9]\.?){{1,{MAX_SIGNIFICANT_DIGITS}}}{_WS}*\z){PLAIN_NUMBER}{_WS}*)\z"
+)
 
 
 def text(value: Column | str) -> Column:
@@ -57,16 +66,12 @@ def is_float(value: Column) -> Column:
 
 def is_lenient_number(value: Column) -> Column:
     """Empty, or a float once white space and enclosing quotes are taken off."""
-    bare = F.btrim(trim_ws(value), F.lit('"'))
-    return value.rlike(DIGITS_PATTERN) | (bare == "") | is_float(bare)
+    return value.rlike(LENIENT_PATTERN)
 
 
 def is_strict38_number(value: Column) -> Column:
     """Plain decimal: no plus sign, leading zeros or exponent; 38 digits at most."""
-    bare = trim_ws(value)
-    digits = F.length(F.translate(bare, ".-", ""))
-    full = bare.rlike(PLAIN_NUMBER_PATTERN) & (digits <= MAX_SIGNIFICANT_DIGITS)
-    return value.rlike(SHORT_NUMBER_PATTERN) | full
+    return value.rlike(STRICT38_PATTERN)
 
 
 def is_scientific_number(value: Column) -> Column:

@@ -77,3 +77,13 @@ def test_long_quoted_cells_do_not_overflow(spark):
     many = ",".join(['"a,b"'] * 5000)
     assert list(verdicts(spark, field_count, [long, many]).values()) == [3, 5000]
     assert len(verdicts(spark, split_cells, [many])[many]) == 5000
+
+
+def test_lenient_pattern_equals_trim_unquote_parse(spark):
+    import itertools
+
+    values = ["".join(parts) for size in range(5) for parts in itertools.product(' "1.e', repeat=size)]
+    step = F.btrim(cells.trim_ws(F.col("v")), F.lit('"'))
+    rows = spark.createDataFrame([(value,) for value in values], "v string")
+    same = rows.filter(cells.is_lenient_number(F.col("v")) == ((step == "") | cells.is_float(step)))
+    assert same.count() == len(values)
