@@ -1,8 +1,8 @@
 """Date grammars as expressions.
 
-Text is matched once, rearranged to ISO order and cast to a zone-less
-timestamp, so the session time zone never moves a value and an impossible date
-such as 31/02 becomes NULL.
+Text of a known shape is put in ISO order and cast to a zone-less timestamp, so
+the session time zone never moves a value and an impossible date such as 31/02
+becomes NULL.
 """
 
 from __future__ import annotations
@@ -11,26 +11,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values: accepted date shapes ---
-ISO_T = r"^(\d{4})-(\d{1,2})-(\d{1,2})T(\d{1,2}):(\d{1,2})(:\d{1,2})?\z"
-ISO_ANY = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:[ T](\d{1,2}:\d{1,2}(?::\d{1,2})?))?\z"
-SLASHED = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{1,2})(:\d{1,2})?\z"
+ISO_T = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}(?::\d{1,2})?\z"
+ISO_ANY = r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}(?::\d{1,2})?)?\z"
+SLASHED = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}:\d{1,2}(?::\d{1,2})?)\z"
 MONTH_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?: (\d{1,2}:\d{1,2}:\d{1,2}))?\z"
 US_12_HOUR = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (?:0?[1-9]|1[0-2]):\d{1,2}:\d{1,2} [AaPp][Mm]\z"
 US_CLOCK = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (.*) .M\z"
 DAY_MONTH_YEAR = r"^(\d{2})/(\d{2})/(\d{4})\z"
 
 
-def _arranged(value: Column, shape: str, order: str) -> Column:
-    """Cast the rearranged text; NULL when the shape does not match."""
-    return F.when(value.rlike(shape), F.regexp_replace(value, shape, order).try_cast("timestamp_ntz"))
+def _cast(iso: Column) -> Column:
+    return iso.try_cast("timestamp_ntz")
 
 
 def parse_mixed(value: Column) -> Column:
     """ISO with ``T``, then day first, then month first; seconds optional."""
-    return F.coalesce(
-        _arranged(value, ISO_T, "$1-$2-$3T$4:$5$6"),
-        _arranged(value, SLASHED, "$3-$2-$1 $4:$5$6"),
-        _arranged(value, SLASHED, "$3-$1-$2 $4:$5$6"),
+    day_first = _cast(F.regexp_replace(value, SLASHED, "$3-$2-$1 $4"))
+    month_first = _cast(F.regexp_replace(value, SLASHED, "$3-$1-$2 $4"))
+    return F.when(value.rlike(ISO_T), _cast(value)).when(
+        value.rlike(SLASHED), F.coalesce(day_first, month_first)
     )
 
 
@@ -39,7 +38,7 @@ def parse_us12(value: Column) -> Column:
     # Hour 12 is hour 0 of its half day; only the hour follows a blank.
     clock = F.regexp_replace(F.replace(F.upper(value), F.lit(" 12:"), F.lit(" 0:")), US_CLOCK, "$3-$1-$2 $4")
     half_day = F.when(value.rlike("[Pp].\\z"), F.expr("INTERVAL 12 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
-    return F.when(value.rlike(US_12_HOUR), clock.try_cast("timestamp_ntz") + half_day)
+    return F.when(value.rlike(US_12_HOUR), _cast(clock) + half_day)
 
 
 def _without_counter(value: Column) -> Column:
@@ -47,7 +46,7 @@ def _without_counter(value: Column) -> Column:
 
 
 def _month_first(value: Column) -> Column:
-    return _arranged(value, MONTH_FIRST, "$3-$1-$2 $4")
+    return F.when(value.rlike(MONTH_FIRST), _cast(F.regexp_replace(value, MONTH_FIRST, "$3-$1-$2 $4")))
 
 
 def parse_mdy(value: Column) -> Column:
@@ -57,7 +56,7 @@ def parse_mdy(value: Column) -> Column:
 
 def parse_iso(value: Column) -> Column:
     """ISO date, with a time after a space or a ``T`` if there is one."""
-    return _arranged(value, ISO_ANY, "$1-$2-$3 $4")
+    return F.when(value.rlike(ISO_ANY), _cast(value))
 
 
 def parse_any(value: Column) -> Column:
