@@ -9,7 +9,7 @@ from tabwright.functions.cells import is_float, trim_ws
 from tabwright.functions.csvtext import split_cells
 from tabwright.operators.slices import headers_of
 from tabwright.plans.models import TableModel, get_model
-from tabwright.plans.scale import attach_per_file
+from tabwright.plans.scale import attach_per_file, computed_once
 from tabwright.sources.lines import ordinal
 
 
@@ -23,8 +23,11 @@ def check_header(lines: DataFrame, model: str | TableModel | None = None) -> Dat
     ``status`` is ``duplicate`` before anything else, then ``mismatch`` against
     the model, else ``ok``.  Name lists are sorted and comma separated.
     """
-    names = split_cells(F.col("header"))
-    twice = F.array_distinct(F.filter(names, lambda name: F.size(F.filter(names, lambda other: other == name)) > 1))
+    names = F.col("_names")
+    # Equal names are neighbours once sorted, so wide lines stay cheap.
+    in_order = F.array_sort(names)
+    neighbours = F.zip_with(in_order, F.slice(in_order, F.lit(2), F.size(in_order)), lambda a, b: F.when(a == b, a))
+    twice = F.array_distinct(F.array_compact(neighbours))
     if model is None:
         missing = extra = F.array().cast("array<string>")
     else:
@@ -37,7 +40,8 @@ def check_header(lines: DataFrame, model: str | TableModel | None = None) -> Dat
         .otherwise("ok")
     )
     return (
-        headers_of(lines).join(records, "file")
+        computed_once(headers_of(lines), {"_names": split_cells(F.col("header"))})
+        .join(records, "file")
         .select(
             "file", F.size(names).alias("n_columns"), "records", _joined(twice).alias("duplicates"),
             missing.alias("_missing"), extra.alias("_extra"),

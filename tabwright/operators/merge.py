@@ -149,7 +149,7 @@ def dedup_by_key(
 
 
 def compare(left: DataFrame, right: DataFrame, on: str, value: str, n: int | None = None) -> DataFrame:
-    """Positions whose values differ, a missing side read as ''.
+    """Positions whose values differ, a missing side read as ''; ``on`` must be unique per side.
 
     With ``n`` only positions up to ``n`` take part (filtered before the join).
     """

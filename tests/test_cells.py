@@ -60,8 +60,8 @@ def test_unknown_rule():
 def test_field_count_and_split(spark):
     lines = {"a,b": 2, '"a,b",c': 2, '"x""y,z",,': 3, "": 1, ",": 2, '"A, B",1,"C,D"': 3}
     assert verdicts(spark, field_count, list(lines)) == lines
-    split = verdicts(spark, split_cells, ['a,"b,c","d""e",', "x"])
-    assert list(split.values()) == [["a", "b,c", 'd"e', ""], ["x"]]
+    split = verdicts(spark, split_cells, ['a,"b,c","d""e",', "x", ",x", "", '"a"b,"c,d'])
+    assert list(split.values()) == [["a", "b,c", 'd"e', ""], ["x"], ["", "x"], [""], ['"a"b', '"c', "d"]]
 
 
 def test_render_line(spark):

@@ -296,3 +296,11 @@ def test_odd_column_names_survive(records_of, tmp_path):
     kept = merge.dedup_by_key(rows, ["a.b"], "_row_no").clean
     assert tuples(kept, "_id", "`c d`") == [("2", "z")]
     assert [row["_id"] for row in slices.delete_from_row(rows, 3).collect()] == ["1"]
+
+
+def test_check_header_on_wide_lines(lines_of):
+    names = [f"c{n}" for n in range(20000)]
+    lines = lines_of({"wide": [",".join([*names, "c7", "c7", "b"])], "one": ["x"], "empty": [""]})
+    found = {row["file"]: row for row in headers.check_header(lines).collect()}
+    assert (found["wide"]["duplicates"], found["wide"]["n_columns"]) == ("c7", 20003)
+    assert found["one"]["status"] == "ok" and found["empty"]["n_columns"] == 1
