@@ -8,6 +8,7 @@ duckdb = pytest.importorskip("duckdb")
 
 import __spark_entry__ as driver  # noqa: E402
 from check import TABLES, rows_of  # noqa: E402
+from tabwright.plans.queries import ORACLES, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -21,21 +22,21 @@ def base():
     return connection
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, base, name):
-    found = driver.queries()[name](spark, SF)
+    found = QUERIES[name](spark, SF)
     plan = found._jdf.queryExecution().executedPlan().toString()
     for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "PythonRDD", "InPandas"):
         assert slow not in plan, slow
     got = rows_of(found.columns, found.collect())
-    cursor = base.execute(driver.oracle_sql()[name])
+    cursor = base.execute(ORACLES[name])
     columns = [column[0] for column in cursor.description]
     assert sorted(columns) == sorted(found.columns)
     assert got == rows_of(columns, cursor.fetchall())
 
 
 def test_every_query_has_a_twin():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
