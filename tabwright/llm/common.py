@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Words are runs of anything but space and the five ASCII control blanks.
 BLANK = r"[\x20\x09-\x0D]"
@@ -67,6 +71,15 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` whose Python workers find this package beside their own path."""
+    environment, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
+    return df.mapInArrow(run, schema)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: one row (node, root) per node, root the smallest node.
 

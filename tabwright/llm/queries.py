@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import mixing, quality_rules, syncmers
+from tabwright.llm import mixing, pii, quality_rules, sentencepiece_viterbi, simhash, syncmers
 from tabwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@query("op1_simhash_near_dedup")
+def _(spark, sf):
+    return simhash.near_duplicates(documents(spark, sf).select("doc_id", "text"))
+
+
 # Words, lines and 8-word windows of each text; the host verdict with the beta prior of all hosts.
 QUALITY_SQL = r"""
 WITH words AS (
@@ -74,6 +79,16 @@ def _(spark, sf):
     return judged.select("doc_id", *quality_rules.FEATURES, "base_failed", "kept")
 
 
+@query("op5_sentencepiece_round_trip")
+def _(spark, sf):
+    return sentencepiece_viterbi.digest(documents(spark, sf))
+
+
+@query("op7_pii_candidates")
+def _(spark, sf):
+    return pii.span_digest(pii.find_spans(documents(spark, sf).select("doc_id", "text")))
+
+
 @query("op8_syncmer_fingerprints")
 def _(spark, sf):
     return syncmers.edited_neighbours(documents(spark, sf).select("doc_id", "text"), runs=_tasks(spark))
