@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import mixing, pii, quality_rules, sentencepiece_viterbi, simhash, syncmers
+from tabwright.llm import mixing, pii, quality_rules, repeats, sentencepiece_viterbi, simhash, syncmers, toxicity
 from tabwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,19 @@ def _(spark, sf):
     return judged.select("doc_id", *quality_rules.FEATURES, "base_failed", "kept")
 
 
+@query("op3_suffix_array_dedup")
+def _(spark, sf):
+    found = repeats.without_repeats(documents(spark, sf).select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_toxicity_neighbours")
+def _(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    model = toxicity.train(docs, documents(spark, sf, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, model)
+
+
 @query("op5_sentencepiece_round_trip")
 def _(spark, sf):
     return sentencepiece_viterbi.digest(documents(spark, sf))
