@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import mixing, pii, quality_rules, repeats, sentencepiece_viterbi, simhash, syncmers, toxicity
+from tabwright.llm import mixing, pii, quality_rules, repeats, sentencepiece_viterbi, simhash, syncmers, token_files, toxicity
 from tabwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,11 @@ def _(spark, sf):
     return sentencepiece_viterbi.digest(documents(spark, sf))
 
 
+@query("op6_token_files")
+def _(spark, sf):
+    return token_files.token_rows(documents(spark, sf).select("doc_id", "text"))
+
+
 @query("op7_pii_candidates")
 def _(spark, sf):
     return pii.span_digest(pii.find_spans(documents(spark, sf).select("doc_id", "text")))
