@@ -21,8 +21,8 @@ import zlib
 import numpy as np
 
 MAGIC = b"TWID\x01\x00"
-BLOCK = 8192
-SLOTS2, SLOTS1 = 1 << 12, 1 << 10
+BLOCK = 4096
+SLOTS2, SLOTS1 = 1 << 11, 1 << 10
 CONFIDENT = 3
 STEP, MOST_COUNT = 24, 4000
 START_COUNTS = (4, 4, 2, 6)
@@ -32,46 +32,63 @@ LOW_BITS, LEAST_RANGE = U(48), U(1 << 32)
 LOW_MASK = U((1 << 48) - 1)
 
 
+def _pick(second: np.ndarray, first: np.ndarray, zeroth: np.ndarray, of: tuple) -> np.ndarray:
+    """By the first order that is right, else the last."""
+    return np.where(second, of[0], np.where(first, of[1], np.where(zeroth, of[2], of[3])))
+
+
 class _Model:
-    """Predictions and counts of a number of blocks."""
+    """Predictions and counts of a number of blocks.
+
+    A prediction is one number: the id times four plus its confidence.  Counts
+    lie outcome by outcome, and within that block by block and context by context.
+    """
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.base2, self.base1, self.base = self.lane * SLOTS2, self.lane * SLOTS1, self.lane * 16
-        self.guess2, self.trust2 = np.zeros(lanes * SLOTS2, np.int32), np.zeros(lanes * SLOTS2, np.int8)
-        self.guess1, self.trust1 = np.zeros(lanes * SLOTS1, np.int32), np.zeros(lanes * SLOTS1, np.int8)
-        self.guess0, self.count0 = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
-        self.counts = np.tile(np.array(START_COUNTS, np.int32), (lanes * 16, 1))
-        self.one, self.two = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+        self.span = lanes * 16
+        self.tables = (np.zeros(lanes * SLOTS2, np.int32), np.zeros(lanes * SLOTS1, np.int32))
+        self.counts = np.repeat(np.array(START_COUNTS, np.int64), self.span)
+        self.lanes, lane = lanes, np.arange(lanes)
+        self.base2, self.base1, self.base = lane * SLOTS2, lane * SLOTS1, lane * 16
+        self.guess0, self.count0 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
     def shrink(self, lanes: int) -> None:
-        for name in ("lane", "base2", "base1", "base", "guess0", "count0", "one", "two"):
+        self.lanes = lanes
+        for name in ("base2", "base1", "base", "guess0", "count0", "one", "two"):
             setattr(self, name, getattr(self, name)[:lanes])
 
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The three guesses, and the running sums of the four outcomes' counts."""
+    def predict(self) -> None:
+        """Guesses of order 2 and 1 and, for the four outcomes, counts and their running sums."""
         self.at2 = self.base2 + ((self.two * 40503 + self.one * 30011 >> 4) & SLOTS2 - 1)
         self.at1 = self.base1 + (self.one & SLOTS1 - 1)
-        self.known2, self.known1 = self.trust2[self.at2], self.trust1[self.at1]
-        self.row = self.base + (self.known2 * 4 + self.known1)
-        return self.guess2[self.at2], self.guess1[self.at1], self.guess0, self.counts[self.row].cumsum(axis=1)
-
-    def learn(self, ids: np.ndarray, outcome: np.ndarray, guess2: np.ndarray, guess1: np.ndarray, total: np.ndarray) -> None:
-        for guess, known, at, guesses, trusts in (
-            (guess2, self.known2, self.at2, self.guess2, self.trust2), (guess1, self.known1, self.at1, self.guess1, self.trust1),
+        self.entry2, self.entry1 = self.tables[0].take(self.at2), self.tables[1].take(self.at1)
+        self.trust2, self.trust1 = self.entry2 & 3, self.entry1 & 3
+        self.guess2, self.guess1 = self.entry2 >> 2, self.entry1 >> 2
+        self.row = self.base + (self.trust2 << 2 | self.trust1)
+        counts, row, span = self.counts, self.row, self.span
+        self.own = [counts.take(row), counts.take(row + span), counts.take(row + 2 * span), counts.take(row + 3 * span)]
+        first = self.own[0]
+        second = first + self.own[1]
+        third = second + self.own[2]
+        self.sums = [first, second, third, third + self.own[3]]
+
+    def learn(self, ids: np.ndarray, right2: np.ndarray, right1: np.ndarray, right0: np.ndarray, outcome: np.ndarray, count: np.ndarray) -> None:
+        """Take in the ids that came; ``count`` is the outcome's count."""
+        fresh = ids << 2
+        for table, at, entry, trust, right in (
+            (self.tables[0], self.at2, self.entry2, self.trust2, right2), (self.tables[1], self.at1, self.entry1, self.trust1, right1),
         ):
-            right = guess == ids
-            trusts[at] = np.clip(known + np.where(right, 1, -1), 0, CONFIDENT)
-            guesses[at] = np.where(right | (known > 0), guess, ids)
-        same = self.guess0 == ids
-        fresh = ~same & (self.count0 == 0)
-        self.count0 = self.count0 + np.where(same | fresh, 1, -1)
-        self.guess0 = np.where(fresh, ids, self.guess0)
-        self.counts[self.row, outcome] += STEP
-        full = np.nonzero(total > MOST_COUNT)[0]
+            table[at] = np.where(right, entry + (trust < CONFIDENT), np.where(trust > 0, entry - 1, fresh))
+        lost = ~right0
+        new = lost & (self.count0 == 0)
+        self.count0 = np.where(lost, np.where(new, 1, self.count0 - 1), self.count0 + 1)
+        self.guess0 = np.where(new, ids, self.guess0)
+        self.counts[outcome * self.span + self.row] = count + STEP
+        full = np.flatnonzero(self.sums[3] > MOST_COUNT)
         if len(full):
-            rows = self.row[full]
-            self.counts[rows] = (self.counts[rows] >> 1) + 1
+            places = (self.row[full] + np.arange(4)[:, None] * self.span).ravel()
+            self.counts[places] = (self.counts[places] >> 1) + 1
         self.two, self.one = self.one, ids
 
 
@@ -82,17 +99,18 @@ class _Writer:
         self.low, self.range = np.zeros(lanes, U), np.full(lanes, LOW_MASK, U)
         self.words, self.used = np.zeros((lanes, words), np.uint16), np.zeros(lanes, np.int64)
 
-    def code(self, lanes: np.ndarray, below: np.ndarray, own: np.ndarray, total: np.ndarray | int) -> None:
-        part = self.range[lanes] // (total if isinstance(total, np.ndarray) else U(total))
+    def code(self, lanes: slice | np.ndarray, below: np.ndarray, own: np.ndarray, total: np.ndarray | None = None) -> None:
+        """Code the interval [below, below + own) of ``total``, 2**FREQUENCY_BITS if not given."""
+        part = self.range[lanes] >> U(FREQUENCY_BITS) if total is None else self.range[lanes] // total.astype(U)
         low = self.low[lanes] + part * below.astype(U)
         span = part * own.astype(U)
-        carry = np.nonzero(low >> LOW_BITS)[0]
+        carry = np.flatnonzero(low > LOW_MASK)
         if len(carry):
             low &= LOW_MASK
-            self._carry(lanes[carry])
-        small = np.nonzero(span < LEAST_RANGE)[0]
+            self._carry(carry if isinstance(lanes, slice) else lanes[carry])
+        small = np.flatnonzero(span < LEAST_RANGE)
         if len(small):
-            out = lanes[small]
+            out = small if isinstance(lanes, slice) else lanes[small]
             self.words[out, self.used[out]] = low[small] >> U(32)
             self.used[out] += 1
             low[small] = low[small] << U(16) & LOW_MASK
@@ -123,17 +141,17 @@ class _Reader:
         self.code = self.words[:, 0] << U(32) | self.words[:, 1] << U(16) | self.words[:, 2]
         self.range, self.used = np.full(len(blocks), LOW_MASK, U), np.full(len(blocks), 3)
 
-    def value(self, lanes: np.ndarray, total: np.ndarray | int) -> np.ndarray:
-        total = total if isinstance(total, np.ndarray) else U(total)
-        self.part = self.range[lanes] // total
-        return np.minimum(self.code[lanes] // self.part, total - U(1)).astype(np.int64)
+    def value(self, lanes: slice | np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
+        whole = U(1 << FREQUENCY_BITS) if total is None else total.astype(U)
+        self.part = self.range[lanes] >> U(FREQUENCY_BITS) if total is None else self.range[lanes] // whole
+        return np.minimum(self.code[lanes] // self.part, whole - U(1)).astype(np.int64)
 
-    def take(self, lanes: np.ndarray, below: np.ndarray, own: np.ndarray) -> None:
+    def take(self, lanes: slice | np.ndarray, below: np.ndarray, own: np.ndarray) -> None:
         code = self.code[lanes] - self.part * below.astype(U)
         span = self.part * own.astype(U)
-        small = np.nonzero(span < LEAST_RANGE)[0]
+        small = np.flatnonzero(span < LEAST_RANGE)
         if len(small):
-            out = lanes[small]
+            out = small if isinstance(lanes, slice) else lanes[small]
             code[small] = code[small] << U(16) | self.words[out, np.minimum(self.used[out], self.words.shape[1] - 1)]
             self.used[out] += 1
             span[small] <<= U(16)
@@ -165,23 +183,26 @@ def encode_blocks(ids: np.ndarray, known: np.ndarray, share: np.ndarray, block:
     table = np.ascontiguousarray(table.T)
     below = np.concatenate(([0], np.cumsum(share)))[:-1]
     model, writer = _Model(lanes), _Writer(lanes, 2 * block + 8)
+    # Interval of every id among those the file holds.
+    start_of, share_of = np.zeros(known[-1] + 1, np.int64), np.zeros(known[-1] + 1, np.int64)
+    start_of[known], share_of[known] = below, share
     for step in range(block):
         active = _active(sizes, step)
         if not active:
             break
-        if active < len(model.lane):
+        if active < model.lanes:
             model.shrink(active)
-        own = table[step, :active]
-        guess2, guess1, guess0, sums = model.predict()
-        outcome = np.where(guess2 == own, 0, np.where(guess1 == own, 1, np.where(guess0 == own, 2, 3)))
-        top = sums[model.lane, outcome]
-        count = model.counts[model.row, outcome]
-        writer.code(model.lane, top - count, count, sums[:, 3].astype(U))
-        missed = np.nonzero(outcome == 3)[0]
+        own = table[step, :active].astype(np.int64)
+        model.predict()
+        right2, right1, right0 = model.guess2 == own, model.guess1 == own, model.guess0 == own
+        outcome = _pick(right2, right1, right0, (0, 1, 2, 3))
+        count = _pick(right2, right1, right0, model.own)
+        writer.code(slice(active), _pick(right2, right1, right0, (0, *model.sums[:3])), count, model.sums[3])
+        missed = np.flatnonzero(outcome == 3)
         if len(missed):
-            number = np.searchsorted(known, own[missed])
-            writer.code(missed, below[number], share[number], 1 << FREQUENCY_BITS)
-        model.learn(own, outcome, guess2, guess1, sums[:, 3])
+            ids = own[missed]
+            writer.code(missed, start_of.take(ids), share_of.take(ids))
+        model.learn(own, right2, right1, right0, outcome, count)
     return writer.finish()
 
 
@@ -193,22 +214,23 @@ def decode_blocks(blocks: list[bytes], sizes: np.ndarray, known: np.ndarray, sha
     model, reader = _Model(len(blocks)), _Reader(blocks)
     for step in range(int(sizes[0])):
         active = _active(sizes, step)
-        if active < len(model.lane):
+        if active < model.lanes:
             model.shrink(active)
-        guess2, guess1, guess0, sums = model.predict()
-        total = sums[:, 3].astype(U)
-        value = reader.value(model.lane, total)
-        outcome = (value[:, None] >= sums[:, :3]).sum(axis=1)
-        count = model.counts[model.row, outcome]
-        reader.take(model.lane, sums[model.lane, outcome] - count, count)
-        ids = np.where(outcome == 0, guess2, np.where(outcome == 1, guess1, guess0))
-        missed = np.nonzero(outcome == 3)[0]
+        model.predict()
+        first, second, third, total = model.sums
+        value = reader.value(slice(active), total)
+        chosen = value < first, value < second, value < third
+        outcome = _pick(*chosen, (0, 1, 2, 3))
+        count = _pick(*chosen, model.own)
+        reader.take(slice(active), _pick(*chosen, (0, first, second, third)), count)
+        ids = np.where(chosen[0], model.guess2, np.where(chosen[1], model.guess1, model.guess0))
+        missed = np.flatnonzero(outcome == 3)
         if len(missed):
-            number = number_of[reader.value(missed, 1 << FREQUENCY_BITS)]
-            reader.take(missed, below[number], share[number])
-            ids[missed] = known[number]
+            number = number_of.take(reader.value(missed))
+            reader.take(missed, below.take(number), share.take(number))
+            ids[missed] = known.take(number)
         table[step, :active] = ids
-        model.learn(ids, outcome, guess2, guess1, sums[:, 3])
+        model.learn(ids, model.guess2 == ids, model.guess1 == ids, model.guess0 == ids, outcome, count)
     return [table[:size, lane] for lane, size in enumerate(sizes)]
 
 

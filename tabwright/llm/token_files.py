@@ -31,7 +31,7 @@ from tabwright.llm.id_coder import Image, write_image
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 # An image ends with the document that brings it to this many ids.
-IMAGE_IDS = 1 << 22
+IMAGE_IDS = 1 << 23
 UNITS, UNIT_CHARS = 1_000_000, 48
 PAIR_OF_BLANKS = re.compile(r"\s\s")
 
@@ -68,7 +68,9 @@ class TextEncoder:
 
     def ids_of(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit integers."""
-        if PAIR_OF_BLANKS.search(text):
+        # As many words as single spaces and line breaks leave: no two blanks in a row, and no others.
+        plain = len(text.split()) == text.count(" ") + text.count("\n") + 1
+        if not plain and PAIR_OF_BLANKS.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         lines = []
         for line in text.split("\n"):
