@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import mixing, pii, quality_rules, repeats, sentencepiece_viterbi, simhash, syncmers, token_files, toxicity
+from tabwright.llm import (
+    lm_scoring, mixing, pii, quality_rules, repeats, sentencepiece_viterbi, simhash, syncmers, token_files, toxicity,
+)
 from tabwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,3 +143,8 @@ FROM placed
 def _(spark, sf):
     mixed = mixing.mix(documents(spark, sf).select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op10_attention_scores")
+def _(spark, sf):
+    return lm_scoring.lm_scores(documents(spark, sf).select("doc_id", "text"))
