@@ -2,14 +2,17 @@
 
 ``STAGES`` lists the stages in order.  Each takes (spark, docs, sf_dir) and
 returns a DataFrame; its result is written as Parquet and read again as the
-documents of the next stage.  All but the last keep the columns of documents.
+documents of the next stage.  All but the last return the columns of documents.
+Nulls, empty texts, repeated rows and empty tables are treated as the stages'
+operators define.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabwright.llm import mixing, quality_rules
+from tabwright.llm import mixing, pii, quality_rules, sentencepiece_viterbi, simhash
 from tabwright.llm.common import documents, staged
 
 
@@ -18,20 +21,43 @@ def judged(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.kept_rows(docs)
 
 
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id."""
+    return simhash.one_per_group(docs)
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind; ``n_chars`` follows the text."""
+    clean = pii.redact(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in training order, each as often as the mix takes it."""
     return mixing.mixed_rows(docs)
 
 
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, in the order of the mix."""
+    return sentencepiece_viterbi.encode(docs).withColumn("n_tokens", F.size("ids").cast("long"))
+
+
 STAGES = [
     ("quality rules", judged),
+    ("near duplicates", distinct),
+    ("personal data", redacted),
     ("mixing sources", mixed),
+    ("token ids", encoded),
 ]
 
+# Fingerprints, boosted trees and piece merging have no SQL; tests/llm compares the stages with plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; what the others return is staged in the shared folder."""
     docs = documents(spark, sf_dir)
     for _, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir))
