@@ -3,7 +3,8 @@
 Each document is judged by rules on its own words and lines.  The failures are
 counted per host (here the ``source`` column), a host's rate is shrunk towards
 the rate of all hosts with an empirical beta prior, and hosts whose shrunk rate
-is too high lose all their documents.
+is too high, by itself and beside the rate of all documents, lose all their
+documents.
 
 Defined cases: a null text has no words; a null host is a host of its own; an
 empty table gives an empty result.  Repeated rows are judged alike.  Output
@@ -25,6 +26,8 @@ MOST_SYMBOLS = 10           # per cent of the words
 MOST_DUP_LINES = 30         # per cent of the words
 WORD_CHARS = (2, 15)        # mean code points per word
 MOST_HOST_RATE = 0.5
+# A rejected host also fails so many times as often as all documents do.
+HOST_LIFT = 1.5
 # The prior counts as this many documents at least and at most.
 PRIOR_DOCS = (2.0, 1000.0)
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -118,8 +121,10 @@ def host_rates(hosts: DataFrame) -> DataFrame:
     between = (total["spread"] or 0.0) - mean * (1 - mean) * (total["noise"] or 0.0)
     strength = PRIOR_DOCS[1] if between <= 0 else mean * (1 - mean) / between - 1
     strength = min(max(strength, PRIOR_DOCS[0]), PRIOR_DOCS[1])
-    return hosts.withColumn(
-        "host_rate", (F.lit(mean * strength) + F.col("failed")) / (F.lit(strength) + F.col("docs"))
+    return hosts.select(
+        F.col("_host").alias("_known"),
+        ((F.lit(mean * strength) + F.col("failed")) / (F.lit(strength) + F.col("docs"))).alias("host_rate"),
+        F.lit(HOST_LIFT * mean).alias("_lifted"),
     )
 
 
@@ -139,10 +144,10 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", most_host_r
     rows, given = _judged(docs, text, host, carry)
     rows = staged(rows)
     hosts = staged(rows.groupBy("_host").agg(F.count("*").alias("docs"), F.sum(F.col("_failed").cast("long")).alias("failed")))
-    rates = host_rates(hosts).select(F.col("_host").alias("_known"), "host_rate")
+    good_host = F.col("host_rate") <= F.greatest(F.lit(most_host_rate), F.col("_lifted"))
     return (
-        rows.join(rates, F.col("_host").eqNullSafe(F.col("_known")))
-        .withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= most_host_rate))
+        rows.join(host_rates(hosts), F.col("_host").eqNullSafe(F.col("_known")))
+        .withColumn("kept", ~F.col("base_failed") & good_host)
         .select(*[given[name] for name in carry if name not in OUTPUT], *OUTPUT)
     )
 

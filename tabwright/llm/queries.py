@@ -68,9 +68,9 @@ total AS (
 prior AS (
   SELECT mean, CASE WHEN spread - mean * (1 - mean) * noise <= 0 THEN 1000.0
     ELSE least(greatest(mean * (1 - mean) / (spread - mean * (1 - mean) * noise) - 1, 2.0), 1000.0) END AS strength FROM total),
-rates AS (SELECT source, (mean * strength + failed) / (strength + docs) AS host_rate FROM hosts, prior)
+rates AS (SELECT source, (mean * strength + failed) / (strength + docs) AS host_rate, 1.5 * mean AS lifted FROM hosts, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND host_rate <= 0.5 AS kept
+  NOT base_failed AND host_rate <= greatest(0.5, lifted) AS kept
 FROM rules JOIN rates ON rules.source IS NOT DISTINCT FROM rates.source
 """
 

@@ -1,0 +1,10 @@
+"""What several test files share."""
+
+from collections import Counter
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def rows_of(columns, rows):
+    order = sorted(range(len(columns)), key=lambda place: columns[place])
+    return Counter(tuple(str(row[place]) for place in order) for row in rows)
