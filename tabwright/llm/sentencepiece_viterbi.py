@@ -131,6 +131,10 @@ class PieceModel:
         content = b"".join(map(self.content.__getitem__, np.frombuffer(ids, "<u4").tolist()))
         return content[1:].decode()
 
+    def merged_ids(self, text: str) -> list[int]:
+        """Ids after merging a whole text of known characters; slow, for comparison."""
+        return [self.ids[symbol] for symbol in self.merged(text)]
+
     def search(self) -> StreamingViterbi:
         return StreamingViterbi(self)
 
