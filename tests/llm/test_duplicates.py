@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
-from conftest_text import WORD
+from text_fixtures import awkward, docs_of, empty, WORD, words  # noqa: F401
 from pyspark.sql import functions as F
 
 from tabwright.llm import repeats, simhash

@@ -6,7 +6,7 @@ import re
 
 import duckdb
 import pytest
-from conftest_text import WORD, rows_of
+from text_fixtures import awkward, docs_of, empty, rows_of, WORD, words  # noqa: F401
 from pyspark.sql import functions as F
 
 from tabwright.llm import mixing, quality_rules, syncmers

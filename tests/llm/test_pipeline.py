@@ -8,7 +8,7 @@ import sys
 import numpy as np
 import pytest
 import sentencepiece
-from conftest_text import WORD
+from text_fixtures import awkward, docs_of, empty, WORD, words  # noqa: F401
 from test_duplicates import plain_fingerprint, plain_groups
 from test_native import plain_mix, plain_repeats
 

@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import sentencepiece
-from conftest_text import WORD
+from text_fixtures import awkward, docs_of, empty, WORD, words  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

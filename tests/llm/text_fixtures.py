@@ -1,20 +1,14 @@
-import os
-import sys
+"""Fixtures and helpers of the tests in this folder; the session comes from the folder above."""
 
-import pytest
-
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+import random
+from collections import Counter
 
-from tabwright.session import local_session  # noqa: E402
+import pytest
 
+WORD = r"[^\x20\x09-\x0D]+"
 TEXT_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    return local_session("4", "tabwright-tests")
-
-
 @pytest.fixture
 def docs_of(spark):
     """Documents out of texts, or of (doc_id, text, source)."""
@@ -31,8 +25,6 @@ def docs_of(spark):
 @pytest.fixture(scope="session")
 def words():
     """Deterministic plain words of a given number."""
-    import random
-
     def build(count, seed=0):
         pick = random.Random(seed)
         return " ".join("".join(pick.choice("abcdefghijklmnop") for _ in range(pick.randint(2, 9))) for _ in range(count))
@@ -57,3 +49,8 @@ def awkward(docs_of, words):
 @pytest.fixture
 def empty(spark):
     return spark.createDataFrame([], TEXT_SCHEMA)
+
+
+def rows_of(columns, rows):
+    order = sorted(range(len(columns)), key=lambda place: columns[place])
+    return Counter(tuple(str(row[place]) for place in order) for row in rows)
