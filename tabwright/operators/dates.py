@@ -11,7 +11,9 @@ from tabwright.functions import dates as grammar
 from tabwright.functions.cells import is_date_shaped, text, trim_ws
 from tabwright.functions.csvtext import render_line
 from tabwright.operators.profiles import TOTAL, rates
-from tabwright.plans.results import CORRUPT, FIELDS, ROW_NO, JobResult, data_columns, quoted, require_columns
+from tabwright.plans.results import (
+    CORRUPT, FIELDS, ROW_NO, JobResult, data_columns, file_of, is_ragged, is_unreadable, place_of, quoted, require_columns,
+)
 from tabwright.plans.scale import computed_once, number_rows
 
 
@@ -19,7 +21,7 @@ def convert_date(df: DataFrame, column: str, row_no: str = ROW_NO) -> JobResult:
     """Rewrite one column to ``yyyy-MM-ddTHH:mm:ss``; all cells come out trimmed.
 
     An empty cell is kept and counts as converted.  Rows whose date no format
-    reads are rejects with the original text, and so are ragged rows.
+    reads are rejects with the original text, and so are ragged and unreadable rows.
     """
     require_columns(df, column)
     names = [name for name in data_columns(df) if name != row_no]
@@ -30,14 +32,16 @@ def convert_date(df: DataFrame, column: str, row_no: str = ROW_NO) -> JobResult:
         df.withColumns(trimmed),
         {"_tw_date": cell, "_tw_iso": grammar.iso_text(grammar.parse_mixed(cell))},
     )
-    fits = F.col(FIELDS) == len(names) if FIELDS in df.columns else F.lit(True)
+    ragged, unreadable = is_ragged(df, len(names)), is_unreadable(df, len(names))
+    fits = ~(ragged | unreadable)
     good = fits & ((F.col("_tw_date") == "") | F.col("_tw_iso").isNotNull())
     clean = tagged.filter(good).withColumn(column, F.coalesce("_tw_iso", F.lit(""))).select(*quoted(df.columns))
     rendered = render_line(names)
     bad = tagged.filter(~good).withColumn(column, F.col("_tw_date"))
     rejects = bad.select(
+        file_of(df).alias("file"),
         (F.col(row_no) + 1 if row_no in df.columns else F.lit(None).cast("bigint")).alias("line"),
-        F.when(fits, "DATE_CONVERSION_ERROR").otherwise("COLUMN_COUNT").alias("error_type"),
+        F.when(ragged, "COLUMN_COUNT").when(unreadable, "PARSE_ERROR").otherwise("DATE_CONVERSION_ERROR").alias("error_type"),
         F.col("_tw_date").alias("original"),
         (F.coalesce(F.col(CORRUPT), rendered) if CORRUPT in df.columns else rendered).alias("record"),
     )
@@ -89,7 +93,7 @@ def find_extreme_date(df: DataFrame, column: str, oldest: bool, row_no: str = RO
     have a NULL rank, so they never win.
     """
     short = _too_short(df, column)
-    place = F.col(row_no) if oldest else -F.col(row_no)
+    place = place_of(df, row_no) if oldest else -place_of(df, row_no)
     seen = df.select(
         F.when(~short, _moment(df, column, fmt)).alias("_ts"), short.alias("_short"),
         place.alias("_place"), _preview(df, row_no).alias("_preview"), F.col(row_no).alias("_no"),
@@ -162,15 +166,16 @@ def find_last_by_month(
     last_day = calendar.monthrange(year, month)[1]
     target = F.lit(f"{year:04d}-{month:02d}-{last_day:02d} 23:59:59").cast("timestamp_ntz")
     seen = df.select(
-        _moment(df, column, fmt).alias("_ts"), F.col(row_no).alias("_no"), _preview(df, row_no).alias("_preview")
+        _moment(df, column, fmt).alias("_ts"), F.col(row_no).alias("_no"), place_of(df, row_no).alias("_place"),
+        _preview(df, row_no).alias("_preview"),
     )
     ts = F.col("_ts")
     inside = (F.year(ts) == year) & (F.month(ts) == month)
     distance = F.abs(F.timestamp_diff("SECOND", target, ts))
     row = F.struct("_ts", "_no", "_preview")
     picked = seen.agg(
-        F.max_by(row, F.when(inside, F.struct(ts, -F.col("_no")))).alias("_hit"),
-        F.min_by(row, F.when(ts.isNotNull(), F.struct(distance, F.col("_no")))).alias("_near"),
+        F.max_by(row, F.when(inside, F.struct(ts, -F.col("_place")))).alias("_hit"),
+        F.min_by(row, F.when(ts.isNotNull(), F.struct(distance, F.col("_place")))).alias("_near"),
         F.count_if(inside).alias("matched"),
         F.count("_ts").alias("valid"),
     )
@@ -199,7 +204,7 @@ def sort_by_date(
         raise ValueError("order must be 'asc' or 'desc'")
     dated = df.withColumn("_tw_ts", _moment(df, column, fmt))
     by = F.col("_tw_ts").desc_nulls_last() if order == "desc" else F.col("_tw_ts").asc_nulls_last()
-    keys = [by, F.col(row_no).asc()]
+    keys = [by, place_of(df, row_no).asc()]
     found = number_rows(dated, keys, "place") if numbered else dated.orderBy(*keys)
     return found.drop("_tw_ts")
 

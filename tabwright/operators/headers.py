@@ -33,15 +33,19 @@ def check_header(lines: DataFrame, model: str | TableModel | None = None) -> Dat
     else:
         expected = F.array(*[F.lit(name) for name in get_model(model).columns])
         missing, extra = F.array_except(expected, names), F.array_except(names, expected)
-    records = lines.groupBy("file").agg(F.count_if(F.col("line_no") > 1).alias("records"))
+    if "file_lines" in lines.columns:
+        # Lines read from files know their file's length, so line 1 tells all.
+        top = lines.filter("line_no = 1").select("file", F.col("line").alias("header"), (F.col("file_lines") - 1).alias("records"))
+    else:
+        records = lines.groupBy("file").agg(F.count_if(F.col("line_no") > 1).alias("records"))
+        top = headers_of(lines).join(records, "file")
     status = (
         F.when(F.col("duplicates") != "", "duplicate")
         .when((F.size("_missing") > 0) | (F.size("_extra") > 0), "mismatch")
         .otherwise("ok")
     )
     return (
-        computed_once(headers_of(lines), {"_names": split_cells(F.col("header"))})
-        .join(records, "file")
+        computed_once(top, {"_names": split_cells(F.col("header"))})
         .select(
             "file", F.size(names).alias("n_columns"), "records", _joined(twice).alias("duplicates"),
             missing.alias("_missing"), extra.alias("_extra"),
@@ -93,9 +97,9 @@ def batch_add_headers(lines: DataFrame, model: str | TableModel, path: str) -> D
     """``add_header`` for every file of a manifest, one output folder per file.
 
     Folders carry the place in the list too, so equal file names stay apart.
-    Data lines are written under the model's header.  A file with a header of its
-    own keeps it and so cannot join this output; such files are returned as
-    (file, header) for the caller to look at, never rewritten.
+    Data lines are written under the model's header, blank ones included.  A file
+    with a header of its own keeps it and so cannot join this output; such files
+    are returned as (file, header) for the caller to look at, never rewritten.
     """
     from tabwright.sources.sinks import write_lines
 
@@ -105,7 +109,5 @@ def batch_add_headers(lines: DataFrame, model: str | TableModel, path: str) -> D
     flags = foreign.select("file", F.lit(True).alias("_foreign"))
     fitting = attach_per_file(repaired, flags).filter("_foreign IS NULL AND line_no > 1")
     name = F.regexp_extract("file", "([^/]*)$", 1)
-    folders = ["file_ord", "file_name"]
-    ordered = fitting.withColumn("file_name", name).sortWithinPartitions(*folders, "line_no")
-    write_lines(ordered, path, wanted, partition_by=folders)
+    write_lines(fitting.withColumn("file_name", name), path, wanted, partition_by=["file_ord", "file_name"], order_by="line_no")
     return foreign

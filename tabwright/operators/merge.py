@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.cells import text, trim_ws
 from tabwright.functions.csvtext import render_line
-from tabwright.plans.results import CORRUPT, FIELDS, ROW_NO, JobResult, data_columns, quoted, require_columns
+from tabwright.plans.results import (
+    ROW_NO, JobResult, data_columns, file_of, is_ragged, is_unreadable, quoted, require_columns, sound_rows,
+)
 from tabwright.plans.scale import number_rows
 from tabwright.sources.lines import first_line, is_top_line
 
@@ -64,17 +66,24 @@ def merge_dedup_mixed(lines: DataFrame, expected_header: str | None = None) -> D
     return top.unionByName(data)
 
 
-def merge_records_dedup(tables: list[DataFrame]) -> DataFrame:
-    """Distinct records of several tables of the same width, names from the first."""
+def merge_records_dedup(tables: list[DataFrame], strict: bool = False) -> DataFrame:
+    """Distinct sound records of several tables of the same width, names from the first.
+
+    Ragged and unreadable rows are left to ``unsound_rows``, or fail with ``strict``.
+    """
     if not tables:
         raise ValueError("no tables to merge")
     names = data_columns(tables[0])
-    same = [table.select(*quoted(data_columns(table))).toDF(*names) for table in tables]
+    same = [sound_rows(table, strict).select(*quoted(data_columns(table))).toDF(*names) for table in tables]
     return reduce(DataFrame.union, same).distinct()
 
 
-def dedup_records(records: DataFrame, order_by: str | None = None) -> DataFrame:
-    """Distinct records over all data columns; with ``order_by`` the first place is kept."""
+def dedup_records(records: DataFrame, order_by: str | None = None, strict: bool = False) -> DataFrame:
+    """Distinct sound records over all data columns; with ``order_by`` the first place is kept.
+
+    Ragged and unreadable rows are left to ``unsound_rows``, or fail with ``strict``.
+    """
+    records = sound_rows(records, strict, row_no=order_by or ROW_NO)
     names = [name for name in data_columns(records) if name != order_by]
     if order_by is None:
         return records.select(*quoted(names)).distinct()
@@ -82,18 +91,6 @@ def dedup_records(records: DataFrame, order_by: str | None = None) -> DataFrame:
     return records.groupBy(*quoted(names)).agg(F.min(order_by).alias(order_by))
 
 
-def _ragged(records: DataFrame, width: int) -> Column:
-    if FIELDS in records.columns:
-        return F.col(FIELDS) != width
-    return F.lit(False)
-
-
-def _broken(records: DataFrame, width: int) -> Column:
-    if CORRUPT in records.columns:
-        return F.col(CORRUPT).isNotNull() & ~_ragged(records, width)
-    return F.lit(False)
-
-
 def dedup_by_key(
     records: DataFrame,
     keys: list[str],
@@ -106,7 +103,8 @@ def dedup_by_key(
 
     Tolerant mode sends rows of the wrong width, unreadable rows and rows with an
     empty key cell to ``rejects``.  With ``strict`` an empty cell is a key like any
-    other and no row is rejected.  ``order_by`` must be unique.
+    other, and a row of the wrong width or an unreadable one fails the job.
+    ``order_by`` must be unique.
 
     The rank filter is applied inside every task before the shuffle, so a key
     with a third of all rows sends one row per task.
@@ -119,16 +117,19 @@ def dedup_by_key(
     empty = reduce(lambda a, b: a | b, [text(F.col(f"`{key}`")) == "" for key in keys])
     reason = (
         F.lit(None).cast("string") if strict else
-        F.when(_ragged(records, width), "LENGTH_MISMATCH")
-        .when(_broken(records, width), "CSV_PARSE_ERROR")
+        F.when(is_ragged(records, width), "LENGTH_MISMATCH")
+        .when(is_unreadable(records, width), "CSV_PARSE_ERROR")
         .when(empty, "EMPTY_KEY")
     )
+    if strict:
+        records = sound_rows(records, strict, row_no=row_no if row_no in names else order_by)
     tagged = records.withColumn("_tw_reason", reason)
     order = F.desc(order_by) if keep == "last" else F.asc(order_by)
     place = F.row_number().over(Window.partitionBy(*quoted(keys)).orderBy(order))
     sound = tagged.filter("_tw_reason IS NULL").drop("_tw_reason")
     clean = sound.withColumn("_tw_place", place).filter("_tw_place = 1").drop("_tw_place")
     rejects = tagged.filter("_tw_reason IS NOT NULL").select(
+        file_of(records).alias("file"),
         (F.col(row_no) if row_no in records.columns else F.col(order_by)).alias("line"),
         F.col("_tw_reason").alias("error_type"),
         render_line([name for name in names if name not in (order_by, row_no)]).alias("record"),
@@ -167,17 +168,14 @@ def compare_first_n(left: DataFrame, right: DataFrame, n: int = 100) -> JobResul
 
     ``clean`` holds the differences (line_no, left_value, right_value) with line 1
     as the first data line, ``summary`` whether headers agree and how many differ.
+    Each side is read once: the headers are line 0 of the same comparison.
     """
-    def data(lines: DataFrame) -> DataFrame:
-        body = lines.filter((F.col("line_no") > 1) & (F.col("line_no") <= n + 1))
-        return body.select((F.col("line_no") - 1).alias("line_no"), "line")
-
-    found = compare(data(left), data(right), "line_no", "line")
-
-    def header(lines: DataFrame) -> Column:
-        return F.coalesce(lines.filter("line_no = 1").select(F.max("line")).scalar(), F.lit(""))
+    def top(lines: DataFrame) -> DataFrame:
+        return lines.filter(F.col("line_no") <= n + 1).select((F.col("line_no") - 1).alias("line_no"), "line")
 
-    summary = found.agg(F.count("*").alias("differences")).select(
-        (header(left) == header(right)).alias("headers_equal"), "differences"
+    found = compare(top(left), top(right), "line_no", "line")
+    data = F.col("line_no") > 0
+    summary = found.agg(
+        (F.count_if(~data) == 0).alias("headers_equal"), F.count_if(data).alias("differences")
     )
-    return JobResult(clean=found, rejects=found.limit(0), summary=summary)
+    return JobResult(clean=found.filter(data), rejects=found.limit(0), summary=summary)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions import cells
@@ -17,7 +17,9 @@ from tabwright.functions.cells import key_text, text, trim_ws
 from tabwright.functions.csvtext import render_line
 from tabwright.operators.profiles import rates
 from tabwright.plans.models import MOROSOS, TableModel, get_model
-from tabwright.plans.results import CORRUPT, FIELDS, ROW_NO, JobResult, data_columns, require_columns
+from tabwright.plans.results import (
+    CORRUPT, FIELDS, ROW_NO, JobResult, data_columns, file_of, is_ragged, is_unreadable, place_of, require_columns,
+)
 
 # --- fixed values: key texts of unreadable keys ---
 NO_TABLE_KEY = "INVALID_DYNAMO_KEY"
@@ -53,7 +55,7 @@ def _width_problem(df: DataFrame, width: int, kind: str) -> list[tuple[Column, C
     if FIELDS not in df.columns:
         return []
     bad = F.col(FIELDS) != width
-    details = F.concat(F.lit(f"Expected {width} but found "), F.col(FIELDS).cast("string"))
+    details = F.concat(F.col(FIELDS).cast("string"), F.lit(f" cells under {width} columns"))
     checks = [(bad, _problem(kind, details))]
     if CORRUPT in df.columns:
         checks.append((~bad & F.col(CORRUPT).isNotNull(), _problem("PARSE_ERROR", F.lit("unreadable record"))))
@@ -92,15 +94,16 @@ def _record_text(df: DataFrame, names: list[str]) -> Column:
 def _reject_rows(
     df: DataFrame, problems: Column, names: list[str], row_no: str, model: TableModel | None
 ) -> DataFrame:
-    """One row per problem: line, error_type, field, value, details, keys, record."""
+    """One row per problem: file, ord, line, error_type, field, value, details, keys, record."""
     line = F.col(row_no) + 1 if row_no in df.columns else F.lit(None).cast("bigint")
+    order = place_of(df, row_no) if row_no in df.columns or "_ord" in df.columns else F.lit(None).cast("bigint")
     return (
         df.select(
-            line.alias("line"), *_keys(df, model),
+            file_of(df).alias("file"), order.alias("ord"), line.alias("line"), *_keys(df, model),
             _record_text(df, names).alias("record"), F.explode(problems).alias("_p"),
         )
         .select(
-            "line", F.col("_p.kind").alias("error_type"), F.col("_p.field").alias("field"),
+            "file", "ord", "line", F.col("_p.kind").alias("error_type"), F.col("_p.field").alias("field"),
             F.col("_p.value").alias("value"), F.col("_p.details").alias("details"),
             "table_key", "resume_key", "record",
         )
@@ -131,23 +134,28 @@ def _numeric_checks(
         value = trim_ws(raw)
         # The scientific rule alone does not trim for itself.
         bad = ~valid(value if rule == "scientific" else raw)
-        details = F.concat(F.lit(f"Field='{field}' Value='"), value, F.lit("' expected a number"))
+        details = F.concat(F.lit(f"{field} holds no number: "), value)
         checks.append((bad, _problem("INVALID_NUMERIC", details, field, value)))
     return checks
 
 
 def _route(
     df: DataFrame, width: list, other: list, names: list[str], row_no: str,
-    model: TableModel | None, skipped: bool = False,
+    model: TableModel | None, skipped: bool = False, trim: bool = False,
 ) -> JobResult:
-    """Split on the checks; a row of bad structure is not looked at further."""
+    """Split on the checks; a row of bad structure is not looked at further.
+
+    With ``trim`` cells come out trimmed; only what passed the checks, or failed
+    them, is trimmed, so the checks themselves must read raw cells.
+    """
+    trimmed = {name: trim_ws(_cell(df, name)) for name in names} if trim else {}
     sound, fine = _ok(width), _ok(other)
-    clean = df.filter(sound & fine)
+    clean = df.filter(sound & fine).withColumns(trimmed)
     found = _problems(other)
     if skipped:
-        mark = _problem("SKIPPED", F.lit("Record has non-numeric values in numeric fields"))
+        mark = _problem("SKIPPED", F.lit("left out: a numeric field holds no number"))
         found = F.concat(found, F.array(mark))
-    bad = df.filter(~(sound & fine))
+    bad = df.filter(~(sound & fine)).withColumns(trimmed)
     problems = F.when(sound, found).otherwise(_problems(width)) if width else found
     rejects = _reject_rows(bad, problems, names, row_no, model)
     summary = df.agg(
@@ -183,13 +191,13 @@ def sanitize_for_import(
         return _route(df, structure, _numeric_checks(df, model, rule, "position", names), names, row_no, model)
     if not model.numeric:
         raise ValueError(f"model {model.name!r} declares no numeric fields")
-    trimmed = df.withColumns({name: trim_ws(_cell(df, name)) for name in names})
-    structure = _width_problem(trimmed, width, "IRREPARABLE_STRUCTURE")
+    structure = _width_problem(df, width, "IRREPARABLE_STRUCTURE")
     if FIELDS not in df.columns and len(names) != width:
-        found = F.lit(f"Expected {width} but found {len(names)}")
+        found = F.lit(f"{len(names)} cells under {width} columns")
         structure = [(F.lit(True), _problem("IRREPARABLE_STRUCTURE", found))]
-    checks = _numeric_checks(trimmed, model, rule, "name", names)
-    return _route(trimmed, structure, checks, names, row_no, model, skipped=True)
+    # The rule allows white space around a number, so raw cells are checked.
+    checks = _numeric_checks(df, model, rule, "name", names)
+    return _route(df, structure, checks, names, row_no, model, skipped=True, trim=True)
 
 
 def audit_numeric(
@@ -197,8 +205,8 @@ def audit_numeric(
 ) -> JobResult:
     """Report bad numeric cells without writing a clean table.
 
-    ``cap`` limits the report to the first cells per field (the ``scientific``
-    audit shows 20); counters always cover every row.
+    ``cap`` limits the report to that many cells in input order; counters always
+    cover every row.
     """
     model = get_model(model)
     names = _data_names(df, row_no)
@@ -208,24 +216,25 @@ def audit_numeric(
         df, _width_problem(df, model.width, "COLUMN_COUNT"),
         _numeric_checks(df, model, rule, "position", names), names, row_no, model,
     )
-    if rule == "scientific" and cap is None:
-        cap = 20
-    if cap is None:
-        return result
-    place = F.row_number().over(Window.partitionBy("field").orderBy("line"))
-    capped = result.rejects.withColumn("_place", place).filter(F.col("_place") <= cap).drop("_place")
-    return JobResult(result.clean, capped, result.summary)
+    return JobResult(result.clean, _first_rows(result.rejects, cap, "ord", "field"), result.summary)
 
 
 def field_error_counts(df: DataFrame, model: str | TableModel, rule: str = "scientific", row_no: str = ROW_NO) -> DataFrame:
     """(field, errors) of invalid numeric cells, most first; fields without errors stay out.
 
-    One count per field in a single pass, turned into rows afterwards.
+    Only cells that a row has are tested, and none of an unreadable row.  One
+    count per field in a single pass, turned into rows afterwards.
     """
     model = get_model(model)
-    checks = _numeric_checks(df, model, rule, "position", _data_names(df, row_no))
-    fields = [field for field in model.numeric if model.position(field) < len(_data_names(df, row_no))]
-    counts = df.agg(*[F.count_if(bad).alias(field) for field, (bad, _) in zip(fields, checks)])
+    names = _data_names(df, row_no)
+    checks = _numeric_checks(df, model, rule, "position", names)
+    fields = [field for field in model.numeric if model.position(field) < len(names)]
+    readable = ~is_unreadable(df, len(names))
+
+    def there(field: str) -> Column:
+        return readable & (F.col(FIELDS) > model.position(field)) if FIELDS in df.columns else readable
+
+    counts = df.agg(*[F.count_if(bad & there(field)).alias(field) for field, (bad, _) in zip(fields, checks)])
     return (
         counts.unpivot([], fields, "field", "errors")
         .filter("errors > 0").orderBy(F.desc("errors"), "field")
@@ -250,12 +259,12 @@ def audit_schema(df: DataFrame, model: str | TableModel = MOROSOS, row_no: str =
 
 def _cell_check(field: str, kind: str, value: Column) -> tuple[Column, Column]:
     """(bad, details) of one cell under its model rule."""
-    empty = F.lit(f"Field {field} cannot be empty")
+    empty = F.lit(f"{field} is empty")
     wrong = {
-        "decimal": f"Invalid {field} (must be decimal): ",
-        "int32": f"Invalid {field} (must be integer): ",
-        "int64": f"Invalid {field} (must be long integer): ",
-        "date_shape": f"Invalid date format for {field}: ",
+        "decimal": f"{field} is no decimal number: ",
+        "int32": f"{field} is no 32-bit integer: ",
+        "int64": f"{field} is no 64-bit integer: ",
+        "date_shape": f"{field} is no ISO date: ",
     }
     if kind == "required":
         return value == "", empty
@@ -266,8 +275,7 @@ def _cell_check(field: str, kind: str, value: Column) -> tuple[Column, Column]:
     elif kind == "int64":
         bad = ~cells.is_int64(value)
     elif kind == "date_shape":
-        tail = F.lit(" (expected yyyy-MM-dd or yyyy-MM-dd HH:mm:ss)")
-        return (value != "") & ~cells.is_date_shaped(value), F.concat(F.lit(wrong[kind]), value, tail)
+        return (value != "") & ~cells.is_date_shaped(value), F.concat(F.lit(wrong[kind]), value)
     else:
         return F.lit(False), F.lit("")
     return bad, F.concat(F.lit(wrong[kind]), value)
@@ -277,14 +285,13 @@ def validate_model(
     df: DataFrame,
     model: str | TableModel,
     max_show: int | None = None,
-    stop: bool = False,
     row_no: str = ROW_NO,
 ) -> JobResult:
     """Check every cell against its model rule.
 
     The table must have exactly the model's column names.  Errors carry a kind
-    (``ColumnCount``, ``ParseError``, ``TypeError``) and both keys.  ``stop`` with
-    ``max_show`` caps the report at the first errors in line order.
+    (``ColumnCount``, ``ParseError``, ``TypeError``) and both keys.  ``max_show``
+    caps the report at the first errors in input order; ``summary`` counts all.
     """
     model = get_model(model)
     names = _data_names(df, row_no)
@@ -307,8 +314,7 @@ def validate_model(
     checks = width + [(sound & bad, problem) for bad, problem in typed]
     ok = _ok(checks)
     rejects = _reject_rows(df.filter(~ok), _problems(checks), names, row_no, model)
-    if stop and max_show is not None:
-        rejects = rejects.orderBy("line", "field").limit(max_show)
+    rejects = _first_rows(rejects, max_show, "ord", "field")
     errors = reduce(lambda a, b: a + b, [F.when(bad, 1).otherwise(0) for bad, _ in checks], F.lit(0))
     summary = df.agg(
         F.count("*").alias("processed"),
@@ -318,26 +324,46 @@ def validate_model(
     return JobResult(df.filter(ok), rejects, rates(summary, "processed", "errors"))
 
 
-def extract_keys(df: DataFrame, model: str | TableModel, limit: int | None = 10, row_no: str = ROW_NO) -> DataFrame:
-    """(record, key): key text of the records; ``limit`` shows the first ones only."""
+def _structure_error(df: DataFrame, row_no: str) -> Column:
+    """Why a record's cells cannot be trusted; NULL for a sound one."""
+    width = len(_data_names(df, row_no))
+    return F.when(is_ragged(df, width), "COLUMN_COUNT").when(is_unreadable(df, width), "PARSE_ERROR")
+
+
+def extract_keys(df: DataFrame, model: str | TableModel, limit: int | None = None, row_no: str = ROW_NO) -> JobResult:
+    """(record, key): key text of the sound records; the others are rejects (file, record, error_type).
+
+    ``limit`` shows the first keys only, in input order; ``summary`` counts all.
+    """
     model = get_model(model)
     require_columns(df, row_no, *model.keys)
-    shown = df if limit is None else df.filter(F.col(row_no) <= limit)
-    return shown.select(F.col(row_no).alias("record"), table_key(df, model).alias("key"))
+    tagged = df.select(
+        file_of(df).alias("file"), place_of(df, row_no).alias("ord"), F.col(row_no).alias("record"),
+        table_key(df, model).alias("key"), _structure_error(df, row_no).alias("error_type"),
+    )
+    keyed = _first_rows(tagged.filter("error_type IS NULL"), limit, "ord")
+    return JobResult(
+        keyed.select("record", "key"),
+        tagged.filter("error_type IS NOT NULL").select("file", "record", "error_type"),
+        tagged.agg(F.count("*").alias("processed"), F.count_if(F.col("error_type").isNull()).alias("valid")),
+    )
 
 
 def extract_resume_key(df: DataFrame, row_no: str = ROW_NO) -> JobResult:
-    """(record, resume_key); rows whose ids are no 32-bit integers go to rejects."""
+    """(record, resume_key); unsound rows and rows whose ids are no 32-bit integers go to rejects."""
     require_columns(df, row_no, *RESUME_COLUMNS)
+    wrong = (
+        F.when(~cells.is_int32(_cell(df, "IdTransmit")), "Invalid IdTransmit")
+        .when(~cells.is_int32(_cell(df, "IdCliente")), "Invalid IdCliente")
+    )
     tagged = df.select(
-        F.col(row_no).alias("record"), resume_key(df).alias("resume_key"),
-        _cell(df, "IdTransmit").alias("IdTransmit"), _cell(df, "IdCliente").alias("IdCliente"),
+        file_of(df).alias("file"), F.col(row_no).alias("record"), resume_key(df).alias("resume_key"),
+        F.coalesce(_structure_error(df, row_no), wrong).alias("error_type"),
     )
-    readable = F.col("resume_key").isNotNull()
-    wrong = F.when(~cells.is_int32(F.col("IdTransmit")), F.lit("Invalid IdTransmit")).otherwise(F.lit("Invalid IdCliente"))
+    readable = F.col("error_type").isNull()
     return JobResult(
         tagged.filter(readable).select("record", "resume_key"),
-        tagged.filter(~readable).select("record", wrong.alias("error_type")),
+        tagged.filter(~readable).select("file", "record", "error_type"),
         tagged.agg(F.count("*").alias("processed"), F.count_if(readable).alias("valid")),
     )
 
@@ -366,26 +392,34 @@ def _first_rows(found: DataFrame, limit: int | None, *order: str) -> DataFrame:
     return found if limit is None else found.orderBy(*order).limit(limit)
 
 
-def find_missing_key(df: DataFrame, key: str, max_report: int | None = 100, row_no: str = ROW_NO) -> JobResult:
-    """Rows whose key cell is empty once trimmed; the report is capped, the count is not."""
+def find_missing_key(df: DataFrame, key: str, max_report: int | None = None, row_no: str = ROW_NO) -> JobResult:
+    """Rows whose key cell is empty once trimmed; ``max_report`` keeps the first of them, ``summary`` counts all."""
     require_columns(df, key, row_no)
     missing = trim_ws(_cell(df, key)) == ""
     found = df.filter(missing)
+    first = found if max_report is None else found.orderBy(place_of(df, row_no)).limit(max_report)
     summary = df.agg(F.count("*").alias("processed"), F.count_if(missing).alias("missing"))
-    return JobResult(df.filter(~missing), _first_rows(found, max_report, row_no), summary)
+    return JobResult(df.filter(~missing), first, summary)
+
 
+def _capped(found: DataFrame, limit: int | None, *order: str) -> DataFrame:
+    """All rows; with a limit the first ones, beside the number of all in ``total``."""
+    if limit is None:
+        return found
+    return _first_rows(found, limit, *order).withColumn("total", found.select(F.count("*")).scalar())
 
-def find_oversize(lines: DataFrame, threshold: int = 350_000, max_report: int | None = 10) -> DataFrame:
-    """(file, line_no, bytes) of lines longer than ``threshold`` UTF-8 bytes, first ones only."""
+
+def find_oversize(lines: DataFrame, threshold: int = 350_000, max_report: int | None = None) -> DataFrame:
+    """(file, line_no, bytes) of lines longer than ``threshold`` UTF-8 bytes; with ``max_report`` the first ones and ``total``."""
     size = F.octet_length("line")
     found = lines.filter(size > threshold).select("ord", "file", "line_no", size.alias("bytes"))
-    return _first_rows(found, max_report, "ord").drop("ord")
+    return _capped(found, max_report, "ord").drop("ord")
 
 
 def find_invalid_numeric(
-    df: DataFrame, columns: list[str], rule: str = "strict38", max_report: int | None = 100, row_no: str = ROW_NO
+    df: DataFrame, columns: list[str], rule: str = "strict38", max_report: int | None = None, row_no: str = ROW_NO
 ) -> DataFrame:
-    """(line, field, value) of cells that fail the number rule, first ones only."""
+    """(file, line, field, value) of cells that fail the number rule; with ``max_report`` the first ones and ``total``."""
     require_columns(df, row_no, *columns)
     valid = cells.number_rule(rule)
     checks = [
@@ -393,8 +427,10 @@ def find_invalid_numeric(
         for name in columns
     ]
     found = F.filter(F.array(*[F.when(bad, pair) for bad, pair in checks]), lambda pair: pair.isNotNull())
-    rows = df.filter(~_ok(checks)).select((F.col(row_no) + 1).alias("line"), F.inline(found))
-    return _first_rows(rows, max_report, "line", "field")
+    rows = df.filter(~_ok(checks)).select(
+        place_of(df, row_no).alias("ord"), file_of(df).alias("file"), (F.col(row_no) + 1).alias("line"), F.inline(found)
+    )
+    return _capped(rows, max_report, "ord", "field").drop("ord")
 
 
 def check_numeric_keys(df: DataFrame, model: str | TableModel, row_no: str = ROW_NO) -> JobResult:

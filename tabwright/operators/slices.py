@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.cells import rtrim_ws, text, trim_ws
-from tabwright.plans.results import CHUNK, ROW_NO, JobResult, data_columns, require_columns
+from tabwright.plans.results import CHUNK, ROW_NO, JobResult, data_columns, require_columns, sound_rows
 from tabwright.plans.scale import attach_per_file
 
-# Spark prunes a row_number filter before the shuffle up to this many rows.
-GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
+def filter_equals(df: DataFrame, column: str, value: str, strict: bool = False) -> DataFrame:
+    """Sound rows whose cell equals ``value`` exactly; a missing cell reads as ''.
 
-def filter_equals(df: DataFrame, column: str, value: str) -> DataFrame:
-    """Rows whose cell equals ``value`` exactly; a missing cell reads as ''."""
+    Ragged and unreadable rows are left to ``unsound_rows``, or fail with ``strict``.
+    """
     require_columns(df, column)
+    df = sound_rows(df, strict)
     if value == "" or dict(df.dtypes)[column] != "string":
         return df.filter(text(column) == value)
     return df.filter(F.col(column) == value)
@@ -60,13 +61,16 @@ def sanitize_text(lines: DataFrame) -> JobResult:
 
 
 def delete_from_row(records: DataFrame, row: int, row_no: str = ROW_NO) -> DataFrame:
-    """Keep rows before ``row`` (the header is row 1, the first record row 2), cells trimmed."""
+    """Keep rows before ``row`` (the header is row 1, the first record row 2), cells trimmed.
+
+    Rows count in each file; ragged and unreadable rows are skipped.
+    """
     if row <= 1:
         raise ValueError("row must be above 1: row 1 is the header")
     require_columns(records, row_no)
     strings = {name for name, kind in records.dtypes if kind == "string"}
     trimmed = {name: trim_ws(F.col(f"`{name}`")) for name in data_columns(records) if name in strings}
-    return records.filter(F.col(row_no) + 1 < row).withColumns(trimmed)
+    return sound_rows(records, row_no=row_no).filter(F.col(row_no) + 1 < row).withColumns(trimmed)
 
 
 def head(lines: DataFrame, n: int = 10) -> DataFrame:
@@ -77,21 +81,13 @@ def head(lines: DataFrame, n: int = 10) -> DataFrame:
 def tail(lines: DataFrame, n: int = 10, whole_files: bool = False) -> DataFrame:
     """Header and last ``n`` data lines of every file.
 
-    Up to the session's group-limit threshold each task keeps only its own last
-    ``n`` lines per file before the shuffle, so a long file is never moved whole;
-    for more lines the length of each file is attached instead.  Lines straight
-    from ``read_lines`` know their file's length: with ``whole_files`` this is then
-    a plain filter (not to be used once lines were dropped).
+    Lines straight from ``read_lines`` know their file's length: with
+    ``whole_files`` this is a plain filter (not to be used once lines were
+    dropped).  Otherwise the length of each file is attached; lines are not moved.
     """
     if whole_files:
         require_columns(lines, "file_lines")
         return lines.filter((F.col("line_no") == 1) | (F.col("line_no") > F.col("file_lines") - n))
-    spark = lines.sparkSession
-    if n <= int(spark.conf.get(GROUP_LIMIT_CONF)):
-        latest = Window.partitionBy("file").orderBy(F.desc("line_no"))
-        data = lines.filter("line_no > 1").withColumn("_from_end", F.row_number().over(latest))
-        kept = data.filter(F.col("_from_end") <= n).drop("_from_end")
-        return lines.filter("line_no = 1").unionByName(kept)
     lengths = lines.groupBy("file").agg(F.max("line_no").alias("_lines"))
     tagged = attach_per_file(lines, lengths)
     return tagged.filter((F.col("line_no") == 1) | (F.col("line_no") > F.col("_lines") - n)).drop("_lines")
@@ -104,7 +100,10 @@ def inspect_line(lines: DataFrame, target: int, context: int = 5) -> DataFrame:
 
 
 def split_chunks(records: DataFrame, size: int, row_no: str = ROW_NO) -> DataFrame:
-    """Add ``_chunk_id`` from 1: consecutive runs of ``size`` records."""
+    """Add ``_chunk_id`` from 1: consecutive runs of ``size`` records of a file.
+
+    Chunks never mix files; ``write_chunks`` keeps equal numbers of different files apart.
+    """
     if size < 1:
         raise ValueError("size must be a positive integer")
     require_columns(records, row_no)

@@ -1,16 +1,11 @@
 """Dirty tables that Spark derives from the given tables, and the same in SQL.
 
-``k`` is ``o_orderkey``: unique, from 0, and the row order.  The jobs under test
-expect stored exports, so each derived table is written once per application, in
-the folder of the checkpoints, and read from there.
+``k`` is ``o_orderkey``: unique, from 0, and the row order.  The tables are plans
+over the given ones: nothing is stored between queries.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
-from functools import wraps
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +13,7 @@ from tabwright.functions.csvtext import render_line
 from tabwright.functions.dates import us12_text
 from tabwright.plans.models import MOROSOS
 from tabwright.plans.results import ROW_NO
-from tabwright.plans.scale import computed_once, use_checkpoint_dir
+from tabwright.plans.scale import computed_once
 from tabwright.sources.lines import line_table
 from tabwright.sources.records import parse_lines
 
@@ -27,29 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder next to the checkpoints, which every executor can reach."""
-    return f"{use_checkpoint_dir(spark).rstrip('/')}/tabwright-{uuid.uuid4().hex}"
-
-
-_STORED: dict[tuple[str, str, str], str] = {}
-
-
-def stored(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Write what ``build`` derives the first time it is asked for, then read it."""
-    @wraps(build)
-    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
-        if key not in _STORED:
-            folder = scratch(spark)
-            build(spark, sf_dir).write.parquet(folder)
-            _STORED[key] = folder
-        return spark.read.parquet(_STORED[key])
-
-    return read
-
-
-@stored
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document is a file, each of its lines a line."""
     body = F.when(F.endswith("text", F.lit("\n")), F.expr("left(text, length(text) - 1)")).otherwise(F.col("text"))
@@ -88,7 +60,6 @@ def _plus(column: str, divisor: int, base: int) -> Column:
     return (F.col(column) % divisor + base).cast("string")
 
 
-@stored
 def debtors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Debtor records with broken numbers, in the 14-column model."""
     orders = _dated_orders(spark, sf_dir)
@@ -134,7 +105,6 @@ debtors AS (
 """
 
 
-@stored
 def debtor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The debtor records as lines of one headerless file, some of them ragged."""
     records = debtors(spark, sf_dir).withColumn("k", F.col(ROW_NO) - 1)
@@ -168,7 +138,40 @@ debtor_lines AS (
 """
 
 
-@stored
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ragged lines, some of them with a quote that nothing closes."""
+    k = F.col("line_no") - 1
+    return debtor_lines(spark, sf_dir).withColumn(
+        "line", F.when(k % 149 == 10, F.replace("line", F.lit(",user"), F.lit(',"user'))).otherwise(F.col("line"))
+    )
+
+
+def broken_debtors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_lines(broken_lines(spark, sf_dir), list(MOROSOS.columns), header=False)
+
+
+BROKEN_LINES = f"""{DEBTOR_LINES},
+broken_lines AS (
+  SELECT * REPLACE (CASE WHEN k % 149 = 10 THEN replace(line, ',user', ',"user') ELSE line END AS line,
+    CASE WHEN k % 139 = 8 THEN 'A, B' ELSE RazonSocial END AS RazonSocial),
+    CASE WHEN n_fields <> 14 THEN 'COLUMN_COUNT' WHEN k % 149 = 10 THEN 'PARSE_ERROR' END AS unsound
+  FROM debtor_lines)
+"""
+
+
+def two_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The broken lines dealt to two files: the odd ones come first."""
+    k = F.col("line_no") - 1
+    return line_table(
+        broken_lines(spark, sf_dir).select(
+            F.when(k % 2 == 1, "odd").otherwise("even").alias("file"), ((k + 1) % 2).alias("file_ord"),
+            F.expr("(line_no - 1) div 2 + 1").alias("line_no"), "line"),
+        "file", "file_ord", "line_no", "line")
+
+
+TWO_FILES = """(SELECT *, CASE WHEN k % 2 = 1 THEN 'odd' ELSE 'even' END AS file, k // 2 + 2 AS file_line FROM broken_lines)"""
+
+
 def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates in nine spellings (``raw``), as US text (``us12``) and as day/month/year (``cell``)."""
     orders = _dated_orders(spark, sf_dir)
@@ -219,7 +222,6 @@ parsed AS (
 """
 
 
-@stored
 def header_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer plays a file: a header line with a typical fault, then a data line."""
     names = MOROSOS.columns

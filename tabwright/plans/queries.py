@@ -12,8 +12,10 @@ from tabwright.operators import dates as date_jobs
 from tabwright.operators import headers, merge, profiles, quality, slices
 from tabwright.plans import fixtures as fx
 from tabwright.plans.models import MOROSOS, TableModel
-from tabwright.plans.results import ROW_NO
+from tabwright.plans.results import ROW_NO, unsound_rows
+from tabwright.plans.scale import new_folder
 from tabwright.sources import lines as line_source
+from tabwright.sources.records import parse_lines
 from tabwright.sources import normalize_header, read_records, write_chunks, write_lines, write_records, write_rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -237,9 +239,11 @@ def _(spark, sf):
 
 
 @query("q_compare", """
-SELECT a.o_orderkey, a.o_orderstatus AS left_value,
-  CASE WHEN a.o_orderkey % 10 = 0 THEN a.o_orderstatus || '*' ELSE a.o_orderstatus END AS right_value
-FROM orders a WHERE a.o_orderkey % 10 = 0
+WITH changed AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN o_orderstatus || '*' ELSE o_orderstatus END AS o_orderstatus FROM orders)
+SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, coalesce(a.o_orderstatus, '') AS left_value, coalesce(b.o_orderstatus, '') AS right_value
+FROM orders a FULL JOIN changed b ON a.o_orderkey = b.o_orderkey
+WHERE coalesce(a.o_orderstatus, '') <> coalesce(b.o_orderstatus, '')
 """)
 def _(spark, sf):
     orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
@@ -256,7 +260,14 @@ def _event_lines(spark, sf):
 
 
 @query("q_compare_first_n", """
-SELECT true AS headers_equal, count(*) AS differences FROM events WHERE event_id BETWEEN 1 AND 5000 AND event_id % 7 = 3
+WITH one AS (
+  SELECT event_id + 1 AS line_no, concat_ws(',', CAST(user_id AS VARCHAR), event_type, props) AS line FROM events WHERE event_id <= 5000),
+two AS (SELECT line_no, CASE WHEN line_no % 7 = 4 THEN line || '!' ELSE line END AS line FROM one),
+pairs AS (
+  SELECT coalesce(one.line_no, two.line_no) AS line_no, coalesce(one.line, '') <> coalesce(two.line, '') AS differs
+  FROM one FULL JOIN two ON one.line_no = two.line_no)
+SELECT count(*) FILTER (WHERE line_no = 1 AND differs) = 0 AS headers_equal,
+  count(*) FILTER (WHERE line_no > 1 AND differs) AS differences FROM pairs
 """)
 def _(spark, sf):
     left = _event_lines(spark, sf)
@@ -305,38 +316,48 @@ def _(spark, sf):
 
 # ---------------------------------------------------------------- headers
 
+_FLOAT = r"[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))"
+_EXPECTED = "['" + "', '".join(MOROSOS.columns) + "']"
+
+
 @query("q_header_check", f"""
 WITH {fx.HEADER_FILES},
-names AS (SELECT file, c_custkey, string_split(header, ',') AS cells FROM header_files),
+file_lines AS (SELECT file, header AS line, true AS top FROM header_files UNION ALL SELECT file, data, false FROM header_files),
+names AS (
+  SELECT file, string_split(max(line) FILTER (WHERE top), ',') AS cells, count(*) FILTER (WHERE NOT top) AS records FROM file_lines GROUP BY file),
 found AS (
-  SELECT file, c_custkey, cells,
-    list_filter(['{"', '".join(MOROSOS.columns)}'], lambda x: NOT list_contains(cells, x)) AS missing,
-    list_distinct(list_filter(cells, lambda x: NOT list_contains(['{"', '".join(MOROSOS.columns)}'], x))) AS extra
+  SELECT file, cells, records,
+    list_sort(list_distinct(list_filter(cells, lambda x: len(list_filter(cells, lambda y: y = x)) > 1))) AS twice,
+    list_filter({_EXPECTED}, lambda x: NOT list_contains(cells, x)) AS missing,
+    list_distinct(list_filter(cells, lambda x: NOT list_contains({_EXPECTED}, x))) AS extra
   FROM names)
-SELECT file, CAST(len(cells) AS INTEGER) AS n_columns, CAST(1 AS BIGINT) AS records,
-  CASE WHEN c_custkey % 5 = 3 THEN 'Cuil' ELSE '' END AS duplicates,
+SELECT file, CAST(len(cells) AS INTEGER) AS n_columns, records, array_to_string(twice, ',') AS duplicates,
   array_to_string(list_sort(missing), ',') AS missing, array_to_string(list_sort(extra), ',') AS extra,
-  CASE WHEN c_custkey % 5 = 3 THEN 'duplicate' WHEN len(missing) + len(extra) > 0 THEN 'mismatch' ELSE 'ok' END AS status
+  CASE WHEN len(twice) > 0 THEN 'duplicate' WHEN len(missing) + len(extra) > 0 THEN 'mismatch' ELSE 'ok' END AS status
 FROM found
 """)
 def _(spark, sf):
     return headers.check_header(fx.header_files(spark, sf), MOROSOS)
 
 
-_LACKING = """
-flagged AS (SELECT *, c_custkey % 5 = 4 AS lacks FROM header_files)
+# A header that holds an empty cell or a number is data.
+_LACKING = f"""
+looks AS (
+  SELECT *, len(list_filter(string_split(header, ','), lambda x: trim(x) = '' OR regexp_full_match(trim(x), '{_FLOAT}'))) > 0 AS is_data
+  FROM header_files),
+flagged AS (SELECT *, is_data AND trim(header) <> '{MOROSOS.header}' AS lacks FROM looks)
 """
 
 
 @query("q_detect_header", f"""
-WITH {fx.HEADER_FILES}, {_LACKING} SELECT file, lacks AS missing_header FROM flagged
+WITH {fx.HEADER_FILES}, {_LACKING} SELECT file, is_data AS missing_header FROM flagged
 """)
 def _(spark, sf):
     return headers.detect_missing_header(fx.header_files(spark, sf))
 
 
 @query("q_detect_expected_header", f"""
-WITH {fx.HEADER_FILES} SELECT file, c_custkey % 5 <> 0 AS missing_header FROM header_files
+WITH {fx.HEADER_FILES} SELECT file, trim(header) <> '{MOROSOS.header}' AS missing_header FROM header_files
 """)
 def _(spark, sf):
     return headers.detect_missing_header(fx.header_files(spark, sf), MOROSOS.header)
@@ -354,7 +375,6 @@ def _(spark, sf):
 
 # ---------------------------------------------------------------- validation
 
-_FLOAT = r"[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))"
 _PLAIN = r"-?(0|[1-9][0-9]*)(\.[0-9]+)?"
 _SCIENTIFIC = r"-?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
 
@@ -456,9 +476,8 @@ def _(spark, sf):
     return quality.audit_numeric(fx.debtors(spark, sf), MOROSOS).rejects.select("line", "field", "value")
 
 
-@query("q_audit_capped", f"""
-WITH {fx.DEBTORS}, bad AS ({_bad_cells(_scientific)})
-SELECT line, field, value FROM bad QUALIFY row_number() OVER (PARTITION BY field ORDER BY line) <= 20
+@query("q_audit_scientific", f"""
+WITH {fx.DEBTORS}, bad AS ({_bad_cells(_scientific)}) SELECT line, field, value FROM bad
 """)
 def _(spark, sf):
     found = quality.audit_numeric(fx.debtors(spark, sf), MOROSOS, rule="scientific")
@@ -485,11 +504,11 @@ def _type_errors() -> str:
     checks = []
     for field, kind in MOROSOS.kinds.items():
         if kind == "decimal":
-            checks.append((field, f"NOT regexp_full_match({field}, '{_FLOAT}')", f"'Invalid {field} (must be decimal): ' || {field}"))
+            checks.append((field, f"NOT regexp_full_match({field}, '{_FLOAT}')", f"'{field} is no decimal number: ' || {field}"))
         elif kind == "int32":
-            checks.append((field, f"NOT {_I32.format(field)}", f"'Invalid {field} (must be integer): ' || {field}"))
+            checks.append((field, f"NOT {_I32.format(field)}", f"'{field} is no 32-bit integer: ' || {field}"))
         elif kind == "required":
-            checks.append((field, f"{field} = ''", f"'Field {field} cannot be empty'"))
+            checks.append((field, f"{field} = ''", f"'{field} is empty'"))
     return " UNION ALL ".join(
         f"SELECT k + 2 AS line, 'TypeError' AS error_type, '{field}' AS field, {details} AS details, "
         f"{_KEY} AS table_key, coalesce({_RESUME}, 'INVALID_SQL_KEY') AS resume_key FROM debtors WHERE coalesce({bad}, true)"
@@ -520,14 +539,14 @@ SELECT CAST(line AS VARCHAR) AS "Line", error_type AS "ErrorType", details AS "D
   table_key AS "DynamoDbKey", resume_key AS "SqlCompositeKey" FROM bad
 """)
 def _(spark, sf):
-    folder = fx.scratch(spark)
+    folder = new_folder(spark)
     write_rejects(quality.validate_model(fx.debtors(spark, sf), MOROSOS).rejects, folder)
     return spark.read.option("header", True).option("escape", '"').option("emptyValue", "").csv(folder)
 
 
 @query("q_keys", f"WITH {fx.DEBTORS} SELECT k + 1 AS record, {_KEY} AS key FROM debtors")
 def _(spark, sf):
-    return quality.extract_keys(fx.debtors(spark, sf), MOROSOS, limit=None)
+    return quality.extract_keys(fx.debtors(spark, sf), MOROSOS).clean
 
 
 @query("q_resume_key", f"""
@@ -550,7 +569,7 @@ def _(spark, sf):
 
 @query("q_drop_ragged_rejects", f"""
 WITH {fx.DEBTOR_LINES}
-SELECT k + 2 AS line, 'ColumnMismatch' AS error_type, 'Expected 14 but found ' || CAST(n_fields AS VARCHAR) AS details,
+SELECT k + 2 AS line, 'ColumnMismatch' AS error_type, CAST(n_fields AS VARCHAR) || ' cells under 14 columns' AS details,
   {_KEY} AS table_key, line AS record
 FROM debtor_lines WHERE n_fields <> 14
 """)
@@ -561,7 +580,7 @@ def _(spark, sf):
 
 @query("q_missing_key", f"WITH {fx.DEBTORS} SELECT k + 1 AS row_no, Cuil, IdTransmit FROM debtors WHERE trim(Cuil) = ''")
 def _(spark, sf):
-    found = quality.find_missing_key(fx.debtors(spark, sf), "Cuil", max_report=None)
+    found = quality.find_missing_key(fx.debtors(spark, sf), "Cuil")
     return found.rejects.select(F.col(ROW_NO).alias("row_no"), "Cuil", "IdTransmit")
 
 
@@ -572,14 +591,14 @@ FROM documents WHERE octet_length(encode(text)) > 5000
 def _(spark, sf):
     documents = fx.table(spark, sf, "documents").withColumn("line_no", F.lit(1))
     lines = line_source.line_table(documents, "doc_id", "doc_id", "line_no", "text")
-    return quality.find_oversize(lines, threshold=5000, max_report=None)
+    return quality.find_oversize(lines, threshold=5000)
 
 
 @query("q_invalid_numeric", f"""
 WITH {fx.DEBTORS}, bad AS ({_bad_cells(_strict)}) SELECT line, field, value FROM bad WHERE field IN ('Cuil', 'IdRegion', 'IdEntidad')
 """)
 def _(spark, sf):
-    return quality.find_invalid_numeric(fx.debtors(spark, sf), ["Cuil", "IdRegion", "IdEntidad"], max_report=None)
+    return quality.find_invalid_numeric(fx.debtors(spark, sf), ["Cuil", "IdRegion", "IdEntidad"]).drop("file")
 
 
 @query("q_check_numeric_keys", f"""
@@ -611,7 +630,7 @@ WITH {fx.DATES} SELECT k + 2 AS line, 'DATE_CONVERSION_ERROR' AS error_type, raw
 FROM parsed WHERE raw <> '' AND iso IS NULL
 """)
 def _(spark, sf):
-    return date_jobs.convert_date(fx.dates(spark, sf), "raw").rejects
+    return date_jobs.convert_date(fx.dates(spark, sf), "raw").rejects.drop("file")
 
 
 @query("q_convert_all_dates", f"""
@@ -680,26 +699,29 @@ def _(spark, sf):
     return date_jobs.find_earliest_batch(_orders_by_priority(spark, sf), "day", fmt="iso")
 
 
-@query("q_last_by_month_hit", f"""
+def _by_month(year: int, month: int, last: str) -> str:
+    return f"""
 WITH {fx.DATES},
-hits AS (SELECT * FROM parsed WHERE year(us_ts) = 1997 AND month(us_ts) = 5)
-SELECT true AS found, count(*) AS matched, (SELECT count(us_ts) FROM parsed) AS valid,
-  strftime(arg_max(us_ts, (us_ts, -k)), '%Y-%m-%dT%H:%M:%S') AS date, arg_max(k, (us_ts, -k)) + 2 AS line,
-  arg_max({_PREVIEW}, (us_ts, -k)) AS preview, CAST(NULL AS BIGINT) AS days_away, CAST(NULL AS VARCHAR) AS side
-FROM hits
-""")
+seen AS (
+  SELECT *, year(us_ts) = {year} AND month(us_ts) = {month} AS inside, abs(epoch(us_ts) - epoch(TIMESTAMP '{last}')) AS away
+  FROM parsed WHERE us_ts IS NOT NULL),
+counts AS (SELECT count(*) FILTER (WHERE inside) AS matched, count(*) AS valid FROM seen),
+best AS (
+  SELECT * FROM seen, counts
+  ORDER BY CASE WHEN matched > 0 AND NOT inside THEN 1 ELSE 0 END, CASE WHEN matched > 0 THEN -epoch(us_ts) ELSE away END, k LIMIT 1)
+SELECT matched > 0 AS found, matched, valid, strftime(us_ts, '%Y-%m-%dT%H:%M:%S') AS date, k + 2 AS line, {_PREVIEW} AS preview,
+  CASE WHEN matched = 0 THEN CAST(floor(away / 86400) AS BIGINT) END AS days_away,
+  CASE WHEN matched = 0 THEN CASE WHEN us_ts < TIMESTAMP '{last}' THEN 'before' ELSE 'after' END END AS side
+FROM best
+"""
+
+
+@query("q_last_by_month_hit", _by_month(1997, 5, "1997-05-31 23:59:59"))
 def _(spark, sf):
     return date_jobs.find_last_by_month(fx.dates(spark, sf), "us12", 1997, 5)
 
 
-@query("q_last_by_month_miss", f"""
-WITH {fx.DATES},
-near AS (SELECT *, abs(epoch(us_ts) - epoch(TIMESTAMP '2005-01-31 23:59:59')) AS away FROM parsed WHERE us_ts IS NOT NULL)
-SELECT false AS found, CAST(0 AS BIGINT) AS matched, count(*) AS valid,
-  strftime(arg_min(us_ts, (away, k)), '%Y-%m-%dT%H:%M:%S') AS date, arg_min(k, (away, k)) + 2 AS line,
-  arg_min({_PREVIEW}, (away, k)) AS preview, CAST(floor(min(away) / 86400) AS BIGINT) AS days_away, 'before' AS side
-FROM near
-""")
+@query("q_last_by_month_miss", _by_month(2005, 1, "2005-01-31 23:59:59"))
 def _(spark, sf):
     return date_jobs.find_last_by_month(fx.dates(spark, sf), "us12", 2005, 1)
 
@@ -750,7 +772,7 @@ SELECT '/exports/' || s_name || '.csv' AS path FROM supplier WHERE s_suppkey % 4
 """)
 def _(spark, sf):
     """Suppliers as manifest entries: comments, blank lines, padded and plain paths."""
-    folder = fx.scratch(spark)
+    folder = new_folder(spark)
     name = F.concat(F.lit("/exports/"), "s_name", F.lit(".csv"))
     turn = F.col("s_suppkey") % 4
     entry = F.when(turn == 0, F.concat(F.lit(" # "), name)).when(turn == 1, "   ").when(
@@ -762,31 +784,56 @@ def _(spark, sf):
 _CUSTOMERS = TableModel("customers", ("key", "rank", "name", "segment"), ("key",), ("key", "rank"))
 
 
-@query("q_batch_add_headers", """
-SELECT n_name AS file_name, CAST(c_custkey AS VARCHAR) AS key, '1' AS rank, c_name AS name, c_mktsegment AS segment
-FROM customer JOIN nation ON n_nationkey = c_nationkey
-""")
-def _(spark, sf):
-    """Each nation is a file of its customers; every second one has a header of its own."""
+# Nations as files of their customers: with the model's header, with another one, or with none.
+_NATION_FILES = f"""
+nation_files AS (
+  SELECT n_nationkey, n_name, CASE n_nationkey % 4 WHEN 0 THEN '{_CUSTOMERS.header}' WHEN 2 THEN 'id,' || lower(n_comment_free) END AS own
+  FROM (SELECT *, 'name of ' || n_name AS n_comment_free FROM nation)),
+first_lines AS (
+  SELECT n_nationkey, n_name, coalesce(own, arg_min(CAST(c_custkey AS VARCHAR) || ',1,' || c_name || ',' || c_mktsegment, c_custkey)) AS line
+  FROM nation_files JOIN customer ON n_nationkey = c_nationkey GROUP BY n_nationkey, n_name, own),
+foreign_files AS (
+  SELECT * FROM first_lines WHERE trim(line) <> '{_CUSTOMERS.header}'
+    AND len(list_filter(string_split(line, ','), lambda x: trim(x) = '' OR regexp_full_match(trim(x), '{_FLOAT}'))) = 0)
+"""
+
+
+def _nation_lines(spark, sf):
+    turn, name = F.col("n_nationkey") % 4, F.concat(F.lit("id,name of "), F.col("n_name"))
     nations = fx.table(spark, sf, "nation").select(
-        F.col("n_nationkey").alias("file_ord"), F.col("n_name").alias("file"), (F.col("n_nationkey") % 2 == 0).alias("headed"))
+        F.col("n_nationkey").alias("file_ord"), F.col("n_name").alias("file"),
+        F.when(turn == 0, _CUSTOMERS.header).when(turn == 2, F.lower(name)).alias("own"))
     customers = fx.table(spark, sf, "customer").withColumnRenamed("c_nationkey", "file_ord")
     tops = customers.groupBy("file_ord").agg(F.min("c_custkey").alias("top"))
-    first = ~F.col("headed") & (F.col("c_custkey") == F.col("top"))
+    first = F.col("own").isNull() & (F.col("c_custkey") == F.col("top"))
     data = customers.join(nations, "file_ord").join(tops, "file_ord").select(
         "file", "file_ord", F.when(first, 1).otherwise(F.col("c_custkey") + 2).alias("line_no"),
         F.concat_ws(",", F.col("c_custkey").cast("string"), F.lit("1"), "c_name", "c_mktsegment").alias("line"))
-    own = nations.filter("headed").select("file", "file_ord", F.lit(1).cast("bigint").alias("line_no"), F.lit(_CUSTOMERS.header).alias("line"))
-    lines = line_source.line_table(data.unionByName(own), "file", "file_ord", "line_no", "line")
-    folder = fx.scratch(spark)
-    headers.batch_add_headers(lines, _CUSTOMERS, folder)
+    filled = nations.join(tops, "file_ord").filter("own IS NOT NULL")
+    own = filled.select("file", "file_ord", F.lit(1).cast("bigint").alias("line_no"), F.col("own").alias("line"))
+    return line_source.line_table(data.unionByName(own), "file", "file_ord", "line_no", "line")
+
+
+@query("q_batch_add_headers", f"""
+WITH {_NATION_FILES}
+SELECT n_name AS file_name, CAST(c_custkey AS VARCHAR) AS key, '1' AS rank, c_name AS name, c_mktsegment AS segment
+FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_nationkey NOT IN (SELECT n_nationkey FROM foreign_files)
+""")
+def _(spark, sf):
+    folder = new_folder(spark)
+    headers.batch_add_headers(_nation_lines(spark, sf), _CUSTOMERS, folder)
     written = spark.read.option("header", True).csv(folder)
     return written.select("file_name", "key", "rank", "name", "segment")
 
 
+@query("q_batch_foreign_headers", f"WITH {_NATION_FILES} SELECT n_name AS file, line AS header FROM foreign_files")
+def _(spark, sf):
+    return headers.batch_add_headers(_nation_lines(spark, sf), _CUSTOMERS, new_folder(spark))
+
+
 @query("q_file_records", f"WITH {fx.DEBTORS} SELECT {_CELLS} FROM debtors")
 def _(spark, sf):
-    folder = fx.scratch(spark)
+    folder = new_folder(spark)
     write_records(fx.debtors(spark, sf), folder)
     return read_records(spark, folder).select(*MOROSOS.columns)
 
@@ -796,7 +843,7 @@ SELECT count(*) AS lines, count(DISTINCT o_orderkey) AS places, true AS in_order
 """)
 def _(spark, sf):
     """Range-sorted lines come back numbered in order over many files and blocks."""
-    folder = fx.scratch(spark)
+    folder = new_folder(spark)
     lines = fx.debtor_lines(spark, sf).select(F.format_string("%012d,%s", "line_no", "line").alias("line"))
     write_lines(lines.orderBy("line"), folder, header="line_no,line")
     found = line_source.read_lines(spark, folder).filter("line_no > 1").select(
@@ -820,10 +867,279 @@ WITH {fx.DEBTORS} SELECT 'part_' || lpad(CAST(k // 2000 + 1 AS VARCHAR), 3, '0')
 FROM debtors GROUP BY 1
 """)
 def _(spark, sf):
-    folder = fx.scratch(spark)
+    folder = new_folder(spark)
     write_chunks(slices.split_chunks(fx.debtors(spark, sf), 2000), folder, "part")
     written = spark.read.option("header", True).option("escape", '"').csv(folder)
     place = F.col("IdTransmit").cast("bigint")
     return written.groupBy("chunk").agg(
         F.count("*").alias("records"), F.min(place).alias("first_id"), F.max(place).alias("last_id")
     )
+
+
+# ---------------------------------------------------------------- ragged and unreadable records
+
+_SOUND = f"WITH {fx.BROKEN_LINES}"
+
+
+@query("q_filter_ragged", f"{_SOUND} SELECT k + 1 AS row_no, Cuil, IdTransmit FROM broken_lines WHERE unsound IS NULL AND CreateUser = 'user1'")
+def _(spark, sf):
+    found = slices.filter_equals(fx.broken_debtors(spark, sf), "CreateUser", "user1")
+    return found.select(F.col(ROW_NO).alias("row_no"), "Cuil", "IdTransmit")
+
+
+@query("q_unsound_rows", f"""{_SOUND}
+SELECT k + 2 AS line, unsound AS error_type, broken_lines.line AS record FROM broken_lines WHERE unsound IS NOT NULL
+""")
+def _(spark, sf):
+    return unsound_rows(fx.broken_debtors(spark, sf)).select("line", "error_type", "record")
+
+
+@query("q_delete_from_row_ragged", f"{_SOUND} SELECT k + 1 AS row_no, RazonSocial FROM broken_lines WHERE unsound IS NULL AND k + 2 < 9000")
+def _(spark, sf):
+    return slices.delete_from_row(fx.broken_debtors(spark, sf), 9000).select(F.col(ROW_NO).alias("row_no"), "RazonSocial")
+
+
+_ALIKE = {"IdTransmit": "1", "CreateDate": "", "Periodo": "199701", "NroDoc": "7"}
+_ALIKE_CELLS = ", ".join(f"'{_ALIKE[name]}' AS {name}" if name in _ALIKE else name for name in MOROSOS.columns)
+
+
+def _alike(spark, sf):
+    return fx.broken_debtors(spark, sf).withColumns({name: F.lit(value) for name, value in _ALIKE.items()})
+
+
+@query("q_dedup_records_ragged", f"{_SOUND} SELECT DISTINCT {_ALIKE_CELLS} FROM broken_lines WHERE unsound IS NULL")
+def _(spark, sf):
+    return merge.dedup_records(_alike(spark, sf))
+
+
+@query("q_merge_records_ragged", f"""{_SOUND}
+SELECT {_ALIKE_CELLS} FROM broken_lines WHERE unsound IS NULL
+UNION SELECT {_CELLS} FROM broken_lines WHERE unsound IS NULL AND k % 3 = 0
+""")
+def _(spark, sf):
+    third = fx.broken_debtors(spark, sf).filter((F.col(ROW_NO) - 1) % 3 == 0)
+    return merge.merge_records_dedup([_alike(spark, sf), third])
+
+
+@query("q_convert_date_ragged", f"""{_SOUND}
+SELECT k + 2 AS line, coalesce(unsound, 'DATE_CONVERSION_ERROR') AS error_type FROM broken_lines WHERE unsound IS NOT NULL OR k % 7 = 0
+""")
+def _(spark, sf):
+    day = F.when((F.col(ROW_NO) - 1) % 7 == 0, "soon").otherwise("2024-01-05T10:20:30")
+    rows = fx.broken_debtors(spark, sf).withColumn("CreateDate", day)
+    return date_jobs.convert_date(rows, "CreateDate").rejects.select("line", "error_type")
+
+
+@query("q_field_errors_ragged", f"""{_SOUND}, bad AS ({_bad_cells(_strict, "broken_lines", "coalesce(unsound, '') <> 'PARSE_ERROR'")})
+SELECT field, count(*) AS errors FROM bad GROUP BY field
+""")
+def _(spark, sf):
+    return quality.field_error_counts(fx.broken_debtors(spark, sf), MOROSOS, rule="strict38")
+
+
+@query("q_keys_rejects", f"{_SOUND} SELECT k + 1 AS record, unsound AS error_type FROM broken_lines WHERE unsound IS NOT NULL")
+def _(spark, sf):
+    return quality.extract_keys(fx.broken_debtors(spark, sf), MOROSOS).rejects.select("record", "error_type")
+
+
+@query("q_resume_rejects", f"""{_SOUND},
+reasons AS (
+  SELECT k + 1 AS record, CASE WHEN unsound IS NOT NULL THEN unsound WHEN NOT {_I32.format('IdTransmit')} THEN 'Invalid IdTransmit'
+    WHEN NOT {_I32.format('IdCliente')} THEN 'Invalid IdCliente' END AS error_type FROM broken_lines)
+SELECT * FROM reasons WHERE error_type IS NOT NULL
+""")
+def _(spark, sf):
+    return quality.extract_resume_key(fx.broken_debtors(spark, sf)).rejects.select("record", "error_type")
+
+
+# ---------------------------------------------------------------- several files
+
+@query("q_rejects_by_file", f"""{_SOUND},
+bad AS ({_bad_cells(_strict, "broken_lines", "unsound IS NULL").replace("k + 2 AS line", "k")})
+SELECT file, file_line AS line, field, value FROM bad JOIN {fx.TWO_FILES} f ON bad.k = f.k
+""")
+def _(spark, sf):
+    rows = parse_lines(fx.two_files(spark, sf), list(MOROSOS.columns), header=False)
+    rejects = quality.sanitize_for_import(rows, MOROSOS, rule="strict38").rejects
+    return rejects.filter("error_type = 'INVALID_NUMERIC'").select("file", "line", "field", "value")
+
+
+@query("q_chunks_by_file", f"""{_SOUND}
+SELECT file, (file_line - 2) // 500 + 1 AS chunk_id, count(*) AS records, min(k) AS first_k, max(k) AS last_k
+FROM {fx.TWO_FILES} f WHERE unsound IS NULL GROUP BY 1, 2
+""")
+def _(spark, sf):
+    rows = parse_lines(fx.two_files(spark, sf), list(MOROSOS.columns), header=False)
+    k = F.regexp_replace("IdTransmit", "^0(?=.)", "").cast("bigint")
+    return slices.split_chunks(quality.drop_ragged(rows).clean, 500).groupBy(
+        F.col("_file").alias("file"), F.col("_chunk_id").alias("chunk_id")
+    ).agg(F.count("*").alias("records"), F.min(k).alias("first_k"), F.max(k).alias("last_k"))
+
+
+def _tied_dates(spark, sf):
+    """Every row has one of four days, in two files of which the odd rows' comes first."""
+    k = F.col(ROW_NO) - 1
+    day = F.concat(F.lit("01/0"), (k % 4 + 1).cast("string"), F.lit("/2024 10:00:00 AM"))
+    place = F.expr(f"({ROW_NO} - 1) div 2 + 1")
+    return fx.dates(spark, sf).select(
+        "id", day.alias("day"), F.when(k % 2 == 1, "odd").otherwise("even").alias("_file"),
+        line_source.ordinal((k + 1) % 2, place).alias("_ord"), place.alias(ROW_NO))
+
+
+@query("q_oldest_over_files", f"""
+WITH {fx.DATES},
+tied AS (SELECT id, k % 4 + 1 AS day, (k + 1) % 2 AS file_ord, k // 2 + 1 AS place FROM dates),
+best AS (SELECT * FROM tied ORDER BY day, file_ord, place LIMIT 1)
+SELECT '2024-01-0' || CAST(day AS VARCHAR) || 'T10:00:00' AS date, place + 1 AS line,
+  id || ' | 01/0' || CAST(day AS VARCHAR) || '/2024 10:00:00 AM' AS preview, (SELECT count(*) FROM tied) AS processed FROM best
+""")
+def _(spark, sf):
+    return date_jobs.find_oldest(_tied_dates(spark, sf), "day").select("date", "line", "preview", "processed")
+
+
+@query("q_newest_over_files", f"""
+WITH {fx.DATES},
+tied AS (SELECT id, k % 4 + 1 AS day, (k + 1) % 2 AS file_ord, k // 2 + 1 AS place FROM dates),
+best AS (SELECT * FROM tied ORDER BY day DESC, file_ord, place LIMIT 1)
+SELECT id, '2024-01-0' || CAST(day AS VARCHAR) || 'T10:00:00' AS date FROM best
+""")
+def _(spark, sf):
+    newest = date_jobs.find_newest(_tied_dates(spark, sf), "day")
+    return newest.select(F.split("preview", " ")[0].alias("id"), "date")
+
+
+# ---------------------------------------------------------------- more spellings and models
+
+_MDY = """
+spelled AS (
+  SELECT o_orderpriority, o_orderkey AS k, o_orderdate + to_seconds((o_orderkey * 61) % 86400) AS ts FROM orders),
+mdy AS (SELECT *, CASE WHEN k % 10 = 0 THEN NULL WHEN k % 4 = 1 THEN date_trunc('day', ts) ELSE ts END AS moment FROM spelled)
+"""
+
+
+def _mdy(spark, sf):
+    """Month-first dates on a 24-hour clock: some without time, some behind a counter, some unreadable."""
+    plain = fx._dated_orders(spark, sf)
+    k = F.col("k")
+    day = F.concat(F.substring("plain", 6, 2), F.lit("/"), F.substring("plain", 9, 2), F.lit("/"), F.substring("plain", 1, 4))
+    timed = F.concat(day, F.lit(" "), F.substring("plain", 12, 8))
+    cell = F.when(k % 10 == 0, "13/45/2024").when(k % 4 == 1, day).when(k % 4 == 2, F.concat(F.lit("1,"), timed)).otherwise(timed)
+    return plain.select(F.col("o_orderpriority").alias("_file"), cell.alias("day"))
+
+
+@query("q_find_latest_mdy", f"""
+WITH {_MDY} SELECT strftime(max(moment), '%Y-%m-%dT%H:%M:%S') AS latest, count(moment) AS valid, count(*) - count(moment) AS invalid FROM mdy
+""")
+def _(spark, sf):
+    return date_jobs.find_latest(_mdy(spark, sf), "day")
+
+
+def _mdy_by_priority(pick: str, name: str) -> str:
+    return f"""
+WITH {_MDY} SELECT CASE WHEN grouping(o_orderpriority) = 1 THEN 'TOTAL' ELSE o_orderpriority END AS file,
+  strftime({pick}(moment), '%Y-%m-%dT%H:%M:%S') AS {name}, count(moment) AS valid FROM mdy GROUP BY ROLLUP (o_orderpriority)
+"""
+
+
+@query("q_latest_batch_mdy", _mdy_by_priority("max", "latest"))
+def _(spark, sf):
+    return date_jobs.find_latest_batch(_mdy(spark, sf), "day")
+
+
+@query("q_earliest_batch_mdy", _mdy_by_priority("min", "earliest"))
+def _(spark, sf):
+    return date_jobs.find_earliest_batch(_mdy(spark, sf), "day")
+
+
+@query("q_sort_by_mixed_dates", f"""
+WITH {fx.DATES} SELECT id, row_number() OVER (ORDER BY iso NULLS LAST, k) AS place FROM parsed
+""")
+def _(spark, sf):
+    rows = fx.dates(spark, sf).select("id", "raw", ROW_NO)
+    return date_jobs.sort_by_date(rows, "raw", order="asc", fmt="mixed", numbered=True).select("id", "place")
+
+
+@query("q_validate_relations", """
+WITH relations AS (
+  SELECT o_orderkey AS k, CASE WHEN o_orderkey % 11 = 0 THEN '9223372036854775808' ELSE CAST(20000000000 + o_custkey AS VARCHAR) END AS Cuil,
+    CASE WHEN o_orderkey % 13 = 0 THEN 'x' ELSE CAST(o_custkey AS VARCHAR) END AS Cuit,
+    CASE WHEN o_orderkey % 17 = 0 THEN strftime(o_orderdate, '%d/%m/%Y') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS FechaIngreso, '' AS FechaBaja
+  FROM orders)
+SELECT k + 2 AS line, 'Cuil' AS field, 'Cuil is no 64-bit integer: ' || Cuil AS details FROM relations WHERE TRY_CAST(Cuil AS BIGINT) IS NULL
+UNION ALL SELECT k + 2, 'Cuit', 'Cuit is no 64-bit integer: ' || Cuit FROM relations WHERE TRY_CAST(Cuit AS BIGINT) IS NULL
+UNION ALL SELECT k + 2, 'FechaIngreso', 'FechaIngreso is no ISO date: ' || FechaIngreso FROM relations
+  WHERE NOT regexp_full_match(FechaIngreso, '[0-9]{4}-[0-9]{2}-[0-9]{2}')
+""")
+def _(spark, sf):
+    plain, k = F.col("o_orderdate").cast("string"), F.col("o_orderkey")
+    slashed = F.concat_ws("/", F.substring(plain, 9, 2), F.substring(plain, 6, 2), F.substring(plain, 1, 4))
+    rows = fx.table(spark, sf, "orders").select(
+        F.when(k % 11 == 0, "9223372036854775808").otherwise((F.col("o_custkey") + 20000000000).cast("string")).alias("Cuil"),
+        F.when(k % 13 == 0, "x").otherwise(F.col("o_custkey").cast("string")).alias("Cuit"),
+        F.when(k % 17 == 0, slashed).otherwise(F.substring(plain, 1, 10)).alias("FechaIngreso"), F.lit("").alias("FechaBaja"),
+        (k + 1).alias(ROW_NO))
+    return quality.validate_model(rows, "empleadores_relaciones").rejects.select("line", "field", "details")
+
+
+@query("q_validate_employers", """
+WITH employers AS (
+  SELECT s_suppkey AS k, CASE WHEN s_suppkey % 7 = 0 THEN 'n/a' ELSE CAST(s_suppkey AS VARCHAR) || '.5' END AS Cuit, s_name AS RazonSocial,
+    CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE s_name END AS Domicilio FROM supplier)
+SELECT k + 2 AS line, 'Cuit' AS field, 'Cuit is no decimal number: ' || Cuit AS details FROM employers WHERE TRY_CAST(Cuit AS DOUBLE) IS NULL
+UNION ALL SELECT k + 2, 'Domicilio', 'Domicilio is empty' FROM employers WHERE Domicilio = ''
+""")
+def _(spark, sf):
+    k = F.col("s_suppkey")
+    rows = fx.table(spark, sf, "supplier").select(
+        F.when(k % 7 == 0, "n/a").otherwise(F.concat(k.cast("string"), F.lit(".5"))).alias("Cuit"), F.col("s_name").alias("RazonSocial"),
+        F.when(k % 5 == 0, "").otherwise(F.col("s_name")).alias("Domicilio"), F.lit("1000").alias("CodPostal"),
+        F.lit("here").alias("Localidad"), F.lit("there").alias("NombreProvincia"), F.lit("").alias("Telefono"), (k + 1).alias(ROW_NO))
+    return quality.validate_model(rows, "empleadores").rejects.select("line", "field", "details")
+
+
+# ---------------------------------------------------------------- every line and every quote, written and read back
+
+@query("q_merge_written", f"""{_MERGED},
+kept AS (SELECT CASE WHEN line_no % 5 = 2 THEN '' ELSE line END AS line FROM merged WHERE line_no > 1)
+SELECT count(*) AS lines, count(*) FILTER (WHERE line = '') AS blank, CAST(sum(strlen(line)) AS BIGINT) AS bytes, count(DISTINCT line) AS different FROM kept
+""")
+def _(spark, sf):
+    lines = fx.document_lines(spark, sf)
+    blanked = lines.withColumn("line", F.when((F.col("line_no") % 5 == 2) & (F.col("line_no") > 1), "").otherwise(F.col("line")))
+    folder = new_folder(spark)
+    write_lines(merge.merge(blanked).filter("line_no > 1"), folder, header="a line")
+    read = line_source.read_lines(spark, folder).filter("line_no > 1")
+    return read.agg(
+        F.count("*").alias("lines"), F.count_if(F.col("line") == "").alias("blank"),
+        F.sum(F.octet_length("line").cast("bigint")).alias("bytes"), F.count_distinct("line").alias("different"))
+
+
+@query("q_non_numeric_written", f"""
+WITH {fx.DEBTORS} SELECT {" || ',' || ".join(_non_numeric(name) for name in MOROSOS.columns)} AS line FROM debtors WHERE {_all(_strict)}
+""")
+def _(spark, sf):
+    folder = new_folder(spark)
+    write_records(quality.sanitize_for_import(fx.debtors(spark, sf), MOROSOS, rule="strict38").clean, folder, quote="non_numeric")
+    return line_source.read_lines(spark, folder).filter("line_no > 1").select("line")
+
+
+# A document is one quoted cell; its line breaks make several lines of it.
+@query("q_quoted_breaks", """
+WITH physical AS (
+  SELECT unnest(string_split(CAST(doc_id AS VARCHAR) || ',"' || replace(text, '"', '""') || '"', chr(10))) AS line FROM documents),
+cells AS (
+  SELECT line, len(line) - len(replace(line, '"', '')) AS quotes, regexp_replace(line, '"[^"]*(""[^"]*)*"', '', 'g') AS bare
+  FROM physical WHERE line <> ''),
+sound AS (SELECT *, quotes % 2 = 0 AND len(bare) - len(replace(bare, ',', '')) = 1 AS fits FROM cells)
+SELECT (SELECT count(*) FILTER (WHERE fits) FROM sound) AS split_clean, (SELECT count(*) FILTER (WHERE NOT fits) FROM sound) AS split_rejects,
+  count(*) AS whole, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM documents
+""")
+def _(spark, sf):
+    folder = new_folder(spark)
+    cell = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    fx.table(spark, sf, "documents").select(F.concat_ws(",", F.col("doc_id").cast("string"), cell).alias("value")).write.text(folder)
+    split = quality.drop_ragged(read_records(spark, folder, header=False, names=["id", "text"]))
+    whole = read_records(spark, folder, header=False, names=["id", "text"], multi_line=True)
+    counts = split.summary.select(F.col("valid").alias("split_clean"), F.col("invalid").alias("split_rejects"), F.lit(1).alias("one"))
+    totals = whole.agg(F.count("*").alias("whole"), F.sum(F.octet_length("text").cast("bigint")).alias("bytes"), F.lit(1).alias("one"))
+    return counts.join(totals, "one").drop("one")

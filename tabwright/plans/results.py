@@ -38,3 +38,49 @@ def require_columns(df: DataFrame, *names: str) -> None:
     missing = [name for name in names if name not in df.columns]
     if missing:
         raise ValueError(f"column(s) {missing} not found; the table has {df.columns}")
+
+
+def place_of(df: DataFrame, row_no: str = ROW_NO) -> Column:
+    """Input order over all files where the reader gave it, else the row number."""
+    return F.col("_ord") if "_ord" in df.columns else F.col(row_no)
+
+
+def file_of(df: DataFrame) -> Column:
+    return F.col("_file") if "_file" in df.columns else F.lit(None).cast("string")
+
+
+def width_of(df: DataFrame, row_no: str = ROW_NO) -> int:
+    return len([name for name in data_columns(df) if name != row_no])
+
+
+def is_ragged(df: DataFrame, width: int) -> Column:
+    return F.col(FIELDS) != width if FIELDS in df.columns else F.lit(False)
+
+
+def is_unreadable(df: DataFrame, width: int) -> Column:
+    """The width fits but the text is no record."""
+    return ~is_ragged(df, width) & F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
+
+
+def sound_rows(df: DataFrame, strict: bool = False, row_no: str = ROW_NO) -> DataFrame:
+    """Rows that fit their header and could be read; with ``strict`` any other row fails the job."""
+    if FIELDS not in df.columns and CORRUPT not in df.columns:
+        return df
+    width = width_of(df, row_no)
+    unsound = is_ragged(df, width) | is_unreadable(df, width)
+    if not strict:
+        return df.filter(~unsound)
+    return df.filter(F.when(unsound, F.raise_error(F.lit("a record does not fit its header")).cast("boolean")).otherwise(F.lit(True)))
+
+
+def unsound_rows(df: DataFrame, row_no: str = ROW_NO) -> DataFrame:
+    """(file, line, ord, error_type, record) of the rows that ``sound_rows`` leaves out."""
+    width = width_of(df, row_no)
+    ragged = is_ragged(df, width)
+    record = F.col(CORRUPT) if CORRUPT in df.columns else F.lit(None).cast("string")
+    line = F.col(row_no) + 1 if row_no in df.columns else F.lit(None).cast("bigint")
+    return df.filter(ragged | is_unreadable(df, width)).select(
+        file_of(df).alias("file"), line.alias("line"),
+        (F.col("_ord") if "_ord" in df.columns else F.lit(None).cast("bigint")).alias("ord"),
+        F.when(ragged, "COLUMN_COUNT").otherwise("PARSE_ERROR").alias("error_type"), record.alias("record"),
+    )

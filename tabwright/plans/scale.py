@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,38 +67,38 @@ def computed_once(df: DataFrame, columns: dict[str, Column], drop: tuple[str, ..
     return df.select(*kept, F.inline(F.array(row)))
 
 
-def use_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a scratch folder in local mode only."""
-    context = spark.sparkContext
-    named = context.getCheckpointDir()
-    if named:
-        return named
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="tabwright-")
-    context.setCheckpointDir(folder)
-    return folder
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; the warehouse, which is shared too, where it names none."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+
+
+def new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/tabwright-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    use_checkpoint_dir(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
 def number_rows(df: DataFrame, order_by: list[Column], name: str) -> DataFrame:
     """Global row number in sort order without a single-task window.
 
-    The range-sorted rows are checkpointed once, because a second range sort may
-    pick other bounds.  Each partition then needs only the number of rows before
-    it: one row per partition, a count the session settings bound.
+    The range-sorted rows are written once, as compressed Parquet in the shared
+    folder, because a second range sort may pick other bounds.  Each partition
+    then needs only the number of rows before it: one row per partition, counted
+    without reading the data columns.
     """
-    saved = cut_lineage(df.orderBy(*order_by)).select(
+    folder = new_folder(df.sparkSession)
+    df.orderBy(*order_by).select(
         "*",
         F.spark_partition_id().alias("_tw_part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_BITS)).alias("_tw_position"),
-    )
+    ).write.parquet(folder)
+    saved = df.sparkSession.read.parquet(folder)
     before = F.sum("_rows").over(Window.orderBy("_tw_part").rowsBetween(Window.unboundedPreceding, -1))
     sizes = (
         saved.groupBy("_tw_part").agg(F.count("*").alias("_rows"))

@@ -41,8 +41,10 @@ def parse_lines(
     """Parse a line table into records; line 1 of every file is its header.
 
     A row whose width differs from the header keeps the cells that fit, has its
-    raw text in ``_corrupt`` and its real width in ``_n_fields``.  With
-    ``strict`` such a row fails the job.
+    raw text in ``_corrupt`` and its real width in ``_n_fields``.  A line with an
+    odd number of quotes is half of a record with a line break in quotes (read
+    such files with ``multi_line``) and is marked in ``_corrupt`` too.  With
+    ``strict`` such rows fail the job.
     """
     data = lines.filter("line_no > 1") if header else lines
     schema = record_schema(names)
@@ -53,7 +55,12 @@ def parse_lines(
         {"_cells": F.from_csv("line", _ddl(schema), csv_options(strict))},
     )
     cells = [text(F.col("_cells").getField(name)) for name in names]
-    corrupt = F.lit(None).cast("string") if strict else F.col("_cells").getField(CORRUPT)
+    halved = F.contains(F.col("line"), F.lit('"')) & (F.regexp_count("line", F.lit('"')) % 2 == 1)
+    if strict:
+        broken = F.raise_error(F.lit("a record has a line break in quotes: read its file with multi_line"))
+        corrupt = F.when(halved, broken.cast("string"))
+    else:
+        corrupt = F.coalesce(F.col("_cells").getField(CORRUPT), F.when(halved, F.col("line")))
     # A row that fits needs no counting.
     width = F.when(corrupt.isNull(), F.lit(len(names))).otherwise(field_count(F.col("line")))
     return parsed.select(
@@ -67,7 +74,15 @@ def parse_lines(
 
 
 def header_names(header: str) -> list[str]:
-    return next(csv.reader([header]), [])
+    """Names of a header line; a name that comes again gets its number (``a``, ``a_2``), ``check_header`` reports it."""
+    names, used = [], set()
+    for name in next(csv.reader([header]), []):
+        free, number = name, 2
+        while free.lower() in used:
+            free, number = f"{name}_{number}", number + 1
+        used.add(free.lower())
+        names.append(free)
+    return names
 
 
 def read_records(
@@ -89,7 +104,9 @@ def read_records(
     paths = [paths] if isinstance(paths, str) else list(paths)
     scan = line_source.scan_lines(spark, paths).filter("line != ''")
     if names is None:
-        tops = (line_source.scan_lines(spark, [path]).filter("_block = 0 AND line != ''").first() for path in paths)
+        # One small job per file until one has a line, in list and path order.
+        files = line_source.resolve_files(spark, paths)
+        tops = (line_source.scan_lines(spark, [file]).filter("_block = 0 AND line != ''").first() for file in files)
         top = next((row for row in tops if row), None)
         if top is None:
             raise ValueError("no file has a header line")

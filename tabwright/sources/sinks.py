@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.csvtext import render_header, render_line
 from tabwright.plans.results import ROW_NO, data_columns
+from tabwright.plans.scale import POSITION_BITS
 
-# Noncharacters cannot occur in exchanged text, so lines are written as they are.
-_AS_IS = {
-    "sep": "\ufffe",
-    "comment": "\uffff",
-    "quote": "",
-    "emptyValue": "",
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-    "header": "true",
-}
+# Lines of one output folder that share a file, so a folder of any size is written by many tasks.
+PIECE_LINES = 10_000_000
 
 
 def normalize_header(df: DataFrame) -> DataFrame:
@@ -26,34 +19,50 @@ def normalize_header(df: DataFrame) -> DataFrame:
 
 
 def write_lines(
-    lines: DataFrame, path: str, header: str, partition_by: str | list[str] = (), mode: str = "errorifexists"
+    lines: DataFrame, path: str, header: str, partition_by: str | list[str] = (), mode: str = "errorifexists",
+    order_by: str = "ord", piece_lines: int = PIECE_LINES,
 ) -> None:
-    """Write the ``line`` column under a header line, one folder per ``partition_by`` value."""
+    """Write the ``line`` column, every byte of it, under a header line.
+
+    Without ``partition_by`` each task writes its rows as they stand, in one file.
+    With it there is one folder per value, and in it one file per ``piece_lines``
+    lines in the order of ``order_by`` (in folders ``piece=0``, ``piece=1``, ...).
+    """
     folders = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    kept = lines.select(F.col("line").alias(header), *folders)
-    kept.write.mode(mode).options(**_AS_IS).partitionBy(*folders).csv(path)
+    headed = F.concat_ws("\n", F.lit(header), "line")
+    if not folders:
+        # A task's first row has position 0 in it.
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_BITS))
+        placed = lines.select("line", place.alias("_place"))
+        kept = placed.select(F.when(F.col("_place") == 0, headed).otherwise(F.col("line")).alias("value"))
+    else:
+        inside = Window.partitionBy(*folders, "piece").orderBy(order_by)
+        pieces = lines.withColumn("piece", F.expr(f"cast(`{order_by}` - 1 as bigint) div {piece_lines}"))
+        kept = pieces.withColumn("_place", F.row_number().over(inside)).select(
+            F.when(F.col("_place") == 1, headed).otherwise(F.col("line")).alias("value"), *folders, "piece")
+        folders = [*folders, "piece"]
+    kept.write.mode(mode).option("lineSep", "\n").partitionBy(*folders).text(path)
 
 
 def write_records(
     df: DataFrame,
     path: str,
     quote: str = "necessary",
-    partition_by: str | None = None,
     mode: str = "errorifexists",
 ) -> None:
     """Write the data columns as RFC 4180 text.
 
     ``quote`` is ``necessary`` or ``non_numeric`` (every cell that is not a
-    number).  Provenance columns (``_...``) and the partition column stay out.
+    number).  Provenance columns (``_...``) stay out.
     """
-    names = [name for name in data_columns(df) if name != partition_by]
-    lines = df.withColumn("line", render_line(names, quote))
-    write_lines(lines, path, render_header(names, quote), partition_by or (), mode)
+    names = data_columns(df)
+    write_lines(df.select(render_line(names, quote).alias("line")), path, render_header(names, quote), mode=mode)
 
 
-def write_rejects(rejects: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Reject log with the fixed five-column layout."""
+def write_rejects(rejects: DataFrame, path: str, mode: str = "errorifexists", with_file: bool = False) -> None:
+    """Reject log with the fixed five-column layout; ``with_file`` puts the file of each line first."""
     log = rejects.select(
+        *([F.col("file").alias("File")] if with_file else []),
         F.col("line").alias("Line"),
         F.col("error_type").alias("ErrorType"),
         F.col("details").alias("Details"),
@@ -66,11 +75,19 @@ def write_rejects(rejects: DataFrame, path: str, mode: str = "errorifexists") ->
 def write_chunks(
     chunked: DataFrame, path: str, prefix: str, row_no: str = ROW_NO, mode: str = "errorifexists"
 ) -> None:
-    """One folder ``chunk=prefix_001`` per chunk of ``split_chunks``.
+    """One file per chunk of ``split_chunks``, in the folder ``chunk=prefix_001``.
 
-    No shuffle: a task holds a run of rows, so it touches one or two chunks.
+    Records of several files (``_ord`` tells them apart) get a folder ``file=0``,
+    ``file=1``, ... around their chunks.
     """
+    names = [name for name in data_columns(chunked) if name != row_no]
     label = F.concat(F.lit(f"{prefix}_"), F.format_string("%03d", F.col("_chunk_id")))
-    # A task's rows are put in order first: the writer's own sort is by chunk alone.
-    ordered = chunked.withColumn("chunk", label).sortWithinPartitions("chunk", row_no)
-    write_records(ordered, path, partition_by="chunk", mode=mode)
+    file = [F.shiftright("_ord", 40).alias("file")] if "_ord" in chunked.columns else []
+    lines = chunked.select(render_line(names).alias("line"), label.alias("chunk"), F.col(row_no).alias("_no"), *file)
+    folders = [*(["file"] if file else []), "chunk"]
+    # A chunk is one file, whatever its size: its size was the caller's choice.
+    first = Window.partitionBy(*folders).orderBy("_no")
+    headed = F.concat_ws("\n", F.lit(render_header(names)), "line")
+    kept = lines.withColumn("_place", F.row_number().over(first)).select(
+        F.when(F.col("_place") == 1, headed).otherwise(F.col("line")).alias("value"), *folders)
+    kept.write.mode(mode).option("lineSep", "\n").partitionBy(*folders).text(path)

@@ -193,3 +193,50 @@ def test_overlapping_entries_are_refused(spark, tmp_path):
     path = put(tmp_path, "a.csv", "h\n1\n")
     with pytest.raises(ValueError, match="listed both"):
         read_lines(spark, [path, str(tmp_path)])
+
+
+ODD_LINES = ["x", "", "y", "a\0b", "back\\slash", "trailing  ", "\ttab", '"quoted"', "é"]
+
+
+def test_written_lines_are_the_lines(spark, tmp_path, lines_of):
+    lines = lines_of({"f": ODD_LINES}).coalesce(1).sortWithinPartitions("ord")
+    write_lines(lines, str(tmp_path / "out"), header="h")
+    assert part_texts(tmp_path / "out") == ["\n".join(["h", *ODD_LINES]) + "\n"]
+    write_lines(lines.unionByName(lines_of({"g": ["", "1"]})).repartition(5), str(tmp_path / "by"), "h", partition_by="file", order_by="line_no")
+    assert part_texts(tmp_path / "by" / "file=f") == ["\n".join(["h", *ODD_LINES]) + "\n"]
+    assert part_texts(tmp_path / "by" / "file=g") == ["h\n\n1\n"]
+    write_lines(lines, str(tmp_path / "pieces"), "h", partition_by="file", order_by="line_no", piece_lines=5)
+    texts = [part_texts(tmp_path / "pieces" / "file=f" / f"piece={n}") for n in (0, 1)]
+    assert texts == [["\n".join(["h", *ODD_LINES[:5]]) + "\n"], ["\n".join(["h", *ODD_LINES[5:]]) + "\n"]]
+
+
+def test_folder_header_is_the_first_files(spark, tmp_path):
+    put(tmp_path, "a.csv", "x,y\n1,2\n")
+    put(tmp_path, "b.csv", "p,q\n" + "3,4\n" * 500)
+    assert read_records(spark, str(tmp_path)).columns[:2] == ["x", "y"]
+
+
+def test_names_that_come_twice(spark, tmp_path):
+    rows = read_records(spark, put(tmp_path, "twice.csv", "a,a,A\n1,2,3\n"))
+    assert rows.columns[:3] == ["a", "a_2", "A_3"] and tuples(rows, "a", "a_2", "A_3") == [("1", "2", "3")]
+
+
+def test_quoted_breaks_are_marked_or_read_whole(spark, tmp_path):
+    path = put(tmp_path, "breaks.csv", 'a,b,c\n1,2,"c\nd"\n4,5,6\n')
+    rows = read_records(spark, path)
+    assert [row["_corrupt"] is None for row in rows.orderBy("_ord").collect()] == [False, False, True]
+    whole = read_records(spark, path, multi_line=True)
+    assert sorted(tuples(whole, "a", "c")) == [("1", "c\nd"), ("4", "6")]
+    with pytest.raises(Exception, match="multi_line"):
+        read_records(spark, path, strict=True).collect()
+
+
+def test_chunks_of_several_files_stay_apart(spark, tmp_path):
+    put(tmp_path, "a.csv", "k\n1\n2\n3\n")
+    put(tmp_path, "b.csv", "k\n4\n5\n6\n")
+    rows = read_records(spark, str(tmp_path / "*.csv"))
+    write_chunks(slices.split_chunks(rows, 2), str(tmp_path / "out"), "part")
+    found = {str(folder.relative_to(tmp_path / "out")): part_texts(folder) for folder in (tmp_path / "out").glob("file=*/chunk=*")}
+    assert found == {
+        "file=0/chunk=part_001": ["k\n1\n2\n"], "file=0/chunk=part_002": ["k\n3\n"],
+        "file=1/chunk=part_001": ["k\n4\n5\n"], "file=1/chunk=part_002": ["k\n6\n"]}
