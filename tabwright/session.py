@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "8", app: str = "tabwright") -> SparkSession:
+def local_session(cores: str = "8", app: str = "tabwright", warehouse: str | None = None) -> SparkSession:
+    """``warehouse`` is where tables that jobs stage between steps go; the working folder's by default."""
+    builder = SparkSession.builder if warehouse is None else SparkSession.builder.config("spark.sql.warehouse.dir", warehouse)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]").appName(app)
+        builder.master(f"local[{cores}]").appName(app)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")

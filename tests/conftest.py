@@ -9,8 +9,8 @@ from tabwright.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session("4", "tabwright-tests")
+def spark(tmp_path_factory):
+    return local_session("4", "tabwright-tests", str(tmp_path_factory.mktemp("warehouse")))
 
 
 @pytest.fixture
