@@ -135,7 +135,13 @@ def with_position(scan: DataFrame) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Line table of the files, numbered in list order, then position."""
+    """Line table of the files, numbered in list order, then position.
+
+    Opening the files counts their blocks in one job.  The count and every later
+    read must cut the files alike, so ``spark.sql.files.minPartitionNum`` is set
+    to the default parallelism for the session if it has no value; give it one to
+    choose the splits yourself.  Splits that moved anyway fail the read.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
     scan = with_position(scan_lines(spark, paths))
     return number_scan(spark, scan, paths).select(*LINE_COLUMNS)
