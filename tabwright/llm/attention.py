@@ -11,13 +11,15 @@ from dataclasses import dataclass
 
 import numpy as np
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 26
 WIDTH = 16
 CLASSES, SINGLE = 128, 96
 INPUTS = 1024
 RATE, BATCH = 4e-3, 64
 # Windows scored at once, so that their logits stay near the cache.
-TOGETHER = 256
+TOGETHER = 128
+# Scores above this are cut before they are raised to powers of e.
+MOST_SCORE = np.float32(80)
 
 
 @dataclass
@@ -146,28 +148,63 @@ def window_plan(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text, start, np.where(number == 0, 0, start + WINDOW - STRIDE)
 
 
-def score_texts(weights: dict[str, np.ndarray], vocabulary: Vocabulary, ids: np.ndarray, sizes: np.ndarray, end_id: int) -> np.ndarray:
+@dataclass
+class Scorer:
+    """Weights laid out for scoring: the scale in the query, the bias in the head, sums as one more column."""
+
+    weights: dict[str, np.ndarray]
+
+    def __post_init__(self) -> None:
+        self.query = self.weights["query"] * np.float32(1 / np.sqrt(WIDTH))
+        self.head = np.vstack([self.weights["head"], self.weights["bias"]])
+        self.ones = np.ones(CLASSES, np.float32)
+
+    def class_logs(self, inputs: np.ndarray, classes: np.ndarray, since: int) -> np.ndarray:
+        """Natural log chances of the classes at places ``since`` and later; inputs are (windows, places)."""
+        windows, places = inputs.shape
+        x = self.weights["embed"].take(inputs, axis=0)
+        x += self.weights["place"][:places]
+        flat = x.reshape(-1, WIDTH)
+        q = (flat @ self.query).reshape(x.shape)[:, since:]
+        k = (flat @ self.weights["key"]).reshape(x.shape)
+        value = np.ones((windows, places, WIDTH + 1), np.float32)
+        value[:, :, :WIDTH] = (flat @ self.weights["value"]).reshape(x.shape)
+        power = q @ k.transpose(0, 2, 1)
+        power += _LATER[since:places, :places]
+        np.minimum(power, MOST_SCORE, out=power)
+        np.exp(power, out=power)
+        mixed = power @ value
+        hidden = np.ones((windows, places - since, WIDTH + 1), np.float32)
+        hidden[:, :, :WIDTH] = (mixed[:, :, :WIDTH] / mixed[:, :, WIDTH:]) @ self.weights["out"]
+        hidden[:, :, :WIDTH] += x[:, since:]
+        logits = hidden.reshape(-1, WIDTH + 1) @ self.head
+        np.minimum(logits, MOST_SCORE, out=logits)
+        own = logits[np.arange(len(logits)), classes.reshape(-1)]
+        np.exp(logits, out=logits)
+        return own - np.log(logits @ self.ones)
+
+
+def score_texts(scorer: Scorer, vocabulary: Vocabulary, ids: np.ndarray, sizes: np.ndarray, end_id: int) -> np.ndarray:
     """log10 chance of each text: ``ids`` of all texts in a row, ``sizes`` of them each.  The end id stands before a text."""
     begins = np.cumsum(sizes) - sizes
     before = np.empty(len(ids), np.int32)
     before[1:] = ids[:-1]
     before[begins[sizes > 0]] = end_id
-    # One place more than there are: windows that pass a text's end read it and are not scored there.
-    inputs = np.append(vocabulary.input_of[before], 0)
-    classes, shares = vocabulary.class_of[ids], vocabulary.log_share[ids]
+    inputs, classes = vocabulary.input_of.take(before), vocabulary.class_of.take(ids)
     logs = np.zeros(len(ids), np.float32)
-    text, start, scored = window_plan(sizes)
-    # Windows of one kind go together: whole ones, and the last of each text by their length.
-    own = np.minimum(sizes[text] - start, WINDOW)
-    for length in np.unique(own):
-        same = np.flatnonzero(own == length)
-        for at in range(0, len(same), TOGETHER):
-            part = same[at : at + TOGETHER]
-            places = (begins[text[part]] + start[part])[:, None] + np.arange(length)
-            hidden, _ = _forward(weights, inputs[places])
-            wanted = places >= (begins[text[part]] + scored[part])[:, None]
-            rows = places[wanted]
-            logs[rows] = _class_log(weights, hidden[wanted], classes[rows])
-    chances = logs.astype(np.float64) / np.log(10) + shares
+    text, start, _ = window_plan(sizes)
+    # Windows of one kind go together: first or later ones, whole or ended by their text.
+    length = np.minimum(sizes[text] - start, WINDOW)
+    kind = 2 * length + (start > 0)
+    order = np.argsort(kind, kind="stable")
+    edges = np.flatnonzero(np.diff(kind[order], prepend=-1, append=-1))
+    for first, last in zip(edges[:-1], edges[1:]):
+        since = WINDOW - STRIDE if kind[order[first]] % 2 else 0
+        for at in range(first, last, TOGETHER):
+            part = order[at : min(at + TOGETHER, last)]
+            places = (begins[text[part]] + start[part])[:, None] + np.arange(kind[order[first]] // 2)
+            scored = places[:, since:]
+            logs[scored.reshape(-1)] = scorer.class_logs(inputs.take(places), classes.take(scored), since)
+    chances = logs.astype(np.float64) / np.log(10) + vocabulary.log_share.take(ids)
     sums = np.concatenate(([0.0], np.cumsum(chances)))
     return sums[begins + sizes] - sums[begins]

@@ -20,27 +20,35 @@ table gives an empty result.  Output columns replace input columns of the same n
 
 from __future__ import annotations
 
+import base64
 import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.llm import attention
 from tabwright.llm.common import mapped, sheltered, staged
-from tabwright.llm.token_files import TOKENIZER, text_encoder
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
 FOLDS, HELD_FOLD = 5, 1
 END_ID = 50256
 IDS = 50257
 BROADCAST_WORDS, BROADCAST_BYTES = 100_000, 32
 # Different words that a task holds before it hands their counts on.
 HELD_WORDS = 500_000
+# Words whose ids a Python worker remembers, up to a length.
+KNOWN_WORDS, KNOWN_BYTES = 500_000, 48
+# Texts that are scored and handed on together.
+TEXTS = 1000
 # One training window per so many ids of a text, one at least.
 IDS_PER_WINDOW = 1024
 ROUNDS = 2
@@ -55,10 +63,33 @@ def words_in(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+class WordIds(dict):
+    """Subword ids (little-endian, 32 bits) of words, each with a space before it."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(piece): int(number) for piece, number in map(bytes.split, lines)}
+        self.encode = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = np.array(self.encode(" " + word.decode()), "<u4").tobytes()
+        if len(word) <= KNOWN_BYTES:
+            if len(self) >= KNOWN_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One table per Python worker and file."""
+    return WordIds(path)
+
+
 def ids_in(words: list[bytes], tokenizer: str) -> np.ndarray:
-    """Subword ids of the words, each with a space before it, and the end."""
-    known = text_encoder(tokenizer).rest
-    return np.frombuffer(b"".join([*map(known.__getitem__, map(bytes.decode, words)), END_ID.to_bytes(4, "little")]), "<u4").astype(np.int32)
+    """Subword ids of the words and the end."""
+    return np.frombuffer(b"".join([*map(word_ids(tokenizer).__getitem__, words), END_ID.to_bytes(4, "little")]), "<u4").astype(np.int32)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -87,10 +118,14 @@ def id_counts(counts: DataFrame, ends: int, tokenizer: str) -> np.ndarray:
     """Count of each subword id over all training texts, from the counts of their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = text_encoder(tokenizer).rest, np.zeros(IDS, np.int64)
+        encode, total = word_ids(tokenizer).encode, np.zeros(IDS)
         for batch in batches:
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                np.add.at(total, np.frombuffer(known[word], "<u4"), n)
+            found = [encode(" " + word) for word in batch.column(0).to_pylist()]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter((one for ids in found for one in ids), np.int64, int(sizes.sum()))
+            # Whole numbers far below 2**53 stay exact.
+            total += np.bincount(flat, np.repeat(batch.column(1).to_numpy(), sizes), IDS)
+        total = total.astype(np.int64)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["id", "n"])
 
@@ -183,29 +218,34 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenize
     weights = trained(staged(training_windows(training, tokenizer)), vocabulary)
     end_log = log_of(ends)
 
+    def scored_part(batch: pa.RecordBatch, scorer: attention.Scorer) -> pa.RecordBatch:
+        sizes, known, base, ids = [], [], [], []
+        rare_words, rare_counts, rare_ends = [], [], [0]
+        for value in batch.column(place_of[text]).to_pylist():
+            words = words_in(value)
+            logs = list(map(frequent.get, words))
+            others = Counter(word for word, log in zip(words, logs) if log is None)
+            rare_words += others.keys()
+            rare_counts += others.values()
+            rare_ends.append(len(rare_words))
+            sizes.append(len(words) + 1)
+            known.append(len(words) - sum(others.values()) + (ends > 0))
+            base.append(math.fsum(filter(None, logs)) + end_log)
+            ids.append(ids_in(words, tokenizer))
+        lengths = np.array([len(one) for one in ids], np.int64)
+        scores = attention.score_texts(scorer, vocabulary, np.concatenate(ids), lengths, END_ID)
+        rare = pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), pa.StructArray.from_arrays(
+            [pa.array(rare_words, pa.binary()).cast(pa.string()), pa.array(rare_counts, pa.int32())], ["word", "n"]))
+        return pa.RecordBatch.from_arrays(
+            [*[batch.column(name) for name in keep], batch.column("_held"), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
+             pa.array(base, pa.float64()), pa.array(scores), rare],
+            [*keep, "_held", "_tokens", "_known", "_base", "_score", "_rare"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = attention.Scorer(weights)
         for batch in batches:
-            texts = batch.column(place_of[text]).to_pylist()
-            sizes, known, base, rare, ids = [], [], [], [], []
-            for value in texts:
-                words = words_in(value)
-                logs = list(map(frequent.get, words))
-                others = Counter(word for word, log in zip(words, logs) if log is None)
-                missing = sum(others.values())
-                sizes.append(len(words) + 1)
-                known.append(len(words) - missing + (ends > 0))
-                base.append(math.fsum(filter(None, logs)) + end_log)
-                rare.append([{"word": word.decode(), "n": n} for word, n in others.items()])
-                ids.append(ids_in(words, tokenizer))
-            lengths = np.array([len(one) for one in ids], np.int64)
-            scores = np.zeros(len(ids))
-            for at in range(0, len(ids), 200):  # so many texts at a time, to bound the arrays
-                own = slice(at, at + 200)
-                scores[own] = attention.score_texts(weights, vocabulary, np.concatenate(ids[own]), lengths[own], END_ID)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(name) for name in keep], batch.column("_held"), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(scores), pa.array(rare, pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())])))],
-                [*keep, "_held", "_tokens", "_known", "_base", "_score", "_rare"])
+            for at in range(0, batch.num_rows, TEXTS):
+                yield scored_part(batch.slice(at, TEXTS), scorer)
 
     rows = inner.select(*keep, place_of[text], held_out(F.col(place_of[key])).alias("_held"))
     schema = rows.select(*keep, "_held").schema.add("_tokens", "long").add("_known", "long").add("_base", "double").add("_score", "double")

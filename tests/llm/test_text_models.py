@@ -316,6 +316,34 @@ def test_attention_gradients_and_causality():
     assert np.bincount(vocabulary.class_of, share, attention.CLASSES)[np.unique(vocabulary.class_of)] == pytest.approx(1.0, abs=1e-4)
 
 
+def test_scores_are_those_of_the_plain_model(words):
+    pick = np.random.default_rng(5)
+    counts = np.zeros(lm_scoring.IDS)
+    counts[:3000] = 1e6 / np.arange(1, 3001)
+    vocabulary = attention.Vocabulary.from_counts(counts)
+    weights = attention.fresh(vocabulary)
+    sizes = np.array([1, 0, 5, 32, 33, 140, 32 + 26, 7])
+    ids = pick.integers(0, lm_scoring.IDS, sizes.sum()).astype(np.int32)
+    found = attention.score_texts(attention.Scorer(weights), vocabulary, ids, sizes, lm_scoring.END_ID)
+    begins = np.cumsum(sizes) - sizes
+    want = np.zeros(len(sizes))
+    for text, start, scored in zip(*attention.window_plan(sizes)):
+        own = ids[begins[text] : begins[text] + sizes[text]]
+        before = np.concatenate(([lm_scoring.END_ID], own[:-1]))[start : start + attention.WINDOW]
+        hidden, _ = attention._forward(weights, vocabulary.input_of[before][None])
+        targets = own[start : start + attention.WINDOW]
+        logs = attention._class_log(weights, hidden[0], vocabulary.class_of[targets]) / np.log(10) + vocabulary.log_share[targets]
+        want[text] += logs[scored - start :].sum()
+    assert found == pytest.approx(want, rel=1e-4, abs=1e-4)
+
+
+def test_word_ids_are_the_tokenizers(words):
+    plain, known = Tokenizer.from_file(token_files.TOKENIZER), lm_scoring.word_ids(lm_scoring.TOKENIZER)
+    for word in [*words(200, 3).split(), "é,", "it's", "日本", "x=1;", "\u00a0", "<|endoftext|>"]:
+        if word != "<|endoftext|>":
+            assert np.frombuffer(known[word.encode()], "<u4").tolist() == plain.encode(" " + word, add_special_tokens=False).ids
+
+
 def test_training_beats_id_frequencies_on_held_out_text():
     pick = random.Random(3)
     follow = {n: [pick.randrange(60) for _ in range(3)] for n in range(60)}
@@ -332,7 +360,7 @@ def test_training_beats_id_frequencies_on_held_out_text():
     weights = attention.fresh(vocabulary)
     for _ in range(3):
         weights = attention.train(weights, vocabulary, train.reshape(-1, 33))
-    score = attention.score_texts(weights, vocabulary, held, np.array([len(held)]), lm_scoring.END_ID)[0]
+    score = attention.score_texts(attention.Scorer(weights), vocabulary, held, np.array([len(held)]), lm_scoring.END_ID)[0]
     frequency = np.log10((counts + 0.5) / (counts + 0.5).sum())[held].sum()
     assert score > 0.75 * frequency
 
