@@ -1,8 +1,9 @@
 """Context-mixing range coder for token ids, many blocks side by side in numpy.
 
 A file image is a header, an index of its documents, an index of its blocks and
-the blocks' code words.  Each block of ``BLOCK`` ids starts with a fresh model
-and has a checksum, so it can be decoded and verified by itself.
+the blocks' code words.  Each block starts with a fresh model and has a checksum,
+so it can be decoded and verified by itself.  An image has about ``LANES`` blocks
+of at least ``LEAST_BLOCK`` and at most ``BLOCK`` ids.
 
 Per id the model makes three predictions: the id that last followed the same two
 ids (order 2), the same one id (order 1), and the block's majority id (order 0).
@@ -21,15 +22,15 @@ import zlib
 import numpy as np
 
 MAGIC = b"TWID\x01\x00"
-BLOCK = 4096
-SLOTS2, SLOTS1 = 1 << 11, 1 << 10
+BLOCK, LEAST_BLOCK, LANES = 4096, 256, 2048
+SLOTS2, SLOTS1 = 1 << 10, 1 << 9
 CONFIDENT = 3
-STEP, MOST_COUNT = 24, 4000
-START_COUNTS = (4, 4, 2, 6)
-FREQUENCY_BITS = 16
 U = np.uint64
-LOW_BITS, LEAST_RANGE = U(48), U(1 << 32)
+STEP, START_COUNTS = U(24), (4, 4, 2, 6)
+FREQUENCY_BITS = 16
+LOW_BITS, LEAST_RANGE, WORD = U(48), U(1 << 32), U(16)
 LOW_MASK = U((1 << 48) - 1)
+ZERO = U(0)
 
 
 def _pick(second: np.ndarray, first: np.ndarray, zeroth: np.ndarray, of: tuple) -> np.ndarray:
@@ -40,14 +41,17 @@ def _pick(second: np.ndarray, first: np.ndarray, zeroth: np.ndarray, of: tuple)
 class _Model:
     """Predictions and counts of a number of blocks.
 
-    A prediction is one number: the id times four plus its confidence.  Counts
-    lie outcome by outcome, and within that block by block and context by context.
+    A prediction is one number: the id times four plus its confidence, which is
+    how often in a row it was right.  Counts lie outcome by outcome, and within
+    that block by block and context by context.  In a block of at most 4096 ids
+    they stay far below what the coder's range can divide.
     """
 
     def __init__(self, lanes: int):
         self.span = lanes * 16
-        self.tables = (np.zeros(lanes * SLOTS2, np.int32), np.zeros(lanes * SLOTS1, np.int32))
-        self.counts = np.repeat(np.array(START_COUNTS, np.int64), self.span)
+        self.offsets = (0, self.span, 2 * self.span, 3 * self.span)
+        self.tables = (np.zeros(lanes * SLOTS2, np.int64), np.zeros(lanes * SLOTS1, np.int64))
+        self.counts = np.repeat(np.array(START_COUNTS, U), self.span)
         self.lanes, lane = lanes, np.arange(lanes)
         self.base2, self.base1, self.base = lane * SLOTS2, lane * SLOTS1, lane * 16
         self.guess0, self.count0 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
@@ -59,36 +63,36 @@ class _Model:
             setattr(self, name, getattr(self, name)[:lanes])
 
     def predict(self) -> None:
-        """Guesses of order 2 and 1 and, for the four outcomes, counts and their running sums."""
-        self.at2 = self.base2 + ((self.two * 40503 + self.one * 30011 >> 4) & SLOTS2 - 1)
+        """Guesses of order 2 and 1 and the running sums of the four outcomes' counts."""
+        self.at2 = self.base2 + ((self.two << 5 ^ self.one) & SLOTS2 - 1)
         self.at1 = self.base1 + (self.one & SLOTS1 - 1)
         self.entry2, self.entry1 = self.tables[0].take(self.at2), self.tables[1].take(self.at1)
         self.trust2, self.trust1 = self.entry2 & 3, self.entry1 & 3
         self.guess2, self.guess1 = self.entry2 >> 2, self.entry1 >> 2
         self.row = self.base + (self.trust2 << 2 | self.trust1)
-        counts, row, span = self.counts, self.row, self.span
-        self.own = [counts.take(row), counts.take(row + span), counts.take(row + 2 * span), counts.take(row + 3 * span)]
-        first = self.own[0]
-        second = first + self.own[1]
-        third = second + self.own[2]
-        self.sums = [first, second, third, third + self.own[3]]
-
-    def learn(self, ids: np.ndarray, right2: np.ndarray, right1: np.ndarray, right0: np.ndarray, outcome: np.ndarray, count: np.ndarray) -> None:
-        """Take in the ids that came; ``count`` is the outcome's count."""
+        counts, row, (_, one, two, three) = self.counts, self.row, self.offsets
+        first = counts.take(row)
+        second = first + counts.take(row + one)
+        third = second + counts.take(row + two)
+        self.sums = (first, second, third, third + counts.take(row + three))
+
+    def interval(self, right2: np.ndarray, right1: np.ndarray, right0: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower end and size of the outcome's interval; keeps which guesses were right."""
+        offset = _pick(right2, right1, right0, self.offsets)
+        self.missed = offset == self.offsets[3]
+        self.place = self.row + offset
+        self.count = self.counts.take(self.place)
+        return _pick(right2, right1, right0, (ZERO, *self.sums[:3])), self.count
+
+    def learn(self, ids: np.ndarray, right2: np.ndarray, right1: np.ndarray, right0: np.ndarray) -> None:
         fresh = ids << 2
-        for table, at, entry, trust, right in (
-            (self.tables[0], self.at2, self.entry2, self.trust2, right2), (self.tables[1], self.at1, self.entry1, self.trust1, right1),
-        ):
-            table[at] = np.where(right, entry + (trust < CONFIDENT), np.where(trust > 0, entry - 1, fresh))
+        self.tables[0][self.at2] = np.where(right2, self.entry2 + (self.trust2 < CONFIDENT), fresh)
+        self.tables[1][self.at1] = np.where(right1, self.entry1 + (self.trust1 < CONFIDENT), fresh)
         lost = ~right0
         new = lost & (self.count0 == 0)
         self.count0 = np.where(lost, np.where(new, 1, self.count0 - 1), self.count0 + 1)
         self.guess0 = np.where(new, ids, self.guess0)
-        self.counts[outcome * self.span + self.row] = count + STEP
-        full = np.flatnonzero(self.sums[3] > MOST_COUNT)
-        if len(full):
-            places = (self.row[full] + np.arange(4)[:, None] * self.span).ravel()
-            self.counts[places] = (self.counts[places] >> 1) + 1
+        self.counts[self.place] = self.count + STEP
         self.two, self.one = self.one, ids
 
 
@@ -99,23 +103,23 @@ class _Writer:
         self.low, self.range = np.zeros(lanes, U), np.full(lanes, LOW_MASK, U)
         self.words, self.used = np.zeros((lanes, words), np.uint16), np.zeros(lanes, np.int64)
 
-    def code(self, lanes: slice | np.ndarray, below: np.ndarray, own: np.ndarray, total: np.ndarray | None = None) -> None:
-        """Code the interval [below, below + own) of ``total``, 2**FREQUENCY_BITS if not given."""
-        part = self.range[lanes] >> U(FREQUENCY_BITS) if total is None else self.range[lanes] // total.astype(U)
-        low = self.low[lanes] + part * below.astype(U)
-        span = part * own.astype(U)
+    def code(self, lanes: int, below: np.ndarray, own: np.ndarray, total: np.ndarray | None = None) -> None:
+        """Code the interval [below, below + own) of ``total``, 2**FREQUENCY_BITS if not given, in the first ``lanes`` blocks."""
+        part = self.range[:lanes] >> U(FREQUENCY_BITS) if total is None else self.range[:lanes] // total
+        low = self.low[:lanes] + part * below
+        span = part * own
         carry = np.flatnonzero(low > LOW_MASK)
         if len(carry):
             low &= LOW_MASK
-            self._carry(carry if isinstance(lanes, slice) else lanes[carry])
-        small = np.flatnonzero(span < LEAST_RANGE)
-        if len(small):
-            out = small if isinstance(lanes, slice) else lanes[small]
-            self.words[out, self.used[out]] = low[small] >> U(32)
+            self._carry(carry)
+        out = np.flatnonzero(span < LEAST_RANGE)
+        if len(out):
+            small = low[out]
+            self.words[out, self.used[out]] = small >> U(32)
             self.used[out] += 1
-            low[small] = low[small] << U(16) & LOW_MASK
-            span[small] <<= U(16)
-        self.low[lanes], self.range[lanes] = low, span
+            low[out] = small << WORD & LOW_MASK
+            span[out] <<= WORD
+        self.low[:lanes], self.range[:lanes] = low, span
 
     def _carry(self, lanes: np.ndarray) -> None:
         place = self.used[lanes] - 1
@@ -134,28 +138,27 @@ class _Writer:
 class _Reader:
     def __init__(self, blocks: list[bytes]):
         longest = max(len(block) for block in blocks) // 2
-        self.words = np.zeros((len(blocks), longest + 4), U)
+        self.words = np.zeros((len(blocks), longest + 4), np.uint16)
         for lane, block in enumerate(blocks):
             own = np.frombuffer(block, "<u2")
             self.words[lane, : len(own)] = own
-        self.code = self.words[:, 0] << U(32) | self.words[:, 1] << U(16) | self.words[:, 2]
+        head = self.words[:, :3].astype(U)
+        self.code = head[:, 0] << U(32) | head[:, 1] << WORD | head[:, 2]
         self.range, self.used = np.full(len(blocks), LOW_MASK, U), np.full(len(blocks), 3)
 
-    def value(self, lanes: slice | np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
-        whole = U(1 << FREQUENCY_BITS) if total is None else total.astype(U)
-        self.part = self.range[lanes] >> U(FREQUENCY_BITS) if total is None else self.range[lanes] // whole
-        return np.minimum(self.code[lanes] // self.part, whole - U(1)).astype(np.int64)
-
-    def take(self, lanes: slice | np.ndarray, below: np.ndarray, own: np.ndarray) -> None:
-        code = self.code[lanes] - self.part * below.astype(U)
-        span = self.part * own.astype(U)
-        small = np.flatnonzero(span < LEAST_RANGE)
-        if len(small):
-            out = small if isinstance(lanes, slice) else lanes[small]
-            code[small] = code[small] << U(16) | self.words[out, np.minimum(self.used[out], self.words.shape[1] - 1)]
+    def value(self, lanes: int, total: np.ndarray | None = None) -> np.ndarray:
+        self.part = self.range[:lanes] >> U(FREQUENCY_BITS) if total is None else self.range[:lanes] // total
+        return np.minimum(self.code[:lanes] // self.part, (U(1 << FREQUENCY_BITS) if total is None else total) - U(1))
+
+    def take(self, lanes: int, below: np.ndarray, own: np.ndarray) -> None:
+        code = self.code[:lanes] - self.part * below
+        span = self.part * own
+        out = np.flatnonzero(span < LEAST_RANGE)
+        if len(out):
+            code[out] = code[out] << WORD | self.words[out, np.minimum(self.used[out], self.words.shape[1] - 1)]
             self.used[out] += 1
-            span[small] <<= U(16)
-        self.code[lanes], self.range[lanes] = code, span
+            span[out] <<= WORD
+        self.code[:lanes], self.range[:lanes] = code, span
 
 
 def _frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,17 +178,26 @@ def _active(sizes: np.ndarray, step: int) -> int:
     return int(np.searchsorted(-sizes, -step, side="left"))
 
 
-def encode_blocks(ids: np.ndarray, known: np.ndarray, share: np.ndarray, block: int = BLOCK) -> list[bytes]:
+def block_size(ids: int) -> int:
+    return min(BLOCK, max(LEAST_BLOCK, -(-ids // LANES)))
+
+
+def _intervals(share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower ends and sizes of the ids' intervals, and behind them the whole, which stands for no id."""
+    return (np.concatenate(([0], np.cumsum(share)[:-1], [0])).astype(U),
+            np.append(share, 1 << FREQUENCY_BITS).astype(U))
+
+
+def encode_blocks(ids: np.ndarray, known: np.ndarray, share: np.ndarray, block: int) -> list[bytes]:
     lanes = -(-len(ids) // block)
     sizes = np.minimum(block, len(ids) - np.arange(lanes) * block)
     table = np.zeros((lanes, block), np.int32)
     table.reshape(-1)[: len(ids)] = ids
     table = np.ascontiguousarray(table.T)
-    below = np.concatenate(([0], np.cumsum(share)))[:-1]
+    below, own_share = _intervals(share)
+    number_of = np.zeros(known[-1] + 1, np.int64)
+    number_of[known] = np.arange(len(known))
     model, writer = _Model(lanes), _Writer(lanes, 2 * block + 8)
-    # Interval of every id among those the file holds.
-    start_of, share_of = np.zeros(known[-1] + 1, np.int64), np.zeros(known[-1] + 1, np.int64)
-    start_of[known], share_of[known] = below, share
     for step in range(block):
         active = _active(sizes, step)
         if not active:
@@ -194,22 +206,18 @@ def encode_blocks(ids: np.ndarray, known: np.ndarray, share: np.ndarray, block:
             model.shrink(active)
         own = table[step, :active].astype(np.int64)
         model.predict()
-        right2, right1, right0 = model.guess2 == own, model.guess1 == own, model.guess0 == own
-        outcome = _pick(right2, right1, right0, (0, 1, 2, 3))
-        count = _pick(right2, right1, right0, model.own)
-        writer.code(slice(active), _pick(right2, right1, right0, (0, *model.sums[:3])), count, model.sums[3])
-        missed = np.flatnonzero(outcome == 3)
-        if len(missed):
-            ids = own[missed]
-            writer.code(missed, start_of.take(ids), share_of.take(ids))
-        model.learn(own, right2, right1, right0, outcome, count)
+        right = model.guess2 == own, model.guess1 == own, model.guess0 == own
+        writer.code(active, *model.interval(*right), model.sums[3])
+        number = np.where(model.missed, number_of.take(own), len(known))
+        writer.code(active, below.take(number), own_share.take(number))
+        model.learn(own, *right)
     return writer.finish()
 
 
 def decode_blocks(blocks: list[bytes], sizes: np.ndarray, known: np.ndarray, share: np.ndarray) -> list[np.ndarray]:
     """Ids of blocks, which come longest first."""
-    below = np.concatenate(([0], np.cumsum(share)))[:-1]
-    number_of = np.repeat(np.arange(len(known)), share)
+    below, own_share = _intervals(share)
+    number_at = np.repeat(np.arange(len(known)), share)
     table = np.zeros((int(sizes[0]), len(blocks)), np.int32)
     model, reader = _Model(len(blocks)), _Reader(blocks)
     for step in range(int(sizes[0])):
@@ -218,19 +226,16 @@ def decode_blocks(blocks: list[bytes], sizes: np.ndarray, known: np.ndarray, sha
             model.shrink(active)
         model.predict()
         first, second, third, total = model.sums
-        value = reader.value(slice(active), total)
+        value = reader.value(active, total)
         chosen = value < first, value < second, value < third
-        outcome = _pick(*chosen, (0, 1, 2, 3))
-        count = _pick(*chosen, model.own)
-        reader.take(slice(active), _pick(*chosen, (0, first, second, third)), count)
-        ids = np.where(chosen[0], model.guess2, np.where(chosen[1], model.guess1, model.guess0))
-        missed = np.flatnonzero(outcome == 3)
-        if len(missed):
-            number = number_of.take(reader.value(missed))
-            reader.take(missed, below.take(number), share.take(number))
-            ids[missed] = known.take(number)
+        reader.take(active, *model.interval(*chosen))
+        number = number_at.take(reader.value(active).astype(np.int64))
+        coded = np.where(model.missed, number, len(known))
+        reader.take(active, below.take(coded), own_share.take(coded))
+        guess = np.where(chosen[0], model.guess2, np.where(chosen[1], model.guess1, model.guess0))
+        ids = np.where(model.missed, known.take(number), guess)
         table[step, :active] = ids
-        model.learn(ids, model.guess2 == ids, model.guess1 == ids, model.guess0 == ids, outcome, count)
+        model.learn(ids, model.guess2 == ids, model.guess1 == ids, model.guess0 == ids)
     return [table[:size, lane] for lane, size in enumerate(sizes)]
 
 
@@ -239,8 +244,9 @@ def _packed(array: np.ndarray) -> bytes:
     return struct.pack("<I", len(data)) + data
 
 
-def write_image(names: list[str | None], sizes: list[int], ids: np.ndarray, block: int = BLOCK) -> bytes:
+def write_image(names: list[str | None], sizes: list[int], ids: np.ndarray, block: int | None = None) -> bytes:
     """File image of documents: their names, numbers of ids, and all ids in a row."""
+    block = block or block_size(len(ids))
     known, share = _frequencies(ids)
     blocks = encode_blocks(ids, known, share, block) if len(ids) else []
     checks = [zlib.crc32(np.ascontiguousarray(ids[at : at + block], "<u4").tobytes()) for at in range(0, len(ids), block)]

@@ -36,15 +36,37 @@ UNITS, UNIT_CHARS = 1_000_000, 48
 PAIR_OF_BLANKS = re.compile(r"\s\s")
 
 
+# Marks that end a word and are a token run of their own after letters.
+ENDINGS = frozenset(".,;:!?")
+
+
+def byte_letters() -> list[str]:
+    """The letter that a byte-level vocabulary uses for each byte: itself where it prints, else one from U+0100 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(byte) if byte in prints else chr(next(others)) for byte in range(256)]
+
+
 class _Known(dict):
-    """Ids of short units, by the unit without the lead it is encoded with."""
+    """Ids of short units, by the unit without the lead (nothing or a space) it is encoded with."""
 
     def __init__(self, tokenizer: Tokenizer, lead: str):
         super().__init__()
-        self.tokenizer, self.lead = tokenizer, lead
+        self.tokenizer, self.lead, self.letters = tokenizer, lead, byte_letters()
+        self.endings = {mark: self._encoded(mark) for mark in ENDINGS}
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, unit: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(self.lead + unit, add_special_tokens=False).ids, "<u4").tobytes()
+        if unit.isalpha():
+            # Letters are one run of the tokenizer's splitting, so its model alone decides.
+            letters = "".join(map(self.letters.__getitem__, (self.lead + unit).encode()))
+            ids = np.array([token.id for token in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
+        elif unit[-1:] in ENDINGS and unit[:-1].isalpha():
+            ids = self[unit[:-1]] + self.endings[unit[-1]]
+        else:
+            ids = self._encoded(self.lead + unit)
         if len(unit) <= UNIT_CHARS:
             if len(self) >= UNITS:
                 self.clear()
