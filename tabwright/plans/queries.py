@@ -1140,6 +1140,8 @@ def _(spark, sf):
     fx.table(spark, sf, "documents").select(F.concat_ws(",", F.col("doc_id").cast("string"), cell).alias("value")).write.text(folder)
     split = quality.drop_ragged(read_records(spark, folder, header=False, names=["id", "text"]))
     whole = read_records(spark, folder, header=False, names=["id", "text"], multi_line=True)
-    counts = split.summary.select(F.col("valid").alias("split_clean"), F.col("invalid").alias("split_rejects"), F.lit(1).alias("one"))
-    totals = whole.agg(F.count("*").alias("whole"), F.sum(F.octet_length("text").cast("bigint")).alias("bytes"), F.lit(1).alias("one"))
-    return counts.join(totals, "one").drop("one")
+    return split.summary.select(
+        F.col("valid").alias("split_clean"), F.col("invalid").alias("split_rejects"),
+        whole.select(F.count("*")).scalar().alias("whole"),
+        whole.select(F.sum(F.octet_length("text").cast("bigint"))).scalar().alias("bytes"),
+    )
