@@ -6,9 +6,10 @@ their number growing with its length: in each round every partition trains from
 the same weights and the weighted mean goes into the next.  Scoring reads every
 text once: overlapping windows of its subword ids score each id once.
 
-The base needs the count of every word.  The BROADCAST_WORDS most frequent short
-words, a bounded table, go to the tasks; all other words are joined by the word,
-so no word with many rows passes the shuffle.
+The base needs the count of every word.  Short words that make up one in
+BROADCAST_WORDS tokens or more, of which there cannot be more than that many, go to
+the tasks; all other words are joined by the word, so no word with many rows
+passes the shuffle.
 
 Words are runs of anything but the six ASCII blanks, with A-Z in lower case; one
 end follows each text and counts as a token.  A row trains unless crc32 of its id
@@ -42,7 +43,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
 FOLDS, HELD_FOLD = 5, 1
 END_ID = 50256
 IDS = 50257
-BROADCAST_WORDS, BROADCAST_BYTES = 100_000, 32
+BROADCAST_WORDS, BROADCAST_BYTES = 1_000_000, 32
 # Different words that a task holds before it hands their counts on.
 HELD_WORDS = 500_000
 # Words whose ids a Python worker remembers, up to a length.
@@ -213,7 +214,7 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenize
     total = tokens + 0.5 * (different + 1)
     log_of = lambda count: math.log10((count + 0.5) / total)
     frequent = {row["word"].encode(): log_of(row["n"]) for row in
-                counts.where(F.octet_length("word") <= BROADCAST_BYTES).orderBy(F.desc("n"), "word").limit(BROADCAST_WORDS).collect()}
+                counts.where((F.octet_length("word") <= BROADCAST_BYTES) & (F.col("n") * BROADCAST_WORDS >= tokens)).collect()}
     vocabulary = attention.Vocabulary.from_counts(id_counts(counts, ends, tokenizer))
     weights = trained(staged(training_windows(training, tokenizer)), vocabulary)
     end_log = log_of(ends)
