@@ -22,8 +22,8 @@ import zlib
 import numpy as np
 
 MAGIC = b"TWID\x01\x00"
-BLOCK, LEAST_BLOCK, LANES = 4096, 256, 2048
-SLOTS2, SLOTS1 = 1 << 10, 1 << 9
+BLOCK, LEAST_BLOCK, LANES = 4096, 256, 4096
+SLOTS2, SLOTS1 = 1 << 9, 1 << 8
 CONFIDENT = 3
 U = np.uint64
 STEP, START_COUNTS = U(24), (4, 4, 2, 6)
@@ -50,7 +50,7 @@ class _Model:
     def __init__(self, lanes: int):
         self.span = lanes * 16
         self.offsets = (0, self.span, 2 * self.span, 3 * self.span)
-        self.tables = (np.zeros(lanes * SLOTS2, np.int64), np.zeros(lanes * SLOTS1, np.int64))
+        self.tables = (np.zeros(lanes * SLOTS2, np.int32), np.zeros(lanes * SLOTS1, np.int32))
         self.counts = np.repeat(np.array(START_COUNTS, U), self.span)
         self.lanes, lane = lanes, np.arange(lanes)
         self.base2, self.base1, self.base = lane * SLOTS2, lane * SLOTS1, lane * 16
@@ -163,7 +163,9 @@ class _Reader:
 
 def _frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids that occur, rising, and frequencies of at least 1 that add up to 2**FREQUENCY_BITS."""
-    known, counts = np.unique(ids, return_counts=True)
+    counts = np.bincount(ids)
+    known = np.flatnonzero(counts)
+    counts = counts[known]
     room = (1 << FREQUENCY_BITS) - len(known)
     if room < 0:
         raise ValueError("more different ids than the coder's frequencies can tell apart")

@@ -15,8 +15,10 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +38,6 @@ UNITS, UNIT_CHARS = 1_000_000, 48
 PAIR_OF_BLANKS = re.compile(r"\s\s")
 
 
-# Marks that end a word and are a token run of their own after letters.
-ENDINGS = frozenset(".,;:!?")
-
-
 def byte_letters() -> list[str]:
     """The letter that a byte-level vocabulary uses for each byte: itself where it prints, else one from U+0100 on."""
     prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -50,23 +48,22 @@ def byte_letters() -> list[str]:
 class _Known(dict):
     """Ids of short units, by the unit without the lead (nothing or a space) it is encoded with."""
 
-    def __init__(self, tokenizer: Tokenizer, lead: str):
+    def __init__(self, tokenizer: Tokenizer, lead: str, marks: _Known | None = None):
         super().__init__()
-        self.tokenizer, self.lead, self.letters = tokenizer, lead, byte_letters()
-        self.endings = {mark: self._encoded(mark) for mark in ENDINGS}
-
-    def _encoded(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self.tokenizer, self.model, self.lead, self.letters = tokenizer, tokenizer.model, lead, byte_letters()
+        self.marks = self if marks is None else marks
 
     def __missing__(self, unit: str) -> bytes:
-        if unit.isalpha():
+        stem = unit.rstrip(punctuation)
+        if not stem.isalpha():
+            ids = array("I", self.tokenizer.encode(self.lead + unit, add_special_tokens=False).ids).tobytes()
+        elif len(stem) < len(unit):
+            # After letters, marks up to the unit's end are a run of their own.
+            ids = self[stem] + self.marks[unit[len(stem) :]]
+        else:
             # Letters are one run of the tokenizer's splitting, so its model alone decides.
             letters = "".join(map(self.letters.__getitem__, (self.lead + unit).encode()))
-            ids = np.array([token.id for token in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
-        elif unit[-1:] in ENDINGS and unit[:-1].isalpha():
-            ids = self[unit[:-1]] + self.endings[unit[-1]]
-        else:
-            ids = self._encoded(self.lead + unit)
+            ids = array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
         if len(unit) <= UNIT_CHARS:
             if len(self) >= UNITS:
                 self.clear()
@@ -85,20 +82,29 @@ class TextEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.first, self.rest = _Known(self.tokenizer, ""), _Known(self.tokenizer, " ")
+        self.first = _Known(self.tokenizer, "")
+        self.rest = _Known(self.tokenizer, " ", self.first)
         self.line = self.first["\n"]
 
     def ids_of(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit integers."""
-        # As many words as single spaces and line breaks leave: no two blanks in a row, and no others.
-        plain = len(text.split()) == text.count(" ") + text.count("\n") + 1
-        if not plain and PAIR_OF_BLANKS.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        lines = []
+        words = text.split()
+        spaces, lines = text.count(" "), text.count("\n")
+        if len(words) == spaces + lines + 1 and sum(map(len, words)) == len(text) - spaces - lines:
+            # Only spaces and line breaks, each between two words.
+            found = list(map(self.rest.__getitem__, words))
+            at = 0
+            for number, line in enumerate(text.split("\n") if lines else (text,)):
+                found[at] = (self.line if number else b"") + self.first[words[at]]
+                at += line.count(" ") + 1
+            return b"".join(found)
+        if PAIR_OF_BLANKS.search(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        parts = []
         for line in text.split("\n"):
             first, *rest = line.split(" ")
-            lines.append((self.first[first] if first else b"") + b"".join(map(self.rest.__getitem__, rest)))
-        return self.line.join(lines)
+            parts.append((self.first[first] if first else b"") + b"".join(map(self.rest.__getitem__, rest)))
+        return self.line.join(parts)
 
 
 @lru_cache(maxsize=1)

@@ -18,6 +18,7 @@ from tabwright.llm import attention, boosting, lm_scoring, pii, sentencepiece_vi
 from tabwright.llm.id_coder import Image, write_image
 
 ODD_TEXTS = ["", " ", "  two  blanks ", "a▁b ▁", "tab\tline\n\nbreaks\n", "日本語" * 30 + "𝄞", "a" * 300, "x=1;" * 50,
+             "a\u00a0b c  d", "x\u3000y\nz  ", "word$$$ two!? (three) ²³ a1. Ⅷ, naïve. e\u0301. _x_. it's. 'll",
              "Hello World. It's a test, isn't it?", "IllegalArgumentException" * 9, "\0\x7f é ﬁ", " lead", "trail "]
 
 
