@@ -12,6 +12,7 @@ Their confidences choose one of 16 adaptive counts that mix the chances of "orde
 codes that outcome, and for "none" the id by the file's id frequencies.
 
 Blocks are coded in lockstep: one numpy operation does one step of all of them.
+No place is ever out of a table's bounds; "clip" only spares the test.
 """
 
 from __future__ import annotations
@@ -66,22 +67,22 @@ class _Model:
         """Guesses of order 2 and 1 and the running sums of the four outcomes' counts."""
         self.at2 = self.base2 + ((self.two << 5 ^ self.one) & SLOTS2 - 1)
         self.at1 = self.base1 + (self.one & SLOTS1 - 1)
-        self.entry2, self.entry1 = self.tables[0].take(self.at2), self.tables[1].take(self.at1)
+        self.entry2, self.entry1 = self.tables[0].take(self.at2, mode="clip"), self.tables[1].take(self.at1, mode="clip")
         self.trust2, self.trust1 = self.entry2 & 3, self.entry1 & 3
         self.guess2, self.guess1 = self.entry2 >> 2, self.entry1 >> 2
         self.row = self.base + (self.trust2 << 2 | self.trust1)
         counts, row, (_, one, two, three) = self.counts, self.row, self.offsets
-        first = counts.take(row)
-        second = first + counts.take(row + one)
-        third = second + counts.take(row + two)
-        self.sums = (first, second, third, third + counts.take(row + three))
+        first = counts.take(row, mode="clip")
+        second = first + counts.take(row + one, mode="clip")
+        third = second + counts.take(row + two, mode="clip")
+        self.sums = (first, second, third, third + counts.take(row + three, mode="clip"))
 
     def interval(self, right2: np.ndarray, right1: np.ndarray, right0: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lower end and size of the outcome's interval; keeps which guesses were right."""
         offset = _pick(right2, right1, right0, self.offsets)
         self.missed = offset == self.offsets[3]
         self.place = self.row + offset
-        self.count = self.counts.take(self.place)
+        self.count = self.counts.take(self.place, mode="clip")
         return _pick(right2, right1, right0, (ZERO, *self.sums[:3])), self.count
 
     def learn(self, ids: np.ndarray, right2: np.ndarray, right1: np.ndarray, right0: np.ndarray) -> None:
@@ -210,8 +211,8 @@ def encode_blocks(ids: np.ndarray, known: np.ndarray, share: np.ndarray, block:
         model.predict()
         right = model.guess2 == own, model.guess1 == own, model.guess0 == own
         writer.code(active, *model.interval(*right), model.sums[3])
-        number = np.where(model.missed, number_of.take(own), len(known))
-        writer.code(active, below.take(number), own_share.take(number))
+        number = np.where(model.missed, number_of.take(own, mode="clip"), len(known))
+        writer.code(active, below.take(number, mode="clip"), own_share.take(number, mode="clip"))
         model.learn(own, *right)
     return writer.finish()
 
@@ -231,11 +232,11 @@ def decode_blocks(blocks: list[bytes], sizes: np.ndarray, known: np.ndarray, sha
         value = reader.value(active, total)
         chosen = value < first, value < second, value < third
         reader.take(active, *model.interval(*chosen))
-        number = number_at.take(reader.value(active).astype(np.int64))
+        number = number_at.take(reader.value(active).astype(np.int64), mode="clip")
         coded = np.where(model.missed, number, len(known))
-        reader.take(active, below.take(coded), own_share.take(coded))
+        reader.take(active, below.take(coded, mode="clip"), own_share.take(coded, mode="clip"))
         guess = np.where(chosen[0], model.guess2, np.where(chosen[1], model.guess1, model.guess0))
-        ids = np.where(model.missed, known.take(number), guess)
+        ids = np.where(model.missed, known.take(number, mode="clip"), guess)
         table[step, :active] = ids
         model.learn(ids, model.guess2 == ids, model.guess1 == ids, model.guess0 == ids)
     return [table[:size, lane] for lane, size in enumerate(sizes)]

@@ -92,11 +92,14 @@ class TextEncoder:
         spaces, lines = text.count(" "), text.count("\n")
         if len(words) == spaces + lines + 1 and sum(map(len, words)) == len(text) - spaces - lines:
             # Only spaces and line breaks, each between two words.
-            found = list(map(self.rest.__getitem__, words))
-            at = 0
-            for number, line in enumerate(text.split("\n") if lines else (text,)):
-                found[at] = (self.line if number else b"") + self.first[words[at]]
-                at += line.count(" ") + 1
+            found, at, rest = [], 0, self.rest.__getitem__
+            for line in text.split("\n") if lines else (text,):
+                end = at + line.count(" ") + 1
+                if at:
+                    found.append(self.line)
+                found.append(self.first[words[at]])
+                found += map(rest, words[at + 1 : end])
+                at = end
             return b"".join(found)
         if PAIR_OF_BLANKS.search(text):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
