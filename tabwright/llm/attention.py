@@ -119,19 +119,44 @@ def _gradients(weights: dict[str, np.ndarray], inputs: np.ndarray, targets: np.n
     return found
 
 
+class Trainer:
+    """Adam over batches of windows of WINDOW + 1 ids each, as they come."""
+
+    def __init__(self, weights: dict[str, np.ndarray], vocabulary: Vocabulary, rate: float = RATE) -> None:
+        self.weights = {name: value.copy() for name, value in weights.items()}
+        self.first = {name: np.zeros_like(value) for name, value in weights.items()}
+        self.second = {name: np.zeros_like(value) for name, value in weights.items()}
+        self.vocabulary, self.rate, self.step = vocabulary, rate, 0
+
+    def feed(self, windows: np.ndarray) -> None:
+        """One pass over the windows."""
+        inputs, targets = self.vocabulary.input_of[windows[:, :-1]], self.vocabulary.class_of[windows[:, 1:]]
+        for at in range(0, len(windows), BATCH):
+            self.step += 1
+            whole, part = 1 - 0.9**self.step, 1 - 0.99**self.step
+            for name, slope in _gradients(self.weights, inputs[at : at + BATCH], targets[at : at + BATCH]).items():
+                first, second = self.first[name], self.second[name]
+                first += 0.1 * (slope - first)
+                second += 0.01 * (slope * slope - second)
+                self.weights[name] -= (self.rate * (first / whole) / (np.sqrt(second / part) + 1e-8)).astype(np.float32)
+
+
 def train(weights: dict[str, np.ndarray], vocabulary: Vocabulary, windows: np.ndarray, rate: float = RATE) -> dict[str, np.ndarray]:
     """One pass of Adam over windows of WINDOW + 1 ids each."""
-    weights = {name: value.copy() for name, value in weights.items()}
-    first = {name: np.zeros_like(value) for name, value in weights.items()}
-    second = {name: np.zeros_like(value) for name, value in weights.items()}
-    inputs, targets = vocabulary.input_of[windows[:, :-1]], vocabulary.class_of[windows[:, 1:]]
-    for step, at in enumerate(range(0, len(windows), BATCH), start=1):
-        found = _gradients(weights, inputs[at : at + BATCH], targets[at : at + BATCH])
-        for name, slope in found.items():
-            first[name] += 0.1 * (slope - first[name])
-            second[name] += 0.01 * (slope * slope - second[name])
-            weights[name] -= (rate * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-    return weights
+    trainer = Trainer(weights, vocabulary, rate)
+    trainer.feed(windows)
+    return trainer.weights
+
+
+def training_windows(ids: np.ndarray, end_id: int) -> np.ndarray:
+    """Back-to-back windows of WINDOW + 1 ids in which every id of a text is a target once.
+
+    The end id stands before the text and fills up the last window; each window's first id is the last of the one before.
+    """
+    count = -(-len(ids) // WINDOW)
+    flat = np.full(count * WINDOW + 1, end_id, np.int32)
+    flat[1 : len(ids) + 1] = ids
+    return np.lib.stride_tricks.sliding_window_view(flat, WINDOW + 1)[::WINDOW]
 
 
 def window_plan(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -1,10 +1,11 @@
 """Scores of whole texts by a causal self-attention model, beside a word-frequency base.
 
 Word and subword counts come from all training documents through a shuffle; the
-attention model (``attention``) trains on windows from every training document,
-their number growing with its length: in each round every partition trains from
-the same weights and the weighted mean goes into the next.  Scoring reads every
-text once: overlapping windows of its subword ids score each id once.
+attention model (``attention``) trains on all subword ids of all training
+documents, each a target once: a hash of its text puts a document into one of
+ROUNDS rounds.  In each round every partition trains from the same weights, on
+windows as they are read, and the weighted mean goes into the next.  Scoring
+reads every text once: overlapping windows of its subword ids score each id once.
 
 The base needs the count of every word.  Short words that make up one in
 BROADCAST_WORDS tokens or more, of which there cannot be more than that many, go to
@@ -23,7 +24,6 @@ from __future__ import annotations
 
 import base64
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -50,9 +50,9 @@ HELD_WORDS = 500_000
 KNOWN_WORDS, KNOWN_BYTES = 500_000, 48
 # Texts that are scored and handed on together.
 TEXTS = 1000
-# One training window per so many ids of a text, one at least.
-IDS_PER_WINDOW = 1024
 ROUNDS = 2
+# Windows that a task holds and shuffles before it trains on them.
+HELD_WINDOWS = 8192
 
 
 def held_out(key: Column) -> Column:
@@ -137,58 +137,48 @@ def id_counts(counts: DataFrame, ends: int, tokenizer: str) -> np.ndarray:
     return total
 
 
-def training_windows(rows: DataFrame, tokenizer: str) -> DataFrame:
-    """Windows of ids at places a hash of the text chooses, one per IDS_PER_WINDOW ids of a text; end ids fill up short ones."""
-    span = attention.WINDOW + 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for text in batch.column(0).to_pylist():
-                words = words_in(text)
-                # About two ids a word; a window needs at most span words from its place on.
-                windows = 1 + len(words) * 2 // IDS_PER_WINDOW
-                place = zlib.crc32((text or "").encode()) % max(1, len(words) // windows)
-                for number in range(windows):
-                    at = place + number * len(words) // windows
-                    ids = ids_in(words[at : at + span], tokenizer)
-                    if at + span < len(words):
-                        ids = ids[:-1]
-                    row = np.full(span, END_ID, np.int32)
-                    lead = 1 if at == 0 else 0
-                    row[lead : lead + min(len(ids), span - lead)] = ids[: span - lead]
-                    found.append(row)
-            flat = np.concatenate([np.zeros(0, np.int32), *found])
-            ends = np.arange(len(found) + 1, dtype=np.int32) * span
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["ids"])
-
-    return mapped(rows, run, "ids array<int>")
-
-
-def trained(windows: DataFrame, vocabulary: attention.Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Rounds of training in every partition and averaging by windows; the driver sees one mean per weight."""
+def training_windows(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[np.ndarray]:
+    """Windows over all ids of the texts in the one column, shuffled HELD_WINDOWS at a time."""
+    pick = np.random.default_rng(11)
+    held, size = [], 0
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            found = attention.training_windows(ids_in(words_in(text), tokenizer), END_ID)
+            while size + len(found) >= HELD_WINDOWS:
+                cut = HELD_WINDOWS - size
+                yield pick.permutation(np.concatenate([*held, found[:cut]]))
+                found, held, size = found[cut:], [], 0
+            held.append(found)
+            size += len(found)
+    if size:
+        yield pick.permutation(np.concatenate(held))
+
+
+def trained(texts: DataFrame, vocabulary: attention.Vocabulary, tokenizer: str, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """Rounds of training in every partition on their share of the texts, and averaging by windows; the driver sees one mean per weight."""
     weights = attention.fresh(vocabulary)
     names, shapes = list(weights), {name: value.shape for name, value in weights.items()}
-    for _ in range(rounds):
+    column = texts.columns[0]
+    for number in range(rounds):
         start = weights
 
         def run(batches: Iterator[pa.RecordBatch], start: dict = start) -> Iterator[pa.RecordBatch]:
-            held, seen = {name: value.copy() for name, value in start.items()}, 0
-            parts = [batch.column(0).flatten().to_numpy().reshape(-1, attention.WINDOW + 1) for batch in batches if batch.num_rows]
-            if parts:
-                ids = np.concatenate(parts)
-                seen = len(ids)
-                held = attention.train(held, vocabulary, ids)
-                flat = np.concatenate([held[name].ravel() for name in names]).astype(np.float64)
+            trainer, seen = attention.Trainer(start, vocabulary), 0
+            for windows in training_windows(batches, tokenizer):
+                seen += len(windows)
+                trainer.feed(windows)
+            if seen:
+                flat = np.concatenate([trainer.weights[name].ravel() for name in names]).astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), seen))], ["place", "sum", "n"])
 
+        share = texts.where(F.pmod(F.xxhash64(F.coalesce(column, F.lit(""))), F.lit(rounds)) == number)
         means = (
-            mapped(windows, run, "place long, sum double, n long").groupBy("place")
+            mapped(share, run, "place long, sum double, n long").groupBy("place")
             .agg((F.sum("sum") / F.sum("n")).alias("mean")).collect()
         )
         if not means:
-            return weights
+            continue
         flat = np.zeros(sum(int(np.prod(shape)) for shape in shapes.values()))
         for row in means:
             flat[row["place"]] = row["mean"]
@@ -216,7 +206,7 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenize
     frequent = {row["word"].encode(): log_of(row["n"]) for row in
                 counts.where((F.octet_length("word") <= BROADCAST_BYTES) & (F.col("n") * BROADCAST_WORDS >= tokens)).collect()}
     vocabulary = attention.Vocabulary.from_counts(id_counts(counts, ends, tokenizer))
-    weights = trained(staged(training_windows(training, tokenizer)), vocabulary)
+    weights = trained(training, vocabulary, tokenizer)
     end_log = log_of(ends)
 
     def scored_part(batch: pa.RecordBatch, scorer: attention.Scorer) -> pa.RecordBatch:

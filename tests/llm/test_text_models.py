@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from text_fixtures import awkward, docs_of, empty, WORD, words  # noqa: F401
@@ -366,6 +367,18 @@ def test_training_beats_id_frequencies_on_held_out_text():
     assert score > 0.75 * frequency
 
 
+def test_every_id_is_trained_on_once(words, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "HELD_WINDOWS", 7)
+    texts = [words(3000, 4), "", None, words(32, 5), words(5, 6)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    parts = list(lm_scoring.training_windows(iter([batch]), lm_scoring.TOKENIZER))
+    assert max(map(len, parts)) <= 7
+    found = Counter(np.concatenate(parts)[:, 1:].reshape(-1).tolist())
+    want = Counter(one for text in texts for one in lm_scoring.ids_in(lm_scoring.words_in(text), lm_scoring.TOKENIZER).tolist())
+    del found[lm_scoring.END_ID], want[lm_scoring.END_ID]       # also fills up windows
+    assert found == want
+
+
 def test_evidence_is_json_friendly(spark, docs_of, words):
     docs = docs_of([row[:3] for row in toxic_rows(words, 120)])
     labels = spark.createDataFrame([(row[0], row[3]) for row in toxic_rows(words, 120)], "doc_id long, toxic int")
