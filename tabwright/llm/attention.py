@@ -11,10 +11,10 @@ from dataclasses import dataclass
 
 import numpy as np
 
-WINDOW, STRIDE = 32, 26
+WINDOW, STRIDE = 32, 16
 WIDTH = 16
-CLASSES, SINGLE = 128, 96
-INPUTS = 1024
+CLASSES, SINGLE = 256, 192
+INPUTS = 8192
 RATE, BATCH = 4e-3, 64
 # Windows scored at once, so that their logits stay near the cache.
 TOGETHER = 128

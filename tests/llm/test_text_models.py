@@ -379,6 +379,15 @@ def test_every_id_is_trained_on_once(words, monkeypatch):
     assert found == want
 
 
+def test_least_context_and_rare_ids():
+    sizes = np.array([500])
+    _, start, scored = attention.window_plan(sizes)
+    assert (scored - start)[1:].min() >= attention.WINDOW // 2
+    vocabulary = attention.Vocabulary.from_counts(1e6 / np.arange(1, lm_scoring.IDS + 1))
+    assert len(set(vocabulary.input_of[:8000].tolist())) == 8000
+    assert len(set(vocabulary.class_of.tolist())) == attention.CLASSES and attention.CLASSES > 128
+
+
 def test_evidence_is_json_friendly(spark, docs_of, words):
     docs = docs_of([row[:3] for row in toxic_rows(words, 120)])
     labels = spark.createDataFrame([(row[0], row[3]) for row in toxic_rows(words, 120)], "doc_id long, toxic int")
