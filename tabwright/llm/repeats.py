@@ -12,10 +12,13 @@ anchor's strings cover is its context.
 1. Anchors and contexts are counted by hash, per batch first; an anchor that
    occurs once ends here.
 2. One copy of each different context of the other anchors is cut from its text,
-   and contexts of one anchor come to one task.
+   and contexts of one anchor come to one task.  Those of an anchor with more
+   than GROUP_BYTES of them are cut into their strings, which meet by their own
+   hash, so the anchor spreads over tasks.
 3. There the suffixes of the contexts are sorted in two stages and neighbours
    with a common prefix of LENGTH bytes are marked; a context that occurs several
-   times is marked whole.  Hashes only bring strings together; marks between
+   times is marked whole.  Strings that came alone are compared as they are
+   read.  Hashes only bring strings together; marks between
    different contexts rest on their bytes.
 4. Marks go back to all occurrences of a context and are united per document.
 
@@ -43,8 +46,12 @@ from tabwright.llm.suffix_sort import common_prefixes, suffix_array
 
 LENGTH = 200
 ANCHOR = 32
-# Bytes that are hashed at once, and bytes of contexts that are sorted at once (whole anchors, so possibly more).
+# Bytes that are hashed at once, and bytes of contexts that are sorted at once (whole anchors, so up to GROUP_BYTES more).
 BLOCK, SORTED = 1 << 20, 1 << 18
+# Bytes of the different contexts of one anchor that are sorted together at most.
+GROUP_BYTES = 1 << 21
+# Rows that are handed on together.
+ROWS = 8192
 PLACE_BITS = 24
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -183,24 +190,54 @@ def _stored(inner: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame
 
 
 def _cut(stored: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(hash, context, n, strings, content) of one occurrence of each wanted context; wanted: (key, list of places)."""
+    """(hash, context, n, strings, content, meet, first) of one occurrence of each wanted context; wanted: (key, list of places).
+
+    Contexts meet by their anchor's hash, with first -1.  Spread ones are cut into
+    strings with their place in the context, which meet by their own hash.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
+        kinds = {"hash": pa.int64(), "context": pa.int64(), "n": pa.int64(), "strings": pa.int32(), "content": pa.binary(),
+                 "meet": pa.int64(), "first": pa.int32()}
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows)) or [()] * len(kinds)
+            return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds.values())], [*kinds])
+
+        rows: list[tuple] = []
         for batch in batches:
-            rows: list[tuple] = []
             for packed, items in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 text = unpack(packed)
                 for item in items:
                     start, strings = item["place"] >> 8 & 0xFFFFFFFF, item["place"] & 0xFF
-                    rows.append((item["hash"], item["context"], item["n"], strings, text[start : start + strings + LENGTH - 1]))
-            columns = list(zip(*rows)) or [(), (), (), (), ()]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds)],
-                                             ["hash", "context", "n", "strings", "content"])
+                    name = (item["hash"], item["context"], item["n"])
+                    if item["spread"]:
+                        for first in range(strings):
+                            string = text[start + first : start + first + LENGTH]
+                            rows.append((*name, 1, string, xxhash.xxh3_64_intdigest(string) - (1 << 63), first))
+                    else:
+                        rows.append((*name, strings, text[start : start + strings + LENGTH - 1], item["hash"], -1))
+                    if len(rows) >= ROWS:
+                        yield out(rows)
+                        rows = []
+        if rows:
+            yield out(rows)
 
     joined = stored.join(wanted, "key").select("packed", "wanted")
-    return mapped(joined, run, "hash long, context long, n long, strings int, content binary")
+    return mapped(joined, run, "hash long, context long, n long, strings int, content binary, meet long, first int")
+
+
+def _meeting(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """What ``_cut`` gives for the different contexts of all anchors that occur twice; rows: (id, text)."""
+    by_hash = Window.partitionBy("hash")
+    different = _contexts_of(rows).repartition("hash").groupBy("hash", "context").agg(
+        F.min(F.struct("key", "place")).alias("one"), F.sum("n").alias("n"))
+    size = F.col("one.place").bitwiseAND(0xFF) + F.lit(LENGTH - 1)
+    repeated = different.withColumns({"all": F.sum("n").over(by_hash), "spread": F.sum(size).over(by_hash) > GROUP_BYTES}).where("all > 1")
+    wanted = repeated.groupBy(F.col("one.key").alias("key")).agg(
+        F.collect_list(F.struct("hash", "context", "n", F.col("one.place").alias("place"), "spread")).alias("wanted"))
+    return _cut(stored, wanted)
 
 
 def marked_strings(contents: list[bytes], strings: list[int], whole: list[bool]) -> list[list[tuple[int, int]]]:
@@ -226,20 +263,40 @@ def marked_strings(contents: list[bytes], strings: list[int], whole: list[bool])
 
 
 def _marks(contexts: DataFrame) -> DataFrame:
-    """(hash, context, first, last) for every range of repeated strings; contexts of one anchor are sorted together."""
+    """(hash, context, first, last) for every range of repeated strings; contexts of one anchor are sorted together, strings that came alone compared."""
 
-    def sort(rows: list[tuple]) -> pa.RecordBatch:
-        ranges = marked_strings([row[4] for row in rows], [row[3] for row in rows], [row[2] > 1 for row in rows])
-        flat = [(row[0], row[1], first, last) for row, own in zip(rows, ranges) for first, last in own]
+    def out(flat: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*flat)) or [(), (), (), ()]
         return pa.RecordBatch.from_arrays(
             [pa.array(column, kind) for column, kind in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
             ["hash", "context", "first", "last"])
 
+    def sort(rows: list[tuple]) -> pa.RecordBatch:
+        ranges = marked_strings([row[4] for row in rows], [row[3] for row in rows], [row[2] > 1 for row in rows])
+        return out([(row[0], row[1], first, last) for row, own in zip(rows, ranges) for first, last in own])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
+        # Per string of one hash its first row, or None once that is marked.
+        meet, seen, found = None, {}, []
         for batch in batches:
             for row in zip(*[column.to_pylist() for column in batch.columns]):
+                if row[6] >= 0:
+                    if row[5] != meet:
+                        meet, seen = row[5], {}
+                    mark = (row[0], row[1], row[6], row[6] + 1)
+                    if row[4] in seen:
+                        found += [one for one in (seen[row[4]], mark) if one]
+                        seen[row[4]] = None
+                    elif row[2] > 1:
+                        found.append(mark)
+                        seen[row[4]] = None
+                    else:
+                        seen[row[4]] = mark
+                    if len(found) >= ROWS:
+                        yield out(found)
+                        found = []
+                    continue
                 if held >= SORTED and row[0] != rows[-1][0]:
                     yield sort(rows)
                     rows, held = [], 0
@@ -247,8 +304,10 @@ def _marks(contexts: DataFrame) -> DataFrame:
                 held += len(row[4])
         if rows:
             yield sort(rows)
+        if found:
+            yield out(found)
 
-    return mapped(contexts.repartition("hash").sortWithinPartitions("hash", "context"), run,
+    return mapped(contexts.repartition("meet").sortWithinPartitions("meet", "context"), run,
                   "hash long, context long, first int, last int")
 
 
@@ -298,13 +357,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = inner.select(place_of[key], place_of[text])
     stored = _stored(inner, place_of[key], place_of[text], keep)
 
-    by_hash = Window.partitionBy("hash")
-    different = _contexts_of(rows).repartition("hash").groupBy("hash", "context").agg(
-        F.min(F.struct("key", "place")).alias("one"), F.sum("n").alias("n"))
-    repeated = different.withColumn("all", F.sum("n").over(by_hash)).where("all > 1")
-    wanted = repeated.groupBy(F.col("one.key").alias("key")).agg(
-        F.collect_list(F.struct("hash", "context", "n", F.col("one.place").alias("place"))).alias("wanted"))
-    marks = _marks(_cut(stored, wanted))
+    marks = _marks(_meeting(rows, stored))
 
     occurrences = _anchors_of(rows).join(marks, ["hash", "context"])
     start = F.shiftrightunsigned("place", 8).bitwiseAND(0xFFFFFFFF)

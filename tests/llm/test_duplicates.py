@@ -175,6 +175,20 @@ def test_repeats_against_all_strings(docs_of, words, monkeypatch):
     assert digest(docs_of(texts)) == dict(enumerate(want))
 
 
+def test_an_anchor_with_many_contexts_is_spread(docs_of, words, monkeypatch):
+    line, passage = words(25, 1)[:120], words(60, 2)[:260]
+    texts = [f"{words(60, 100 + place)} {line} {words(60, 300 + place)}" for place in range(40)]
+    texts += [f"{words(40, 500 + place)} {passage[:70]} {line} {passage[70:]} {words(40, 600 + place)}" for place in range(4)]
+    texts += [texts[0], texts[1][50:], line * 5]
+    docs = docs_of(texts)
+    monkeypatch.setattr(repeats, "GROUP_BYTES", 1000)
+    assert digest(docs) == dict(enumerate(plain_repeats([text.encode() for text in texts])))
+    rows = docs.select("doc_id", "text")
+    meeting = repeats._meeting(rows, repeats._stored(docs, "doc_id", "text", ["doc_id"]))
+    assert meeting.where("first >= 0").count() > 1000
+    assert all(row["size"] <= 1000 for row in meeting.where("first < 0").groupBy("meet").agg(F.sum(F.octet_length("content")).alias("size")).collect())
+
+
 def test_blocks_of_a_long_text_join_without_a_seam(words, monkeypatch):
     text = (words(400, 1) + " " + words(200, 2) + " " + words(400, 1)).encode()
     batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text.decode()])], ["id", "text"])
