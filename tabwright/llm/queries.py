@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.llm import (
-    lm_scoring, mixing, pii, quality_rules, repeats, sentencepiece_viterbi, simhash, syncmers, token_files, toxicity,
+    hard_negatives, lm_scoring, mixing, pii, quality_rules, repeats, sentencepiece_viterbi, simhash, syncmers, token_files, toxicity,
 )
 from tabwright.llm.common import documents
 
@@ -148,3 +148,32 @@ def _(spark, sf):
 @query("op10_attention_scores")
 def _(spark, sf):
     return lm_scoring.lm_scores(documents(spark, sf).select("doc_id", "text"))
+
+
+# Every anchor against every row; embeddings are lists of FLOAT, whole numbers are exact as DOUBLE.
+NEGATIVES_SQL = r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS row_id, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.row_id AS a_row, a.vec_id AS anchor_id, r.row_id AS r_row, r.vec_id, a.label = r.label AS same,
+    CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND a.row_id <> r.row_id),
+positives AS (
+  SELECT a_row, anchor_id, r_row, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a_row ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.a_row, p.r_row ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.a_row = p.a_row AND NOT n.same
+  AND 80 * positive_score <= 100 * n.score AND n.score <= positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query("op11_hard_negative_mining", NEGATIVES_SQL)
+def _(spark, sf):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = documents(spark, sf, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
