@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.llm import (
-    hard_negatives, lm_scoring, mixing, pii, quality_rules, repeats, sentencepiece_viterbi, simhash, syncmers, token_files, toxicity,
+    hard_negatives, licenses, lm_scoring, mixing, pii, quality_rules, repeats, sentencepiece_viterbi, simhash, syncmers, token_files, toxicity,
 )
 from tabwright.llm.common import documents
 
@@ -177,3 +177,8 @@ def _(spark, sf):
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = documents(spark, sf, "embeddings").withColumn("label", moved)
     return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+@query("op12_license_notices")
+def _(spark, sf):
+    return licenses.notice_digest(licenses.find_notices(documents(spark, sf).select("doc_id", "text")))
