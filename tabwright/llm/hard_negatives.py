@@ -117,7 +117,7 @@ def _answers(batches, need, same, ratio) -> Iterator[list[tuple[int, int, int, i
                     continue
                 flat_tops, counts = _lists(piece["tops"])
                 tops = np.split(flat_tops.astype(np.int64), np.cumsum(counts)[:-1])
-                lows = [np.full(len(top), -FAR) if ratio is None else -((-ratio[0] * top) // ratio[1]) for top in tops]
+                lows = [np.array([-FAR if ratio is None else -((-ratio[0] * one) // ratio[1]) for one in top.tolist()], np.int64) for top in tops]
                 # A negative positive score turns its window round: it holds nothing.
                 real = [low <= top for low, top in zip(lows, tops)]
                 tops, lows = [top[ok] for top, ok in zip(tops, real)], [low[ok] for low, ok in zip(lows, real)]

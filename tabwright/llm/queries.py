@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.llm import (
-    hard_negatives, licenses, lm_scoring, mixing, pii, quality_rules, repeats, sentencepiece_viterbi, simhash, syncmers, token_files, toxicity,
+    collocations, hard_negatives, licenses, lm_scoring, mixing, pii, quality_rules, repeats, sentencepiece_viterbi, simhash, syncmers, token_files, toxicity,
 )
 from tabwright.llm.common import documents
 
@@ -182,3 +182,38 @@ def _(spark, sf):
 @query("op12_license_notices")
 def _(spark, sf):
     return licenses.notice_digest(licenses.find_notices(documents(spark, sf).select("doc_id", "text")))
+
+
+# All phrases of 1 to 5 words of each piece, counted; cuts, weakest cut, longer phrases of equal count.
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+      unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+lengths AS (SELECT lang, w, i, unnest([1, 2, 3, 4, 5]) AS k FROM places),
+counts AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS f
+  FROM lengths WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+cuts AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM counts WHERE k > 1),
+scored AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, cut, l.f AS l, r.f AS r, n, 1000::HUGEINT * c.f * n // (l.f::HUGEINT * r.f) AS score
+  FROM cuts c JOIN totals USING (lang)
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(w, 1, cut), ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(w, cut + 1, c.k), ' ')),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT DISTINCT lang, array_to_string(list_slice(string_split(phrase, ' '), s, s + m - 1), ' ') AS phrase, a
+  FROM (SELECT lang, k, phrase, a, unnest(range(2, k)) AS m FROM weakest), unnest(range(1, k - m + 2)) AS t(s))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM weakest w WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = w.lang AND i.phrase = w.phrase AND i.a >= w.a)
+QUALIFY rank <= 2000
+"""
+
+
+@query("op13_phrase_collocations", PHRASES_SQL)
+def _(spark, sf):
+    return collocations.collocations(documents(spark, sf).select("doc_id", "lang", "text"), key="doc_id")
