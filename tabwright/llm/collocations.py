@@ -5,13 +5,18 @@ lowered bound.  One pass over all documents counts them together with their
 negative border: every phrase that is no proposal itself but whose longest parts
 (its first and its last k - 1 words) are, and every single word.  A phrase of the
 border that turns out to be frequent is a failure of the sample: its extensions
-were not counted.  Failures become proposals, and a further pass counts what they
-add to the border, until a pass has none.  A part is at least as frequent as its
-phrase, so then every frequent phrase has been counted, over all documents.
+were not counted.  Failures become proposals, and an expansion pass counts what
+they add: new phrases are followed to their full length there, so it is closed.
+(A part is at least as frequent as its phrase: if both parts of a frequent phrase
+were counted in the first pass, they are proposals now; if one is new, it is
+followed.  Either way the phrase is counted.)
+
+These passes shuffle hashes of phrases and numbers only.  Two phrases of one hash
+can only look more frequent than they are, so a last pass counts what looks
+frequent by its spelling, over all documents, and decides.
 
 Tasks ask a Bloom filter whether a phrase is proposed.  Its size is bounded
-(``MOST_BITS``); a wrong yes only counts a phrase in vain, and counts are always
-those of the phrases themselves.
+(``MOST_BITS``); a wrong yes only counts a phrase in vain.
 
 Defined cases: a null text counts as empty, a null language is ``und``; an empty
 or blank text has no words.  Repeated rows count each time.  An empty table gives
@@ -29,51 +34,69 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.llm.common import mapped, staged
-from tabwright.llm.phrase_counts import Filter, Words, chunks
+from tabwright.llm.phrase_counts import LENGTH_BITS, LENGTH_MASK, Filter, Words, chunks, tagged
 
 MOST_WORDS = 5
 # Share of the documents in the sample, in thousandths.
 SAMPLE = 100
 # The sample's bound lies so many standard deviations below the expected count of a phrase that is just frequent.
 MARGIN = 2.0
+# Rows that are held as Python strings at a time.
+ROWS = 256
+# Languages whose sizes are broadcast (a few MB); more are joined by a shuffle.
+FEW_LANGUAGES = 50_000
 # Bits of the filter for each proposal, and the largest filter (16 MB) and the smallest.
 BITS_EACH, MOST_BITS, LEAST_BITS = 16, 1 << 27, 1 << 16
-COUNTS = "lang string, k int, phrase string, hash long, n long"
 
 
-def counted(docs: DataFrame, most: int, proposed=None, before=None, depth: int | None = None, least: int = 0) -> DataFrame:
-    """(lang, k, phrase, hash, n) of the phrases that ``Words.phrases`` counts, over all rows of docs(lang, text).
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
+    few = (batch.slice(start, ROWS) for batch in batches for start in range(0, batch.num_rows, ROWS))
+    rows = (pair for some in few for pair in zip(some.column(0).to_pylist(), some.column(1).to_pylist()))
+    for texts in chunks(rows):
+        yield Words(texts)
+
+
+def counted(docs: DataFrame, most: int, proposed=None, before=None, depth: int | None = None, least: int = 1) -> DataFrame:
+    """(hash, n) of the phrases that ``Words.phrases`` counts, over all rows of docs(lang, text).
 
-    ``proposed`` and ``before`` are broadcast filters.  k = 0 is the number of all
-    words of a language; lengths below ``least`` are walked through, not returned.
+    ``proposed`` and ``before`` are broadcast filters; lengths below ``least`` are
+    walked through, not returned.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, past = (Filter(one.value) if one is not None else None for one in (proposed, before))
-        names = ["lang", "k", "phrase", "hash", "n"]
-        rows = (pair for batch in batches for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-        for texts in chunks(rows):
-            chunk = Words(texts)
-            langs = pa.array(list(chunk.langs), pa.string())
-            if not least:
-                found, totals = chunk.totals()
-                same = [pa.array([0] * len(found), kind) for kind in (pa.int32(), pa.int64())]
-                yield pa.RecordBatch.from_arrays(
-                    [langs, same[0], pa.array([""] * len(found), pa.string()), same[1], pa.array(totals, pa.int64())], names)
-            for k, lang_of, words, counts, hashes in chunk.phrases(most, now, past, depth):
+        for chunk in _chunks(batches):
+            for k, _, _, counts, hashes in chunk.phrases(most, now, past, depth):
                 if k >= least:
-                    yield pa.RecordBatch.from_arrays([
-                        langs.take(pa.array(lang_of)), pa.array(np.full(len(counts), k, np.int32)), chunk.spelled(words),
-                        pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], names)
+                    columns = [pa.array(tagged(hashes, k).view(np.int64)), pa.array(counts.astype(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, ["hash", "n"])
+
+    return mapped(docs.select("lang", "text"), run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
-    return mapped(docs.select("lang", "text"), run, COUNTS).groupBy("lang", "k", "phrase", "hash").agg(F.sum("n").alias("n"))
+
+def spelled_out(docs: DataFrame, most: int, wanted) -> DataFrame:
+    """(lang, phrase, n) of the phrases that the filter has; the empty phrase stands for all words of a language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, names = Filter(wanted.value), ["lang", "phrase", "n"]
+        for chunk in _chunks(batches):
+            langs = pa.array(list(chunk.langs), pa.string())
+            _, totals = chunk.totals()
+            yield pa.RecordBatch.from_arrays([langs, pa.array([""] * len(langs), pa.string()), pa.array(totals, pa.int64())], names)
+            for _, lang_of, words, counts, hashes in chunk.phrases(most, held):
+                some = held.has(hashes)
+                if some.any():
+                    columns = [langs.take(pa.array(lang_of[some])), chunk.spelled(words[some]), pa.array(counts[some].astype(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+    return mapped(docs.select("lang", "text"), run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def filter_words(hashes: DataFrame, bits: int) -> np.ndarray:
     """The filter of a ``hash`` column as 64-bit words; ``bits`` bound what reaches the driver."""
     # As Filter.places, without leaving 64 bits.
     step = F.shiftrightunsigned("hash", 33).bitwiseOR(F.lit(1))
-    low = F.col("hash").bitwiseAND(F.lit(bits - 1))
+    low = F.shiftright("hash", LENGTH_BITS).bitwiseAND(F.lit(bits - 1))
     places = F.array(*[(low + F.lit(probe) * step).bitwiseAND(F.lit(bits - 1)) for probe in range(Filter.PROBES)])
     placed = hashes.select(F.explode(places).alias("place"))
     bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
@@ -114,28 +137,23 @@ def frequent_phrases(
     size = lambda rows: min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * rows.count()).bit_length()))
 
     # The sample: words and pairs first, then longer phrases whose pairs are all frequent in it.
-    short = staged(counted(some, min(2, most), least=1).where(F.col("n") >= bound).select("hash"))
+    short = staged(counted(some, min(2, most)).where(F.col("n") >= bound).select("hash"))
     pairs = share(filter_words(short, size(short)))
     longer = counted(some, most, proposed=pairs, depth=2, least=3).where(F.col("n") >= bound).select("hash")
     guesses = staged(short.unionByName(longer))
     bits = size(guesses)
     words = filter_words(guesses, bits)
 
-    passes, before, proposed = [], None, share(words)
-    while True:
-        found = staged(
-            counted(docs, most, proposed, before, least=0 if before is None else 2).where((F.col("n") >= least) | (F.col("k") == 0))
-        )
-        passes.append(found)
-        failed = staged(unproposed(found.where(F.col("k").between(1, most - 1)), proposed).select("hash"))
-        if failed.isEmpty():
-            break
-        words = words | filter_words(failed, bits)
-        before, proposed = proposed, share(words)
-    whole = passes[0]
-    for one in passes[1:]:
-        whole = whole.unionByName(one)
-    return whole.select("lang", "k", "phrase", "n")
+    proposed = share(words)
+    found = staged(counted(docs, most, proposed).where(F.col("n") >= least).select("hash"))
+    shorter = F.col("hash").bitwiseAND(F.lit(LENGTH_MASK)) < most
+    failed = staged(unproposed(found.where(shorter), proposed))
+    if not failed.isEmpty():
+        more = share(words | filter_words(failed, bits))
+        found = staged(found.unionByName(counted(docs, most, more, before=proposed, least=2).where(F.col("n") >= least).select("hash")))
+    exact = spelled_out(docs, most, share(filter_words(found, size(found))))
+    length = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return staged(exact.where((F.col("n") >= least) | (F.col("phrase") == "")).withColumn("k", length)).select("lang", "k", "phrase", "n")
 
 
 def cut_scores(phrases: DataFrame, factor: int = 1000) -> DataFrame:
@@ -155,6 +173,8 @@ def cut_scores(phrases: DataFrame, factor: int = 1000) -> DataFrame:
         )
     )
     part = lambda name, count: counts.select("lang", F.col("phrase").alias(name), F.col("n").alias(count))
+    if sizes.count() <= FEW_LANGUAGES:
+        sizes = F.broadcast(sizes)
     whole = cuts.join(part("_first", "l"), ["lang", "_first"]).join(part("_rest", "r"), ["lang", "_rest"]).join(sizes, "lang")
     score = F.expr(f"(cast({factor} as decimal(4,0)) * (cast(a as decimal(17,0)) * cast(total as decimal(17,0)))) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
     scored = whole.withColumn("score", score)

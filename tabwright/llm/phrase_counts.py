@@ -3,7 +3,8 @@
 A chunk of text is cut into words by masks over its bytes; equal words get one
 number, and a phrase of k words is numbered by its first k - 1 words and its last
 k - 1 words, so equal phrases have equal numbers and nothing rests on hashes.
-Hashes only ask the filter of proposed phrases.
+Hashes name phrases in filters and in the first counts; two phrases with one hash
+only look more frequent than they are, and the last count is by their spelling.
 """
 
 from __future__ import annotations
@@ -14,17 +15,19 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 
 # Bytes that end a piece and bytes between the words of a piece.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 # Bytes of text counted together; a longer text is cut where a piece ends.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
 
 _FOLD = bytes(
     byte + 32 if 65 <= byte <= 90 else 10 if byte in PIECE_ENDS else 32 if byte in BLANKS else byte for byte in range(256)
 )
+# Low bits of a phrase's hash that hold its length.
+LENGTH_BITS = 3
+LENGTH_MASK = (1 << LENGTH_BITS) - 1
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -36,6 +39,30 @@ def mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return value ^ (value >> np.uint64(29))
 
 
+def tagged(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The hash with the length of its phrase in the low bits."""
+    return hashes & ~np.uint64(LENGTH_MASK) | np.uint64(k)
+
+
+def spelling_hashes(words: pa.Array) -> np.ndarray:
+    """Hash of each word's bytes; equal words have equal hashes everywhere."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    words = words.cast(pa.binary())
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    letters = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64) + np.uint64(1)
+    starts, sizes = offsets[:-1] - offsets[0], np.diff(offsets)
+    powers = np.cumprod(np.full(int(sizes.max()) + 1, _MIX[1]))
+    letters *= powers[np.arange(len(letters)) - np.repeat(starts, sizes)]
+    # The border behind the last word keeps empty words in range; they hash to 0.
+    sums = np.add.reduceat(np.append(letters, np.uint64(0)), starts)
+    return np.where(sizes > 0, sums, np.uint64(0))
+
+
+def lang_seeds(langs: list[str]) -> np.ndarray:
+    return spelling_hashes(pa.array(langs, pa.string())) * _MIX[0] + np.uint64(7)
+
+
 class Filter:
     """A Bloom filter over 64-bit hashes; it may say yes too often, never no."""
 
@@ -46,8 +73,8 @@ class Filter:
 
     @staticmethod
     def places(hashes: np.ndarray, mask: int) -> list[np.ndarray]:
-        step = (hashes >> np.uint64(33)) | np.uint64(1)
-        return [(hashes + np.uint64(probe) * step) & np.uint64(mask) for probe in range(Filter.PROBES)]
+        step, low = (hashes >> np.uint64(33)) | np.uint64(1), hashes >> np.uint64(LENGTH_BITS)
+        return [(low + np.uint64(probe) * step) & np.uint64(mask) for probe in range(Filter.PROBES)]
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         found = np.ones(len(hashes), bool)
@@ -94,7 +121,7 @@ class Words:
         edges = np.flatnonzero(solid[1:] != solid[:-1]) + 1
         starts, stops = edges[0::2], edges[1::2]
         # Piece ends before a word: equal numbers mean the same piece.
-        piece = np.cumsum(data == 10)[starts]
+        piece = np.cumsum(data == 10, dtype=np.int32)[starts]
         self.joined = piece[1:] == piece[:-1]
         offsets = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int32)
         words = pa.BinaryArray.from_buffers(
@@ -107,9 +134,7 @@ class Words:
         size = max(len(self.vocabulary), 1)
         self.ids, own = pd.factorize(lang * size + coded.indices.to_numpy(zero_copy_only=False).astype(np.int64))
         self.lang_of, self.own = own // size, own % size
-        seeds = np.array([xxhash.xxh64_intdigest(one.encode("utf-8"), 7) for one in self.langs], np.uint64)
-        spelled = np.array([xxhash.xxh64_intdigest(word) for word in coded.dictionary.to_pylist()], np.uint64)
-        self.hashes = mixed(seeds[self.lang_of], spelled[self.own])
+        self.hashes = mixed(lang_seeds(list(self.langs))[self.lang_of], spelling_hashes(coded.dictionary)[self.own])
 
     def totals(self) -> tuple[list[str], list[int]]:
         """Languages and their numbers of words."""
@@ -122,7 +147,8 @@ class Words:
 
         A phrase is counted if its first and its last k - 1 words are both counted and
         ``proposed``; with ``depth``, parts longer than that need no proposal.  What the
-        same rule counted under the proposals ``before`` is left out.
+        same rule counted under the proposals ``before`` is left out, and what is new is
+        followed to its full length as if it were proposed.
         """
         starts, ids, hashes, lang_of = np.arange(len(self.ids)), self.ids, self.hashes, self.lang_of
         words = np.arange(len(self.own))[:, None]
@@ -131,7 +157,10 @@ class Words:
             if k > 1:
                 asked = proposed is not None and (depth is None or k - 1 <= depth)
                 live = proposed.has(hashes) if asked else np.ones(len(hashes), bool)
-                known = counted & before.has(hashes) if before is not None else np.zeros(len(hashes), bool)
+                known = np.zeros(len(hashes), bool)
+                if before is not None:
+                    live |= ~counted
+                    known = counted & before.has(hashes)
                 follows = np.flatnonzero(starts[1:] == starts[:-1] + 1)
                 if k == 2:
                     follows = follows[self.joined[starts[follows]]]
