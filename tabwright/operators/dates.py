@@ -12,7 +12,8 @@ from tabwright.functions.cells import is_date_shaped, text, trim_ws
 from tabwright.functions.csvtext import render_line
 from tabwright.operators.profiles import TOTAL, rates
 from tabwright.plans.results import (
-    CORRUPT, FIELDS, ROW_NO, JobResult, data_columns, file_of, is_ragged, is_unreadable, place_of, quoted, require_columns,
+    FIELDS, ROW_NO, JobResult, corrupt_text, data_columns, file_of, place_of, quoted, require_columns,
+    structure_error,
 )
 from tabwright.plans.scale import computed_once, number_rows
 
@@ -32,8 +33,8 @@ def convert_date(df: DataFrame, column: str, row_no: str = ROW_NO) -> JobResult:
         df.withColumns(trimmed),
         {"_tw_date": cell, "_tw_iso": grammar.iso_text(grammar.parse_mixed(cell))},
     )
-    ragged, unreadable = is_ragged(df, len(names)), is_unreadable(df, len(names))
-    fits = ~(ragged | unreadable)
+    broken = structure_error(df, len(names))
+    fits = broken.isNull()
     good = fits & ((F.col("_tw_date") == "") | F.col("_tw_iso").isNotNull())
     clean = tagged.filter(good).withColumn(column, F.coalesce("_tw_iso", F.lit(""))).select(*quoted(df.columns))
     rendered = render_line(names)
@@ -41,9 +42,9 @@ def convert_date(df: DataFrame, column: str, row_no: str = ROW_NO) -> JobResult:
     rejects = bad.select(
         file_of(df).alias("file"),
         (F.col(row_no) + 1 if row_no in df.columns else F.lit(None).cast("bigint")).alias("line"),
-        F.when(ragged, "COLUMN_COUNT").when(unreadable, "PARSE_ERROR").otherwise("DATE_CONVERSION_ERROR").alias("error_type"),
+        F.coalesce(broken, F.lit("DATE_CONVERSION_ERROR")).alias("error_type"),
         F.col("_tw_date").alias("original"),
-        (F.coalesce(F.col(CORRUPT), rendered) if CORRUPT in df.columns else rendered).alias("record"),
+        F.coalesce(corrupt_text(df), rendered).alias("record"),
     )
     summary = tagged.agg(
         F.count("*").alias("processed"),

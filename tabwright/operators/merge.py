@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabwright.functions.cells import text, trim_ws
 from tabwright.functions.csvtext import render_line
 from tabwright.plans.results import (
-    ROW_NO, JobResult, data_columns, file_of, is_ragged, is_unreadable, quoted, require_columns, sound_rows,
+    ROW_NO, JobResult, data_columns, file_of, is_ragged, is_undecodable, is_unreadable, quoted, require_columns, sound_rows,
 )
 from tabwright.plans.scale import number_rows
 from tabwright.sources.lines import first_line, is_top_line
@@ -117,7 +117,7 @@ def dedup_by_key(
     empty = reduce(lambda a, b: a | b, [text(F.col(f"`{key}`")) == "" for key in keys])
     reason = (
         F.lit(None).cast("string") if strict else
-        F.when(is_ragged(records, width), "LENGTH_MISMATCH")
+        F.when(is_undecodable(records), "ENCODING_ERROR").when(is_ragged(records, width), "LENGTH_MISMATCH")
         .when(is_unreadable(records, width), "CSV_PARSE_ERROR")
         .when(empty, "EMPTY_KEY")
     )

@@ -18,7 +18,7 @@ from tabwright.functions.csvtext import render_line
 from tabwright.operators.profiles import rates
 from tabwright.plans.models import MOROSOS, TableModel, get_model
 from tabwright.plans.results import (
-    CORRUPT, FIELDS, ROW_NO, JobResult, data_columns, file_of, is_ragged, is_unreadable, place_of, require_columns,
+    CORRUPT, FIELDS, ROW_NO, JobResult, corrupt_text, data_columns, file_of, is_undecodable, is_unreadable, place_of, require_columns, structure_error,
 )
 
 # --- fixed values: key texts of unreadable keys ---
@@ -51,14 +51,16 @@ def _cell(df: DataFrame, name: str) -> Column:
 
 
 def _width_problem(df: DataFrame, width: int, kind: str) -> list[tuple[Column, Column]]:
-    """Ragged rows, then rows whose width fits but whose text could not be read."""
+    """Ragged rows, then rows whose width fits but whose text could not be read, then those of other bytes than UTF-8."""
     if FIELDS not in df.columns:
         return []
-    bad = F.col(FIELDS) != width
+    garbled = is_undecodable(df)
+    bad = (F.col(FIELDS) != width) & ~garbled
     details = F.concat(F.col(FIELDS).cast("string"), F.lit(f" cells under {width} columns"))
     checks = [(bad, _problem(kind, details))]
     if CORRUPT in df.columns:
-        checks.append((~bad & F.col(CORRUPT).isNotNull(), _problem("PARSE_ERROR", F.lit("unreadable record"))))
+        checks.append((~bad & ~garbled & F.col(CORRUPT).isNotNull(), _problem("PARSE_ERROR", F.lit("unreadable record"))))
+        checks.append((garbled, _problem("ENCODING_ERROR", F.lit("the bytes are no UTF-8; the record shows them in hex"))))
     return checks
 
 
@@ -88,7 +90,7 @@ def _keys(df: DataFrame, model: TableModel | None) -> list[Column]:
 
 def _record_text(df: DataFrame, names: list[str]) -> Column:
     rendered = render_line(names)
-    return F.coalesce(F.col(CORRUPT), rendered) if CORRUPT in df.columns else rendered
+    return F.coalesce(corrupt_text(df), rendered)
 
 
 def _reject_rows(
@@ -229,7 +231,7 @@ def field_error_counts(df: DataFrame, model: str | TableModel, rule: str = "scie
     names = _data_names(df, row_no)
     checks = _numeric_checks(df, model, rule, "position", names)
     fields = [field for field in model.numeric if model.position(field) < len(names)]
-    readable = ~is_unreadable(df, len(names))
+    readable = ~is_unreadable(df, len(names)) & ~is_undecodable(df)
 
     def there(field: str) -> Column:
         return readable & (F.col(FIELDS) > model.position(field)) if FIELDS in df.columns else readable
@@ -302,7 +304,7 @@ def validate_model(
     if not model.kinds:
         raise ValueError(f"model {model.name!r} declares no cell rules")
     width = [
-        (bad, problem.withField("kind", F.lit("ColumnCount" if place == 0 else "ParseError")))
+        (bad, problem.withField("kind", F.lit(("ColumnCount", "ParseError", "EncodingError")[place])))
         for place, (bad, problem) in enumerate(_width_problem(df, model.width, "ColumnCount"))
     ]
     typed = []
@@ -325,9 +327,7 @@ def validate_model(
 
 
 def _structure_error(df: DataFrame, row_no: str) -> Column:
-    """Why a record's cells cannot be trusted; NULL for a sound one."""
-    width = len(_data_names(df, row_no))
-    return F.when(is_ragged(df, width), "COLUMN_COUNT").when(is_unreadable(df, width), "PARSE_ERROR")
+    return structure_error(df, len(_data_names(df, row_no)))
 
 
 def extract_keys(df: DataFrame, model: str | TableModel, limit: int | None = None, row_no: str = ROW_NO) -> JobResult:
@@ -353,8 +353,8 @@ def extract_resume_key(df: DataFrame, row_no: str = ROW_NO) -> JobResult:
     """(record, resume_key); unsound rows and rows whose ids are no 32-bit integers go to rejects."""
     require_columns(df, row_no, *RESUME_COLUMNS)
     wrong = (
-        F.when(~cells.is_int32(_cell(df, "IdTransmit")), "Invalid IdTransmit")
-        .when(~cells.is_int32(_cell(df, "IdCliente")), "Invalid IdCliente")
+        F.when(~cells.is_int32(_cell(df, "IdTransmit")), "IdTransmit is no 32-bit integer")
+        .when(~cells.is_int32(_cell(df, "IdCliente")), "IdCliente is no 32-bit integer")
     )
     tagged = df.select(
         file_of(df).alias("file"), F.col(row_no).alias("record"), resume_key(df).alias("resume_key"),
@@ -377,7 +377,7 @@ def drop_ragged(df: DataFrame, row_no: str = ROW_NO) -> JobResult:
     require_columns(df, FIELDS)
     model = MOROSOS if len(names) == MOROSOS.width and names[0] == MOROSOS.columns[0] else None
     checks = [
-        (bad, problem.withField("kind", F.lit("ColumnMismatch" if place == 0 else "ParseError")))
+        (bad, problem.withField("kind", F.lit(("ColumnMismatch", "ParseError", "EncodingError")[place])))
         for place, (bad, problem) in enumerate(_width_problem(df, len(names), "ColumnMismatch"))
     ]
     ok = _ok(checks)

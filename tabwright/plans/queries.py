@@ -12,7 +12,7 @@ from tabwright.operators import dates as date_jobs
 from tabwright.operators import headers, merge, profiles, quality, slices
 from tabwright.plans import fixtures as fx
 from tabwright.plans.models import MOROSOS, TableModel
-from tabwright.plans.results import ROW_NO, unsound_rows
+from tabwright.plans.results import FIELDS, ROW_NO, sound_rows, unsound_rows
 from tabwright.plans.scale import new_folder
 from tabwright.sources import lines as line_source
 from tabwright.sources.records import parse_lines
@@ -944,8 +944,8 @@ def _(spark, sf):
 
 @query("q_resume_rejects", f"""{_SOUND},
 reasons AS (
-  SELECT k + 1 AS record, CASE WHEN unsound IS NOT NULL THEN unsound WHEN NOT {_I32.format('IdTransmit')} THEN 'Invalid IdTransmit'
-    WHEN NOT {_I32.format('IdCliente')} THEN 'Invalid IdCliente' END AS error_type FROM broken_lines)
+  SELECT k + 1 AS record, CASE WHEN unsound IS NOT NULL THEN unsound WHEN NOT {_I32.format('IdTransmit')} THEN 'IdTransmit is no 32-bit integer'
+    WHEN NOT {_I32.format('IdCliente')} THEN 'IdCliente is no 32-bit integer' END AS error_type FROM broken_lines)
 SELECT * FROM reasons WHERE error_type IS NOT NULL
 """)
 def _(spark, sf):
@@ -1145,3 +1145,35 @@ def _(spark, sf):
         whole.select(F.count("*")).scalar().alias("whole"),
         whole.select(F.sum(F.octet_length("text").cast("bigint"))).scalar().alias("bytes"),
     )
+
+
+@query("q_quoted_breaks_split", """
+SELECT CAST(doc_id AS VARCHAR) AS id, CAST(strlen(text) AS BIGINT) AS bytes, md5(text) AS digest, 2 AS cells FROM documents
+""")
+def _(spark, sf):
+    """Whole documents as quoted cells, read back from files that split."""
+    folder = new_folder(spark)
+    cell = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    fx.table(spark, sf, "documents").select(F.concat_ws(",", F.col("doc_id").cast("string"), cell).alias("value")).write.text(folder)
+    found = sound_rows(read_records(spark, folder, header=False, names=["id", "text"], quoted_breaks=True))
+    return found.select("id", F.octet_length("text").cast("bigint").alias("bytes"), F.md5("text").alias("digest"), F.col(FIELDS).cast("int").alias("cells"))
+
+
+@query("q_undecodable_rejects", r"""
+WITH named AS (
+  SELECT doc_id, regexp_replace(replace(left(text, 60), '"', ' '), '[,\r\n]|[^\x00-\xFF]|[\x{80}-\x{BF}]', ' ', 'g') AS name FROM documents),
+lines AS (SELECT doc_id, name, CAST(doc_id AS VARCHAR) || ',' || name AS line, doc_id % 2 = 1 AND regexp_matches(name, '[^\x00-\x7F]') AS garbled FROM named)
+SELECT CASE WHEN garbled THEN 'ENCODING_ERROR' ELSE 'sound' END AS outcome,
+  CASE WHEN garbled THEN array_to_string([printf('%02X', unicode(letter)) FOR letter IN string_split(line, '')], '') ELSE line END AS record
+FROM lines
+""")
+def _(spark, sf):
+    """Every second record in another charset: its bytes come back in hex, the others as text."""
+    folder = new_folder(spark)
+    name = F.regexp_replace(F.replace(F.left("text", F.lit(60)), F.lit('"'), F.lit(" ")), r"[,\r\n]|[^\x00-\xFF]|[\x80-\xBF]", " ")
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), name)
+    mixed = F.when(F.col("doc_id") % 2 == 1, F.encode(line, "ISO-8859-1").cast("string")).otherwise(line)
+    fx.table(spark, sf, "documents").select(mixed.alias("value")).write.text(folder)
+    records = read_records(spark, folder, header=False, names=["id", "name"])
+    broken = unsound_rows(records).select(F.col("error_type").alias("outcome"), "record")
+    return broken.unionByName(sound_rows(records).select(F.lit("sound").alias("outcome"), F.concat_ws(",", "id", "name").alias("record")))

@@ -57,11 +57,33 @@ def is_ragged(df: DataFrame, width: int) -> Column:
     return F.col(FIELDS) != width if FIELDS in df.columns else F.lit(False)
 
 
+def is_undecodable(df: DataFrame) -> Column:
+    """The record has bytes that are no UTF-8: its cells are not those of the file."""
+    if CORRUPT not in df.columns:
+        return F.lit(False)
+    return F.coalesce(~F.is_valid_utf8(F.col(CORRUPT)), F.lit(False))
+
+
 def is_unreadable(df: DataFrame, width: int) -> Column:
     """The width fits but the text is no record."""
     return ~is_ragged(df, width) & F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
 
 
+def corrupt_text(df: DataFrame) -> Column:
+    """The text of a broken record; one that cannot be decoded as its bytes in hex."""
+    if CORRUPT not in df.columns:
+        return F.lit(None).cast("string")
+    return F.when(is_undecodable(df), F.hex(F.col(CORRUPT).cast("binary"))).otherwise(F.col(CORRUPT))
+
+
+def structure_error(df: DataFrame, width: int) -> Column:
+    """Why a record's cells cannot be trusted; NULL for a sound one."""
+    return (
+        F.when(is_undecodable(df), "ENCODING_ERROR").when(is_ragged(df, width), "COLUMN_COUNT")
+        .when(is_unreadable(df, width), "PARSE_ERROR")
+    )
+
+
 def sound_rows(df: DataFrame, strict: bool = False, row_no: str = ROW_NO) -> DataFrame:
     """Rows that fit their header and could be read; with ``strict`` any other row fails the job."""
     if FIELDS not in df.columns and CORRUPT not in df.columns:
@@ -76,11 +98,9 @@ def sound_rows(df: DataFrame, strict: bool = False, row_no: str = ROW_NO) -> Dat
 def unsound_rows(df: DataFrame, row_no: str = ROW_NO) -> DataFrame:
     """(file, line, ord, error_type, record) of the rows that ``sound_rows`` leaves out."""
     width = width_of(df, row_no)
-    ragged = is_ragged(df, width)
-    record = F.col(CORRUPT) if CORRUPT in df.columns else F.lit(None).cast("string")
     line = F.col(row_no) + 1 if row_no in df.columns else F.lit(None).cast("bigint")
-    return df.filter(ragged | is_unreadable(df, width)).select(
+    return df.filter(is_ragged(df, width) | is_unreadable(df, width)).select(
         file_of(df).alias("file"), line.alias("line"),
         (F.col("_ord") if "_ord" in df.columns else F.lit(None).cast("bigint")).alias("ord"),
-        F.when(ragged, "COLUMN_COUNT").otherwise("PARSE_ERROR").alias("error_type"), record.alias("record"),
+        structure_error(df, width).alias("error_type"), corrupt_text(df).alias("record"),
     )

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +70,15 @@ def computed_once(df: DataFrame, columns: dict[str, Column], drop: tuple[str, ..
     return df.select(*kept, F.inline(F.array(row)))
 
 
+def in_arrow(df: DataFrame, run: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers find this package beside their own path."""
+    environment, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
+    return df.mapInArrow(run, schema)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; the warehouse, which is shared too, where it names none."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

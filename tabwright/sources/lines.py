@@ -118,15 +118,27 @@ def number_scan(spark: SparkSession, scan: DataFrame, paths: list[str]) -> DataF
     )
 
 
-def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Raw lines with provenance; one trailing CR is taken off, quotes mean nothing."""
+def without_cr(line: Column) -> Column:
+    """The line without one CR at its end; cut by bytes, so bytes that are no UTF-8 stay as they are."""
+    data = line.cast("binary")
+    return F.when(line.endswith("\r"), F.substring(data, F.lit(1), F.octet_length(line) - 1).cast("string")).otherwise(line)
+
+
+def scan_lines(spark: SparkSession, paths: list[str], charset: str | None = None, keep_cr: bool = False) -> DataFrame:
+    """Raw lines with provenance; one trailing CR is taken off unless kept, quotes mean nothing.
+
+    With ``charset`` (one in which a line feed is the byte 10, as ISO-8859-1) the bytes
+    of the lines are decoded by it; without, they stay as they are.
+    """
+    if charset and charset.upper().startswith(("UTF-16", "UTF-32")):
+        raise ValueError(f"lines cannot be told apart in {charset}: a line feed is more than one byte")
     _pin_split_planning(spark)
     raw = spark.read.option("lineSep", "\n").text(list(dict.fromkeys(paths)))
+    line = F.col("value") if keep_cr else without_cr(F.col("value"))
     return raw.select(
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.when(F.col("value").endswith("\r"), F.expr("left(value, char_length(value) - 1)"))
-        .otherwise(F.col("value")).alias("line"),
+        (F.decode(line.cast("binary"), charset) if charset else line).alias("line"),
     )
 
 
@@ -134,8 +146,8 @@ def with_position(scan: DataFrame) -> DataFrame:
     return scan.withColumn("_id", F.monotonically_increasing_id())
 
 
-def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Line table of the files, numbered in list order, then position.
+def read_lines(spark: SparkSession, paths: str | list[str], charset: str | None = None) -> DataFrame:
+    """Line table of the files, numbered in list order, then position; decoded by ``charset`` if one is named.
 
     Opening the files counts their blocks in one job.  The count and every later
     read must cut the files alike, so ``spark.sql.files.minPartitionNum`` is set
@@ -143,7 +155,7 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     choose the splits yourself.  Splits that moved anyway fail the read.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    scan = with_position(scan_lines(spark, paths))
+    scan = with_position(scan_lines(spark, paths, charset))
     return number_scan(spark, scan, paths).select(*LINE_COLUMNS)
 
 

@@ -241,7 +241,7 @@ def test_keys_and_reports(records_of, lines_of):
     rows = records_of(names, [("1", "+02", "D", "20"), ("x", "2", "E", " "), ("3", "9999999999", "F", "2a")])
     assert tuples(quality.extract_resume_key(rows).clean, "record", "resume_key") == [(1, "{IdCliente=1,IdTransmit=2,NroDoc=D}")]
     assert sorted(tuples(quality.extract_resume_key(rows).rejects, "record", "error_type")) == [
-        (2, "Invalid IdCliente"), (3, "Invalid IdTransmit")]
+        (2, "IdCliente is no 32-bit integer"), (3, "IdTransmit is no 32-bit integer")]
     keys = quality.extract_keys(rows, TableModel("t", tuple(names), ("Cuil",)), limit=2)
     assert keys.summary.first()["processed"] == 3
     assert tuples(keys.clean, "record", "key") == [(1, "{Cuil=20}"), (2, "{Cuil= }")]
