@@ -12,7 +12,7 @@ from tabwright.functions.cells import is_date_shaped, text, trim_ws
 from tabwright.functions.csvtext import render_line
 from tabwright.operators.profiles import TOTAL, rates
 from tabwright.plans.results import (
-    FIELDS, ROW_NO, JobResult, corrupt_text, data_columns, file_of, place_of, quoted, require_columns,
+    FIELDS, OK, ROW_NO, JobResult, Routing, corrupt_text, data_columns, file_of, place_of, quoted, require_columns,
     structure_error,
 )
 from tabwright.plans.scale import computed_once, number_rows
@@ -36,22 +36,27 @@ def convert_date(df: DataFrame, column: str, row_no: str = ROW_NO) -> JobResult:
     broken = structure_error(df, len(names))
     fits = broken.isNull()
     good = fits & ((F.col("_tw_date") == "") | F.col("_tw_iso").isNotNull())
-    clean = tagged.filter(good).withColumn(column, F.coalesce("_tw_iso", F.lit(""))).select(*quoted(df.columns))
     rendered = render_line(names)
-    bad = tagged.filter(~good).withColumn(column, F.col("_tw_date"))
-    rejects = bad.select(
-        file_of(df).alias("file"),
-        (F.col(row_no) + 1 if row_no in df.columns else F.lit(None).cast("bigint")).alias("line"),
-        F.coalesce(broken, F.lit("DATE_CONVERSION_ERROR")).alias("error_type"),
-        F.col("_tw_date").alias("original"),
-        F.coalesce(corrupt_text(df), rendered).alias("record"),
-    )
-    summary = tagged.agg(
-        F.count("*").alias("processed"),
-        F.count_if(good).alias("converted"),
-        F.count_if(~good).alias("errors"),
+
+    def rejects(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(column, F.col("_tw_date")).select(
+            file_of(df).alias("file"),
+            (F.col(row_no) + 1 if row_no in df.columns else F.lit(None).cast("bigint")).alias("line"),
+            F.coalesce(broken, F.lit("DATE_CONVERSION_ERROR")).alias("error_type"),
+            F.col("_tw_date").alias("original"),
+            F.coalesce(corrupt_text(df), rendered).alias("record"),
+        )
+
+    def summary(rows: DataFrame, ok: Column) -> DataFrame:
+        counts = rows.agg(F.count("*").alias("processed"), F.count_if(ok).alias("converted"), F.count_if(~ok).alias("errors"))
+        return rates(counts, "processed", "converted", "errors")
+
+    routing = Routing(
+        tagged, {OK: good},
+        clean=lambda rows: rows.withColumn(column, F.coalesce("_tw_iso", F.lit(""))).select(*quoted(df.columns)),
+        rejects=rejects, summary=lambda rows: summary(rows, F.col(OK)),
     )
-    return JobResult(clean, rejects, rates(summary, "processed", "converted", "errors"))
+    return JobResult(routing.clean(tagged.filter(good)), rejects(tagged.filter(~good)), summary(tagged, good), routing)
 
 
 def convert_all_dates(df: DataFrame, row_no: str = ROW_NO) -> DataFrame:

@@ -7,6 +7,8 @@ the summary is a partial aggregate: nothing here shuffles rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +20,7 @@ from tabwright.functions.csvtext import render_line
 from tabwright.operators.profiles import rates
 from tabwright.plans.models import MOROSOS, TableModel, get_model
 from tabwright.plans.results import (
-    CORRUPT, FIELDS, ROW_NO, JobResult, corrupt_text, data_columns, file_of, is_undecodable, is_unreadable, place_of, require_columns, structure_error,
+    CORRUPT, FIELDS, OK, ROW_NO, JobResult, Routing, corrupt_text, data_columns, file_of, is_undecodable, is_unreadable, place_of, require_columns, structure_error,
 )
 
 # --- fixed values: key texts of unreadable keys ---
@@ -26,6 +28,7 @@ NO_TABLE_KEY = "INVALID_DYNAMO_KEY"
 NO_RESUME_KEY = "INVALID_SQL_KEY"
 RESUME_COLUMNS = ("IdCliente", "IdTransmit", "NroDoc")
 
+PROBLEMS = "_tw_problems"
 _PROBLEM = "struct<kind:string,field:string,value:string,details:string>"
 
 
@@ -160,13 +163,38 @@ def _route(
     bad = df.filter(~(sound & fine)).withColumns(trimmed)
     problems = F.when(sound, found).otherwise(_problems(width)) if width else found
     rejects = _reject_rows(bad, problems, names, row_no, model)
-    summary = df.agg(
-        F.count("*").alias("processed"),
-        F.count_if(sound & fine).alias("valid"),
-        F.count_if(sound & ~fine).alias("invalid_numeric"),
-        F.count_if(~sound).alias("irreparable"),
+    def summary(rows: DataFrame, sound: Column, ok: Column) -> DataFrame:
+        counts = rows.agg(
+            F.count("*").alias("processed"),
+            F.count_if(ok).alias("valid"),
+            F.count_if(sound & ~ok).alias("invalid_numeric"),
+            F.count_if(~sound).alias("irreparable"),
+        )
+        return rates(counts, "processed", "valid", "invalid_numeric", "irreparable")
+
+    routing = Routing(
+        df, {OK: sound & fine, "_tw_sound": sound, PROBLEMS: F.when(~(sound & fine), problems)},
+        clean=lambda rows: rows.withColumns(trimmed),
+        rejects=lambda rows: _reject_rows(rows.withColumns(trimmed), F.col(PROBLEMS), names, row_no, model),
+        summary=lambda rows: summary(rows, F.col("_tw_sound"), F.col(OK)),
+    )
+    return JobResult(clean, rejects, summary(df, sound, sound & fine), routing)
+
+
+def _tagged(
+    df: DataFrame, ok: Column, problems: Column, rejects: Callable[[DataFrame, Column], DataFrame],
+    summary: Callable[[DataFrame, Column, Column], DataFrame], errors: Column,
+) -> JobResult:
+    """Result and routing of a job whose rows pass, or fail with an array of problems.
+
+    ``rejects`` gets (rows, problems), ``summary`` (rows, ok, errors of a row).
+    """
+    routing = Routing(
+        df, {OK: ok, PROBLEMS: F.when(~ok, problems)}, clean=lambda rows: rows,
+        rejects=lambda rows: rejects(rows, F.col(PROBLEMS)),
+        summary=lambda rows: summary(rows, F.col(OK), F.coalesce(F.size(F.col(PROBLEMS)), F.lit(0))),
     )
-    return JobResult(clean, rejects, rates(summary, "processed", "valid", "invalid_numeric", "irreparable"))
+    return JobResult(df.filter(ok), rejects(df.filter(~ok), problems), summary(df, ok, errors), routing)
 
 
 def sanitize_for_import(
@@ -218,7 +246,8 @@ def audit_numeric(
         df, _width_problem(df, model.width, "COLUMN_COUNT"),
         _numeric_checks(df, model, rule, "position", names), names, row_no, model,
     )
-    return JobResult(result.clean, _first_rows(result.rejects, cap, "ord", "field"), result.summary)
+    first = lambda rows: _first_rows(result.routing.rejects(rows), cap, "ord", "field")
+    return replace(result, rejects=_first_rows(result.rejects, cap, "ord", "field"), routing=replace(result.routing, rejects=first))
 
 
 def field_error_counts(df: DataFrame, model: str | TableModel, rule: str = "scientific", row_no: str = ROW_NO) -> DataFrame:
@@ -243,20 +272,28 @@ def field_error_counts(df: DataFrame, model: str | TableModel, rule: str = "scie
     )
 
 
+def _error_count(checks: list[tuple[Column, Column]]) -> Column:
+    return reduce(lambda a, b: a + b, [F.when(bad, 1).otherwise(0) for bad, _ in checks], F.lit(0))
+
+
+def _error_summary(rows: DataFrame, ok: Column, errors: Column) -> DataFrame:
+    return rows.agg(
+        F.count("*").alias("processed"),
+        F.count_if(ok).alias("valid"),
+        F.coalesce(F.sum(errors), F.lit(0)).alias("errors"),
+    )
+
+
 def audit_schema(df: DataFrame, model: str | TableModel = MOROSOS, row_no: str = ROW_NO) -> JobResult:
     """Width against the header and strict38 numbers by name; a row may raise several errors."""
     model = get_model(model)
     names = _data_names(df, row_no)
     checks = _width_problem(df, len(names), "COLUMN_COUNT") + _numeric_checks(df, model, "strict38", "name", names)
     ok = _ok(checks)
-    rejects = _reject_rows(df.filter(~ok), _problems(checks), names, row_no, model)
-    errors = reduce(lambda a, b: a + b, [F.when(bad, 1).otherwise(0) for bad, _ in checks], F.lit(0))
-    summary = df.agg(
-        F.count("*").alias("processed"),
-        F.count_if(ok).alias("valid"),
-        F.coalesce(F.sum(errors), F.lit(0)).alias("errors"),
+    return _tagged(
+        df, ok, _problems(checks), lambda rows, problems: _reject_rows(rows, problems, names, row_no, model),
+        _error_summary, _error_count(checks),
     )
-    return JobResult(df.filter(ok), rejects, summary)
 
 
 def _cell_check(field: str, kind: str, value: Column) -> tuple[Column, Column]:
@@ -315,15 +352,11 @@ def validate_model(
     sound = _ok(width)
     checks = width + [(sound & bad, problem) for bad, problem in typed]
     ok = _ok(checks)
-    rejects = _reject_rows(df.filter(~ok), _problems(checks), names, row_no, model)
-    rejects = _first_rows(rejects, max_show, "ord", "field")
-    errors = reduce(lambda a, b: a + b, [F.when(bad, 1).otherwise(0) for bad, _ in checks], F.lit(0))
-    summary = df.agg(
-        F.count("*").alias("processed"),
-        F.count_if(ok).alias("valid"),
-        F.coalesce(F.sum(errors), F.lit(0)).alias("errors"),
+    return _tagged(
+        df, ok, _problems(checks),
+        lambda rows, problems: _first_rows(_reject_rows(rows, problems, names, row_no, model), max_show, "ord", "field"),
+        lambda rows, fine, errors: rates(_error_summary(rows, fine, errors), "processed", "errors"), _error_count(checks),
     )
-    return JobResult(df.filter(ok), rejects, rates(summary, "processed", "errors"))
 
 
 def _structure_error(df: DataFrame, row_no: str) -> Column:
@@ -331,7 +364,7 @@ def _structure_error(df: DataFrame, row_no: str) -> Column:
 
 
 def extract_keys(df: DataFrame, model: str | TableModel, limit: int | None = None, row_no: str = ROW_NO) -> JobResult:
-    """(record, key): key text of the sound records; the others are rejects (file, record, error_type).
+    """(record, key, file, ord): key text of the sound records; the others are rejects (file, ord, record, error_type).
 
     ``limit`` shows the first keys only, in input order; ``summary`` counts all.
     """
@@ -341,31 +374,33 @@ def extract_keys(df: DataFrame, model: str | TableModel, limit: int | None = Non
         file_of(df).alias("file"), place_of(df, row_no).alias("ord"), F.col(row_no).alias("record"),
         table_key(df, model).alias("key"), _structure_error(df, row_no).alias("error_type"),
     )
-    keyed = _first_rows(tagged.filter("error_type IS NULL"), limit, "ord")
-    return JobResult(
-        keyed.select("record", "key"),
-        tagged.filter("error_type IS NOT NULL").select("file", "record", "error_type"),
-        tagged.agg(F.count("*").alias("processed"), F.count_if(F.col("error_type").isNull()).alias("valid")),
+    return _keyed(tagged, "key", lambda rows: _first_rows(rows, limit, "ord"))
+
+
+def _keyed(tagged: DataFrame, key: str, first: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> JobResult:
+    """Keys with the place of their record, and the records without one."""
+    readable = F.col("error_type").isNull()
+    routing = Routing(
+        tagged, {OK: readable}, clean=lambda rows: first(rows).select("record", key, "file", "ord"),
+        rejects=lambda rows: rows.select("file", "ord", "record", "error_type"),
+        summary=lambda rows: rows.agg(F.count("*").alias("processed"), F.count_if(readable).alias("valid")),
     )
+    return JobResult(
+        routing.clean(tagged.filter(readable)), routing.rejects(tagged.filter(~readable)), routing.summary(tagged), routing)
 
 
 def extract_resume_key(df: DataFrame, row_no: str = ROW_NO) -> JobResult:
-    """(record, resume_key); unsound rows and rows whose ids are no 32-bit integers go to rejects."""
+    """(record, resume_key, file, ord); unsound rows and rows whose ids are no 32-bit integers go to rejects."""
     require_columns(df, row_no, *RESUME_COLUMNS)
     wrong = (
         F.when(~cells.is_int32(_cell(df, "IdTransmit")), "IdTransmit is no 32-bit integer")
         .when(~cells.is_int32(_cell(df, "IdCliente")), "IdCliente is no 32-bit integer")
     )
     tagged = df.select(
-        file_of(df).alias("file"), F.col(row_no).alias("record"), resume_key(df).alias("resume_key"),
+        file_of(df).alias("file"), place_of(df, row_no).alias("ord"), F.col(row_no).alias("record"), resume_key(df).alias("resume_key"),
         F.coalesce(_structure_error(df, row_no), wrong).alias("error_type"),
     )
-    readable = F.col("error_type").isNull()
-    return JobResult(
-        tagged.filter(readable).select("record", "resume_key"),
-        tagged.filter(~readable).select("file", "record", "error_type"),
-        tagged.agg(F.count("*").alias("processed"), F.count_if(readable).alias("valid")),
-    )
+    return _keyed(tagged, "resume_key")
 
 
 def drop_ragged(df: DataFrame, row_no: str = ROW_NO) -> JobResult:
@@ -381,11 +416,13 @@ def drop_ragged(df: DataFrame, row_no: str = ROW_NO) -> JobResult:
         for place, (bad, problem) in enumerate(_width_problem(df, len(names), "ColumnMismatch"))
     ]
     ok = _ok(checks)
-    rejects = _reject_rows(df.filter(~ok), _problems(checks), names, row_no, model)
-    summary = df.agg(
-        F.count_if(ok).alias("valid"), F.count_if(~ok).alias("invalid"), F.count("*").alias("processed")
-    )
-    return JobResult(df.filter(ok), rejects, rates(summary, "processed", "invalid"))
+
+    def summary(rows: DataFrame, fine: Column, errors: Column) -> DataFrame:
+        counts = rows.agg(F.count_if(fine).alias("valid"), F.count_if(~fine).alias("invalid"), F.count("*").alias("processed"))
+        return rates(counts, "processed", "invalid")
+
+    return _tagged(
+        df, ok, _problems(checks), lambda rows, problems: _reject_rows(rows, problems, names, row_no, model), summary, F.lit(0))
 
 
 def _first_rows(found: DataFrame, limit: int | None, *order: str) -> DataFrame:
@@ -444,6 +481,7 @@ def check_numeric_keys(df: DataFrame, model: str | TableModel, row_no: str = ROW
         bad = (value != "") & ~value.rlike(cells.DIGITS_PATTERN)
         checks.append((bad, _problem("NON_DIGIT_KEY", F.concat(F.lit(f"{key} is not digits only: "), value), key, value)))
     ok = _ok(checks)
-    rejects = _reject_rows(df.filter(~ok), _problems(checks), _data_names(df, row_no), row_no, model)
-    summary = df.agg(F.count("*").alias("processed"), F.count_if(ok).alias("valid"))
-    return JobResult(df.filter(ok), rejects, summary)
+    names = _data_names(df, row_no)
+    return _tagged(
+        df, ok, _problems(checks), lambda rows, problems: _reject_rows(rows, problems, names, row_no, model),
+        lambda rows, fine, errors: rows.agg(F.count("*").alias("processed"), F.count_if(fine).alias("valid")), F.lit(0))

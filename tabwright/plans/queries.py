@@ -1177,3 +1177,26 @@ def _(spark, sf):
     records = read_records(spark, folder, header=False, names=["id", "name"])
     broken = unsound_rows(records).select(F.col("error_type").alias("outcome"), "record")
     return broken.unionByName(sound_rows(records).select(F.lit("sound").alias("outcome"), F.concat_ws(",", "id", "name").alias("record")))
+
+
+@query("q_routed_once", f"""
+WITH {fx.DEBTOR_LINES},
+tagged AS (SELECT k, n_fields = 14 AS sound, ({_all(_strict)}) AS fine FROM debtor_lines)
+SELECT 'clean' AS outcome, k + 2 AS line, NULL AS field FROM tagged WHERE sound AND fine
+UNION ALL SELECT 'INVALID_NUMERIC', line, field FROM ({_bad_cells(_strict, 'debtor_lines', 'n_fields = 14')})
+UNION ALL SELECT 'SKIPPED', k + 2, NULL FROM tagged WHERE sound AND NOT fine
+UNION ALL SELECT 'IRREPARABLE_STRUCTURE', k + 2, NULL FROM tagged WHERE NOT sound
+UNION ALL SELECT 'processed', count(*), NULL FROM tagged
+UNION ALL SELECT 'valid', count(*) FILTER (WHERE sound AND fine), NULL FROM tagged
+UNION ALL SELECT 'irreparable', count(*) FILTER (WHERE NOT sound), NULL FROM tagged
+""")
+def _(spark, sf):
+    """Clean rows, rejects and summary out of one pass over the input."""
+    found = quality.sanitize_for_import(fx.ragged_debtors(spark, sf), MOROSOS, rule="strict38").routed_once()
+    nothing = F.lit(None).cast("string").alias("field")
+    counts = found.summary.unpivot([], ["processed", "valid", "irreparable"], "outcome", "line")
+    return (
+        found.clean.select(F.lit("clean").alias("outcome"), (F.col(ROW_NO) + 1).alias("line"), nothing)
+        .unionByName(found.rejects.select(F.col("error_type").alias("outcome"), "line", "field"))
+        .unionByName(counts.select("outcome", "line", nothing))
+    )

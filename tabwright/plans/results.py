@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.plans.scale import computed_once, new_folder
+
 ROW_NO = "_row_no"
 FIELDS = "_n_fields"
 CORRUPT = "_corrupt"
@@ -15,13 +18,61 @@ CONVERTED = "_converted"
 PROVENANCE = frozenset({ROW_NO, "_file", "_ord", FIELDS, CORRUPT, CHUNK, CONVERTED})
 
 
+OK = "_tw_ok"
+
+
+@dataclass(frozen=True)
+class Routing:
+    """How a job tags its rows, and what it makes of tagged rows.
+
+    ``tags`` has the boolean ``OK`` and whatever else the three plans read of a tagged
+    row; ``clean`` gets the rows that are OK, ``rejects`` the others, ``summary`` all.
+    """
+
+    rows: DataFrame
+    tags: dict[str, Column]
+    clean: Callable[[DataFrame], DataFrame]
+    rejects: Callable[[DataFrame], DataFrame]
+    summary: Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class JobResult:
-    """Three plans over the same input; nothing runs until one is written."""
+    """Three plans over the same input; nothing runs until one is written.
+
+    Each plan reads the input for itself.  Who wants more than one of them takes
+    ``routed_once``, which reads it once.
+    """
 
     clean: DataFrame
     rejects: DataFrame
     summary: DataFrame
+    routing: Routing | None = field(default=None, compare=False, repr=False)
+
+    def routed_once(self, folder: str | None = None) -> JobResult:
+        """The same result out of one pass over the input.
+
+        Rows are tagged once and written once, as Parquet in ``folder`` (by default a
+        new one in the shared folder), one partition of the table for each outcome.
+        Clean rows and rejects then read their own partition, and the summary the tags
+        alone.  Counts come from what was committed, not from accumulators, so tasks
+        that ran twice after the loss of an executor cannot count twice.
+        """
+        routing = self.routing
+        if routing is None:
+            raise ValueError("this job does not route rows")
+        spark, folder = routing.rows.sparkSession, folder or new_folder(routing.rows.sparkSession)
+        tagged = computed_once(routing.rows, routing.tags)
+        # Stored under names of our own: a file format may refuse those of the table.
+        inner = {name: name if name == OK else f"c{place}" for place, name in enumerate(tagged.columns)}
+        stored = tagged.toDF(*inner.values())
+        stored.write.partitionBy(OK).parquet(folder)
+        saved = spark.read.schema(stored.schema).parquet(folder)
+        named = saved.select(*[F.col(own).alias(name) for name, own in inner.items()])
+        columns = [f"`{name.replace('`', '``')}`" for name in self.clean.columns]
+        return JobResult(
+            routing.clean(named.filter(F.col(OK))).select(*columns), routing.rejects(named.filter(~F.col(OK))), routing.summary(named),
+        )
 
 
 def data_columns(df: DataFrame) -> list[str]:
