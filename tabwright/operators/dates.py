@@ -93,7 +93,7 @@ def _too_short(df: DataFrame, column: str) -> Column:
 
 
 def find_extreme_date(df: DataFrame, column: str, oldest: bool, row_no: str = ROW_NO, fmt: str = "us12") -> DataFrame:
-    """The oldest or newest row and the counters, as one row.
+    """The oldest or newest row, with its file and place in the input, and the counters, as one row.
 
     The first row wins a tie.  One pass with partial aggregation; unread dates
     have a NULL rank, so they never win.
@@ -103,11 +103,12 @@ def find_extreme_date(df: DataFrame, column: str, oldest: bool, row_no: str = RO
     seen = df.select(
         F.when(~short, _moment(df, column, fmt)).alias("_ts"), short.alias("_short"),
         place.alias("_place"), _preview(df, row_no).alias("_preview"), F.col(row_no).alias("_no"),
+        file_of(df).alias("_of"), place_of(df, row_no).alias("_at"),
     )
     rank = F.when(F.col("_ts").isNotNull(), F.struct("_ts", "_place"))
     pick = F.min_by if oldest else F.max_by
     return seen.agg(
-        pick(F.struct("_ts", "_no", "_preview"), rank).alias("_row"),
+        pick(F.struct("_ts", "_no", "_preview", "_of", "_at"), rank).alias("_row"),
         F.count_if(~F.col("_short")).alias("processed"),
         F.count("_ts").alias("valid"),
         F.count_if(~F.col("_short") & F.col("_ts").isNull()).alias("invalid"),
@@ -115,6 +116,7 @@ def find_extreme_date(df: DataFrame, column: str, oldest: bool, row_no: str = RO
     ).select(
         grammar.iso_text(F.col("_row._ts")).alias("date"), (F.col("_row._no") + 1).alias("line"),
         F.col("_row._preview").alias("preview"), "processed", "valid", "invalid", "short_rows",
+        F.col("_row._of").alias("file"), F.col("_row._at").alias("ord"),
     )
 
 
@@ -163,8 +165,8 @@ def find_last_by_month(
 ) -> DataFrame:
     """The latest row of a month, or else the row nearest to the month's end.
 
-    One row: whether the month was hit, how many rows matched, the chosen row, and
-    for a miss its whole days of distance and the side (``before``/``after``).
+    One row: whether the month was hit, how many rows matched, the chosen row with its
+    file and place in the input, and for a miss its whole days of distance and the side (``before``/``after``).
     Both candidates come out of one pass; the first row wins ties.
     """
     if not 1 <= month <= 12:
@@ -173,12 +175,12 @@ def find_last_by_month(
     target = F.lit(f"{year:04d}-{month:02d}-{last_day:02d} 23:59:59").cast("timestamp_ntz")
     seen = df.select(
         _moment(df, column, fmt).alias("_ts"), F.col(row_no).alias("_no"), place_of(df, row_no).alias("_place"),
-        _preview(df, row_no).alias("_preview"),
+        _preview(df, row_no).alias("_preview"), file_of(df).alias("_of"),
     )
     ts = F.col("_ts")
     inside = (F.year(ts) == year) & (F.month(ts) == month)
     distance = F.abs(F.timestamp_diff("SECOND", target, ts))
-    row = F.struct("_ts", "_no", "_preview")
+    row = F.struct("_ts", "_no", "_preview", "_of", "_place")
     picked = seen.agg(
         F.max_by(row, F.when(inside, F.struct(ts, -F.col("_place")))).alias("_hit"),
         F.min_by(row, F.when(ts.isNotNull(), F.struct(distance, F.col("_place")))).alias("_near"),
@@ -195,6 +197,7 @@ def find_last_by_month(
         chosen.getField("_preview").alias("preview"),
         F.when(~hit, F.floor(away / 86400)).alias("days_away"),
         F.when(~hit, F.when(F.col("_near._ts") < target, "before").otherwise("after")).alias("side"),
+        chosen.getField("_of").alias("file"), chosen.getField("_place").alias("ord"),
     )
 
 
@@ -216,7 +219,7 @@ def sort_by_date(
 
 
 def check_relation_dates(df: DataFrame, columns: list[str], row_no: str = ROW_NO) -> JobResult:
-    """ISO shape of date cells (not calendar validity); empty cells pass."""
+    """ISO shape of date cells (not calendar validity); empty cells pass.  Rejects: (file, ord, line, field, value)."""
     require_columns(df, row_no, *columns)
     bad = [(name, (text(f"`{name}`") != "") & ~is_date_shaped(text(f"`{name}`"))) for name in columns]
     ok = F.lit(True)
@@ -226,6 +229,11 @@ def check_relation_dates(df: DataFrame, columns: list[str], row_no: str = ROW_NO
         F.array(*[F.when(wrong, F.struct(F.lit(n).alias("field"), text(f"`{n}`").alias("value"))) for n, wrong in bad]),
         lambda pair: pair.isNotNull(),
     )
-    rejects = df.filter(~ok).select((F.col(row_no) + 1).alias("line"), F.inline(found))
+    place = [file_of(df).alias("file"), place_of(df, row_no).alias("ord"), (F.col(row_no) + 1).alias("line")]
+    routing = Routing(
+        df, {OK: ok, "_tw_found": found}, clean=lambda rows: rows,
+        rejects=lambda rows: rows.select(*place, F.inline("_tw_found")),
+        summary=lambda rows: rows.agg(F.count("*").alias("processed"), F.count_if(OK).alias("valid")),
+    )
     summary = df.agg(F.count("*").alias("processed"), F.count_if(ok).alias("valid"))
-    return JobResult(df.filter(ok), rejects, summary)
+    return JobResult(df.filter(ok), df.filter(~ok).select(*place, F.inline(found)), summary, routing)

@@ -544,7 +544,7 @@ def _(spark, sf):
     return spark.read.option("header", True).option("escape", '"').option("emptyValue", "").csv(folder)
 
 
-@query("q_keys", f"WITH {fx.DEBTORS} SELECT k + 1 AS record, {_KEY} AS key FROM debtors")
+@query("q_keys", f"WITH {fx.DEBTORS} SELECT k + 1 AS record, {_KEY} AS key, CAST(NULL AS VARCHAR) AS file, k + 1 AS ord FROM debtors")
 def _(spark, sf):
     return quality.extract_keys(fx.debtors(spark, sf), MOROSOS).clean
 
@@ -554,7 +554,7 @@ WITH {fx.DEBTORS}, keyed AS (SELECT k + 1 AS record, {_RESUME} AS resume_key FRO
 SELECT * FROM keyed WHERE resume_key IS NOT NULL
 """)
 def _(spark, sf):
-    return quality.extract_resume_key(fx.debtors(spark, sf)).clean
+    return quality.extract_resume_key(fx.debtors(spark, sf)).clean.select("record", "resume_key")
 
 
 @query("q_drop_ragged", f"""
@@ -659,12 +659,12 @@ FROM parsed WHERE us_ts IS NOT NULL
 
 @query("q_oldest", _extreme("arg_min", "k"))
 def _(spark, sf):
-    return date_jobs.find_oldest(fx.dates(spark, sf), "us12")
+    return date_jobs.find_oldest(fx.dates(spark, sf), "us12").drop("file", "ord")
 
 
 @query("q_newest", _extreme("arg_max", "-k"))
 def _(spark, sf):
-    return date_jobs.find_newest(fx.dates(spark, sf), "us12")
+    return date_jobs.find_newest(fx.dates(spark, sf), "us12").drop("file", "ord")
 
 
 def _orders_by_priority(spark, sf):
@@ -718,12 +718,12 @@ FROM best
 
 @query("q_last_by_month_hit", _by_month(1997, 5, "1997-05-31 23:59:59"))
 def _(spark, sf):
-    return date_jobs.find_last_by_month(fx.dates(spark, sf), "us12", 1997, 5)
+    return date_jobs.find_last_by_month(fx.dates(spark, sf), "us12", 1997, 5).drop("file", "ord")
 
 
 @query("q_last_by_month_miss", _by_month(2005, 1, "2005-01-31 23:59:59"))
 def _(spark, sf):
-    return date_jobs.find_last_by_month(fx.dates(spark, sf), "us12", 2005, 1)
+    return date_jobs.find_last_by_month(fx.dates(spark, sf), "us12", 2005, 1).drop("file", "ord")
 
 
 @query("q_sort_by_date", f"""
@@ -743,7 +743,8 @@ WITH relations AS (
 
 
 @query("q_relation_dates", f"""{_RELATIONS}
-SELECT k + 2 AS line, 'FechaIngreso' AS field, FechaIngreso AS value FROM relations WHERE k % 4 = 3
+SELECT k + 2 AS line, 'FechaIngreso' AS field, FechaIngreso AS value, o_orderpriority AS file, k + 1 AS ord
+FROM relations JOIN orders ON o_orderkey = k WHERE k % 4 = 3
 """)
 def _(spark, sf):
     plain = F.col("o_orderdate").cast("string")
@@ -752,7 +753,8 @@ def _(spark, sf):
     relations = fx.table(spark, sf, "orders").select(
         F.when(turn == 0, F.substring(plain, 1, 10)).when(turn == 1, plain).when(turn == 2, "").otherwise(slashed)
         .alias("FechaIngreso"),
-        (F.col("o_orderkey") + 1).alias(ROW_NO),
+        (F.col("o_orderkey") + 1).alias(ROW_NO), F.col("o_orderpriority").alias("_file"),
+        (F.col("o_orderkey") + 1).alias("_ord"),
     )
     return date_jobs.check_relation_dates(relations, ["FechaIngreso"]).rejects
 
@@ -991,21 +993,23 @@ WITH {fx.DATES},
 tied AS (SELECT id, k % 4 + 1 AS day, (k + 1) % 2 AS file_ord, k // 2 + 1 AS place FROM dates),
 best AS (SELECT * FROM tied ORDER BY day, file_ord, place LIMIT 1)
 SELECT '2024-01-0' || CAST(day AS VARCHAR) || 'T10:00:00' AS date, place + 1 AS line,
-  id || ' | 01/0' || CAST(day AS VARCHAR) || '/2024 10:00:00 AM' AS preview, (SELECT count(*) FROM tied) AS processed FROM best
+  id || ' | 01/0' || CAST(day AS VARCHAR) || '/2024 10:00:00 AM' AS preview, (SELECT count(*) FROM tied) AS processed,
+  CASE WHEN file_ord = 0 THEN 'odd' ELSE 'even' END AS file, file_ord * 1099511627776 + place AS ord FROM best
 """)
 def _(spark, sf):
-    return date_jobs.find_oldest(_tied_dates(spark, sf), "day").select("date", "line", "preview", "processed")
+    return date_jobs.find_oldest(_tied_dates(spark, sf), "day").select("date", "line", "preview", "processed", "file", "ord")
 
 
 @query("q_newest_over_files", f"""
 WITH {fx.DATES},
 tied AS (SELECT id, k % 4 + 1 AS day, (k + 1) % 2 AS file_ord, k // 2 + 1 AS place FROM dates),
 best AS (SELECT * FROM tied ORDER BY day DESC, file_ord, place LIMIT 1)
-SELECT id, '2024-01-0' || CAST(day AS VARCHAR) || 'T10:00:00' AS date FROM best
+SELECT id, '2024-01-0' || CAST(day AS VARCHAR) || 'T10:00:00' AS date,
+  CASE WHEN file_ord = 0 THEN 'odd' ELSE 'even' END AS file, file_ord * 1099511627776 + place AS ord FROM best
 """)
 def _(spark, sf):
     newest = date_jobs.find_newest(_tied_dates(spark, sf), "day")
-    return newest.select(F.split("preview", " ")[0].alias("id"), "date")
+    return newest.select(F.split("preview", " ")[0].alias("id"), "date", "file", "ord")
 
 
 # ---------------------------------------------------------------- more spellings and models
