@@ -19,7 +19,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_against_sql(spark, name):
     base = duckdb.connect()
-    base.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        base.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     found = QUERIES[name](spark, SF)
     cursor = base.execute(ORACLES[name])
     columns = [column[0] for column in cursor.description]
