@@ -12,9 +12,13 @@ from tabwright.functions.csvtext import render_line
 from tabwright.plans.results import (
     ROW_NO, JobResult, data_columns, file_of, is_ragged, is_undecodable, is_unreadable, quoted, require_columns, sound_rows,
 )
-from tabwright.plans.scale import number_rows
+from tabwright.plans import scale
+from tabwright.plans.scale import cut_lineage, measured_bytes, number_rows
 from tabwright.sources.lines import first_line, is_top_line
 
+# Positions that ``compare`` sums up together.
+RUN_LINES = 4096
+
 
 def merge(lines: DataFrame) -> DataFrame:
     """All data lines under the first file's line 1; other first lines go unchecked."""
@@ -149,11 +153,39 @@ def dedup_by_key(
     return JobResult(clean=clean, rejects=rejects, summary=summary)
 
 
-def compare(left: DataFrame, right: DataFrame, on: str, value: str, n: int | None = None) -> DataFrame:
+def run_digests(df: DataFrame, on: str, value: str, run: int) -> DataFrame:
+    """(_run, _rows, _first, _second): number and two 64-bit digests of the rows of each run of positions."""
+    place = F.col(on).cast("bigint")
+    digest = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), place, text(value)))
+    return df.groupBy(F.floor(place / run).alias("_run")).agg(
+        F.count("*").alias("_rows"), digest(1).alias("_first"), digest(2).alias("_second"))
+
+
+def differing_runs(left: DataFrame, right: DataFrame, on: str, value: str, run: int) -> DataFrame:
+    """(_run) of the runs whose digests differ; rows without a position always count as differing."""
+    mine, other = run_digests(left, on, value, run), run_digests(right, on, value, run).withColumnsRenamed(
+        {"_rows": "_rows2", "_first": "_first2", "_second": "_second2"})
+    same = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"{name}2")) for name in ("_rows", "_first", "_second")])
+    return mine.join(other, "_run", "full").filter(~same).select("_run")
+
+
+def compare(
+    left: DataFrame, right: DataFrame, on: str, value: str, n: int | None = None, exact: bool = True, run: int = RUN_LINES
+) -> DataFrame:
     """Positions whose values differ, a missing side read as ''; ``on`` must be unique per side.
 
-    With ``n`` only positions up to ``n`` take part (filtered before the join).
+    With ``n`` only positions up to ``n`` take part (filtered before the join).  The
+    join shuffles both sides in full.  With ``exact=False`` each run of ``run``
+    positions is summed up first, inside the tasks that read it, and only the rows of
+    runs whose sums differ are shuffled: two tables that agree nearly everywhere cost
+    two narrow passes.  Equal sums (row count and 128 bits) are taken as equal runs.
+    The sums are computed when the plan is built.
     """
+    if not exact:
+        runs = cut_lineage(differing_runs(left, right, on, value, run))
+        small = measured_bytes(runs) <= scale.BROADCAST_BYTES
+        left, right = (_rows_of_runs(df, runs, on, run, small) for df in (left, right))
+
     def side(df: DataFrame, name: str) -> DataFrame:
         kept = df if n is None else df.filter(F.col(on) <= n)
         return kept.select(on, F.col(value).alias(name))
@@ -163,6 +195,14 @@ def compare(left: DataFrame, right: DataFrame, on: str, value: str, n: int | Non
     return pairs.select(on, a.alias("left_value"), b.alias("right_value")).filter("left_value <> right_value")
 
 
+def _rows_of_runs(df: DataFrame, runs: DataFrame, on: str, run: int, small: bool) -> DataFrame:
+    """Rows of the named runs, and rows without a position; nothing moves if the runs can be broadcast."""
+    wanted = runs.filter("_run IS NOT NULL").withColumn("_differs", F.lit(True))
+    tagged = df.withColumn("_run", F.floor(F.col(on).cast("bigint") / run))
+    met = tagged.join(F.broadcast(wanted) if small else wanted, "_run", "left")
+    return met.filter(F.col("_differs") | F.col("_run").isNull()).select(*quoted(df.columns))
+
+
 def compare_first_n(left: DataFrame, right: DataFrame, n: int = 100) -> JobResult:
     """Compare two one-file line tables over their first ``n`` data lines.
 

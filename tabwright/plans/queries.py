@@ -1204,3 +1204,20 @@ def _(spark, sf):
         .unionByName(found.rejects.select(F.col("error_type").alias("outcome"), "line", "field"))
         .unionByName(counts.select("outcome", "line", nothing))
     )
+
+
+@query("q_compare_runs", """
+WITH changed AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 AND (o_orderkey // 4096) % 3 = 1 THEN o_orderstatus || '*' ELSE o_orderstatus END AS o_orderstatus
+  FROM orders WHERE o_orderkey % 5000 <> 77)
+SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, coalesce(a.o_orderstatus, '') AS left_value, coalesce(b.o_orderstatus, '') AS right_value
+FROM orders a FULL JOIN changed b ON a.o_orderkey = b.o_orderkey
+WHERE coalesce(a.o_orderstatus, '') <> coalesce(b.o_orderstatus, '')
+""")
+def _(spark, sf):
+    """Runs of positions are summed up first; only runs that differ are joined."""
+    orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    starred = (F.col("o_orderkey") % 10 == 0) & (F.floor(F.col("o_orderkey") / 4096) % 3 == 1)
+    changed = F.when(starred, F.concat("o_orderstatus", F.lit("*"))).otherwise(F.col("o_orderstatus"))
+    other = orders.filter("o_orderkey % 5000 <> 77").withColumn("o_orderstatus", changed)
+    return merge.compare(orders, other, "o_orderkey", "o_orderstatus", exact=False)

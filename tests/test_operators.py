@@ -122,6 +122,28 @@ def test_compare(lines_of):
     assert tuple(merge.compare_first_n(left, left, 9).summary.first()) == (True, 0)
 
 
+def test_compare_joins_only_runs_that_differ(spark):
+    left = spark.range(2000).select(F.col("id").alias("line_no"), F.concat(F.lit("v"), F.col("id") % 7).alias("line"))
+    changed = F.when(F.col("line_no").isin(5, 1203), F.lit("new")).when(F.col("line_no") == 640, F.lit(None)).otherwise(F.col("line"))
+    right = left.withColumn("line", changed).filter("line_no <> 1999")
+    for extra in (False, True):
+        if extra:
+            # Without a position nothing can be compared, so each side shows its row.
+            left, right = (df.unionByName(spark.createDataFrame([(None, "x")], "line_no long, line string")) for df in (left, right))
+        plain = merge.compare(left, right, "line_no", "line")
+        runs = merge.compare(left, right, "line_no", "line", exact=False, run=100)
+        assert sorted(map(str, runs.collect())) == sorted(map(str, plain.collect()))
+        assert runs.count() == (6 if extra else 4)
+    # Four of twenty runs differ: as many rows of each side are joined, the others stay where they are.
+    differing = merge.differing_runs(left, right, "line_no", "line", 100).filter("_run IS NOT NULL")
+    assert sorted(row["_run"] for row in differing.collect()) == [0, 6, 12, 19]
+    assert merge._rows_of_runs(left, differing, "line_no", 100, True).count() == 401
+    same = merge.compare(left, left.filter("line_no >= 0"), "line_no", "line", exact=False, run=100)
+    assert same.collect() == [(None, "x", "")]
+    met = merge._rows_of_runs(left.filter("line_no >= 0"), differing.filter("_run < 0"), "line_no", 100, True)
+    assert met.count() == 0
+
+
 MODEL = TableModel(
     name="sample", columns=("K", "S", "N", "D"), keys=("K", "S"), numeric=("K", "N"),
     kinds={"K": "int64", "S": "int32", "N": "decimal", "D": "date_shape"},
