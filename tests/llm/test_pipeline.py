@@ -14,6 +14,7 @@ from test_native import plain_mix, plain_repeats
 
 import corpus_pipeline
 from tabwright.llm import sentencepiece_viterbi
+from tabwright.llm.common import staged
 
 SF = "/root/testdata/sf0.001"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -60,6 +61,17 @@ def test_stages_one_by_one(spark, corpus):
     assert [row["ids"] for row in ids] == library.encode([row["text"] for row in rows])
 
 
+def test_order_of_the_mix_is_kept_by_the_written_table(spark, corpus):
+    mixed = stage("mixing sources")(spark, corpus.repartition(7), "")
+    wanted = [row["doc_id"] for row in mixed.collect()]
+    written = staged(mixed)
+    assert len(written.inputFiles()) > 1
+    found = stage("token ids")(spark, written, "")
+    rows = found.repartition(3).orderBy("mix_part", "mix_place").collect()
+    assert [row["doc_id"] for row in rows] == wanted
+    assert len({(row["mix_part"], row["mix_place"]) for row in rows}) == len(rows)
+
+
 def test_stages_on_odd_input(spark, awkward, empty):
     for _, run in corpus_pipeline.STAGES:
         assert run(spark, empty, "").collect() == []
