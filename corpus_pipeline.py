@@ -40,8 +40,20 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, in the order of the mix."""
-    return sentencepiece_viterbi.encode(docs).withColumn("n_tokens", F.size("ids").cast("long"))
+    """Token ids of every document; sorted by ``mix_part`` and ``mix_place`` they stand in the order of the mix.
+
+    The stage before wrote its rows in that order, but a table is read back in any
+    order, so each row takes its place from the file it stands in.  Rows that do not
+    come from files have nulls there.
+    """
+    if docs.inputFiles():
+        name = F.col("_metadata.file_name")
+        # A task's number, and that of its file if it wrote more than one.
+        number = lambda pattern: F.regexp_extract(name, pattern, 1).try_cast("long")
+        places = {"mix_part": number("part-([0-9]+)") * 1000 + F.coalesce(number("-c([0-9]+)"), F.lit(0)), "mix_place": F.col("_metadata.row_index")}
+    else:
+        places = {name: F.lit(None).cast("long") for name in ("mix_part", "mix_place")}
+    return sentencepiece_viterbi.encode(docs.withColumns(places)).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [
