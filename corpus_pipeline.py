@@ -9,6 +9,7 @@ operators define.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,15 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_rows(docs)
 
 
+def _stands_in_files(docs: DataFrame) -> bool:
+    """Whether the rows come straight from files, so that Spark knows each one's file and place in it."""
+    try:
+        docs.select("_metadata.file_name", "_metadata.row_index")
+    except AnalysisException:
+        return False
+    return True
+
+
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document; sorted by ``mix_part`` and ``mix_place`` they stand in the order of the mix.
 
@@ -46,7 +56,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     order, so each row takes its place from the file it stands in.  Rows that do not
     come from files have nulls there.
     """
-    if docs.inputFiles():
+    if _stands_in_files(docs):
         name = F.col("_metadata.file_name")
         # A task's number, and that of its file if it wrote more than one.
         number = lambda pattern: F.regexp_extract(name, pattern, 1).try_cast("long")
