@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.cells import text, trim_ws
@@ -14,7 +15,8 @@ from tabwright.plans.results import (
 )
 from tabwright.plans import scale
 from tabwright.plans.scale import cut_lineage, measured_bytes, number_rows
-from tabwright.sources.lines import first_line, is_top_line
+from tabwright.sources.kept import as_path, file_states, kept_table
+from tabwright.sources.lines import FILE_SHIFT, first_line, is_top_line, read_lines
 
 # Positions that ``compare`` sums up together.
 RUN_LINES = 4096
@@ -40,6 +42,73 @@ def merge_dedup(lines: DataFrame, ordered: bool = False) -> DataFrame:
     return found.orderBy("ord") if ordered else found
 
 
+GROWN_FILES = "step string, file string, file_ord bigint, size bigint, changed timestamp, has_lines boolean"
+GROWN_LINES = "line string, is_header boolean, ord bigint, digest bigint"
+
+
+def merge_dedup_grown(spark: SparkSession, paths: list[str], folder: str) -> DataFrame:
+    """``merge_dedup`` of a list of files that grows at its end; what was seen is kept in the folder.
+
+    While the files merged before still stand unchanged at the head of the list,
+    only those behind them are read, and only their lines are looked up: first the
+    digests of kept lines are read, then the lines whose digest came again, and
+    equality is decided on these.  Any other list is merged anew.
+
+    Each call that finds new files writes a step of lines, then names it in the
+    table of files.  Steps that are not named (of a run that was lost) are not read.
+    """
+    kept = kept_table(spark, f"{folder}/files", GROWN_FILES)
+    states = cut_lineage(file_states(spark, paths))
+    steps = _steps_of_the_head(kept, states)
+    seen = kept.filter(F.col("step").isin(steps))
+    base = seen.count()
+    added = [as_path(row["file"]) for row in states.filter(F.col("file_ord") >= base).orderBy("file_ord").collect()]
+    if added:
+        step = uuid.uuid4().hex
+        lines = read_lines(spark, added).withColumn("ord", F.col("ord") + (base << FILE_SHIFT))
+        if seen.filter("has_lines").limit(1).count():
+            lines = lines.withColumn("top_file", F.lit(False))
+        found = merge_dedup(lines).withColumn("digest", F.xxhash64("line"))
+        if steps:
+            found = cut_lineage(found)
+            found = found.join(_met_before(found, _grown_lines(spark, folder, steps)), ["line", "is_header"], "left_anti")
+        found.select("line", "is_header", "ord", "digest").write.parquet(f"{folder}/lines/step={step}")
+        named = states.filter(F.col("file_ord") >= base).select(
+            F.lit(step).alias("step"), "file", "file_ord", "size", "changed", (F.col("size") > 0).alias("has_lines"))
+        named.coalesce(1).write.mode("append").parquet(f"{folder}/files")
+        steps = [*steps, step]
+    return _grown_lines(spark, folder, steps).drop("digest")
+
+
+def _steps_of_the_head(kept: DataFrame, states: DataFrame) -> list[str]:
+    """Kept steps that together cover the head of the list, file by file; one row per step comes to the driver.
+
+    A step starts where another one ends.  Of steps over the same files any will do.
+    """
+    same = (F.col("k.file") == F.col("s.file")) & (F.col("k.size") == F.col("s.size")) & F.col("k.changed").eqNullSafe(F.col("s.changed"))
+    held = kept.alias("k").join(states.alias("s"), (F.col("k.file_ord") == F.col("s.file_ord")) & same, "left")
+    spans = held.groupBy("k.step").agg(
+        F.min("k.file_ord").alias("start"), (F.max("k.file_ord") + 1).alias("end"), F.bool_and(F.col("s.file").isNotNull()).alias("holds"))
+    next_step = {row["start"]: row for row in spans.filter("holds").orderBy("end", "step").collect()}
+    steps, at = [], 0
+    while at in next_step:
+        steps.append(next_step[at]["step"])
+        at = next_step[at]["end"]
+    return steps
+
+
+def _grown_lines(spark: SparkSession, folder: str, steps: list[str]) -> DataFrame:
+    return spark.read.schema(GROWN_LINES).parquet(*[f"{folder}/lines/step={step}" for step in steps])
+
+
+def _met_before(found: DataFrame, kept: DataFrame) -> DataFrame:
+    """Kept lines whose digest is among those found; a small set of digests goes to the kept lines, not the reverse."""
+    digests = found.select("digest").distinct()
+    if found.count() * 16 <= scale.BROADCAST_BYTES:
+        digests = F.broadcast(digests)
+    return kept.join(digests, "digest", "left_semi").select("line", "is_header")
+
+
 def merge_dedup_sorted(lines: DataFrame, numbered: bool = False) -> DataFrame:
     """Distinct lines in binary order, the header first.
 

@@ -27,15 +27,18 @@ def headers_of(lines: DataFrame) -> DataFrame:
     return lines.filter("line_no = 1").select("file", F.col("line").alias("header"))
 
 
-def drop_repeated_header(lines: DataFrame) -> DataFrame:
-    """Keep line 1, drop later lines exactly equal to it."""
-    tagged = attach_per_file(lines, headers_of(lines))
+def drop_repeated_header(lines: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+    """Keep line 1, drop later lines exactly equal to it.
+
+    ``headers`` (file, header), as a kept profile has them, saves the scan for line 1.
+    """
+    tagged = attach_per_file(lines, headers_of(lines) if headers is None else headers.select("file", "header").distinct())
     return tagged.filter((F.col("line_no") == 1) | (F.col("line") != F.col("header"))).drop("header")
 
 
-def repeated_headers(lines: DataFrame) -> DataFrame:
-    """(file, line_no) of later lines equal to line 1 once trailing white space is off."""
-    tagged = attach_per_file(lines, headers_of(lines))
+def repeated_headers(lines: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+    """(file, line_no) of later lines equal to line 1 once trailing white space is off; ``headers`` as above."""
+    tagged = attach_per_file(lines, headers_of(lines) if headers is None else headers.select("file", "header").distinct())
     same = rtrim_ws(F.col("line")) == rtrim_ws(F.col("header"))
     return tagged.filter((F.col("line_no") > 1) & same).select("file", "line_no")
 

@@ -14,6 +14,7 @@ from tabwright.plans import fixtures as fx
 from tabwright.plans.models import MOROSOS, TableModel
 from tabwright.plans.results import FIELDS, ROW_NO, sound_rows, unsound_rows
 from tabwright.plans.scale import new_folder
+from tabwright.sources import kept
 from tabwright.sources import lines as line_source
 from tabwright.sources.records import parse_lines
 from tabwright.sources import normalize_header, read_records, write_chunks, write_lines, write_records, write_rejects
@@ -1221,3 +1222,65 @@ def _(spark, sf):
     changed = F.when(starred, F.concat("o_orderstatus", F.lit("*"))).otherwise(F.col("o_orderstatus"))
     other = orders.filter("o_orderkey % 5000 <> 77").withColumn("o_orderstatus", changed)
     return merge.compare(orders, other, "o_orderkey", "o_orderstatus", exact=False)
+
+
+# ---------------------------------------------------------------- what is kept of files read before
+
+def _write_parts(spark, sf, folder: str, where: str) -> None:
+    """Lines of documents under one header line per file, in as many files as there are tasks."""
+    lines = fx.document_lines(spark, sf).filter(where).repartition("file", "line_no")
+    write_lines(lines, folder, header="a line")
+
+
+@query("q_merge_dedup_grown", f"""
+WITH {fx.DOC_LINES}
+SELECT line, false AS is_header, true AS found_anew FROM doc_lines GROUP BY line
+UNION ALL SELECT 'a line', true, true
+""")
+def _(spark, sf):
+    """Two thirds of the documents are merged, then all: the second call reads the files that came and the kept state."""
+    first, second, state = new_folder(spark), new_folder(spark), new_folder(spark)
+    _write_parts(spark, sf, first, "file_ord % 3 <> 0")
+    _write_parts(spark, sf, second, "file_ord % 3 = 0")
+    merge.merge_dedup_grown(spark, [first], state)
+    grown = merge.merge_dedup_grown(spark, [first, second], state).withColumnRenamed("ord", "kept_ord")
+    anew = merge.merge_dedup(line_source.read_lines(spark, [first, second]))
+    both = grown.join(anew, ["line", "is_header"], "full")
+    return both.select("line", "is_header", F.col("kept_ord").eqNullSafe(F.col("ord")).alias("found_anew"))
+
+
+@query("q_unique_sketch", f"""
+WITH {fx.DOC_LINES}, data AS (
+  SELECT line, CASE doc_id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS part FROM doc_lines WHERE line_no > 1)
+SELECT part, count(DISTINCT line) AS unique_lines, true AS within FROM data GROUP BY part
+UNION ALL SELECT 'all', count(DISTINCT line), true FROM data
+""")
+def _(spark, sf):
+    """Sketches per file, united by part and over all; each within four standard errors of the exact count."""
+    def part(df):
+        return df.withColumn("part", F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("file").cast("bigint") % 3 + 1).cast("int")))
+
+    lines = fx.document_lines(spark, sf)
+    profile = part(kept.profile_lines(lines))
+    whole = profiles.count_unique_kept(profile).select(F.lit("all").alias("part"), F.col("unique_lines").alias("estimate"))
+    united = profiles.count_unique_kept(profile, ["part"]).withColumnRenamed("unique_lines", "estimate").unionByName(whole)
+    data = part(lines.filter("line_no > 1"))
+    exact = (
+        data.select("part", "line").distinct().groupBy("part").agg(F.count("*").alias("unique_lines"))
+        .unionByName(profiles.count_unique(lines).select(F.lit("all").alias("part"), "unique_lines"))
+    )
+    off = F.abs(F.col("estimate") - F.col("unique_lines"))
+    return exact.join(united, "part").select("part", "unique_lines", (off <= 4 * 0.0082 * F.col("unique_lines") + 1).alias("within"))
+
+
+@query("q_kept_headers", f"""
+WITH {fx.DEBTORS} SELECT 'ok' AS status, false AS missing_header, count(*) AS records, count(*) AS again FROM debtors
+""")
+def _(spark, sf):
+    """Headers and line counts of written files out of the kept profile; asked again, no file is read."""
+    folder, state = new_folder(spark), new_folder(spark)
+    write_records(fx.debtors(spark, sf).repartition("IdTransmit"), folder)
+    top = kept.top_lines(kept.kept_profile(spark, folder, state))
+    again = kept.top_lines(kept.kept_profile(spark, folder, state)).agg(F.sum(F.col("file_lines") - 1)).scalar()
+    checked = headers.check_header(top, MOROSOS).join(headers.detect_missing_header(top), "file")
+    return checked.groupBy("status", "missing_header").agg(F.sum("records").alias("records")).withColumn("again", again)
