@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.cells import rtrim_ws, text, trim_ws
-from tabwright.plans.results import CHUNK, ROW_NO, JobResult, data_columns, require_columns, sound_rows
+from tabwright.plans.results import CHUNK, CHUNK_SIZE, ROW_NO, JobResult, data_columns, require_columns, sound_rows
 from tabwright.plans.scale import attach_per_file
 
 
@@ -110,4 +110,4 @@ def split_chunks(records: DataFrame, size: int, row_no: str = ROW_NO) -> DataFra
     if size < 1:
         raise ValueError("size must be a positive integer")
     require_columns(records, row_no)
-    return records.withColumn(CHUNK, F.expr(f"(`{row_no}` - 1) div {size} + 1"))
+    return records.withColumn(CHUNK, F.expr(f"(`{row_no}` - 1) div {size} + 1").alias(CHUNK, metadata={CHUNK_SIZE: size}))

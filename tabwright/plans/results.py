@@ -14,6 +14,8 @@ ROW_NO = "_row_no"
 FIELDS = "_n_fields"
 CORRUPT = "_corrupt"
 CHUNK = "_chunk_id"
+# Set on the chunk column by split_chunks.
+CHUNK_SIZE = "chunk_size"
 CONVERTED = "_converted"
 PROVENANCE = frozenset({ROW_NO, "_file", "_ord", FIELDS, CORRUPT, CHUNK, CONVERTED})
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.csvtext import render_header, render_line
-from tabwright.plans.results import ROW_NO, data_columns
+from tabwright.plans.results import CHUNK, CHUNK_SIZE, ROW_NO, data_columns
 from tabwright.plans.scale import POSITION_BITS
 
 # Lines of one output folder that share a file, so a folder of any size is written by many tasks.
@@ -73,21 +73,28 @@ def write_rejects(rejects: DataFrame, path: str, mode: str = "errorifexists", wi
 
 
 def write_chunks(
-    chunked: DataFrame, path: str, prefix: str, row_no: str = ROW_NO, mode: str = "errorifexists"
+    chunked: DataFrame, path: str, prefix: str, row_no: str = ROW_NO, mode: str = "errorifexists",
+    piece_records: int = PIECE_LINES,
 ) -> None:
-    """One file per chunk of ``split_chunks``, in the folder ``chunk=prefix_001``.
+    """Records of each chunk of ``split_chunks`` under one header, in the folder ``chunk=prefix_001``.
 
-    Records of several files (``_ord`` tells them apart) get a folder ``file=0``,
-    ``file=1``, ... around their chunks.
+    A chunk of up to ``piece_records`` records is one file.  A larger one is cut by
+    row number into files in the folders ``piece=0``, ``piece=1``, ..., each written
+    by its own task; read one after the other they are the chunk, and only the first
+    has the header.  Records of several files (``_ord`` tells them apart) get a
+    folder ``file=0``, ``file=1``, ... around their chunks.
     """
     names = [name for name in data_columns(chunked) if name != row_no]
-    label = F.concat(F.lit(f"{prefix}_"), F.format_string("%03d", F.col("_chunk_id")))
+    label = F.concat(F.lit(f"{prefix}_"), F.format_string("%03d", F.col(CHUNK)))
     file = [F.shiftright("_ord", 40).alias("file")] if "_ord" in chunked.columns else []
-    lines = chunked.select(render_line(names).alias("line"), label.alias("chunk"), F.col(row_no).alias("_no"), *file)
     folders = [*(["file"] if file else []), "chunk"]
-    # A chunk is one file, whatever its size: its size was the caller's choice.
-    first = Window.partitionBy(*folders).orderBy("_no")
-    headed = F.concat_ws("\n", F.lit(render_header(names)), "line")
-    kept = lines.withColumn("_place", F.row_number().over(first)).select(
-        F.when(F.col("_place") == 1, headed).otherwise(F.col("line")).alias("value"), *folders)
-    kept.write.mode(mode).option("lineSep", "\n").partitionBy(*folders).text(path)
+    body = chunked.select(*file, label.alias("chunk"), F.col(row_no).alias("_no"), F.lit(1).alias("_rank"), render_line(names).alias("line"))
+    # The header is a row of its own, before the first record that a chunk has.
+    tops = body.groupBy(*folders).agg(F.min("_no").alias("_no")).withColumns(
+        {"_rank": F.lit(0), "line": F.lit(render_header(names))})
+    lines = body.unionByName(tops)
+    if not 0 < chunked.schema[CHUNK].metadata.get(CHUNK_SIZE, 0) <= piece_records:
+        lines = lines.withColumn("piece", F.expr(f"(_no - 1) div {piece_records}"))
+        folders.append("piece")
+    kept = lines.repartition(*folders).sortWithinPartitions(*folders, "_no", "_rank")
+    kept.select(F.col("line").alias("value"), *folders).write.mode(mode).option("lineSep", "\n").partitionBy(*folders).text(path)

@@ -240,3 +240,27 @@ def test_chunks_of_several_files_stay_apart(spark, tmp_path):
     assert found == {
         "file=0/chunk=part_001": ["k\n1\n2\n"], "file=0/chunk=part_002": ["k\n3\n"],
         "file=1/chunk=part_001": ["k\n4\n5\n"], "file=1/chunk=part_002": ["k\n6\n"]}
+
+
+@pytest.mark.parametrize("dropped", [(), (1, 2, 3, 4, 5), range(21, 41)])
+def test_a_large_chunk_is_written_by_many_tasks_under_one_header(spark, records_of, tmp_path, dropped):
+    rows = records_of(["k", "text"], [(str(n), f'"{n},') for n in range(1, 48)]).repartition(5)
+    chunked = slices.split_chunks(rows, 20).filter(~F.col("_row_no").isin(list(dropped)))
+    write_chunks(chunked, str(tmp_path / "whole"), "part")
+    write_chunks(chunked, str(tmp_path / "cut"), "part", piece_records=4)
+
+    def joined(folder):
+        pieces = sorted(folder.glob("piece=*"), key=lambda one: int(one.name.split("=")[1])) or [folder]
+        texts = [part_texts(piece) for piece in pieces]
+        assert all(len(one) == 1 for one in texts)
+        return len(texts), "".join(one[0] for one in texts)
+
+    for chunk in (1, 2, 3):
+        kept = [n for n in range(chunk * 20 - 19, min(chunk * 20, 47) + 1) if n not in dropped]
+        name = f"chunk=part_{chunk:03d}"
+        if not kept:
+            assert not (tmp_path / "whole" / name).exists() and not (tmp_path / "cut" / name).exists()
+            continue
+        want = "k,text\n" + "".join(f'{n},"""{n},"\n' for n in kept)
+        assert joined(tmp_path / "whole" / name) == (1, want)
+        assert joined(tmp_path / "cut" / name) == (len({(n - 1) // 4 for n in kept}), want)
