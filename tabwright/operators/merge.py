@@ -50,9 +50,9 @@ def merge_dedup_grown(spark: SparkSession, paths: list[str], folder: str) -> Dat
     """``merge_dedup`` of a list of files that grows at its end; what was seen is kept in the folder.
 
     While the files merged before still stand unchanged at the head of the list,
-    only those behind them are read, and only their lines are looked up: first the
-    digests of kept lines are read, then the lines whose digest came again, and
-    equality is decided on these.  Any other list is merged anew.
+    only those behind them are read.  Kept lines are read once and stay in their
+    tasks, but for those whose digest came again: equality is decided on these.
+    Any other list is merged anew.
 
     Each call that finds new files writes a step of lines, then names it in the
     table of files.  Steps that are not named (of a run that was lost) are not read.

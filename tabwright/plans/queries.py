@@ -1228,8 +1228,7 @@ def _(spark, sf):
 
 def _write_parts(spark, sf, folder: str, where: str) -> None:
     """Lines of documents under one header line per file, in as many files as there are tasks."""
-    lines = fx.document_lines(spark, sf).filter(where).repartition("file", "line_no")
-    write_lines(lines, folder, header="a line")
+    write_lines(fx.document_lines(spark, sf).filter(where), folder, header="a line")
 
 
 @query("q_merge_dedup_grown", f"""
