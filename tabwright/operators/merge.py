@@ -68,11 +68,11 @@ def merge_dedup_grown(spark: SparkSession, paths: list[str], folder: str) -> Dat
         lines = read_lines(spark, added).withColumn("ord", F.col("ord") + (base << FILE_SHIFT))
         if seen.filter("has_lines").limit(1).count():
             lines = lines.withColumn("top_file", F.lit(False))
-        found = merge_dedup(lines).withColumn("digest", F.xxhash64("line"))
+        found = merge_dedup(lines)
         if steps:
-            found = cut_lineage(found)
-            found = found.join(_met_before(found, _grown_lines(spark, folder, steps)), ["line", "is_header"], "left_anti")
-        found.select("line", "is_header", "ord", "digest").write.parquet(f"{folder}/lines/step={step}")
+            found = found.join(_met_before(lines, _grown_lines(spark, folder, steps)), ["line", "is_header"], "left_anti")
+        found = found.select("line", "is_header", "ord", F.xxhash64("line").alias("digest"))
+        found.write.option("compression", "zstd").parquet(f"{folder}/lines/step={step}")
         named = states.filter(F.col("file_ord") >= base).select(
             F.lit(step).alias("step"), "file", "file_ord", "size", "changed", (F.col("size") > 0).alias("has_lines"))
         named.coalesce(1).write.mode("append").parquet(f"{folder}/files")
@@ -101,10 +101,13 @@ def _grown_lines(spark: SparkSession, folder: str, steps: list[str]) -> DataFram
     return spark.read.schema(GROWN_LINES).parquet(*[f"{folder}/lines/step={step}" for step in steps])
 
 
-def _met_before(found: DataFrame, kept: DataFrame) -> DataFrame:
-    """Kept lines whose digest is among those found; a small set of digests goes to the kept lines, not the reverse."""
-    digests = found.select("digest").distinct()
-    if found.count() * 16 <= scale.BROADCAST_BYTES:
+def _met_before(lines: DataFrame, kept: DataFrame) -> DataFrame:
+    """Kept lines whose digest is among those of the new lines.
+
+    Digests are computed once; where they are measured to be few they go to the kept lines, not the reverse.
+    """
+    digests = cut_lineage(lines.select(F.xxhash64("line").alias("digest")).distinct())
+    if measured_bytes(digests) <= scale.BROADCAST_BYTES:
         digests = F.broadcast(digests)
     return kept.join(digests, "digest", "left_semi").select("line", "is_header")
 
