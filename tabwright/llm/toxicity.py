@@ -1,18 +1,23 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
 Training takes a bounded sample of labelled rows (EXAMPLES per label, those with
-the smallest hash of their id).  The vocabulary are the terms that tell the
-labels apart in the sample; document frequencies are counted over all documents.
+the smallest hash of their id).  Every term of the sample is indexed; document
+frequencies are counted over all documents.  A term's weight is its TF-IDF times
+its relevance sqrt(1 + chi2), where chi2 says how far the term's presence depends
+on the label in the sample: 1 for the bulk of the terms, more for those that tell
+labels apart.  (The README gives the figures of plain TF-IDF.)
+
 The examples' vectors form an inverted index whose posting lists are cut into
-blocks of examples, each with its largest weight.  For a document the block
-maxima bound the cosine of every example in a block; blocks are scored in falling
-order of that bound until it drops below the k-th cosine found, so the nearest
-examples are exact.  Their votes weigh by distance, and an isotonic fit on
-leave-one-out votes of the examples, weighted back to the label shares of all
-labelled rows, turns a vote into a probability.
+blocks of similar examples, each with its largest weight.  For a document the
+block maxima bound the cosine of every example in a block; blocks are scored in
+falling order of that bound until it drops below the k-th cosine found, so the
+nearest examples are exact.  Their votes weigh by distance, and by how many
+labelled rows an example stands for.  An isotonic fit turns a vote into a
+probability; it sees votes of examples that had no part in the relevances and the
+index they are held against (CALIBRATION_FOLDS folds).
 
 Only the text is an input of a score.  Defined cases: a null or empty text, and
-any text without a vocabulary term, has no neighbour and gets the share of toxic
+any text without a term of the sample, has no neighbour and gets the share of toxic
 rows among such examples.  Without examples of both labels every score is the
 share of toxic rows (0 without any).  Rows with equal texts get equal scores.  If
 an id has several labels it is toxic if one says so; a null label is none.
@@ -36,11 +41,8 @@ from pyspark.sql import types as T
 from tabwright.llm.common import mapped, sheltered, staged
 
 EXAMPLES = 2000
-TERMS = 512
-LEAST_EXAMPLES = 5          # a term stands in so many examples at least
-LEAST_CHI2 = 30.0
-LEAST_LIFT = 3.0            # and is so many times as frequent with one label as with the other
-NEIGHBOURS = 10
+NEIGHBOURS = 20
+CALIBRATION_FOLDS = 5
 BLOCK = 64
 THRESHOLD = 0.7
 FOLDS, HELD_FOLD = 3, 1
@@ -56,76 +58,112 @@ def terms_of(text: str | None) -> Counter:
     return Counter(WORD.findall((text or "").lower()))
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 @dataclass
 class BlockMaxIndex:
-    """Inverted index over unit vectors, with block maxima."""
+    """Inverted index over unit vectors, with block maxima.
+
+    Postings stand term by term and by example within a term.  An entry is a
+    term's part in one block: where its postings begin, and their largest weight.
+    """
 
     terms: dict[str, int]
-    idf: np.ndarray
+    idf: np.ndarray             # weight of each term before its frequency in the text counts
     labels: np.ndarray
+    stands_for: np.ndarray      # labelled rows per example
     ids: list
-    starts: np.ndarray          # (terms, blocks + 1): where a term's postings of a block begin
     places: np.ndarray          # example of each posting
     weights: np.ndarray
-    tops: np.ndarray            # (terms, blocks): largest weight
+    first_entry: np.ndarray     # of each term, and the end
+    entry_start: np.ndarray     # first posting of each entry, and the end
+    entry_block: np.ndarray
+    entry_top: np.ndarray
 
     @classmethod
-    def build(cls, terms: list[str], idf: np.ndarray, rows: list[tuple[object, int, dict[int, int]]]) -> BlockMaxIndex:
-        blocks = -(-max(len(rows), 1) // BLOCK)
-        lists: list[list[tuple[int, float]]] = [[] for _ in terms]
-        for place, (_, _, counts) in enumerate(rows):
-            numbers, weights = unit_vector(counts, idf)
-            for number, weight in zip(numbers, weights):
-                lists[number].append((place, weight))
-        starts, tops = np.zeros((len(terms), blocks + 1), np.int64), np.zeros((len(terms), blocks))
-        places, weights, at = [], [], 0
-        for number, postings in enumerate(lists):
-            own = np.array([place for place, _ in postings], np.int64)
-            starts[number] = at + np.searchsorted(own, np.arange(blocks + 1) * BLOCK)
-            for place, weight in postings:
-                tops[number, place // BLOCK] = max(tops[number, place // BLOCK], weight)
-            places += own.tolist()
-            weights += [weight for _, weight in postings]
-            at += len(postings)
-        return cls({term: number for number, term in enumerate(terms)}, idf, np.array([label for _, label, _ in rows], float),
-                   [identity for identity, _, _ in rows], starts, np.array(places, np.int64), np.array(weights), tops)
+    def build(cls, terms: list[str] | dict[str, int], idf: np.ndarray, rows: list[tuple[object, int, dict[int, int]]],
+              stands_for: tuple[float, float] = (1.0, 1.0)) -> BlockMaxIndex:
+        """Rows are (id, label, count by term number)."""
+        vectors = [unit_vector(counts, idf) for _, _, counts in rows]
+        numbers = np.concatenate([np.zeros(0, np.int64), *[own for own, _ in vectors]])
+        places = np.repeat(np.arange(len(rows), dtype=np.int32), [len(own) for own, _ in vectors])
+        weights = np.concatenate([np.zeros(0), *[own for _, own in vectors]])
+        order = np.argsort(numbers, kind="stable")
+        numbers, places, weights = numbers[order], places[order], weights[order]
+        blocks = places // BLOCK
+        fresh = np.flatnonzero(np.concatenate((np.ones(min(len(numbers), 1), bool), (np.diff(numbers) != 0) | (np.diff(blocks) != 0))))
+        tops = np.maximum.reduceat(weights, fresh) if len(fresh) else np.zeros(0)
+        labels = np.array([label for _, label, _ in rows], float)
+        return cls(terms if isinstance(terms, dict) else {term: number for number, term in enumerate(terms)}, idf, labels,
+                   np.where(labels == 1, stands_for[1], stands_for[0]), [identity for identity, _, _ in rows], places, weights,
+                   np.searchsorted(numbers[fresh], np.arange(len(terms) + 1)), np.append(fresh, len(numbers)), blocks[fresh], tops)
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         return unit_vector({self.terms[term]: n for term, n in counts.items() if term in self.terms}, self.idf)
 
-    def nearest(self, numbers: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, numbers: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest by falling cosine, ties by place; only examples with a cosine above 0."""
-        bounds = weights @ self.tops[numbers]
-        places, cosines, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(places) >= k and bounds[block] < least - 1e-9:
-                break
-            scores = np.zeros(BLOCK)
-            for number, weight in zip(numbers, weights):
-                own = slice(self.starts[number, block], self.starts[number, block + 1])
-                scores[self.places[own] - block * BLOCK] += weight * self.weights[own]
-            found = np.nonzero(scores)[0]
-            found = found[found + block * BLOCK != without]
-            places = np.concatenate((places, found + block * BLOCK))
-            cosines = np.concatenate((cosines, scores[found]))
-            top = np.lexsort((places, -np.round(cosines, 12)))[:k]
-            places, cosines = places[top], cosines[top]
-            least = cosines[-1] if len(cosines) else 0.0
-        return places, cosines
+        sizes = self.first_entry[numbers + 1] - self.first_entry[numbers]
+        entries, of_term = _ranges(self.first_entry[numbers], sizes), np.repeat(weights, sizes)
+        blocks = self.entry_block[entries]
+        bounds = np.bincount(blocks, of_term * self.entry_top[entries], minlength=-(-max(len(self.ids), 1) // BLOCK))
+        ranked = np.argsort(-bounds, kind="stable")
+        ranked = ranked[bounds[ranked] > 0]
+        scores, least, at, step = np.zeros(len(bounds) * BLOCK), 0.0, 0, max(1, 2 * k // BLOCK)
+        while at < len(ranked) and bounds[ranked[at]] >= least - 1e-9:
+            # A few blocks at a time, twice as many in the next round.
+            wanted = np.zeros(len(bounds), bool)
+            wanted[ranked[at : at + step]] = bounds[ranked[at : at + step]] >= least - 1e-9
+            own = np.flatnonzero(wanted[blocks])
+            lengths = self.entry_start[entries[own] + 1] - self.entry_start[entries[own]]
+            postings = _ranges(self.entry_start[entries[own]], lengths)
+            scores += np.bincount(self.places[postings], np.repeat(of_term[own], lengths) * self.weights[postings], minlength=len(scores))
+            at, step = at + step, 2 * step
+            if at < len(ranked) and k <= len(scores):
+                least = np.partition(scores, len(scores) - k)[len(scores) - k]
+        found = np.flatnonzero(scores)
+        top = found[np.lexsort((found, -np.round(scores[found], 12)))[:k]]
+        return top, scores[top]
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
-        """Share of toxic examples, each weighted by the inverse of its distance."""
-        closeness = 1 / (1.1 - np.minimum(cosines, 1.0))
+        """Toxic share of the rows that the examples stand for, each weighted by the inverse of its distance."""
+        closeness = self.stands_for[places] / (1.1 - np.minimum(cosines, 1.0))
         return float(closeness @ self.labels[places] / closeness.sum())
 
 
 def unit_vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Term numbers, rising, and the weights (1 + ln tf) * idf scaled to length 1."""
-    numbers = np.array(sorted(counts), np.int64)
-    if not len(numbers):
-        return numbers, np.zeros(0)
-    weights = np.array([1 + math.log(counts[number]) for number in numbers.tolist()]) * idf[numbers]
-    return numbers, weights / math.sqrt(float(weights @ weights))
+    numbers = np.fromiter(counts.keys(), np.int64, len(counts))
+    order = np.argsort(numbers)
+    numbers, times = numbers[order], np.fromiter(counts.values(), float, len(counts))[order]
+    weights = (1 + np.log(times)) * idf[numbers]
+    return numbers, weights / math.sqrt(float(weights @ weights)) if len(numbers) else weights
+
+
+def relevance(rows: list[tuple[object, int, dict[int, int]]], terms: int) -> np.ndarray:
+    """sqrt(1 + chi2) of each term's presence against the label; 1 where one label is missing."""
+    held = [np.zeros(terms), np.zeros(terms)]
+    for _, label, counts in rows:
+        held[label][np.fromiter(counts.keys(), np.int64, len(counts))] += 1
+    b, a = held
+    bad = sum(label for _, label, _ in rows)
+    clean = len(rows) - bad
+    if not (bad and clean):
+        return np.ones(terms)
+    chi2 = len(rows) * (a * (clean - b) - b * (bad - a)) ** 2 / (float(clean) * bad * np.maximum((a + b) * (len(rows) - a - b), 1))
+    return np.sqrt(1 + chi2)
+
+
+def by_likeness(rows: list[tuple[object, int, dict[int, int]]], idf: np.ndarray, terms: dict[str, int]) -> list[tuple[object, int, dict[int, int]]]:
+    """The rows with similar ones side by side, which tightens block maxima: by the nearest of every BLOCK-th row."""
+    seeds = BlockMaxIndex.build(terms, idf, rows[::BLOCK])
+    nearest = [seeds.nearest(*unit_vector(counts, idf), 1)[0] for _, _, counts in rows]
+    order = sorted(range(len(rows)), key=lambda place: (int(nearest[place][0]) if len(nearest[place]) else -1, place))
+    return [rows[place] for place in order]
 
 
 def isotonic(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,15 +196,14 @@ class ToxicityModel:
         return self.none, [], []
 
 
-def _term_rows(rows: DataFrame, vocabulary: list[str] | None = None) -> DataFrame:
-    """(key, toxic, term, n) of the rows' terms, or of those in the vocabulary."""
-    known = None if vocabulary is None else set(vocabulary)
+def _term_rows(rows: DataFrame) -> DataFrame:
+    """(key, toxic, term, n) of the rows' terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [(identity, toxic, term, n)
                      for identity, toxic, text in zip(*[batch.column(place).to_pylist() for place in range(3)])
-                     for term, n in terms_of(text).items() if known is None or term in known]
+                     for term, n in terms_of(text).items()]
             columns = list(zip(*found)) or [(), (), (), ()]
             kinds = (batch.schema.field(0).type, pa.int32(), pa.string(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds)], ["key", "toxic", "term", "n"])
@@ -174,29 +211,26 @@ def _term_rows(rows: DataFrame, vocabulary: list[str] | None = None) -> DataFram
     return mapped(rows, run, rows.select("key").schema.add("toxic", "integer").add("term", "string").add("n", "integer"))
 
 
-def document_frequencies(docs: DataFrame, text: str, vocabulary: list[str]) -> tuple[int, np.ndarray]:
-    """Number of all documents, and of those that hold each term."""
-    known = {term: number for number, term in enumerate(vocabulary)}
+def document_frequencies(docs: DataFrame, text: str, terms: dict[str, int]) -> tuple[int, np.ndarray]:
+    """Number of all documents, and of those that hold each term; what a task sends is bounded by the terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, rows = np.zeros(len(known) + 1, np.int64), 0
+        counts, rows = Counter(), 0
         for batch in batches:
             rows += batch.num_rows
             for value in batch.column(0).to_pylist():
-                for term in known.keys() & set(WORD.findall((value or "").lower())):
-                    counts[known[term]] += 1
-        counts[-1] = rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(counts))), pa.array(counts)], ["term", "n"])
-
-    summed = mapped(docs.select(text), run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    found = np.zeros(len(known) + 1, np.int64)
-    for row in summed:
-        found[row["term"]] = row["n"]
+                counts.update(terms.keys() & set(WORD.findall((value or "").lower())))
+        numbers = [terms[term] for term in counts] + [len(terms)]
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array([*counts.values(), rows], pa.int64())], ["term", "n"])
+
+    summed = mapped(docs.select(text), run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    found = np.zeros(len(terms) + 1, np.int64)
+    found[summed["term"].to_numpy()] = summed["n"].to_numpy()
     return int(found[-1]), found[:-1]
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic") -> ToxicityModel:
-    """Sample, vocabulary, index and calibration.  What comes to the driver is bounded by EXAMPLES and TERMS."""
+    """Sample, terms, index and calibration.  What comes to the driver are the terms of at most 2 * EXAMPLES texts."""
     known = (
         labels.where(F.col(toxic).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
         .groupBy(F.col(key).alias("key")).agg(F.max(F.col(toxic).cast("int")).alias("toxic"))
@@ -222,35 +256,40 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     clean, bad = sizes.get(0, 0), sizes.get(1, 0)
     if not clean or not bad:
         return ToxicityModel(None, (np.zeros(1), np.zeros(1)), prior)
-    per_term = _term_rows(texts).groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    chi2 = (clean + bad) * F.pow(a * (clean - b) - b * (bad - a), F.lit(2)) / (
-        F.lit(float(clean) * bad) * (a + b) * (F.lit(float(clean + bad)) - a - b + 1e-9))
-    high, low = (a + 0.5) / bad, (b + 0.5) / clean
-    vocabulary = [row["term"] for row in per_term.where(
-        (a + b >= LEAST_EXAMPLES) & (chi2 >= LEAST_CHI2) & (F.greatest(high / low, low / high) >= LEAST_LIFT)
-    ).orderBy(chi2.desc(), "term").limit(TERMS).collect()]
-    documents, frequency = document_frequencies(docs, text, vocabulary)
+    rows = _sample_rows(texts, sample)
+    terms: dict[str, int] = {}
+    numbered = [(key, label, {terms.setdefault(term, len(terms)): n for term, n in counts.items()}) for key, label, counts in rows]
+    documents, frequency = document_frequencies(docs, text, terms)
     idf = np.log((1 + documents) / (1 + frequency)) + 1
-    number = {term: place for place, term in enumerate(vocabulary)}
-    vectors: dict = {}
-    for row in _term_rows(texts, vocabulary).collect():
-        vectors.setdefault(row["key"], {})[number[row["term"]]] = row["n"]
-    index = BlockMaxIndex.build(vocabulary, idf, [(row["key"], row["toxic"], vectors.get(row["key"], {})) for row in sample])
-    votes, targets, weights, none = [], [], [], [0.0, 0.0]
-    weight_of = (shares[0] / clean, shares[1] / bad)
-    for place, row in enumerate(sample):
-        numbers, values = unit_vector(vectors.get(row["key"], {}), idf)
-        places, cosines = index.nearest(numbers, values, NEIGHBOURS, without=place) if len(numbers) else (numbers, values)
-        if len(places):
-            votes.append(index.vote(places, cosines))
-            targets.append(row["toxic"])
-            weights.append(weight_of[row["toxic"]])
-        else:
-            none[row["toxic"]] += weight_of[row["toxic"]]
+    stands_for = (shares[0] / clean, shares[1] / bad)
+    votes, targets, none = [], [], [0.0, 0.0]
+    for fold in range(CALIBRATION_FOLDS):
+        others = [row for place, row in enumerate(numbered) if place % CALIBRATION_FOLDS != fold]
+        index = _index(terms, idf, others, stands_for)
+        for _, label, counts in numbered[fold::CALIBRATION_FOLDS]:
+            places, cosines = index.nearest(*unit_vector(counts, index.idf), NEIGHBOURS)
+            if len(places):
+                votes.append(index.vote(places, cosines))
+                targets.append(label)
+            else:
+                none[label] += stands_for[label]
     # One more clean and one more toxic example at the prior keep every share inside 0 and 1.
-    steps = isotonic(np.array([*votes, 0.0, 1.0]), np.array([*targets, 0.0, 1.0]), np.array([*weights, 1.0, 1.0]))
-    return ToxicityModel(index, steps, (none[1] + prior) / (sum(none) + 1))
+    steps = isotonic(np.array([*votes, 0.0, 1.0]), np.array([*targets, 0.0, 1.0]), np.array([*map(stands_for.__getitem__, targets), 1.0, 1.0]))
+    return ToxicityModel(_index(terms, idf, numbered, stands_for), steps, (none[1] + prior) / (sum(none) + 1))
+
+
+def _sample_rows(texts: DataFrame, sample: list) -> list[tuple[object, int, dict[str, int]]]:
+    """(id, label, count by term) of the sampled examples that have a text, in the sample's order."""
+    found = _term_rows(texts).select("key", "term", "n").toArrow()
+    counts: dict = {}
+    for key, term, n in zip(*[found[name].to_pylist() for name in ("key", "term", "n")]):
+        counts.setdefault(key, {})[term] = n
+    return [(row["key"], row["toxic"], dict(sorted(counts.get(row["key"], {}).items()))) for row in sample]
+
+
+def _index(terms: dict[str, int], idf: np.ndarray, rows: list[tuple[object, int, dict[int, int]]], stands_for: tuple[float, float]) -> BlockMaxIndex:
+    weights = idf * relevance(rows, len(terms))
+    return BlockMaxIndex.build(terms, weights, by_likeness(rows, weights, terms), stands_for)
 
 
 OUTPUT = ("held_out", "score", "predicted", "evidence")
