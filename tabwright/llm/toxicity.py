@@ -31,6 +31,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ EXAMPLES = 2000
 NEIGHBOURS = 20
 CALIBRATION_FOLDS = 5
 BLOCK = 64
+DENSE = 8
 THRESHOLD = 0.7
 FOLDS, HELD_FOLD = 3, 1
 WORD = re.compile(r"[^\W\d_]+")
@@ -61,7 +63,9 @@ def terms_of(text: str | None) -> Counter:
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All numbers of the ranges, one range after the other."""
     ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+    numbers = np.repeat(starts - (ends - sizes), sizes)
+    numbers += np.arange(len(numbers))
+    return numbers
 
 
 @dataclass
@@ -70,6 +74,8 @@ class BlockMaxIndex:
 
     Postings stand term by term and by example within a term.  An entry is a
     term's part in one block: where its postings begin, and their largest weight.
+    Lists of frequent terms are kept as rows over all examples and summed up first,
+    exactly; the maxima bound what the other terms can add to that.
     """
 
     terms: dict[str, int]
@@ -83,6 +89,8 @@ class BlockMaxIndex:
     entry_start: np.ndarray     # first posting of each entry, and the end
     entry_block: np.ndarray
     entry_top: np.ndarray
+    row_of: np.ndarray          # of each term that one example in DENSE or more holds: its row, else -1
+    rows: np.ndarray            # these terms' weights in every example
 
     @classmethod
     def build(cls, terms: list[str] | dict[str, int], idf: np.ndarray, rows: list[tuple[object, int, dict[int, int]]],
@@ -90,7 +98,7 @@ class BlockMaxIndex:
         """Rows are (id, label, count by term number)."""
         vectors = [unit_vector(counts, idf) for _, _, counts in rows]
         numbers = np.concatenate([np.zeros(0, np.int64), *[own for own, _ in vectors]])
-        places = np.repeat(np.arange(len(rows), dtype=np.int32), [len(own) for own, _ in vectors])
+        places = np.repeat(np.arange(len(rows)), [len(own) for own, _ in vectors])
         weights = np.concatenate([np.zeros(0), *[own for _, own in vectors]])
         order = np.argsort(numbers, kind="stable")
         numbers, places, weights = numbers[order], places[order], weights[order]
@@ -98,34 +106,48 @@ class BlockMaxIndex:
         fresh = np.flatnonzero(np.concatenate((np.ones(min(len(numbers), 1), bool), (np.diff(numbers) != 0) | (np.diff(blocks) != 0))))
         tops = np.maximum.reduceat(weights, fresh) if len(fresh) else np.zeros(0)
         labels = np.array([label for _, label, _ in rows], float)
+        holders = np.bincount(numbers, minlength=len(terms))
+        often = np.flatnonzero(holders * DENSE >= max(len(rows), 1))
+        row_of = np.full(len(terms), -1)
+        row_of[often] = np.arange(len(often))
+        dense, part = np.zeros((len(often), -(-max(len(rows), 1) // BLOCK) * BLOCK)), row_of[numbers]
+        dense[part[part >= 0], places[part >= 0]] = weights[part >= 0]
         return cls(terms if isinstance(terms, dict) else {term: number for number, term in enumerate(terms)}, idf, labels,
                    np.where(labels == 1, stands_for[1], stands_for[0]), [identity for identity, _, _ in rows], places, weights,
-                   np.searchsorted(numbers[fresh], np.arange(len(terms) + 1)), np.append(fresh, len(numbers)), blocks[fresh], tops)
+                   np.searchsorted(numbers[fresh], np.arange(len(terms) + 1)), np.append(fresh, len(numbers)), blocks[fresh], tops, row_of, dense)
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        return unit_vector({self.terms[term]: n for term, n in counts.items() if term in self.terms}, self.idf)
+        numbers = np.fromiter(map(self.terms.get, counts, repeat(-1)), np.int64, len(counts))
+        known = numbers >= 0
+        return _unit(numbers[known], np.fromiter(counts.values(), float, len(counts))[known], self.idf)
 
     def nearest(self, numbers: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest by falling cosine, ties by place; only examples with a cosine above 0."""
-        sizes = self.first_entry[numbers + 1] - self.first_entry[numbers]
-        entries, of_term = _ranges(self.first_entry[numbers], sizes), np.repeat(weights, sizes)
-        blocks = self.entry_block[entries]
-        bounds = np.bincount(blocks, of_term * self.entry_top[entries], minlength=-(-max(len(self.ids), 1) // BLOCK))
-        ranked = np.argsort(-bounds, kind="stable")
-        ranked = ranked[bounds[ranked] > 0]
-        scores, least, at, step = np.zeros(len(bounds) * BLOCK), 0.0, 0, max(1, 2 * k // BLOCK)
-        while at < len(ranked) and bounds[ranked[at]] >= least - 1e-9:
-            # A few blocks at a time, twice as many in the next round.
-            wanted = np.zeros(len(bounds), bool)
-            wanted[ranked[at : at + step]] = bounds[ranked[at : at + step]] >= least - 1e-9
+        row = self.row_of[numbers]
+        often = row >= 0
+        scores = weights[often] @ self.rows[row[often]]
+        seldom, least = numbers[~often], 0.0
+        sizes = self.first_entry[seldom + 1] - self.first_entry[seldom]
+        entries, of_term = _ranges(self.first_entry[seldom], sizes), np.repeat(weights[~often], sizes)
+        blocks, starts = self.entry_block[entries], self.entry_start[entries]
+        lengths = self.entry_start[entries + 1] - starts
+        bounds = scores.reshape(-1, BLOCK).max(axis=1)
+        bounds += np.bincount(blocks, of_term * self.entry_top[entries], minlength=len(bounds))
+        # First the blocks with the highest bounds, enough for k; then those that may beat the k-th cosine found.
+        wanted = np.zeros(len(bounds), bool)
+        wanted[np.argsort(-bounds, kind="stable")[: 1 + 2 * k // BLOCK]] = True
+        whole = np.zeros(len(bounds), bool)
+        while wanted.any():
             own = np.flatnonzero(wanted[blocks])
-            lengths = self.entry_start[entries[own] + 1] - self.entry_start[entries[own]]
-            postings = _ranges(self.entry_start[entries[own]], lengths)
-            scores += np.bincount(self.places[postings], np.repeat(of_term[own], lengths) * self.weights[postings], minlength=len(scores))
-            at, step = at + step, 2 * step
-            if at < len(ranked) and k <= len(scores):
+            postings = _ranges(starts[own], lengths[own])
+            if len(postings):
+                scores += np.bincount(self.places[postings], np.repeat(of_term[own], lengths[own]) * self.weights[postings], minlength=len(scores))
+            if k < len(scores):
+                # Scores of blocks not yet whole are lower bounds, so this one is too.
                 least = np.partition(scores, len(scores) - k)[len(scores) - k]
-        found = np.flatnonzero(scores)
+            whole |= wanted
+            wanted = ~whole & (bounds > 0) & (bounds >= least - 1e-9)
+        found = np.flatnonzero((scores > 0) & (scores >= least - 1e-9))
         top = found[np.lexsort((found, -np.round(scores[found], 12)))[:k]]
         return top, scores[top]
 
@@ -137,10 +159,13 @@ class BlockMaxIndex:
 
 def unit_vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Term numbers, rising, and the weights (1 + ln tf) * idf scaled to length 1."""
-    numbers = np.fromiter(counts.keys(), np.int64, len(counts))
+    return _unit(np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), float, len(counts)), idf)
+
+
+def _unit(numbers: np.ndarray, times: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(numbers)
-    numbers, times = numbers[order], np.fromiter(counts.values(), float, len(counts))[order]
-    weights = (1 + np.log(times)) * idf[numbers]
+    numbers = numbers[order]
+    weights = (1 + np.log(times[order])) * idf[numbers]
     return numbers, weights / math.sqrt(float(weights @ weights)) if len(numbers) else weights
 
 
