@@ -3,9 +3,11 @@
 import hashlib
 import os
 import re
+import struct
 
 import duckdb
 import pytest
+import xxhash
 from text_fixtures import awkward, docs_of, empty, rows_of, WORD, words  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -124,6 +126,51 @@ def test_edited_neighbours(docs_of, words, runs):
     assert found[57]["near_next"] == 0.0
 
 
+def plain_anchor_hashes(text):
+    """Set of the closed syncmers' hashes (signed), by loops over words."""
+    signed = lambda value: value - (1 << 64) if value >> 63 else value
+
+    def chained(parts):
+        value = 42
+        for part in parts:
+            value = xxhash.xxh64_intdigest(part, value)
+        return value
+
+    packed = lambda value: struct.pack("<Q", value)
+    found = [word.encode() for word in re.findall(WORD, text)]
+    if len(found) < syncmers.K:
+        return {chained(found)} if found else set()
+    hashes = [chained([word]) for word in found]
+    runs = [chained(map(packed, hashes[at : at + syncmers.S])) for at in range(len(hashes) - syncmers.S + 1)]
+    last, chosen = syncmers.K - syncmers.S, set()
+    for at in range(len(runs) - last):
+        own = [signed(run) for run in runs[at : at + last + 1]]
+        if min(own) in (own[0], own[-1]):
+            # The runs at words 0, 2 and 3 cover the five words.
+            chosen.add(chained(map(packed, (runs[at], runs[at + 2], runs[at + 3]))))
+    return chosen
+
+
+def test_likeness_against_plain_sets(docs_of, words):
+    texts = {key: words(20 + 9 * key, key % 7) + (" the same end of " + words(12, 3) if key % 2 else "") for key in range(24)}
+    texts |= {30: "", 31: "only four words here", 32: "only four words here", 33: texts[5], 34: "\u00e4 \u00f6 " * 9}
+    found = {row["doc_id"]: row for row in syncmers.edited_neighbours(docs_of([(key, text, "s") for key, text in texts.items()]), runs=3).collect()}
+    order = sorted(texts, reverse=True)
+
+    def dice(one, other):
+        one, other = plain_anchor_hashes(one), plain_anchor_hashes(other)
+        return 2 * len(one & other) / (len(one) + len(other)) if one or other else 1.0
+
+    for place, key in enumerate(order):
+        text, after = texts[key], texts[order[(place + 1) % len(order)]]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        assert found[key]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert found[key]["near_edited"] == pytest.approx(dice(text, edited))
+        assert found[key]["near_next"] == pytest.approx(dice(text, after))
+    assert any(0 < row["near_edited"] < 1 for row in found.values())
+
+
 def test_fingerprints_on_odd_input(awkward, empty):
     assert syncmers.edited_neighbours(empty, runs=4).collect() == []
     found = syncmers.edited_neighbours(awkward, runs=4).collect()
