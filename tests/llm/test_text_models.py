@@ -224,6 +224,37 @@ def test_toxicity_on_held_out_rows(spark, docs_of, words, empty):
     assert toxicity.train(empty, labels).index is None
 
 
+def test_toxicity_against_plain_cosines(spark, docs_of, words):
+    rows = toxic_rows(words, 160)
+    texts, labels = {key: text for key, text, *_ in rows}, {key: toxic for key, _, _, toxic in rows}
+    model = toxicity.train(docs_of([row[:3] for row in rows]), spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"))
+    found = {row["doc_id"]: row for row in toxicity.score(docs_of([row[:3] for row in rows]), model).collect()}
+    counts = {key: toxicity.terms_of(text) for key, text in texts.items()}
+    sample = [key for key in texts if zlib.crc32(str(key).encode()) % 3 != 1]
+    bad = sum(labels[key] for key in sample)
+    clean, weight = len(sample) - bad, {}
+    for term in {term for key in sample for term in counts[key]}:
+        a = sum(term in counts[key] for key in sample if labels[key])
+        b = sum(term in counts[key] for key in sample if not labels[key])
+        chi2 = len(sample) * (a * (clean - b) - b * (bad - a)) ** 2 / (clean * bad * max((a + b) * (len(sample) - a - b), 1))
+        weight[term] = (math.log((1 + len(texts)) / (1 + sum(term in one for one in counts.values()))) + 1) * math.sqrt(1 + chi2)
+    vectors = {}
+    for key, own in counts.items():
+        vector = {term: (1 + math.log(n)) * weight[term] for term, n in own.items() if term in weight}
+        length = math.sqrt(sum(value * value for value in vector.values()))
+        vectors[key] = {term: value / length for term, value in vector.items()}
+    votes = []
+    for key, own in vectors.items():
+        cosines = {other: sum(value * vectors[other].get(term, 0.0) for term, value in own.items()) for other in sample}
+        near = sorted((value for value in cosines.values() if value > 1e-12), reverse=True)[: toxicity.NEIGHBOURS]
+        assert [one["cosine"] for one in found[key]["evidence"]] == pytest.approx(near)
+        assert all(cosines[int(one["example"])] == pytest.approx(one["cosine"]) for one in found[key]["evidence"])
+        pulls = [(1 / (1.1 - min(one["cosine"], 1.0)), labels[int(one["example"])]) for one in found[key]["evidence"]]
+        votes.append((sum(pull for pull, toxic in pulls if toxic) / sum(pull for pull, _ in pulls), found[key]["score"]))
+    votes.sort()
+    assert all(first[1] <= second[1] + 1e-9 for first, second in zip(votes, votes[1:]) if second[0] > first[0] + 1e-9)
+
+
 def test_block_max_search_is_exact():
     pick = np.random.default_rng(4)
     idf = 1 + pick.random(40)
