@@ -1,11 +1,12 @@
 """Scores of whole texts by a causal self-attention model, beside a word-frequency base.
 
-Word and subword counts come from all training documents through a shuffle; the
-attention model (``attention``) trains on all subword ids of all training
-documents, each a target once: a hash of its text puts a document into one of
-ROUNDS rounds.  In each round every partition trains from the same weights, on
-windows as they are read, and the weighted mean goes into the next.  Scoring
-reads every text once: overlapping windows of its subword ids score each id once.
+Texts are read twice: for the word counts of all training documents, and for
+their base and subword ids, which are staged as 16-bit numbers.  All else is
+done on the ids.  The attention model (``attention``) trains on all subword ids
+of all training documents, each a target once: a hash of its text puts a
+document into one of ROUNDS rounds.  In each round every partition trains from
+the same weights, on windows as they are read, and the weighted mean goes into
+the next.  Overlapping windows of a text's ids score each id once.
 
 The base needs the count of every word.  Short words that make up one in
 BROADCAST_WORDS tokens or more, of which there cannot be more than that many, go to
@@ -38,6 +39,7 @@ from pyspark.sql import types as T
 
 from tabwright.llm import attention
 from tabwright.llm.common import mapped, sheltered, staged
+from tabwright.llm.word_arrays import joined, lower_words, slices
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
 FOLDS, HELD_FOLD = 5, 1
@@ -101,11 +103,12 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([word.decode() for word in held], pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"])
+                [pa.array(held, pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.update(words_in(text))
+            for part in slices(batch, 0):
+                numbers, words, _ = lower_words(part.column(0))
+                held.update(dict(zip(words, np.bincount(numbers, minlength=len(words)).tolist())))
                 if len(held) >= HELD_WORDS:
                     yield out()
                     held.clear()
@@ -115,35 +118,36 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return mapped(texts, run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def id_counts(counts: DataFrame, ends: int, tokenizer: str) -> np.ndarray:
-    """Count of each subword id over all training texts, from the counts of their words."""
+def id_counts(ids: DataFrame) -> np.ndarray:
+    """Count of each subword id in the one column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, total = word_ids(tokenizer).encode, np.zeros(IDS)
+        total = np.zeros(IDS, np.int64)
         for batch in batches:
-            found = [encode(" " + word) for word in batch.column(0).to_pylist()]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((one for ids in found for one in ids), np.int64, int(sizes.sum()))
-            # Whole numbers far below 2**53 stay exact.
-            total += np.bincount(flat, np.repeat(batch.column(1).to_numpy(), sizes), IDS)
-        total = total.astype(np.int64)
+            for own in batch.column(0).to_pylist():
+                total += np.bincount(np.frombuffer(own, "<u2"), minlength=IDS)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["id", "n"])
 
     total = np.zeros(IDS, np.int64)
-    for row in mapped(counts.select("word", "n"), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for row in mapped(ids, run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         total[row["id"]] = row["n"]
-    total[END_ID] += ends
     return total
 
 
+def ids_of_each(column: pa.Array, tokenizer: str) -> Iterator[np.ndarray]:
+    """Subword ids of texts, or of ids staged as 16-bit numbers."""
+    for own in column.to_pylist():
+        yield np.frombuffer(own, "<u2").astype(np.int32) if isinstance(own, bytes) else ids_in(words_in(own), tokenizer)
+
+
 def training_windows(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[np.ndarray]:
     """Windows over all ids of the texts in the one column, shuffled HELD_WINDOWS at a time."""
     pick = np.random.default_rng(11)
     held, size = [], 0
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            found = attention.training_windows(ids_in(words_in(text), tokenizer), END_ID)
+        for ids in ids_of_each(batch.column(0), tokenizer):
+            found = attention.training_windows(ids, END_ID)
             while size + len(found) >= HELD_WINDOWS:
                 cut = HELD_WINDOWS - size
                 yield pick.permutation(np.concatenate([*held, found[:cut]]))
@@ -154,11 +158,11 @@ def training_windows(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Itera
         yield pick.permutation(np.concatenate(held))
 
 
-def trained(texts: DataFrame, vocabulary: attention.Vocabulary, tokenizer: str, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Rounds of training in every partition on their share of the texts, and averaging by windows; the driver sees one mean per weight."""
+def trained(rows: DataFrame, vocabulary: attention.Vocabulary, tokenizer: str, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """Rounds of training in every partition on their share of the rows (ids, round), and averaging by windows; the driver sees one mean per weight."""
     weights = attention.fresh(vocabulary)
     names, shapes = list(weights), {name: value.shape for name, value in weights.items()}
-    column = texts.columns[0]
+    ids, own_round = rows.columns
     for number in range(rounds):
         start = weights
 
@@ -172,7 +176,7 @@ def trained(texts: DataFrame, vocabulary: attention.Vocabulary, tokenizer: str,
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), seen))], ["place", "sum", "n"])
 
-        share = texts.where(F.pmod(F.xxhash64(F.coalesce(column, F.lit(""))), F.lit(rounds)) == number)
+        share = rows.where(F.col(own_round) == number).select(ids)
         means = (
             mapped(share, run, "place long, sum double, n long").groupBy("place")
             .agg((F.sum("sum") / F.sum("n")).alias("mean")).collect()
@@ -205,50 +209,67 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenize
     log_of = lambda count: math.log10((count + 0.5) / total)
     frequent = {row["word"].encode(): log_of(row["n"]) for row in
                 counts.where((F.octet_length("word") <= BROADCAST_BYTES) & (F.col("n") * BROADCAST_WORDS >= tokens)).collect()}
-    vocabulary = attention.Vocabulary.from_counts(id_counts(counts, ends, tokenizer))
-    weights = trained(training, vocabulary, tokenizer)
     end_log = log_of(ends)
 
-    def scored_part(batch: pa.RecordBatch, scorer: attention.Scorer) -> pa.RecordBatch:
-        sizes, known, base, ids = [], [], [], []
-        rare_words, rare_counts, rare_ends = [], [], [0]
-        for value in batch.column(place_of[text]).to_pylist():
-            words = words_in(value)
-            logs = list(map(frequent.get, words))
-            others = Counter(word for word, log in zip(words, logs) if log is None)
-            rare_words += others.keys()
-            rare_counts += others.values()
-            rare_ends.append(len(rare_words))
-            sizes.append(len(words) + 1)
-            known.append(len(words) - sum(others.values()) + (ends > 0))
-            base.append(math.fsum(filter(None, logs)) + end_log)
-            ids.append(ids_in(words, tokenizer))
-        lengths = np.array([len(one) for one in ids], np.int64)
-        scores = attention.score_texts(scorer, vocabulary, np.concatenate(ids), lengths, END_ID)
+    def encoded_part(batch: pa.RecordBatch) -> pa.RecordBatch:
+        numbers, words, sizes = lower_words(batch.column(place_of[text]))
+        last = np.cumsum(sizes)
+        first = last - sizes
+        logs = np.array([frequent.get(word, np.nan) for word in words], np.float64).take(numbers)
+        rare = np.isnan(logs)
+        # Different rare words of each text, with how often it has them.
+        pairs, rare_counts = np.unique(np.repeat(np.arange(len(sizes)), sizes)[rare] * (len(words) + 1) + numbers[rare], return_counts=True)
+        rare_texts, rare_words = np.divmod(pairs, len(words) + 1)
+        rare_ends = np.searchsorted(rare_texts, np.arange(len(sizes) + 1))
+        known = sizes - np.bincount(np.repeat(np.arange(len(sizes)), sizes)[rare], minlength=len(sizes)) + (ends > 0)
+        logs[rare] = 0.0
+        all_logs = logs.tolist()
+        base = [math.fsum(all_logs[begin:end]) + end_log for begin, end in zip(first.tolist(), last.tolist())]
+        parts = [*map(word_ids(tokenizer).__getitem__, words), END_ID.to_bytes(4, "little")]
+        with_ends = np.insert(numbers, last, len(words))
+        ids, own = joined(parts, with_ends, 4)
+        id_ends = np.concatenate(([0], np.cumsum(own)[last + np.arange(len(last))])) * 2
+        ids = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(id_ends), pa.py_buffer(ids.astype("<u2"))])
         rare = pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), pa.StructArray.from_arrays(
-            [pa.array(rare_words, pa.binary()).cast(pa.string()), pa.array(rare_counts, pa.int32())], ["word", "n"]))
+            [pa.array(words, pa.binary()).cast(pa.string()).take(pa.array(rare_words)), pa.array(rare_counts, pa.int32())], ["word", "n"]))
         return pa.RecordBatch.from_arrays(
-            [*[batch.column(name) for name in keep], batch.column("_held"), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
-             pa.array(base, pa.float64()), pa.array(scores), rare],
-            [*keep, "_held", "_tokens", "_known", "_base", "_score", "_rare"])
+            [*[batch.column(name) for name in (*keep, "_held", "_round")], pa.array(sizes + 1, pa.int64()), pa.array(known, pa.int64()),
+             pa.array(base, pa.float64()), rare, ids.cast(pa.binary())],
+            [*keep, "_held", "_round", "_tokens", "_known", "_base", "_rare", "_ids"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from map(encoded_part, slices(batch, place_of[text]))
+
+    rows = inner.select(
+        *keep, place_of[text], held_out(F.col(place_of[key])).alias("_held"),
+        F.pmod(F.xxhash64(F.coalesce(place_of[text], F.lit(""))), F.lit(ROUNDS)).cast("int").alias("_round"))
+    schema = rows.select(*keep, "_held", "_round").schema.add("_tokens", "long").add("_known", "long").add("_base", "double")
+    encoded = staged(mapped(rows, encode, schema.add("_rare", RARE).add("_ids", "binary")).withColumn("_row", F.monotonically_increasing_id()))
+    training_ids = encoded.where("not _held")
+    vocabulary = attention.Vocabulary.from_counts(id_counts(training_ids.select("_ids")))
+    weights = trained(training_ids.select("_ids", "_round"), vocabulary, tokenizer)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = attention.Scorer(weights)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
-                yield scored_part(batch.slice(at, TEXTS), scorer)
-
-    rows = inner.select(*keep, place_of[text], held_out(F.col(place_of[key])).alias("_held"))
-    schema = rows.select(*keep, "_held").schema.add("_tokens", "long").add("_known", "long").add("_base", "double").add("_score", "double")
-    schema = schema.add("_rare", RARE)
-    scored = staged(mapped(rows, run, schema).withColumn("_row", F.monotonically_increasing_id()))
-    joined = scored.select("_row", F.inline("_rare")).join(counts.withColumnRenamed("n", "count"), "word", "left")
+                part = batch.slice(at, TEXTS)
+                ids = [np.frombuffer(own, "<u2") for own in part.column("_ids").to_pylist()]
+                lengths = np.array([len(own) for own in ids], np.int64)
+                scores = attention.score_texts(scorer, vocabulary, np.concatenate(ids).astype(np.int32), lengths, END_ID)
+                names = [name for name in part.schema.names if name != "_ids"]
+                yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(scores)], [*names, "_score"])
+
+    unscored = encoded.drop("_rare", "_round")
+    scored = staged(mapped(unscored, score, unscored.drop("_ids").schema.add("_score", "double")))
+    met = encoded.select("_row", F.inline("_rare")).join(counts.withColumnRenamed("n", "count"), "word", "left")
     count = F.coalesce("count", F.lit(0))
-    others = joined.groupBy("_row").agg(
+    others = met.groupBy("_row").agg(
         F.sum(F.col("n") * F.log10((count + 0.5) / F.lit(total))).alias("_more"),
         F.sum(F.when(count > 0, F.col("n")).otherwise(0)).alias("_also"),
     )
-    return scored.drop("_rare").join(others, "_row", "left").select(
+    return scored.join(others, "_row", "left").select(
         *[given[name] for name in docs.columns if name not in (text, *OUTPUT)],
         F.col("_held").alias("held_out"), F.col("_tokens").alias("n_tokens"),
         (F.col("_known") + F.coalesce("_also", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
