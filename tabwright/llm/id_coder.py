@@ -239,7 +239,9 @@ def decode_blocks(blocks: list[bytes], sizes: np.ndarray, known: np.ndarray, sha
         ids = np.where(model.missed, known.take(number, mode="clip"), guess)
         table[step, :active] = ids
         model.learn(ids, model.guess2 == ids, model.guess1 == ids, model.guess0 == ids)
-    return [table[:size, lane] for lane, size in enumerate(sizes)]
+    # Blocks are read more than once, so their ids come to stand in a row.
+    table = np.ascontiguousarray(table.T)
+    return [table[lane, :size] for lane, size in enumerate(sizes)]
 
 
 def _packed(array: np.ndarray) -> bytes:

@@ -22,6 +22,7 @@ from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from tokenizers import Tokenizer
 
 from tabwright.llm.common import mapped, shared_folder, staged
 from tabwright.llm.id_coder import Image, write_image
+from tabwright.llm.word_arrays import bytes_and_ends, cut, different, joined, slices
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
@@ -36,6 +38,10 @@ END_ID = 0
 IMAGE_IDS = 1 << 23
 UNITS, UNIT_CHARS = 1_000_000, 48
 PAIR_OF_BLANKS = re.compile(r"\s\s")
+# Bytes that a blank may end or begin with: the ASCII ones, and the last and first bytes of longer characters.
+ASCII_BLANKS = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
+MAY_END_BLANK = ASCII_BLANKS | (np.arange(256) >= 0x80)
+MAY_BEGIN_BLANK = ASCII_BLANKS | np.isin(np.arange(256), [*{chr(code).encode()[0] for code in range(128, 0x10000) if chr(code).isspace()}])
 
 
 def byte_letters() -> list[str]:
@@ -45,26 +51,31 @@ def byte_letters() -> list[str]:
     return [chr(byte) if byte in prints else chr(next(others)) for byte in range(256)]
 
 
-class _Known(dict):
-    """Ids of short units, by the unit without the lead (nothing or a space) it is encoded with."""
+class _Units(dict):
+    """Ids of short units by their bytes: what stands before the first break of a text, or a break with what follows it."""
 
-    def __init__(self, tokenizer: Tokenizer, lead: str, marks: _Known | None = None):
+    def __init__(self, tokenizer: Tokenizer):
         super().__init__()
-        self.tokenizer, self.model, self.lead, self.letters = tokenizer, tokenizer.model, lead, byte_letters()
-        self.marks = self if marks is None else marks
-
-    def __missing__(self, unit: str) -> bytes:
-        stem = unit.rstrip(punctuation)
-        if not stem.isalpha():
-            ids = array("I", self.tokenizer.encode(self.lead + unit, add_special_tokens=False).ids).tobytes()
-        elif len(stem) < len(unit):
+        self.tokenizer, self.model, self.letters = tokenizer, tokenizer.model, byte_letters()
+
+    def __missing__(self, unit: bytes) -> bytes:
+        text = unit.decode()
+        lead = text[:1] if text[:1] in (" ", "\n") else ""
+        word = text[len(lead) :]
+        stem = word.rstrip(punctuation)
+        if lead == "\n" and word:
+            # The tokenizer splits behind a line break that stands before a word.
+            ids = self[b"\n"] + self[unit[1:]]
+        elif not stem.isalpha():
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        elif len(stem) < len(word):
             # After letters, marks up to the unit's end are a run of their own.
-            ids = self[stem] + self.marks[unit[len(stem) :]]
+            ids = self[(lead + stem).encode()] + self[word[len(stem) :].encode()]
         else:
             # Letters are one run of the tokenizer's splitting, so its model alone decides.
-            letters = "".join(map(self.letters.__getitem__, (self.lead + unit).encode()))
+            letters = "".join(map(self.letters.__getitem__, unit))
             ids = array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
-        if len(unit) <= UNIT_CHARS:
+        if len(text) - len(lead) <= UNIT_CHARS:
             if len(self) >= UNITS:
                 self.clear()
             self[unit] = ids
@@ -82,32 +93,39 @@ class TextEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.first = _Known(self.tokenizer, "")
-        self.rest = _Known(self.tokenizer, " ", self.first)
-        self.line = self.first["\n"]
+        self.units = _Units(self.tokenizer)
+
+    def _with_pairs(self, texts: pa.Array) -> list[int]:
+        """Places of texts with two blanks in a row."""
+        data, ends = bytes_and_ends(texts)
+        data = np.frombuffer(data, np.uint8)
+        near = np.flatnonzero(MAY_END_BLANK.take(data[:-1]) & MAY_BEGIN_BLANK.take(data[1:]))
+        places = np.unique(np.searchsorted(ends, near, side="right") - 1).tolist()
+        return [place for place in places if PAIR_OF_BLANKS.search(texts[place].as_py() or "")]
+
+    def ids_of_all(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, an end id after each, and how many each has; each different unit is looked up once."""
+        whole = self._with_pairs(texts)
+        parts = [array("I", self.tokenizer.encode(texts[place].as_py(), add_special_tokens=False).ids).tobytes() for place in whole]
+        if whole:
+            apart = np.zeros(len(texts), bool)
+            apart[whole] = True
+            texts = pc.if_else(pa.array(apart), pa.scalar("", texts.type), texts)
+        data, ends = bytes_and_ends(texts)
+        data = np.frombuffer(data, np.uint8)
+        breaks = np.flatnonzero((data == 32) | (data == 10))
+        # A unit begins with each text, too, so that each has one, if only of no bytes.
+        numbers, units = different(cut(data, np.sort(np.concatenate((breaks, ends[:-1])))))
+        found = [*map(self.units.__getitem__, units), *parts, end_id.to_bytes(4, "little")]
+        last = np.searchsorted(breaks, ends[1:]) + np.arange(1, len(ends))
+        numbers = numbers.astype(np.int64)
+        numbers[last[whole] - 1] = len(units) + np.arange(len(whole))
+        ids, own = joined(found, np.insert(numbers, last, len(found) - 1), 4)
+        return ids, np.diff(np.cumsum(own)[last + np.arange(len(last))], prepend=0)
 
     def ids_of(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit integers."""
-        words = text.split()
-        spaces, lines = text.count(" "), text.count("\n")
-        if len(words) == spaces + lines + 1 and sum(map(len, words)) == len(text) - spaces - lines:
-            # Only spaces and line breaks, each between two words.
-            found, at, rest = [], 0, self.rest.__getitem__
-            for line in text.split("\n") if lines else (text,):
-                end = at + line.count(" ") + 1
-                if at:
-                    found.append(self.line)
-                found.append(self.first[words[at]])
-                found += map(rest, words[at + 1 : end])
-                at = end
-            return b"".join(found)
-        if PAIR_OF_BLANKS.search(text):
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        parts = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            parts.append((self.first[first] if first else b"") + b"".join(map(self.rest.__getitem__, rest)))
-        return self.line.join(parts)
+        return self.ids_of_all(pa.array([text], pa.string()), END_ID)[0][:-1].tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -124,27 +142,31 @@ def write_token_files(docs: DataFrame, folder: str, key: str = "doc_id", text: s
     ranged = ranged.select(F.spark_partition_id().alias("part"), F.col("key").cast("string").alias("key"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = text_encoder(tokenizer), end_id.to_bytes(4, "little")
-        names, sizes, held, part, number = [], [], [], 0, 0
+        encoder = text_encoder(tokenizer)
+        names, sizes, held, part, number, total = [], [], [], 0, 0, 0
 
         def image() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4").astype(np.int32)
+            ids = np.concatenate(held).astype(np.int32)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([write_image(names, sizes, ids)], pa.binary())],
                 ["part", "number", "image"])
 
-        total = 0
         for batch in batches:
-            for own_part, name, value in zip(*[column.to_pylist() for column in batch.columns]):
-                part = own_part
-                coded = encoder.ids_of(value or "") + end
-                names.append(name)
-                sizes.append(len(coded) // 4)
-                held.append(coded)
-                total += sizes[-1]
-                if total >= image_ids:
-                    yield image()
-                    names, sizes, held, total, number = [], [], [], 0, number + 1
+            for rows in slices(batch, "text"):
+                part = rows.column("part")[0].as_py()
+                ids, counts = encoder.ids_of_all(rows.column("text"), end_id)
+                keys, ends, first = rows.column("key").to_pylist(), np.cumsum(counts), 0
+                while first < len(keys):
+                    before = int(ends[first - 1]) if first else 0
+                    last = min(int(np.searchsorted(ends, before + image_ids - total)) + 1, len(keys))
+                    names += keys[first:last]
+                    sizes += counts[first:last].tolist()
+                    held.append(ids[before : ends[last - 1]])
+                    total += len(held[-1])
+                    first = last
+                    if total >= image_ids:
+                        yield image()
+                        names, sizes, held, total, number = [], [], [], 0, number + 1
         if names:
             yield image()
 

@@ -3,7 +3,9 @@
 import numpy as np
 import pyarrow as pa
 
-from tabwright.llm import attention, lm_scoring, word_arrays
+from tokenizers import Tokenizer
+
+from tabwright.llm import attention, lm_scoring, token_files, word_arrays
 
 TEXTS = ["The  Cat\tsat", None, "", " \n", "É ÀB x y\u0085z", "a\x0bb\x0cc\r\nd\x1ce", "one", "Two one ", " lead two", "日本 語 𝄞Z", ""]
 
@@ -40,3 +42,15 @@ def test_classes_by_groups_add_up_to_one():
     for hidden in (pick.standard_normal((1, attention.WIDTH)), np.full((1, attention.WIDTH), 300.0)):
         chances = np.exp(attention._class_log(weights, np.repeat(hidden, attention.CLASSES, axis=0).astype(np.float32), np.arange(attention.CLASSES)))
         assert abs(chances.sum() - 1) < 1e-3
+
+
+def test_ids_of_many_texts_look_each_unit_up_once():
+    plain, encoder = Tokenizer.from_file(token_files.TOKENIZER), token_files.TextEncoder(token_files.TOKENIZER)
+    texts = [*TEXTS, "two  blanks", " a", "a ", "\nb", "b\n", "a\n b", "a\tb c", "a\u3000b\u00a0 c", "ü ü é\u0085x", "it's 12 (three), x1.", "\n", " ", "\n\n"]
+    ids, sizes = encoder.ids_of_all(pa.array(texts), 0)
+    found = [one.tolist() for one in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert found == [[*plain.encode(text or "", add_special_tokens=False).ids, 0] for text in texts]
+    asked = []
+    encoder.units.tokenizer = type("Counting", (), {"encode": lambda _, text, **more: asked.append(text) or plain.encode(text, **more)})()
+    encoder.ids_of_all(pa.array(["q1 q1 q1", "z q1"] * 20), 0)
+    assert sorted(asked) == [" q1", "q1"]
