@@ -71,11 +71,12 @@ class _Model:
         self.trust2, self.trust1 = self.entry2 & 3, self.entry1 & 3
         self.guess2, self.guess1 = self.entry2 >> 2, self.entry1 >> 2
         self.row = self.base + (self.trust2 << 2 | self.trust1)
-        counts, row, (_, one, two, three) = self.counts, self.row, self.offsets
-        first = counts.take(row, mode="clip")
-        second = first + counts.take(row + one, mode="clip")
-        third = second + counts.take(row + two, mode="clip")
-        self.sums = (first, second, third, third + counts.take(row + three, mode="clip"))
+        counts, row, span = self.counts, self.row, self.span
+        # Each outcome's counts are a part of their own, so the same places are taken from all.
+        first, one, two, three = (counts[at : at + span].take(row, mode="clip") for at in self.offsets)
+        second = first + one
+        third = second + two
+        self.sums = (first, second, third, third + three)
 
     def interval(self, right2: np.ndarray, right1: np.ndarray, right0: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lower end and size of the outcome's interval; keeps which guesses were right."""
@@ -139,13 +140,15 @@ class _Writer:
 class _Reader:
     def __init__(self, blocks: list[bytes]):
         longest = max(len(block) for block in blocks) // 2
-        self.words = np.zeros((len(blocks), longest + 4), np.uint16)
+        words = np.zeros((len(blocks), longest + 4), np.uint16)
         for lane, block in enumerate(blocks):
             own = np.frombuffer(block, "<u2")
-            self.words[lane, : len(own)] = own
-        head = self.words[:, :3].astype(U)
+            words[lane, : len(own)] = own
+        head = words[:, :3].astype(U)
         self.code = head[:, 0] << U(32) | head[:, 1] << WORD | head[:, 2]
-        self.range, self.used = np.full(len(blocks), LOW_MASK, U), np.full(len(blocks), 3)
+        # The next word of each block, among the words of all blocks in a row, and the last that there is.
+        self.words, ends = words.reshape(-1), np.arange(1, len(blocks) + 1) * words.shape[1]
+        self.range, self.next, self.last = np.full(len(blocks), LOW_MASK, U), ends - words.shape[1] + 3, ends - 1
 
     def value(self, lanes: int, total: np.ndarray | None = None) -> np.ndarray:
         self.part = self.range[:lanes] >> U(FREQUENCY_BITS) if total is None else self.range[:lanes] // total
@@ -156,9 +159,10 @@ class _Reader:
         span = self.part * own
         out = np.flatnonzero(span < LEAST_RANGE)
         if len(out):
-            code[out] = code[out] << WORD | self.words[out, np.minimum(self.used[out], self.words.shape[1] - 1)]
-            self.used[out] += 1
-            span[out] <<= WORD
+            place = self.next.take(out)
+            code[out] = code.take(out) << WORD | self.words.take(np.minimum(place, self.last.take(out)))
+            self.next[out] = place + 1
+            span[out] = span.take(out) << WORD
         self.code[:lanes], self.range[:lanes] = code, span
 
 
@@ -198,7 +202,7 @@ def encode_blocks(ids: np.ndarray, known: np.ndarray, share: np.ndarray, block:
     table.reshape(-1)[: len(ids)] = ids
     table = np.ascontiguousarray(table.T)
     below, own_share = _intervals(share)
-    number_of = np.zeros(known[-1] + 1, np.int64)
+    number_of = np.zeros(known[-1] + 1, np.int32)
     number_of[known] = np.arange(len(known))
     model, writer = _Model(lanes), _Writer(lanes, 2 * block + 8)
     for step in range(block):
@@ -220,7 +224,7 @@ def encode_blocks(ids: np.ndarray, known: np.ndarray, share: np.ndarray, block:
 def decode_blocks(blocks: list[bytes], sizes: np.ndarray, known: np.ndarray, share: np.ndarray) -> list[np.ndarray]:
     """Ids of blocks, which come longest first."""
     below, own_share = _intervals(share)
-    number_at = np.repeat(np.arange(len(known)), share)
+    number_at = np.repeat(np.arange(len(known), dtype=np.int32), share)
     table = np.zeros((int(sizes[0]), len(blocks)), np.int32)
     model, reader = _Model(len(blocks)), _Reader(blocks)
     for step in range(int(sizes[0])):

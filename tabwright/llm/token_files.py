@@ -57,6 +57,7 @@ class _Units(dict):
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.tokenizer, self.model, self.letters = tokenizer, tokenizer.model, byte_letters()
+        self.lead = {"": "", " ": self.letters[32]}
 
     def __missing__(self, unit: bytes) -> bytes:
         text = unit.decode()
@@ -73,7 +74,7 @@ class _Units(dict):
             ids = self[(lead + stem).encode()] + self[word[len(stem) :].encode()]
         else:
             # Letters are one run of the tokenizer's splitting, so its model alone decides.
-            letters = "".join(map(self.letters.__getitem__, unit))
+            letters = self.lead[lead] + word if word.isascii() else "".join(map(self.letters.__getitem__, unit))
             ids = array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
         if len(text) - len(lead) <= UNIT_CHARS:
             if len(self) >= UNITS:

@@ -71,6 +71,8 @@ def joined(parts: list[bytes], numbers: np.ndarray, width: int) -> tuple[np.ndar
     starts = np.cumsum(sizes) - sizes
     own = sizes.take(numbers)
     ends = np.cumsum(own)
-    places = np.repeat(starts.take(numbers) - (ends - own), own)
-    places += np.arange(len(places))
+    # Half as wide where that is enough, as it nearly always is.
+    kind = np.int32 if max(len(flat), int(ends[-1]) if len(ends) else 0) < 1 << 31 else np.int64
+    places = np.repeat((starts.take(numbers) - (ends - own)).astype(kind), own)
+    places += np.arange(len(places), dtype=kind)
     return flat.take(places), own
